@@ -22,12 +22,12 @@ def _c(c: Column | str) -> Column:
 
 def is_iso_date(c: Column | str) -> Column:
     """True when the text parses as ``yyyy-MM-dd``; False for NULL and junk."""
-    return F.try_to_date(_c(c), F.lit(ISO_PATTERN)).isNotNull()
+    return F.try_to_date(_c(c), ISO_PATTERN).isNotNull()
 
 
 def us_to_iso(c: Column | str) -> Column:
     """``MM/dd/yyyy`` text -> ``yyyy-MM-dd`` text; NULL when it does not parse."""
-    return F.date_format(F.try_to_date(_c(c), F.lit(US_PATTERN)), ISO_PATTERN)
+    return F.date_format(F.try_to_date(_c(c), US_PATTERN), ISO_PATTERN)
 
 
 def any_bad(cols: list[str]) -> Column:

@@ -12,9 +12,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sparkwright.functions.paths import decrypted_name
+from sparkwright.functions.useragent import BROWSER_VALUES
+from sparkwright.operators import approvals as ap
 from sparkwright.operators import clickstream as cs
+from sparkwright.operators import feed as fd
+from sparkwright.operators import quality as dq
+from sparkwright.operators import sales as sl
 from sparkwright.operators.ranking import order_recency_rank
+from sparkwright.params import ApprovalParams
+from sparkwright.session import scratch_path
+from sparkwright.sinks import tables as sk
 from sparkwright.sources import fixtures as fx
+from sparkwright.sources import readers as rd
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -45,12 +55,204 @@ def q_order_recency_rank(spark, sf_dir):
     return order_recency_rank(cs.stage(fx.clickstream(spark, sf_dir), "A"))
 
 
+# --------------------------------------------------------------------------- shared constants
+
+# Clock and object keys are parameters, fixed here so results are reproducible.
+AS_OF = "2026-01-15 10:00:00"
+FEED_KEY = "feeds/daily_orders.csv.pgp"
+EARLIER_LOAD_BEFORE = "2000-01-01"          # orders of the earlier clickstream load
+EARLIER_PARAMS = ApprovalParams(threshold=120_000, premium_rate=0.12, standard_rate=0.06,
+                                standard_floor=1_500)  # the configuration of the earlier run
+EARLIER_SEGMENTS_EXCLUDE = "HOUSEHOLD"      # segment whose applications arrive only today
+
+
+def as_of():
+    return F.lit(AS_OF).cast("timestamp_ntz")
+
+
+# --------------------------------------------------------------------------- approvals
+
+def _applications_csv(spark, sf_dir) -> str:
+    """The applications fixture landed as a header CSV in the shared scratch folder."""
+    path = scratch_path(spark, "applications_csv")
+    fx.applications(spark, sf_dir).write.option("header", True).csv(path)
+    return path
+
+
+def q_approve_applications(spark, sf_dir):
+    return ap.approve(rd.read_applications(spark, _applications_csv(spark, sf_dir)))
+
+
+def _portfolio(spark, sf_dir, params=ApprovalParams()):
+    return ap.approve(fx.applications(spark, sf_dir), params)
+
+
+def q_approval_summary(spark, sf_dir):
+    return ap.approval_summary(_portfolio(spark, sf_dir))
+
+
+def q_tier_volumes(spark, sf_dir):
+    return ap.tier_volumes(_portfolio(spark, sf_dir))
+
+
+def q_ingest_stats(spark, sf_dir):
+    return ap.ingest_stats(fx.applications(spark, sf_dir))
+
+
+def q_route_premium(spark, sf_dir):
+    return ap.route_premium(fx.applications(spark, sf_dir))
+
+
+def q_route_standard(spark, sf_dir):
+    return ap.route_standard(fx.applications(spark, sf_dir))
+
+
+def q_upsert_accounts(spark, sf_dir):
+    """Earlier run (other parameters, all segments but one) merged, then today's run."""
+    path = scratch_path(spark, "credit_accounts")
+    cust = fx.table(spark, sf_dir, "customer")
+    earlier = ap.approve(fx.applications(spark, sf_dir, cust.filter(F.col("c_mktsegment") != EARLIER_SEGMENTS_EXCLUDE)),
+                         EARLIER_PARAMS)
+    today = _portfolio(spark, sf_dir)
+    no_stamp = {"last_updated": F.lit(None).cast("timestamp_ntz")}
+    cols = list(ap.PORTFOLIO_COLUMNS)
+    sk.merge_table(spark, path, earlier.select(*cols), ["application_id"], insert_values=no_stamp)
+    sk.merge_table(spark, path, today.select(*cols), ["application_id"],
+                   update_columns=["credit_limit"], set_on_match={"last_updated": as_of()},
+                   insert_values=no_stamp)
+    return sk.read_table(spark, path)
+
+
+# --------------------------------------------------------------------------- clickstream sinks
+
+def q_merge_customer_metrics(spark, sf_dir):
+    """Mart built from the earlier load, then merged with the full recomputation."""
+    path = scratch_path(spark, "fct_customer_metrics")
+    click = fx.clickstream(spark, sf_dir)
+    earlier = cs.customer_metrics(cs.stage(click.filter(F.col("order_date") < F.lit(EARLIER_LOAD_BEFORE).cast("timestamp_ntz")), "A"))
+    full = cs.customer_metrics(cs.stage(click, "A"))
+    sk.merge_table(spark, path, earlier, ["customer_id"])
+    sk.merge_table(spark, path, full, ["customer_id"])
+    return sk.read_table(spark, path)
+
+
+def q_insert_metrics_twice(spark, sf_dir):
+    """Variant B's INSERT run twice: appends, so every customer appears twice."""
+    path = scratch_path(spark, "py_customer_metrics")
+    metrics = q_customer_metrics_b(spark, sf_dir)
+    for _ in range(2):
+        sk.append_table(metrics, path)
+    return spark.read.parquet(path)
+
+
+# --------------------------------------------------------------------------- sales
+
+def q_top_customers_by_revenue(spark, sf_dir):
+    return sl.top_customers_by_revenue(fx.sales(spark, sf_dir))
+
+
+def q_top_products_by_units(spark, sf_dir):
+    return sl.top_products_by_units(fx.sales(spark, sf_dir))
+
+
+def q_sales_by_day_of_week(spark, sf_dir):
+    return sl.sales_by_day_of_week(fx.sales(spark, sf_dir))
+
+
+def q_table_row_count(spark, sf_dir):
+    return sl.table_row_count(fx.sales(spark, sf_dir))
+
+
+# --------------------------------------------------------------------------- feed
+
+def _landed(spark, sf_dir):
+    return rd.with_lineage(fx.landing(spark, sf_dir), FEED_KEY, AS_OF).withColumn("_ingested_at", as_of())
+
+
+def q_landing_with_lineage(spark, sf_dir):
+    """Feed CSV -> lineage columns -> append to the landing table -> read back."""
+    drop = scratch_path(spark, "feed_drop")
+    fx.landing(spark, sf_dir).write.option("header", True).csv(drop)
+    feed = rd.read_feed(spark, drop, types={"o_orderkey": "bigint"})
+    landed = rd.with_lineage(feed, FEED_KEY, AS_OF).withColumn("_ingested_at", as_of())
+    path = scratch_path(spark, "csv_landing_zone")
+    sk.append_table(landed, path)
+    return spark.read.parquet(path)
+
+
+def q_bad_date_count(spark, sf_dir):
+    landed = _landed(spark, sf_dir)
+    return fd.bad_date_count(landed, source_file=decrypted_name(FEED_KEY))
+
+
+def q_normalize_dates(spark, sf_dir):
+    return fd.normalize_dates(fx.landing(spark, sf_dir), mode="row")
+
+
+def q_normalize_dates_by_column(spark, sf_dir):
+    return fd.normalize_dates(fx.landing(spark, sf_dir), mode="column")
+
+
+def q_ingest_audit(spark, sf_dir):
+    landed = _landed(spark, sf_dir)
+    return (fd.audit_summary(landed, FEED_KEY, AS_OF, source_file=decrypted_name(FEED_KEY))
+            .withColumn("logged_at", as_of()))
+
+
+# --------------------------------------------------------------------------- data quality
+
+STG, MART = "stg_clickstream", "fct_customer_metrics"
+
+
+def q_dq_not_null(spark, sf_dir):
+    return dq.not_null(q_staged_clickstream(spark, sf_dir), "customer_id", STG)
+
+
+def q_dq_unique(spark, sf_dir):
+    return dq.unique(q_customer_metrics(spark, sf_dir), "customer_id", MART)
+
+
+def q_dq_accepted_values(spark, sf_dir):
+    return dq.accepted_values(q_staged_clickstream(spark, sf_dir), "browser", BROWSER_VALUES, STG)
+
+
+def q_dq_report(spark, sf_dir):
+    staged = q_staged_clickstream(spark, sf_dir)
+    mart = cs.customer_metrics(staged)
+    return dq.dq_report(staged, STG, dq.STAGING_CHECKS).unionByName(dq.dq_report(mart, MART, dq.MART_CHECKS))
+
+
+QUERIES: dict[str, Query] = {
+    "approve_applications": q_approve_applications,
+    "approval_summary": q_approval_summary,
+    "tier_volumes": q_tier_volumes,
+    "ingest_stats": q_ingest_stats,
+    "route_premium": q_route_premium,
+    "route_standard": q_route_standard,
+    "upsert_accounts": q_upsert_accounts,
+    "staged_clickstream": q_staged_clickstream,
+    "staged_clickstream_b": q_staged_clickstream_b,
+    "customer_metrics": q_customer_metrics,
+    "customer_metrics_b": q_customer_metrics_b,
+    "customer_metrics_windowed": q_customer_metrics_windowed,
+    "order_recency_rank": q_order_recency_rank,
+    "merge_customer_metrics": q_merge_customer_metrics,
+    "insert_metrics_twice": q_insert_metrics_twice,
+    "top_customers_by_revenue": q_top_customers_by_revenue,
+    "top_products_by_units": q_top_products_by_units,
+    "sales_by_day_of_week": q_sales_by_day_of_week,
+    "table_row_count": q_table_row_count,
+    "landing_with_lineage": q_landing_with_lineage,
+    "bad_date_count": q_bad_date_count,
+    "normalize_dates": q_normalize_dates,
+    "normalize_dates_by_column": q_normalize_dates_by_column,
+    "ingest_audit": q_ingest_audit,
+    "dq_not_null": q_dq_not_null,
+    "dq_unique": q_dq_unique,
+    "dq_accepted_values": q_dq_accepted_values,
+    "dq_report": q_dq_report,
+}
+
+
 def queries() -> dict[str, Query]:
-    return {
-        "staged_clickstream": q_staged_clickstream,
-        "staged_clickstream_b": q_staged_clickstream_b,
-        "customer_metrics": q_customer_metrics,
-        "customer_metrics_b": q_customer_metrics_b,
-        "customer_metrics_windowed": q_customer_metrics_windowed,
-        "order_recency_rank": q_order_recency_rank,
-    }
+    return dict(QUERIES)

@@ -172,12 +172,220 @@ SELECT *, RANK() OVER (PARTITION BY customer_id ORDER BY order_date DESC NULLS F
 FROM staged"""
 
 
+# --------------------------------------------------------------------------- approvals
+
+AS_OF_SQL = "TIMESTAMP '2026-01-15 10:00:00'"
+
+
+def approvals_cte(name: str, src: str, threshold: int, prate: str, srate: str, floor: int) -> str:
+    return f"""
+{name} AS (
+  SELECT application_id, customer_name, annual_income,
+         CASE WHEN annual_income > {threshold} THEN 'Infinite Sapphire' ELSE 'Classic Rewards' END AS card_product,
+         CAST(CASE WHEN annual_income > {threshold} THEN ROUND(annual_income * CAST({prate} AS DECIMAL(10,4)), 2)
+              ELSE ROUND(GREATEST(annual_income * CAST({srate} AS DECIMAL(10,4)), {floor}), 2) END AS DOUBLE) AS credit_limit,
+         CASE WHEN annual_income > {threshold} THEN 'PREMIUM' ELSE 'STANDARD' END AS income_tier,
+         (annual_income <= {threshold} AND annual_income * CAST({srate} AS DECIMAL(10,4)) < {floor}) AS floor_applied
+  FROM {src}
+)"""
+
+
+PORTFOLIO = approvals_cte("portfolio", "applications", 100000, "0.15", "0.08", 2000)
+
+APPROVE_APPLICATIONS = with_(APPLICATIONS, PORTFOLIO) + "SELECT * FROM portfolio"
+
+APPROVAL_SUMMARY = with_(APPLICATIONS, PORTFOLIO) + f"""
+SELECT COUNT(*) AS total_accounts,
+       COALESCE(CAST(SUM(CAST(credit_limit AS DECIMAL(18,2))) AS DECIMAL(18,2)), 0) AS total_credit_volume,
+       {mean2('CAST(credit_limit AS DECIMAL(18,2))', 2)} AS avg_credit_limit
+FROM portfolio"""
+
+TIER_VOLUMES = with_(APPLICATIONS, PORTFOLIO) + """
+SELECT income_tier, card_product, COUNT(*) AS accounts,
+       CAST(SUM(CAST(credit_limit AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS credit_volume
+FROM portfolio GROUP BY income_tier, card_product"""
+
+INGEST_STATS = with_(APPLICATIONS) + """
+SELECT COUNT(*) AS applications, MIN(annual_income) AS min_income, MAX(annual_income) AS max_income
+FROM applications"""
+
+ROUTE_PREMIUM = with_(APPLICATIONS) + "SELECT * FROM applications WHERE annual_income > 100000"
+ROUTE_STANDARD = with_(APPLICATIONS) + "SELECT * FROM applications WHERE annual_income <= 100000"
+
+EARLIER_APPLICATIONS = """
+earlier_applications AS (
+  SELECT a.* FROM applications a JOIN customer c
+    ON a.application_id = concat('APP-', lpad(CAST(c.c_custkey AS varchar), 6, '0'))
+  WHERE c.c_mktsegment <> 'HOUSEHOLD'
+)"""
+
+UPSERT_ACCOUNTS = with_(APPLICATIONS, PORTFOLIO, EARLIER_APPLICATIONS,
+                        approvals_cte("earlier", "earlier_applications", 120000, "0.12", "0.06", 1500)) + f"""
+SELECT COALESCE(e.application_id, t.application_id) AS application_id,
+       CASE WHEN e.application_id IS NULL THEN t.customer_name ELSE e.customer_name END AS customer_name,
+       CASE WHEN e.application_id IS NULL THEN t.annual_income ELSE e.annual_income END AS annual_income,
+       CASE WHEN e.application_id IS NULL THEN t.card_product ELSE e.card_product END AS card_product,
+       CASE WHEN t.application_id IS NULL THEN e.credit_limit ELSE t.credit_limit END AS credit_limit,
+       CASE WHEN e.application_id IS NULL THEN t.income_tier ELSE e.income_tier END AS income_tier,
+       CASE WHEN e.application_id IS NOT NULL AND t.application_id IS NOT NULL THEN {AS_OF_SQL}
+            ELSE CAST(NULL AS TIMESTAMP) END AS last_updated
+FROM earlier e FULL OUTER JOIN portfolio t ON e.application_id = t.application_id"""
+
+# --------------------------------------------------------------------------- clickstream sinks
+
+MART_FROM = """
+mart_{n} AS (
+  SELECT s.customer_id, s.total_orders, s.total_subtotal, s.total_tax, s.total_spend,
+         s.avg_session_duration_secs, b.most_common_browser, o.most_common_os
+  FROM (SELECT customer_id, COUNT(DISTINCT order_id) AS total_orders,
+               {sub} AS total_subtotal, {tax} AS total_tax, {spend} AS total_spend,
+               {mean} AS avg_session_duration_secs
+        FROM {src} GROUP BY customer_id) s
+  LEFT JOIN (SELECT customer_id, browser AS most_common_browser
+             FROM (SELECT customer_id, browser, COUNT(*) AS freq FROM {src} GROUP BY customer_id, browser)
+             QUALIFY ROW_NUMBER() OVER (PARTITION BY customer_id ORDER BY freq DESC, browser ASC) = 1) b
+    ON s.customer_id = b.customer_id
+  LEFT JOIN (SELECT customer_id, os AS most_common_os
+             FROM (SELECT customer_id, os, COUNT(*) AS freq FROM {src} GROUP BY customer_id, os)
+             QUALIFY ROW_NUMBER() OVER (PARTITION BY customer_id ORDER BY freq DESC, os ASC) = 1) o
+    ON s.customer_id = o.customer_id
+)"""
+
+
+def mart_cte(n: str, src: str) -> str:
+    return MART_FROM.format(n=n, src=src, sub=money_sum("subtotal"), tax=money_sum("tax"),
+                            spend=money_sum("subtotal + tax"), mean=mean2("session_duration_secs"))
+
+
+MART_COLS = ("total_orders", "total_subtotal", "total_tax", "total_spend", "avg_session_duration_secs",
+             "most_common_browser", "most_common_os")
+
+MERGE_CUSTOMER_METRICS = with_(CLICKSTREAM, STAGED_A, """
+staged_earlier AS (SELECT * FROM staged WHERE order_date < TIMESTAMP '2000-01-01 00:00:00')""",
+                               mart_cte("earlier", "staged_earlier"), mart_cte("full", "staged")) + f"""
+SELECT COALESCE(e.customer_id, f.customer_id) AS customer_id,
+       {", ".join(f"CASE WHEN f.customer_id IS NULL THEN e.{c} ELSE f.{c} END AS {c}" for c in MART_COLS)}
+FROM (SELECT * FROM mart_earlier WHERE customer_id IS NOT NULL) e
+FULL OUTER JOIN (SELECT * FROM mart_full WHERE customer_id IS NOT NULL) f ON e.customer_id = f.customer_id
+UNION ALL SELECT * FROM mart_earlier WHERE customer_id IS NULL
+UNION ALL SELECT * FROM mart_full WHERE customer_id IS NULL"""
+
+INSERT_METRICS_TWICE = f"SELECT * FROM ({CUSTOMER_METRICS_B}) UNION ALL SELECT * FROM ({CUSTOMER_METRICS_B})"
+
+# --------------------------------------------------------------------------- sales
+
+TOP_CUSTOMERS = with_(SALES) + """
+SELECT customerID, COUNT(*) AS transactions, CAST(SUM(quantity * unitPrice) AS DECIMAL(18,2)) AS revenue
+FROM sales GROUP BY customerID ORDER BY revenue DESC, customerID ASC LIMIT 5"""
+
+TOP_PRODUCTS = with_(SALES) + """
+SELECT product, CAST(SUM(quantity) AS BIGINT) AS units_sold,
+       CAST(SUM(quantity * unitPrice) AS DECIMAL(18,2)) AS revenue
+FROM sales GROUP BY product ORDER BY units_sold DESC, product ASC LIMIT 5"""
+
+SALES_BY_DAY = with_(SALES) + f"""
+SELECT dayname(dateTime) AS day, COUNT(*) AS transactions, {mean2('quantity * unitPrice', 2)} AS avg_sale
+FROM sales GROUP BY dayname(dateTime) ORDER BY transactions DESC, day ASC"""
+
+TABLE_ROW_COUNT = with_(SALES) + "SELECT COUNT(*) AS row_count FROM sales"
+
+# --------------------------------------------------------------------------- feed
+
+ISO_OK = "try_strptime({c}, '%Y-%m-%d') IS NOT NULL"
+US_TO_ISO = "strftime(try_strptime({c}, '%m/%d/%Y'), '%Y-%m-%d')"
+BAD_ROW = f"(NOT coalesce({ISO_OK.format(c='order_date')}, false) OR NOT coalesce({ISO_OK.format(c='ship_date')}, false))"
+
+LANDING_WITH_LINEAGE = with_(LANDING) + f"""
+SELECT o_orderkey, order_date, ship_date, 'daily_orders.csv' AS _source_file, {AS_OF_SQL} AS _ingested_at
+FROM landing"""
+
+BAD_DATE_COUNT = with_(LANDING) + f"SELECT COUNT(*) FILTER (WHERE {BAD_ROW}) AS bad_dates FROM landing"
+
+NORMALIZE_DATES = with_(LANDING) + f"""
+SELECT o_orderkey,
+       CASE WHEN {BAD_ROW} THEN {US_TO_ISO.format(c='order_date')} ELSE order_date END AS order_date,
+       CASE WHEN {BAD_ROW} THEN {US_TO_ISO.format(c='ship_date')} ELSE ship_date END AS ship_date
+FROM landing"""
+
+NORMALIZE_DATES_BY_COLUMN = with_(LANDING) + f"""
+SELECT o_orderkey,
+       CASE WHEN coalesce({ISO_OK.format(c='order_date')}, false) THEN order_date
+            ELSE {US_TO_ISO.format(c='order_date')} END AS order_date,
+       CASE WHEN coalesce({ISO_OK.format(c='ship_date')}, false) THEN ship_date
+            ELSE {US_TO_ISO.format(c='ship_date')} END AS ship_date
+FROM landing"""
+
+INGEST_AUDIT = with_(LANDING) + f"""
+SELECT 'feeds/daily_orders.csv.pgp' AS source_file, COUNT(*) AS rows_loaded,
+       COUNT(*) FILTER (WHERE {BAD_ROW}) AS date_fixes_applied, 'SUCCESS' AS status, {AS_OF_SQL} AS logged_at
+FROM landing"""
+
+# --------------------------------------------------------------------------- data quality
+
+BROWSERS = "('Chrome', 'Safari', 'Firefox', 'Edge', 'Opera', 'Other')"
+OSES = "('Windows', 'macOS', 'Android', 'iOS', 'Linux', 'Other')"
+
+
+def nn(table: str, src: str, col: str) -> str:
+    return (f"SELECT '{table}' AS table_name, '{col}' AS column_name, 'not_null' AS test_name, "
+            f"COUNT(*) FILTER (WHERE {col} IS NULL) AS violations FROM {src}")
+
+
+def av(table: str, src: str, col: str, values: str) -> str:
+    return (f"SELECT '{table}' AS table_name, '{col}' AS column_name, 'accepted_values' AS test_name, "
+            f"COUNT(DISTINCT {col}) FILTER (WHERE {col} NOT IN {values}) AS violations FROM {src}")
+
+
+def uq(table: str, src: str, col: str) -> str:
+    return (f"SELECT '{table}' AS table_name, '{col}' AS column_name, 'unique' AS test_name, COUNT(*) AS violations "
+            f"FROM (SELECT {col} FROM {src} WHERE {col} IS NOT NULL GROUP BY {col} HAVING COUNT(*) > 1)")
+
+
+DQ_NOT_NULL = with_(CLICKSTREAM, STAGED_A) + nn("stg_clickstream", "staged", "customer_id")
+DQ_UNIQUE = with_(CLICKSTREAM, STAGED_A, mart_cte("m", "staged")) + uq("fct_customer_metrics", "mart_m", "customer_id")
+DQ_ACCEPTED_VALUES = with_(CLICKSTREAM, STAGED_A) + av("stg_clickstream", "staged", "browser", BROWSERS)
+
+_STG_NN = ("order_id", "customer_id", "order_date", "subtotal", "tax", "click_id", "session_duration_secs",
+           "browser", "os")
+_MART_NN = ("customer_id", "total_orders", "total_subtotal", "total_tax", "total_spend",
+            "avg_session_duration_secs", "most_common_browser", "most_common_os")
+DQ_REPORT = with_(CLICKSTREAM, STAGED_A, mart_cte("m", "staged")) + "\nUNION ALL ".join(
+    [nn("stg_clickstream", "staged", c) for c in _STG_NN]
+    + [av("stg_clickstream", "staged", "browser", BROWSERS), av("stg_clickstream", "staged", "os", OSES)]
+    + [nn("fct_customer_metrics", "mart_m", c) for c in _MART_NN]
+    + [uq("fct_customer_metrics", "mart_m", "customer_id"),
+       av("fct_customer_metrics", "mart_m", "most_common_browser", BROWSERS),
+       av("fct_customer_metrics", "mart_m", "most_common_os", OSES)])
+
+
 def oracle_sql() -> dict[str, str]:
     return {
+        "approve_applications": APPROVE_APPLICATIONS,
+        "approval_summary": APPROVAL_SUMMARY,
+        "tier_volumes": TIER_VOLUMES,
+        "ingest_stats": INGEST_STATS,
+        "route_premium": ROUTE_PREMIUM,
+        "route_standard": ROUTE_STANDARD,
+        "upsert_accounts": UPSERT_ACCOUNTS,
         "staged_clickstream": STAGED_CLICKSTREAM,
         "staged_clickstream_b": STAGED_CLICKSTREAM_B,
         "customer_metrics": CUSTOMER_METRICS,
         "customer_metrics_b": CUSTOMER_METRICS_B,
         "customer_metrics_windowed": CUSTOMER_METRICS,
         "order_recency_rank": ORDER_RECENCY_RANK,
+        "merge_customer_metrics": MERGE_CUSTOMER_METRICS,
+        "insert_metrics_twice": INSERT_METRICS_TWICE,
+        "top_customers_by_revenue": TOP_CUSTOMERS,
+        "top_products_by_units": TOP_PRODUCTS,
+        "sales_by_day_of_week": SALES_BY_DAY,
+        "table_row_count": TABLE_ROW_COUNT,
+        "landing_with_lineage": LANDING_WITH_LINEAGE,
+        "bad_date_count": BAD_DATE_COUNT,
+        "normalize_dates": NORMALIZE_DATES,
+        "normalize_dates_by_column": NORMALIZE_DATES_BY_COLUMN,
+        "ingest_audit": INGEST_AUDIT,
+        "dq_not_null": DQ_NOT_NULL,
+        "dq_unique": DQ_UNIQUE,
+        "dq_accepted_values": DQ_ACCEPTED_VALUES,
+        "dq_report": DQ_REPORT,
     }

@@ -72,8 +72,9 @@ def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def applications(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = table(spark, sf_dir, "customer")
+def applications(spark: SparkSession, sf_dir: str, customers: DataFrame | None = None) -> DataFrame:
+    """Applications of ``customers`` (default: the whole customer table)."""
+    c = table(spark, sf_dir, "customer") if customers is None else customers
     key = F.col("c_custkey")
     income = F.floor(F.abs(F.col("c_acctbal")) * 20)
     for k, v in PINNED_INCOMES.items():
