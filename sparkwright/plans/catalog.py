@@ -12,19 +12,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkwright.functions.paths import decrypted_name
+from sparkwright.functions.paths import cold_path, decrypted_name
 from sparkwright.functions.useragent import BROWSER_VALUES
 from sparkwright.operators import approvals as ap
 from sparkwright.operators import clickstream as cs
 from sparkwright.operators import feed as fd
 from sparkwright.operators import quality as dq
 from sparkwright.operators import sales as sl
+from sparkwright.operators import tuning as tn
 from sparkwright.operators.ranking import order_recency_rank
 from sparkwright.params import ApprovalParams
 from sparkwright.session import scratch_path
 from sparkwright.sinks import tables as sk
 from sparkwright.sources import fixtures as fx
 from sparkwright.sources import readers as rd
+from sparkwright.streaming import arrival as st
+from sparkwright.streaming.feed import feed_batch_writer
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -222,6 +225,86 @@ def q_dq_report(spark, sf_dir):
     return dq.dq_report(staged, STG, dq.STAGING_CHECKS).unionByName(dq.dq_report(mart, MART, dq.MART_CHECKS))
 
 
+# --------------------------------------------------------------------------- streaming
+
+VENDOR_SCHEMA = "event_id bigint, ts string, user_id bigint, event_type string, value double"
+FEED_SCHEMA = "o_orderkey bigint, order_date string, ship_date string"
+SCHEMA_VERSION = "v3"
+DROPS = 3  # the vendor table arrives as three drops; the last one after the first run
+
+
+def _land_vendor_drop(spark, sf_dir, landing: str, k: int) -> None:
+    events = fx.table(spark, sf_dir, "events").drop("props")
+    (events.filter(F.col("event_id") % DROPS == k)
+     .write.option("header", True).csv(f"{landing}/vendor_data_{k}.csv"))
+
+
+def _vendor_runs(spark, sf_dir, archive: bool):
+    base = scratch_path(spark, "vendor_drop")
+    landing, sink = f"{base}/landing", f"{base}/payloads"
+    archive_dir = f"{base}/archive" if archive else None
+
+    def on_batch(batch, batch_id):
+        st.write_batch(st.drop_payload(batch, SCHEMA_VERSION), sink, batch_id)
+
+    for arrivals in ((0, 1), (2,)):
+        for k in arrivals:
+            _land_vendor_drop(spark, sf_dir, landing, k)
+        stream = st.arrival_stream(spark, f"{landing}/*", VENDOR_SCHEMA, archive_dir=archive_dir)
+        st.run_available(stream, on_batch, f"{base}/checkpoint")
+    return base, sink, archive_dir
+
+
+def q_vendor_drop_counts(spark, sf_dir):
+    """Drops arrive in two waves; each file is counted once across both runs."""
+    _, sink, _ = _vendor_runs(spark, sf_dir, archive=False)
+    return st.drop_totals(spark.read.parquet(sink))
+
+
+def q_archive_processed(spark, sf_dir):
+    """Rows of the drops moved to the archive, with their cold-storage path."""
+    _, _, archive_dir = _vendor_runs(spark, sf_dir, archive=True)
+    archived = (spark.read.schema(VENDOR_SCHEMA).option("header", True)
+                .option("recursiveFileLookup", True).csv(archive_dir).select("*", "_metadata"))
+    return archived.select("event_id", st.drop_name().alias("file"), cold_path(st.drop_name()).alias("cold_path"))
+
+
+def q_streaming_feed_ingest(spark, sf_dir):
+    """The feed lands as a file; the stream lands, repairs and audits it."""
+    base = scratch_path(spark, "feed_stream")
+    drop_dir = f"{base}/drops/{decrypted_name(FEED_KEY)}"
+    fx.landing(spark, sf_dir).write.option("header", True).csv(drop_dir)
+    landing_path, audit_path = f"{base}/landing", f"{base}/audit"
+    stream = st.arrival_stream(spark, f"{base}/drops/*", FEED_SCHEMA)
+    st.run_available(stream, feed_batch_writer(landing_path, audit_path, AS_OF), f"{base}/checkpoint")
+    return spark.read.parquet(landing_path).select("o_orderkey", "order_date", "ship_date")
+
+
+# --------------------------------------------------------------------------- ML
+
+def _features(spark, sf_dir):
+    docs, labels = fx.training_events(spark, sf_dir)
+    return tn.prepare_features(docs, labels)
+
+
+def q_prepare_features(spark, sf_dir):
+    return _features(spark, sf_dir)
+
+
+def q_candidate_scores(spark, sf_dir):
+    return tn.candidate_scores(_features(spark, sf_dir)).drop("grid_order")
+
+
+def q_best_candidate(spark, sf_dir):
+    return tn.best_candidate(tn.candidate_scores(_features(spark, sf_dir)))
+
+
+def q_tune_learning_rate(spark, sf_dir):
+    """Tune, pick the winner, save it and append the registry row."""
+    model, scores = tn.tune_learning_rate(_features(spark, sf_dir))
+    return tn.register(model, tn.best_candidate(scores), scratch_path(spark, "model_registry"), as_of=AS_OF)
+
+
 QUERIES: dict[str, Query] = {
     "approve_applications": q_approve_applications,
     "approval_summary": q_approval_summary,
@@ -251,6 +334,13 @@ QUERIES: dict[str, Query] = {
     "dq_unique": q_dq_unique,
     "dq_accepted_values": q_dq_accepted_values,
     "dq_report": q_dq_report,
+    "vendor_drop_counts": q_vendor_drop_counts,
+    "streaming_feed_ingest": q_streaming_feed_ingest,
+    "archive_processed": q_archive_processed,
+    "prepare_features": q_prepare_features,
+    "candidate_scores": q_candidate_scores,
+    "best_candidate": q_best_candidate,
+    "tune_learning_rate": q_tune_learning_rate,
 }
 
 

@@ -358,6 +358,21 @@ DQ_REPORT = with_(CLICKSTREAM, STAGED_A, mart_cte("m", "staged")) + "\nUNION ALL
        av("fct_customer_metrics", "mart_m", "most_common_os", OSES)])
 
 
+# --------------------------------------------------------------------------- streaming and ML
+
+VENDOR_DROP_COUNTS = """
+SELECT 'vendor_data_' || CAST(event_id % 3 AS VARCHAR) || '.csv' AS file, COUNT(*) AS record_count,
+       'v3' AS schema_version,
+       's3://vendor-archive/2026/vendor_data_' || CAST(event_id % 3 AS VARCHAR) || '.csv' AS cold_path
+FROM events GROUP BY event_id % 3"""
+
+PREPARE_FEATURES = r"""
+SELECT d.doc_id, l.quality AS label, CAST(d.n_chars AS DOUBLE) AS n_chars,
+       CAST(len(regexp_extract_all(d.text, '[^ \t\n\r\f\x0B]+')) AS DOUBLE) AS n_words,
+       CAST(len(regexp_extract_all(d.text, '[0-9]')) AS DOUBLE) AS n_digits
+FROM documents d JOIN labels l ON d.doc_id = l.doc_id"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "approve_applications": APPROVE_APPLICATIONS,
@@ -388,4 +403,7 @@ def oracle_sql() -> dict[str, str]:
         "dq_unique": DQ_UNIQUE,
         "dq_accepted_values": DQ_ACCEPTED_VALUES,
         "dq_report": DQ_REPORT,
+        "vendor_drop_counts": VENDOR_DROP_COUNTS,
+        "streaming_feed_ingest": NORMALIZE_DATES,
+        "prepare_features": PREPARE_FEATURES,
     }
