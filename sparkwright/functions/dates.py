@@ -15,6 +15,12 @@ from pyspark.sql import functions as F
 ISO_PATTERN = "yyyy-MM-dd"
 US_PATTERN = "MM/dd/yyyy"
 
+# Cheap shape tests that accept a superset of what each pattern can parse. A failed
+# parse costs a JVM exception per value, so text that cannot match (junk, the other
+# format) is rejected by the regex and only plausible values reach the parser.
+_ISO_SHAPE = r"^\s*[+-]?[0-9]+-[0-9]+-[0-9]+\s*$"
+_US_SHAPE = r"^\s*[0-9]+/[0-9]+/[+-]?[0-9]+\s*$"
+
 
 def _c(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -22,12 +28,14 @@ def _c(c: Column | str) -> Column:
 
 def is_iso_date(c: Column | str) -> Column:
     """True when the text parses as ``yyyy-MM-dd``; False for NULL and junk."""
-    return F.try_to_date(_c(c), ISO_PATTERN).isNotNull()
+    c = _c(c)
+    return F.coalesce(c.rlike(_ISO_SHAPE) & F.try_to_date(c, ISO_PATTERN).isNotNull(), F.lit(False))
 
 
 def us_to_iso(c: Column | str) -> Column:
     """``MM/dd/yyyy`` text -> ``yyyy-MM-dd`` text; NULL when it does not parse."""
-    return F.date_format(F.try_to_date(_c(c), US_PATTERN), ISO_PATTERN)
+    c = _c(c)
+    return F.date_format(F.when(c.rlike(_US_SHAPE), F.try_to_date(c, US_PATTERN)), ISO_PATTERN)
 
 
 def any_bad(cols: list[str]) -> Column:

@@ -60,7 +60,7 @@ def feature_profile(features: DataFrame) -> DataFrame:
 
 def _estimator(seed: int = 7):
     assembler = VectorAssembler(inputCols=list(FEATURES), outputCol="features")
-    gbt = GBTClassifier(labelCol="label_d", featuresCol="features", maxIter=20, maxDepth=4, seed=seed)
+    gbt = GBTClassifier(labelCol="label_d", featuresCol="features", maxIter=10, maxDepth=3, seed=seed)
     return Pipeline(stages=[assembler, gbt]), gbt
 
 

@@ -71,10 +71,10 @@ def _commit(spark: SparkSession, path: str, version: int, operation: str, rows:
         .write.mode("append").parquet(_log_path(path))
 
 
-def write_version(df: DataFrame, path: str, operation: str = "write") -> str:
+def write_version(df: DataFrame, path: str, operation: str = "write", version: int | None = None) -> str:
     """Write ``df`` as the next version of the table at ``path``; returns the version dir."""
     spark = df.sparkSession
-    v = current_version(spark, path) + 1
+    v = (current_version(spark, path) + 1) if version is None else version
     target = _version_path(path, v)
     # A directory without a log row is the leftover of a failed job: overwrite it.
     rows = append_table(df, target, mode="overwrite")
@@ -82,6 +82,14 @@ def write_version(df: DataFrame, path: str, operation: str = "write") -> str:
     return target
 
 
+def source_key_stats(source: DataFrame, keys: list[str]) -> tuple[int, int]:
+    """(rows, largest number of rows sharing one non-NULL key) in one aggregate job."""
+    per_key = source.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    row = per_key.agg(F.sum("_n").alias("rows"),
+                      F.max(F.when(_all_keys_known(keys), F.col("_n"))).alias("most")).first()
+    return int(row["rows"] or 0), int(row["most"] or 0)
+
+
 def merge_table(spark: SparkSession, path: str, source: DataFrame, keys: list[str],
                 update_columns: list[str] | str = "*", set_on_match: dict | None = None,
                 insert_values: dict | None = None) -> str:
@@ -96,25 +104,26 @@ def merge_table(spark: SparkSession, path: str, source: DataFrame, keys: list[st
 
     An empty source is a no-op. Duplicate keys in the source are an error (a MERGE
     would update one target row twice). Returns the directory of the current version.
+
+    The source is persisted for the duration of the merge: it feeds the key check
+    and the write, and is computed once (lost blocks are recomputed from lineage).
     """
-    if source.isEmpty():
-        v = current_version(spark, path)
-        return _version_path(path, v) if v else ""
-    known = None
-    for k in keys:
-        known = F.col(k).isNotNull() if known is None else known & F.col(k).isNotNull()
-    dups = (source.filter(known)
-            .groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1).limit(1))
-    if not dups.isEmpty():
-        raise ValueError(f"merge source has duplicate keys on {keys}")
-
-    if current_version(spark, path) == 0:
-        extra = {c: v for c, v in (insert_values or {}).items() if c not in source.columns}
-        return write_version(source.withColumns(extra) if extra else source, path, "merge")
-
-    target = read_table(spark, path)
-    merged = merge_frames(target, source, keys, update_columns, set_on_match, insert_values)
-    return write_version(merged, path, "merge")
+    source = source.persist()
+    try:
+        rows, most = source_key_stats(source, keys)
+        current = current_version(spark, path)
+        if rows == 0:
+            return _version_path(path, current) if current else ""
+        if most > 1:
+            raise ValueError(f"merge source has duplicate keys on {keys}")
+        if current == 0:
+            extra = {c: v for c, v in (insert_values or {}).items() if c not in source.columns}
+            return write_version(source.withColumns(extra) if extra else source, path, "merge", 1)
+        target = spark.read.parquet(_version_path(path, current))
+        merged = merge_frames(target, source, keys, update_columns, set_on_match, insert_values)
+        return write_version(merged, path, "merge", current + 1)
+    finally:
+        source.unpersist()
 
 
 def _all_keys_known(keys: list[str], prefix: str = ""):

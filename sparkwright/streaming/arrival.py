@@ -53,11 +53,11 @@ def write_batch(df: DataFrame, path: str, batch_id: int) -> None:
 
 def drop_name(by: str = "directory") -> Column:
     """Name of the drop a row came from: its file, or the directory of a multi-part drop."""
-    p = F.col("_metadata.file_path")
     if by == "file":
         name = F.col("_metadata.file_name")
     else:
-        name = F.regexp_extract(p, r"([^/]+)/[^/]+$", 1)
+        # Parent directory of the file (split, not a backtracking regex, per row).
+        name = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2)
     return F.regexp_replace(name, "\\" + ENCRYPTED_SUFFIX + "$", "")
 
 
