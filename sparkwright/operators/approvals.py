@@ -63,6 +63,17 @@ def approve(df: DataFrame, params: ApprovalParams = ApprovalParams()) -> DataFra
     )
 
 
+def combine_portfolios(*portfolios: DataFrame | None) -> DataFrame:
+    """Bag union of branch portfolios; a missing (None) branch contributes nothing."""
+    present = [p for p in portfolios if p is not None]
+    if not present:
+        raise ValueError("at least one portfolio is needed to know the schema")
+    out = present[0]
+    for p in present[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 def approval_summary(portfolio: DataFrame) -> DataFrame:
     """One row: accounts, total credit volume (0 when empty), average limit (NULL when empty)."""
     limit = F.col("credit_limit").cast("decimal(18,2)")

@@ -52,10 +52,12 @@ def stage(df: DataFrame, variant: str = "A") -> DataFrame:
                      parse_os(ua, "B").alias("os"))
 
 
-def _mode_for_known_customer(value: str) -> Column:
-    # A NULL customer never joins to its mode rows in the source model, so its
-    # most-common values stay NULL; the guard reproduces that without the join.
-    return F.when(F.col("customer_id").isNotNull(), F.mode(value, deterministic=True))
+def _customer_key() -> tuple[Column, Column]:
+    # (coalesce(customer, 0), customer IS NULL) groups exactly like customer_id, NULL
+    # customer included, and is a plain equi-join key: both aggregates below come
+    # out hash-partitioned on it, so joining them needs no further exchange.
+    return (F.coalesce(F.col("customer_id"), F.lit(0)).alias("_ck"),
+            F.col("customer_id").isNull().alias("_cn"))
 
 
 def customer_metrics(staged: DataFrame, variant: str = "A") -> DataFrame:
@@ -63,26 +65,29 @@ def customer_metrics(staged: DataFrame, variant: str = "A") -> DataFrame:
 
     Variant A: distinct order count, subtotal / tax / spend sums, mean session,
     most common browser and os (ties -> alphabetically first); the NULL customer is
-    kept with NULL modes. Variant B (input from ``stage(df, "B")``): order count
-    (not distinct), spend sum, mean session and modes; the NULL customer is dropped,
-    as an inner join on the key drops it.
+    kept with NULL modes (it never joins to its mode rows in the source model).
+    Variant B (input from ``stage(df, "B")``): order count (not distinct), spend
+    sum, mean session and modes; the NULL customer is dropped, as an inner join on
+    the key drops it.
     """
     mean_session = rounded_mean("session_duration_secs", 0, 2).alias("avg_session_duration_secs")
     if variant.upper() == "A":
-        orders = (staged.select("customer_id", "order_id").distinct()
-                  .groupBy("customer_id").agg(F.count("order_id").alias("total_orders")))
-        rest = staged.groupBy("customer_id").agg(
+        ck, cn = _customer_key()
+        orders = (staged.select(ck, cn, "order_id").distinct()
+                  .groupBy("_ck", "_cn").agg(F.count("order_id").alias("total_orders")))
+        known = ~F.col("_cn")
+        rest = staged.groupBy(ck, cn).agg(
             money_sum("subtotal").alias("total_subtotal"),
             money_sum("tax").alias("total_tax"),
             money_sum(F.col("subtotal") + F.col("tax")).alias("total_spend"),
             mean_session,
-            _mode_for_known_customer("browser").alias("most_common_browser"),
-            _mode_for_known_customer("os").alias("most_common_os"),
+            F.when(known, F.mode("browser", deterministic=True)).alias("most_common_browser"),
+            F.when(known, F.mode("os", deterministic=True)).alias("most_common_os"),
         )
-        # Both sides hold every customer once, the NULL customer included.
-        joined = orders.join(rest, orders.customer_id.eqNullSafe(rest.customer_id)).drop(rest.customer_id)
-        return joined.select("customer_id", "total_orders", "total_subtotal", "total_tax", "total_spend",
-                             "avg_session_duration_secs", "most_common_browser", "most_common_os")
+        return orders.join(rest, ["_ck", "_cn"]).select(
+            F.when(~F.col("_cn"), F.col("_ck")).alias("customer_id"),
+            "total_orders", "total_subtotal", "total_tax", "total_spend",
+            "avg_session_duration_secs", "most_common_browser", "most_common_os")
     return (staged.filter(F.col("customer_id").isNotNull())
             .groupBy("customer_id").agg(
                 F.count("order_id").alias("total_orders"),

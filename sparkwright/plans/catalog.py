@@ -179,7 +179,7 @@ def q_landing_with_lineage(spark, sf_dir):
     feed = rd.read_feed(spark, drop, types={"o_orderkey": "bigint"})
     landed = rd.with_lineage(feed, FEED_KEY, AS_OF).withColumn("_ingested_at", as_of())
     path = scratch_path(spark, "csv_landing_zone")
-    sk.append_table(landed, path)
+    sk.write_reconciled(landed, path)
     return spark.read.parquet(path)
 
 
@@ -197,9 +197,13 @@ def q_normalize_dates_by_column(spark, sf_dir):
 
 
 def q_ingest_audit(spark, sf_dir):
+    """The run's audit row, appended to the audit table and read back."""
     landed = _landed(spark, sf_dir)
-    return (fd.audit_summary(landed, FEED_KEY, AS_OF, source_file=decrypted_name(FEED_KEY))
-            .withColumn("logged_at", as_of()))
+    row = (fd.audit_summary(landed, FEED_KEY, AS_OF, source_file=decrypted_name(FEED_KEY))
+           .withColumn("logged_at", as_of()))
+    path = scratch_path(spark, "csv_ingest_audit")
+    sk.write_reconciled(row, path)
+    return spark.read.parquet(path)
 
 
 # --------------------------------------------------------------------------- data quality

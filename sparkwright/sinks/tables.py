@@ -38,6 +38,26 @@ def append_table(df: DataFrame, path: str, partition_by: list[str] | None = None
     return int(obs.get["rows"])
 
 
+def write_reconciled(df: DataFrame, path: str, partition_by: list[str] | None = None,
+                     mode: str = "append") -> int:
+    """Write ``df`` to a fresh (or append-only) parquet path and check the write landed.
+
+    Rows observed while writing must equal the rows readable from the files this
+    write added (counted from parquet metadata, without scanning the data).
+    """
+    spark = df.sparkSession
+    try:
+        before = spark.read.parquet(path).count()
+    except AnalysisException:
+        before = 0
+    written = append_table(df, path, partition_by=partition_by, mode=mode)
+    after = spark.read.parquet(path).count()
+    landed = after - (before if mode == "append" else 0)
+    if landed != written:
+        raise IOError(f"write to {path} reported {written} rows but {landed} are readable")
+    return written
+
+
 # --------------------------------------------------------------------------- versions
 
 def _log_path(path: str) -> str:

@@ -31,18 +31,24 @@ def _required(c: Column, name: str) -> Column:
     return F.when(c.isNull(), F.raise_error(F.lit(f"missing value in column {name}"))).otherwise(c)
 
 
-def read_csv_text(spark: SparkSession, path: str) -> DataFrame:
-    """Header CSV, every column as text; quoted multi-line fields allowed."""
-    return (spark.read.option("header", True).option("multiLine", True).option("escape", '"')
+def read_csv_text(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """Header CSV, every column as text.
+
+    ``multi_line=True`` accepts quoted fields that contain line breaks (legal CSV, and
+    what the source pipelines' readers accept); such files cannot be split, so each
+    file is read by one task and large inputs should land as many files. With
+    ``multi_line=False`` files are split into blocks across tasks.
+    """
+    return (spark.read.option("header", True).option("multiLine", multi_line).option("escape", '"')
             .option("inferSchema", False).csv(path))
 
 
-def read_applications(spark: SparkSession, path: str) -> DataFrame:
+def read_applications(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """application_id, customer_name (stripped text) and annual_income (int).
 
     Columns are taken by header name; any missing or malformed value fails the job.
     """
-    raw = read_csv_text(spark, path)
+    raw = read_csv_text(spark, path, multi_line)
     return raw.select(
         _required(strip_ws("application_id"), "application_id").alias("application_id"),
         _required(strip_ws("customer_name"), "customer_name").alias("customer_name"),
@@ -50,14 +56,29 @@ def read_applications(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def read_clickstream(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+# The declared columns of the raw clickstream source.
+RAW_CLICKSTREAM_SCHEMA = {
+    "order_id": "bigint", "customer_id": "bigint", "order_date": "timestamp_ntz",
+    "subtotal": "decimal(12,2)", "tax": "decimal(12,2)", "click_id": "string",
+    "user_agent": "string", "session_duration_secs": "int",
+}
+
+
+def read_clickstream(spark: SparkSession, path: str, schema: dict[str, str] | None = RAW_CLICKSTREAM_SCHEMA) -> DataFrame:
+    """Raw clickstream parquet, projected to the declared columns and types (by name).
+
+    A missing column fails at analysis time; extra columns are not read.
+    """
+    df = spark.read.parquet(path)
+    if schema is None:
+        return df
+    return df.select(*[F.col(c).cast(t).alias(c) for c, t in schema.items()])
 
 
 def read_feed(spark: SparkSession, path: str, types: dict[str, str] | None = None,
-              na_values: tuple[str, ...] = PANDAS_NA_VALUES) -> DataFrame:
+              na_values: tuple[str, ...] = PANDAS_NA_VALUES, multi_line: bool = True) -> DataFrame:
     """Feed CSV: NA tokens -> NULL on every column, then ``types`` casts; others stay text."""
-    raw = read_csv_text(spark, path)
+    raw = read_csv_text(spark, path, multi_line)
     return raw.select(*[na_to_null(c, na_values, (types or {}).get(c)) for c in raw.columns])
 
 

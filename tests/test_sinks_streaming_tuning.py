@@ -108,3 +108,26 @@ def test_rounded_mean_is_exact_half_up(spark, values):
     units = (abs(q) * 2 + 1) // 2
     want = Fraction(units if q >= 0 else -units, 100)
     assert Fraction(got) == want
+
+
+def test_write_reconciled_counts_only_this_write(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "audit")
+    assert sk.write_reconciled(spark.range(3), path) == 3
+    assert sk.write_reconciled(spark.range(4), path) == 4
+    assert spark.read.parquet(path).count() == 7
+
+
+def test_combine_portfolios_and_declared_clickstream_schema(spark, tmp_dir):
+    from sparkwright.operators.approvals import combine_portfolios
+    from sparkwright.sources.readers import RAW_CLICKSTREAM_SCHEMA, read_clickstream
+    a = spark.createDataFrame([(1,)], "x int")
+    assert combine_portfolios(None, a).count() == 1
+    assert combine_portfolios(a, a).count() == 2
+    with pytest.raises(ValueError):
+        combine_portfolios(None, None)
+    p = os.path.join(tmp_dir, "raw")
+    from sparkwright.sources import fixtures as fx
+    from tests.conftest import SF_SMALL
+    fx.clickstream(spark, SF_SMALL).withColumn("extra", F.lit(1)).write.parquet(p)
+    df = read_clickstream(spark, p)
+    assert df.columns == list(RAW_CLICKSTREAM_SCHEMA)
