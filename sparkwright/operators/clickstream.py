@@ -102,10 +102,10 @@ def top_n_per_group(df: DataFrame, keys: list[str], order: list[Column], n: int
                     rank_col: str | None = None) -> DataFrame:
     """Rows ranked 1..n within each key group by ``order`` (ROW_NUMBER semantics).
 
-    Catalyst inserts a ``WindowGroupLimit`` before the shuffle, so each task keeps
-    only its own top n per group. Use it on inputs whose groups are bounded (for
-    example, pre-aggregated counts); for raw rows with hot keys use
-    ``operators.ranking``.
+    Catalyst plans a partial ``WindowGroupLimit`` before the shuffle, so each task
+    forwards at most n rows per group and a hot group stays small after the
+    exchange. (A rank over *all* rows of a group cannot be limited that way; see
+    ``operators.ranking`` for that.)
     """
     w = Window.partitionBy(*keys).orderBy(*order)
     name = rank_col or "_rn"
