@@ -86,3 +86,10 @@ def test_top_n_per_group(spark):
     df = spark.createDataFrame([(1, 5), (1, 9), (1, 7), (2, 1)], "g int, v int")
     got = sorted(cs.top_n_per_group(df, ["g"], [F.col("v").desc()], 2).collect())
     assert [(r.g, r.v) for r in got] == [(1, 7), (1, 9), (2, 1)]
+
+
+def test_load_cutoff_is_pushed_to_the_scan(spark):
+    click = fx.clickstream(spark, SF_SMALL)
+    df = cs.customer_metrics(cs.stage(click.filter(F.col("order_date") < F.lit("2000-01-01").cast("timestamp_ntz"))))
+    scans = [line for line in _plan(df).splitlines() if "FileScan parquet" in line]
+    assert scans and all("PushedFilters: [IsNotNull(o_orderdate), LessThan(o_orderdate," in s for s in scans)
