@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkwright.operators.quality import Check, dq_report
+from sparkwright.sinks.tables import path_exists
 
 # The learning-rate grid of the tuning step.
 LEARNING_RATES = (0.01, 0.05, 0.1)
@@ -104,10 +105,9 @@ def register(model, best: DataFrame, registry_path: str, name: str = "churn_clas
     """Save ``model`` as the next version and append its registry row; returns the registry."""
     spark = best.sparkSession
     rows_path = os.path.join(registry_path, "registry")
-    try:
+    version = 1
+    if path_exists(spark, rows_path):
         version = (spark.read.parquet(rows_path).agg(F.max("version")).first()[0] or 0) + 1
-    except Exception:  # noqa: BLE001 - no registry yet
-        version = 1
     model_path = os.path.join(registry_path, "models", name, f"v{version:04d}")
     model.write().overwrite().save(model_path)
     stamp = F.lit(as_of).cast("timestamp_ntz") if as_of is not None else F.localtimestamp()

@@ -50,7 +50,6 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         spark.sparkContext.setCheckpointDir(configured)
         return spark.sparkContext.getCheckpointDir()
     local = tempfile.mkdtemp(prefix="sparkwright-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", local)
     spark.sparkContext.setCheckpointDir(local)
     return spark.sparkContext.getCheckpointDir()
 

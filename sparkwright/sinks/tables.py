@@ -20,7 +20,13 @@ import os
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` exists, asked of the Hadoop file system that serves it."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath)
 
 
 def append_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
@@ -46,10 +52,7 @@ def write_reconciled(df: DataFrame, path: str, partition_by: list[str] | None =
     write added (counted from parquet metadata, without scanning the data).
     """
     spark = df.sparkSession
-    try:
-        before = spark.read.parquet(path).count()
-    except AnalysisException:
-        before = 0
+    before = spark.read.parquet(path).count() if path_exists(spark, path) else 0
     written = append_table(df, path, partition_by=partition_by, mode=mode)
     after = spark.read.parquet(path).count()
     landed = after - (before if mode == "append" else 0)
@@ -70,10 +73,9 @@ def _version_path(path: str, version: int) -> str:
 
 def current_version(spark: SparkSession, path: str) -> int:
     """Highest committed version, 0 when the table does not exist yet."""
-    try:
-        row = spark.read.parquet(_log_path(path)).agg(F.max("version").alias("v")).first()
-    except AnalysisException:
+    if not path_exists(spark, _log_path(path)):
         return 0
+    row = spark.read.parquet(_log_path(path)).agg(F.max("version").alias("v")).first()
     return int(row["v"] or 0)
 
 
