@@ -14,13 +14,21 @@ import uuid
 from pyspark.sql import SparkSession
 
 # Settings every job relies on: UTC clock, ANSI casts that raise, adaptive execution
-# (runtime broadcast conversion, partition coalescing and skew-join splitting).
+# (partition coalescing and skew-join splitting).
+#
+# Broadcasts: the planner's static broadcast decision uses size *estimates* (compressed
+# file sizes scaled by the projected columns), which can be far below the in-memory size
+# of a text-heavy side. It is switched off; a join side is broadcast only when adaptive
+# execution has *measured* it (the completed shuffle stage's actual bytes) below the
+# adaptive threshold. Larger sides stay sort-merge joins.
 BASE_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
@@ -40,6 +48,30 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: st
     return spark
 
 
+def scale_conf(input_bytes: int, total_cores: int, partition_bytes: int = 128 * 1024 ** 2,
+               shuffle_fraction: float = 0.25, max_shuffle_partitions: int = 100_000) -> dict[str, str]:
+    """Partition sizing for a cluster run over ``input_bytes`` of input.
+
+    Scan splits target ``partition_bytes``. Shuffles are sized from the expected
+    shuffle volume (``shuffle_fraction`` of the input: columns are pruned and
+    aggregates combine map-side before the exchange) at ``partition_bytes`` per
+    reducer, at least 3 waves of the cluster's cores and at most
+    ``max_shuffle_partitions`` (map-status bookkeeping grows with maps x reducers);
+    adaptive execution coalesces partitions that turn out small and splits a
+    partition more than 5x the median and over 256 MB in skewed joins.
+    """
+    wanted = int(input_bytes * shuffle_fraction) // partition_bytes
+    initial = min(max(wanted, 3 * total_cores, 8), max_shuffle_partitions)
+    return {
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.shuffle.partitions": str(initial),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(initial),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(256 * 1024 ** 2),
+    }
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, creating a local one only if none is set."""
     configured = spark.conf.get("spark.checkpoint.dir", None)

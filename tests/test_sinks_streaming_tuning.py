@@ -131,3 +131,12 @@ def test_combine_portfolios_and_declared_clickstream_schema(spark, tmp_dir):
     fx.clickstream(spark, SF_SMALL).withColumn("extra", F.lit(1)).write.parquet(p)
     df = read_clickstream(spark, p)
     assert df.columns == list(RAW_CLICKSTREAM_SCHEMA)
+
+
+def test_scale_conf_bounds():
+    from sparkwright.session import scale_conf
+    big = scale_conf(100 * 1024 ** 4, 8_000)
+    assert int(big["spark.sql.shuffle.partitions"]) == 100_000
+    small = scale_conf(10 * 1024 ** 2, 8)
+    assert int(small["spark.sql.shuffle.partitions"]) == 24
+    assert big["spark.sql.files.maxPartitionBytes"] == str(128 * 1024 ** 2)
