@@ -70,13 +70,18 @@ def tune_learning_rate(features: DataFrame, rates=LEARNING_RATES, parallelism: i
 
     scores: learning_rate, accuracy (rounded to 4 places), grid_order.
     """
-    data = features.withColumn("label_d", F.col("label").cast("double"))
+    # The split, every fit and every evaluation read the labelled features; persist them
+    # once so the text features are not recomputed per pass (lost blocks recompute).
+    data = features.select("label", *FEATURES).withColumn("label_d", F.col("label").cast("double")).persist()
     pipeline, gbt = _estimator(seed)
     grid = ParamGridBuilder().addGrid(gbt.stepSize, list(rates)).build()
     evaluator = MulticlassClassificationEvaluator(labelCol="label_d", metricName="accuracy")
     tvs = TrainValidationSplit(estimator=pipeline, estimatorParamMaps=grid, evaluator=evaluator,
                                trainRatio=0.75, parallelism=parallelism, seed=seed)
-    fitted = tvs.fit(data)
+    try:
+        fitted = tvs.fit(data)
+    finally:
+        data.unpersist()
     spark = features.sparkSession
     scores = spark.createDataFrame(
         [(float(r), float(m), i) for i, (r, m) in enumerate(zip(rates, fitted.validationMetrics))],
