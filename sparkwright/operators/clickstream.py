@@ -6,15 +6,16 @@
   as 16-byte keys, then counted per customer. The pairs hash on both columns, so a
   customer holding a large share of the rows is spread over many tasks.
 * everything else in one aggregate per customer: money sums, the exact rounded
-  mean and both "most common" values via ``mode`` (a small value -> count map per
-  group, at most six entries, merged map-side before the shuffle; ties go to the
-  smallest value). Partial aggregation collapses each task's rows to one row per
-  customer before anything is shuffled.
+  mean and both "most common" values. Browser and os come from fixed rule tables,
+  so "most common" is six counts per column and an argmax (ties go to the smallest
+  value): fixed-width buffers in a code-generated hash aggregate, where ``mode``
+  would need an object aggregate. Partial aggregation collapses each task's rows
+  to one row per customer before anything is shuffled.
 
 The two results (one row per customer each) are joined on the customer key. This
 replaces the source model's three scans, two windows and two joins; compared with
 one aggregate holding ``count(DISTINCT ...)``, it avoids shipping every row's
-partial sums and mode maps through the (customer, order) exchange.
+partial sums and counts through the (customer, order) exchange.
 
 ``customer_metrics_windowed`` is the literal "count per (customer, value) ->
 row_number -> keep 1 -> join" form, kept as an operator in its own right; its
@@ -27,8 +28,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sparkwright.functions.aggregates import most_common
 from sparkwright.functions.decimals import MONEY, money_sum, rounded_mean
-from sparkwright.functions.useragent import parse_browser, parse_os
+from sparkwright.functions.useragent import BROWSER_VALUES, OS_VALUES, parse_browser, parse_os
 
 STAGED_COLUMNS = ("order_id", "customer_id", "order_date", "subtotal", "tax", "click_id",
                   "session_duration_secs")
@@ -81,8 +83,8 @@ def customer_metrics(staged: DataFrame, variant: str = "A") -> DataFrame:
             money_sum("tax").alias("total_tax"),
             money_sum(F.col("subtotal") + F.col("tax")).alias("total_spend"),
             mean_session,
-            F.when(known, F.mode("browser", deterministic=True)).alias("most_common_browser"),
-            F.when(known, F.mode("os", deterministic=True)).alias("most_common_os"),
+            F.when(known, most_common("browser", BROWSER_VALUES)).alias("most_common_browser"),
+            F.when(known, most_common("os", OS_VALUES)).alias("most_common_os"),
         )
         return orders.join(rest, ["_ck", "_cn"]).select(
             F.when(~F.col("_cn"), F.col("_ck")).alias("customer_id"),
@@ -93,8 +95,8 @@ def customer_metrics(staged: DataFrame, variant: str = "A") -> DataFrame:
                 F.count("order_id").alias("total_orders"),
                 money_sum("spend").alias("total_spend"),
                 mean_session,
-                F.mode("browser", deterministic=True).alias("most_common_browser"),
-                F.mode("os", deterministic=True).alias("most_common_os"),
+                most_common("browser", BROWSER_VALUES).alias("most_common_browser"),
+                most_common("os", OS_VALUES).alias("most_common_os"),
             ))
 
 

@@ -93,3 +93,13 @@ def test_load_cutoff_is_pushed_to_the_scan(spark):
     df = cs.customer_metrics(cs.stage(click.filter(F.col("order_date") < F.lit("2000-01-01").cast("timestamp_ntz"))))
     scans = [line for line in _plan(df).splitlines() if "FileScan parquet" in line]
     assert scans and all("PushedFilters: [IsNotNull(o_orderdate), LessThan(o_orderdate," in s for s in scans)
+
+
+def test_most_common_with_labels_equals_mode(spark):
+    from sparkwright.functions.aggregates import most_common
+    rows = [(g, v) for g, vals in {1: "abba", 2: "cab", 3: "c", 4: ""}.items() for v in (vals or [None])]
+    df = spark.createDataFrame(rows, "g int, v string")
+    a = df.groupBy("g").agg(most_common("v", ("a", "b", "c")).alias("m"))
+    b = df.groupBy("g").agg(most_common("v").alias("m"))
+    assert sorted(a.collect()) == sorted(b.collect())
+    assert {r.g: r.m for r in a.collect()} == {1: "a", 2: "a", 3: "c", 4: None}
