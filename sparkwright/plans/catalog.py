@@ -266,11 +266,16 @@ def q_vendor_drop_counts(spark, sf_dir):
 
 
 def q_archive_processed(spark, sf_dir):
-    """Rows of the drops moved to the archive, with their cold-storage path."""
+    """Drops moved to the archive, with their record counts and cold-storage path.
+
+    A processed file is archived when the next micro-batch starts, so after the
+    second wave the drops of the first wave are archived and the last drop is not.
+    """
     _, _, archive_dir = _vendor_runs(spark, sf_dir, archive=True)
     archived = (spark.read.schema(VENDOR_SCHEMA).option("header", True)
                 .option("recursiveFileLookup", True).csv(archive_dir).select("*", "_metadata"))
-    return archived.select("event_id", st.drop_name().alias("file"), cold_path(st.drop_name()).alias("cold_path"))
+    return (archived.groupBy(st.drop_name().alias("file")).agg(F.count(F.lit(1)).alias("record_count"))
+            .select("file", "record_count", cold_path("file").alias("cold_path")))
 
 
 def q_streaming_feed_ingest(spark, sf_dir):

@@ -366,6 +366,12 @@ SELECT 'vendor_data_' || CAST(event_id % 3 AS VARCHAR) || '.csv' AS file, COUNT(
        's3://vendor-archive/2026/vendor_data_' || CAST(event_id % 3 AS VARCHAR) || '.csv' AS cold_path
 FROM events GROUP BY event_id % 3"""
 
+ARCHIVE_PROCESSED = """
+SELECT file, record_count, 's3://vendor-archive/2026/' || file AS cold_path
+FROM (SELECT 'vendor_data_' || CAST(event_id % 3 AS VARCHAR) || '.csv' AS file, COUNT(*) AS record_count
+      FROM events GROUP BY event_id % 3)
+WHERE file <> 'vendor_data_2.csv'  -- the drop that landed last stays until the next arrival"""
+
 PREPARE_FEATURES = r"""
 SELECT d.doc_id, l.quality AS label, CAST(d.n_chars AS DOUBLE) AS n_chars,
        CAST(len(regexp_extract_all(d.text, '[^ \t\n\r\f\x0B]+')) AS DOUBLE) AS n_words,
@@ -404,6 +410,7 @@ def oracle_sql() -> dict[str, str]:
         "dq_accepted_values": DQ_ACCEPTED_VALUES,
         "dq_report": DQ_REPORT,
         "vendor_drop_counts": VENDOR_DROP_COUNTS,
+        "archive_processed": ARCHIVE_PROCESSED,
         "streaming_feed_ingest": NORMALIZE_DATES,
         "prepare_features": PREPARE_FEATURES,
     }
