@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from sparkwright.functions.dates import any_bad, is_iso_date, us_to_iso
 
+# The repaired date columns of the feed and the audit status of a run.
 DATE_COLUMNS = ("order_date", "ship_date")
 SUCCESS = "SUCCESS"
 

@@ -25,8 +25,9 @@ from pyspark.sql import functions as F
 from sparkwright.operators.quality import Check, dq_report
 from sparkwright.sinks.tables import path_exists
 
-# The learning-rate grid of the tuning step.
+# The learning-rate grid of the tuning step and the registered model name.
 LEARNING_RATES = (0.01, 0.05, 0.1)
+MODEL_NAME = "churn_classifier"
 
 FEATURES = ("n_chars", "n_words", "n_digits")
 WORD = r"[^ \t\n\r\f\x0B]+"  # a maximal run of non-whitespace characters
@@ -106,7 +107,7 @@ def mock_candidate_scores(grid: DataFrame) -> DataFrame:
     return grid.withColumn("accuracy", F.round(F.lit(0.91) - F.abs(F.col("learning_rate") - F.lit(0.05)) * 2, 4))
 
 
-def register(model, best: DataFrame, registry_path: str, name: str = "churn_classifier", as_of=None) -> DataFrame:
+def register(model, best: DataFrame, registry_path: str, name: str = MODEL_NAME, as_of=None) -> DataFrame:
     """Save ``model`` as the next version and append its registry row; returns the registry."""
     spark = best.sparkSession
     rows_path = os.path.join(registry_path, "registry")

@@ -10,7 +10,7 @@ import json
 from dataclasses import dataclass
 from decimal import Decimal
 
-# The default approval configuration.
+# The default approval configuration and the tier labels.
 DEFAULT_CONFIG = {
     "premium_income_threshold": 100_000,
     "premium_rate": 0.15,

@@ -233,6 +233,7 @@ def q_dq_report(spark, sf_dir):
 
 VENDOR_SCHEMA = "event_id bigint, ts string, user_id bigint, event_type string, value double"
 FEED_SCHEMA = "o_orderkey bigint, order_date string, ship_date string"
+# Fixed value: the schema version reported for vendor drops.
 SCHEMA_VERSION = "v3"
 DROPS = 3  # the vendor table arrives as three drops; the last one after the first run
 
