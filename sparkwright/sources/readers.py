@@ -31,6 +31,20 @@ def _required(c: Column, name: str) -> Column:
     return F.when(c.isNull(), F.raise_error(F.lit(f"missing value in column {name}"))).otherwise(c)
 
 
+def _int_or_fail(text: Column, name: str) -> Column:
+    """Signed ASCII digits -> int; anything else (or out of range) fails the job.
+
+    The check does not depend on the session's ANSI setting (a non-ANSI cast would
+    return NULL instead of failing).
+    """
+    value = text.cast("long")
+    in_range = value.between(-(2 ** 31), 2 ** 31 - 1)
+    return (F.when(text.isNull(), F.raise_error(F.lit(f"missing value in column {name}")))
+            .when(~text.rlike(r"^[+-]?[0-9]+$") | ~F.coalesce(in_range, F.lit(False)),
+                  F.raise_error(F.concat(F.lit(f"malformed integer in column {name}: "), text)))
+            .otherwise(value.cast("int")))
+
+
 def read_csv_text(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """Header CSV, every column as text.
 
@@ -52,7 +66,7 @@ def read_applications(spark: SparkSession, path: str, multi_line: bool = True) -
     return raw.select(
         _required(strip_ws("application_id"), "application_id").alias("application_id"),
         _required(strip_ws("customer_name"), "customer_name").alias("customer_name"),
-        _required(strip_ws("annual_income"), "annual_income").cast("int").alias("annual_income"),
+        _int_or_fail(strip_ws("annual_income"), "annual_income").alias("annual_income"),
     )
 
 

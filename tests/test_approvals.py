@@ -155,7 +155,8 @@ def test_read_applications_strips_and_types(spark, tmp_dir):
     assert rows[1].customer_name == "Multi\nLine"
 
 
-@pytest.mark.parametrize("body", ["A1,Ann,12x\n", "A1,Ann,\n"])
+@pytest.mark.parametrize("body", ["A1,Ann,12x\n", "A1,Ann,\n", "A1,Ann,12.0\n", "A1,Ann,1_000\n",
+                                  "A1,Ann,99999999999\n", "A1\n"])
 def test_read_applications_rejects_bad_income(spark, tmp_dir, body):
     p = _write(tmp_dir, "application_id,customer_name,annual_income\n" + body)
     with pytest.raises(Exception):
