@@ -50,6 +50,29 @@ def normalize_dates(df: DataFrame, cols=DATE_COLUMNS, mode: str = "row",
     raise ValueError(f"unknown repair mode {mode!r}")
 
 
+def repair_landing(spark: SparkSession, landing_path: str, source_file: str, staging_path: str,
+                   cols=DATE_COLUMNS, mode: str = "row") -> int:
+    """Repair the dates of every landed row of ``source_file``, earlier loads included.
+
+    The landing table is partitioned by ``_source_file``, so only that partition is
+    read (partition pruning) and rewritten. The repaired rows are first written to
+    ``staging_path`` (a path cannot be overwritten while it is being read), then
+    replace the file's partition by dynamic partition overwrite. Returns the number
+    of rows that needed repair. A failed run can simply be repeated (the staged
+    rows are rewritten). ``column`` mode is idempotent; ``row`` mode, like the source
+    UPDATE, treats a NULL date as bad on every run, so another run also clears an
+    ISO companion of a NULL.
+    """
+    rows = spark.read.parquet(landing_path).filter(F.col("_source_file") == F.lit(source_file))
+    bad = rows.agg(F.count(F.when(needs_repair(cols), F.lit(1))).alias("n")).first()["n"]
+    if bad == 0:
+        return 0
+    normalize_dates(rows, cols, mode=mode).write.mode("overwrite").parquet(staging_path)
+    (spark.read.parquet(staging_path).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("_source_file").parquet(landing_path))
+    return int(bad)
+
+
 def audit_summary(df: DataFrame, source_key: str, as_of, cols=DATE_COLUMNS,
                   source_file: str | None = None) -> DataFrame:
     """One audit row computed from the loaded rows in one pass:

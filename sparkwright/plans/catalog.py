@@ -179,8 +179,10 @@ def q_landing_with_lineage(spark, sf_dir):
     feed = rd.read_feed(spark, drop, types={"o_orderkey": "bigint"})
     landed = rd.with_lineage(feed, FEED_KEY, AS_OF).withColumn("_ingested_at", as_of())
     path = scratch_path(spark, "csv_landing_zone")
-    sk.write_reconciled(landed, path)
-    return spark.read.parquet(path)
+    # Partitioned by source file, so a later repair of one file reads and rewrites
+    # only its partition (see operators.feed.repair_landing).
+    sk.write_reconciled(landed, path, partition_by=["_source_file"])
+    return spark.read.schema(landed.schema).parquet(path)
 
 
 def q_bad_date_count(spark, sf_dir):

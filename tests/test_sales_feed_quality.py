@@ -103,3 +103,22 @@ def test_dq_report_clean_and_dirty(spark):
         dq.assert_clean(dq.not_null(dirty, "browser", "t"))
     dup = spark.createDataFrame([(1,), (1,), (2,), (3,), (3,), (None,), (None,)], "k int")
     assert dq.unique(dup, "k").first().violations == 2
+
+
+def test_repair_landing_touches_earlier_loads_of_the_same_file_only(spark, tmp_dir):
+    landing = f"{tmp_dir}/landing"
+    for key, rows in (("in/a.csv.pgp", [(1, "03/15/2024", "2024-03-18")]),
+                      ("in/b.csv", [(2, "03/15/2024", "2024-03-18")]),
+                      ("in/a.csv.pgp", [(3, "2024-01-01", "01/04/2024")])):
+        (with_lineage(feed(spark, rows), key, "2026-01-01 00:00:00")
+         .write.mode("append").partitionBy("_source_file").parquet(landing))
+    assert fd.repair_landing(spark, landing, "a.csv", f"{tmp_dir}/stage1") == 2
+    got = {r.o_orderkey: (r.order_date, r.ship_date) for r in spark.read.parquet(landing).collect()}
+    assert got == {1: ("2024-03-15", None), 2: ("03/15/2024", "2024-03-18"), 3: (None, "2024-01-04")}
+    # Column mode leaves repaired rows alone (only the NULLs still count as bad)...
+    assert fd.repair_landing(spark, landing, "a.csv", f"{tmp_dir}/stage2", mode="column") == 2
+    assert {r.o_orderkey: (r.order_date, r.ship_date) for r in spark.read.parquet(landing).collect()} == got
+    # ...row mode, like the source UPDATE, re-parses both dates of a row with a NULL.
+    assert fd.repair_landing(spark, landing, "a.csv", f"{tmp_dir}/stage3") == 2
+    got = {r.o_orderkey: (r.order_date, r.ship_date) for r in spark.read.parquet(landing).collect()}
+    assert got == {1: (None, None), 2: ("03/15/2024", "2024-03-18"), 3: (None, None)}
