@@ -179,3 +179,10 @@ def test_params_from_json():
     with pytest.raises(KeyError):
         ApprovalParams.from_json(json.dumps(cfg))
     assert ApprovalParams.from_json(None) == ApprovalParams()
+
+
+def test_land_applications_observes_stats(spark, tmp_dir):
+    stats = ap.land_applications(apps(spark, CUSTOMERS), os.path.join(tmp_dir, "apps"))
+    assert stats == {"applications": 4, "min_income": 80_000, "max_income": 150_000}
+    with pytest.raises(ValueError):
+        ap.land_applications(apps(spark, []), os.path.join(tmp_dir, "empty"))
