@@ -104,17 +104,42 @@ def write_version(df: DataFrame, path: str, operation: str = "write", version: i
     return target
 
 
-def source_key_stats(source: DataFrame, keys: list[str]) -> tuple[int, int]:
-    """(rows, largest number of rows sharing one non-NULL key) in one aggregate job."""
-    per_key = source.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+# Source sides up to this many bytes (measured, see ``source_key_stats``) are broadcast
+# into a merge, so the target is never shuffled for a small batch.
+MERGE_BROADCAST_BYTES = 32 * 1024 ** 2
+
+# In-memory bytes per value of fixed-width types; strings and binaries add their length.
+_FIXED_WIDTH = {"boolean": 1, "tinyint": 1, "smallint": 2, "int": 4, "date": 4, "float": 4,
+                "bigint": 8, "double": 8, "timestamp": 8, "timestamp_ntz": 8}
+
+
+def _row_bytes(df: DataFrame):
+    """Per-row size: 8 bytes of row overhead, fixed widths, string / binary lengths."""
+    total = F.lit(8)
+    for name, dtype in df.dtypes:
+        c = F.col(f"`{name}`")
+        if dtype in ("string", "binary"):
+            total = total + F.coalesce(F.length(c) if dtype == "string" else F.octet_length(c), F.lit(0)) + 8
+        elif dtype.startswith("decimal"):
+            total = total + 16
+        else:
+            total = total + _FIXED_WIDTH.get(dtype, 16)
+    return total
+
+
+def source_key_stats(source: DataFrame, keys: list[str]) -> tuple[int, int, int]:
+    """(rows, largest number of rows sharing one non-NULL key, bytes) in one aggregate job."""
+    per_key = source.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"),
+                                        F.sum(_row_bytes(source)).alias("_b"))
     row = per_key.agg(F.sum("_n").alias("rows"),
-                      F.max(F.when(_all_keys_known(keys), F.col("_n"))).alias("most")).first()
-    return int(row["rows"] or 0), int(row["most"] or 0)
+                      F.max(F.when(_all_keys_known(keys), F.col("_n"))).alias("most"),
+                      F.sum("_b").alias("bytes")).first()
+    return int(row["rows"] or 0), int(row["most"] or 0), int(row["bytes"] or 0)
 
 
 def merge_table(spark: SparkSession, path: str, source: DataFrame, keys: list[str],
                 update_columns: list[str] | str = "*", set_on_match: dict | None = None,
-                insert_values: dict | None = None) -> str:
+                insert_values: dict | None = None, broadcast_bytes: int = MERGE_BROADCAST_BYTES) -> str:
     """MERGE ``source`` into the table at ``path`` on ``keys`` and commit a new version.
 
     * matched rows: ``update_columns`` take the source value ("*" = every non-key
@@ -129,10 +154,13 @@ def merge_table(spark: SparkSession, path: str, source: DataFrame, keys: list[st
 
     The source is persisted for the duration of the merge: it feeds the key check
     and the write, and is computed once (lost blocks are recomputed from lineage).
+    The same check measures the source's size; up to ``broadcast_bytes`` the source
+    is broadcast and the target is only scanned, otherwise both sides are shuffled
+    for a sort-merge join.
     """
     source = source.persist()
     try:
-        rows, most = source_key_stats(source, keys)
+        rows, most, size = source_key_stats(source, keys)
         current = current_version(spark, path)
         if rows == 0:
             return _version_path(path, current) if current else ""
@@ -142,7 +170,8 @@ def merge_table(spark: SparkSession, path: str, source: DataFrame, keys: list[st
             extra = {c: v for c, v in (insert_values or {}).items() if c not in source.columns}
             return write_version(source.withColumns(extra) if extra else source, path, "merge", 1)
         target = spark.read.parquet(_version_path(path, current))
-        merged = merge_frames(target, source, keys, update_columns, set_on_match, insert_values)
+        merged = merge_frames(target, source, keys, update_columns, set_on_match, insert_values,
+                              broadcast_source=size <= broadcast_bytes)
         return write_version(merged, path, "merge", current + 1)
     finally:
         source.unpersist()
@@ -158,29 +187,32 @@ def _all_keys_known(keys: list[str], prefix: str = ""):
 
 def merge_frames(target: DataFrame, source: DataFrame, keys: list[str],
                  update_columns: list[str] | str = "*", set_on_match: dict | None = None,
-                 insert_values: dict | None = None) -> DataFrame:
+                 insert_values: dict | None = None, broadcast_source: bool = False) -> DataFrame:
     """The merged rows, as a lazy DataFrame.
 
     Rows with a NULL in any key can never match, so they bypass the join (target
-    rows are kept, source rows inserted); only keyed rows take part in the full
-    outer equi-join. A NULL key therefore never becomes one hot join partition.
+    rows are kept, source rows inserted); only keyed rows take part in the join.
+    A NULL key therefore never becomes one hot join partition.
+
+    ``broadcast_source=False``: one full outer sort-merge join of target and source.
+    ``broadcast_source=True`` (the caller has measured the source as small): the
+    target is left-joined to the broadcast source, the matched keys are found by a
+    key-only semi-join of the target against the broadcast source keys, and the
+    unmatched source rows are inserted; the target is scanned, never shuffled.
     """
     set_on_match = set_on_match or {}
     insert_values = insert_values or {}
     tdtypes = dict(target.dtypes)
-    known_t, known_s = _all_keys_known(keys), _all_keys_known(keys)
+    known = _all_keys_known(keys)
 
-    t = target.filter(known_t).select(*[F.col(c).alias(f"_t_{c}") for c in target.columns],
-                                      F.lit(True).alias("_t_hit"))
-    s = source.filter(known_s).select(*[F.col(c).alias(f"_s_{c}") for c in source.columns],
-                                      F.lit(True).alias("_s_hit"))
+    t = target.filter(known).select(*[F.col(c).alias(f"_t_{c}") for c in target.columns],
+                                    F.lit(True).alias("_t_hit"))
+    s = source.filter(known).select(*[F.col(c).alias(f"_s_{c}") for c in source.columns],
+                                    F.lit(True).alias("_s_hit"))
     cond = None
     for k in keys:
         term = F.col(f"_t_{k}") == F.col(f"_s_{k}")
         cond = term if cond is None else cond & term
-    j = t.join(s, cond, "full_outer")
-    matched = F.col("_t_hit").isNotNull() & F.col("_s_hit").isNotNull()
-    source_only = F.col("_t_hit").isNull()
     updates = set(c for c in source.columns if c not in keys) if update_columns == "*" else set(update_columns)
 
     def insert_value(c: str, prefix: str):
@@ -190,20 +222,35 @@ def merge_frames(target: DataFrame, source: DataFrame, keys: list[str],
             return insert_values[c]
         return F.lit(None)
 
-    out = []
-    for c in target.columns:
-        tcol = F.col(f"_t_{c}")
-        if c in set_on_match:
-            on_match = set_on_match[c]
-        elif c in updates and c in source.columns:
-            on_match = F.col(f"_s_{c}")
-        else:
-            on_match = tcol
-        expr = F.when(source_only, insert_value(c, "_s_")).when(matched, on_match).otherwise(tcol)
-        out.append(expr.cast(tdtypes[c]).alias(c))
-    keyed = j.select(*out)
-
-    kept = target.filter(~known_t)
-    inserted = source.filter(~known_s).select(
-        *[insert_value(c, "").cast(tdtypes[c]).alias(c) for c in target.columns])
+    def merged_row(with_inserts: bool):
+        matched = F.col("_t_hit").isNotNull() & F.col("_s_hit").isNotNull()
+        out = []
+        for c in target.columns:
+            tcol = F.col(f"_t_{c}")
+            if c in set_on_match:
+                on_match = set_on_match[c]
+            elif c in updates and c in source.columns:
+                on_match = F.col(f"_s_{c}")
+            else:
+                on_match = tcol
+            expr = F.when(matched, on_match).otherwise(tcol)
+            if with_inserts:
+                expr = F.when(F.col("_t_hit").isNull(), insert_value(c, "_s_")).otherwise(expr)
+            out.append(expr.cast(tdtypes[c]).alias(c))
+        return out
+
+    def as_inserts(df: DataFrame) -> DataFrame:
+        return df.select(*[insert_value(c, "").cast(tdtypes[c]).alias(c) for c in target.columns])
+
+    if broadcast_source:
+        keyed = t.join(F.broadcast(s), cond, "left").select(*merged_row(False))
+        source_keys = source.filter(known).select(*keys)
+        matched_keys = target.filter(known).select(*keys).join(F.broadcast(source_keys), keys, "left_semi")
+        new_rows = as_inserts(source.filter(known).join(F.broadcast(matched_keys), keys, "left_anti"))
+        keyed = keyed.unionByName(new_rows)
+    else:
+        keyed = t.join(s, cond, "full_outer").select(*merged_row(True))
+
+    kept = target.filter(~known)
+    inserted = as_inserts(source.filter(~known))
     return keyed.unionByName(kept).unionByName(inserted)

@@ -181,3 +181,37 @@ def test_archive_moves_processed_drops(spark, tmp_dir):
     archived = spark.read.schema(schema).option("header", True).option("recursiveFileLookup", True).csv(archive)
     # the first drop is archived once a later batch commits; the newest stays until the next arrival
     assert archived.count() == 5
+
+
+@pytest.mark.parametrize("broadcast", [False, True])
+def test_merge_paths_agree(spark, broadcast):
+    import random
+    rnd = random.Random(5)
+    tgt = [(k if k % 11 else None, f"t{k}", k * 1.5) for k in range(0, 400, 2)]
+    src = [(k if k % 13 else None, f"s{k}", -float(k)) for k in range(0, 600, 3)]
+    rnd.shuffle(src)
+    target = spark.createDataFrame(tgt, "k long, a string, x double")
+    source = spark.createDataFrame(src, "k long, a string, x double")
+    kw = dict(update_columns=["x"], set_on_match={"a": F.concat(F.col("_t_a"), F.lit("+"))})
+    got = sk.merge_frames(target, source, ["k"], broadcast_source=broadcast, **kw)
+    t = {r[0]: r for r in tgt if r[0] is not None}
+    s = {r[0]: r for r in src if r[0] is not None}
+    want = []
+    for k, r in t.items():
+        want.append((k, r[1] + "+", s[k][2]) if k in s else r)
+    want += [r for k, r in s.items() if k not in t]
+    want += [r for r in tgt if r[0] is None] + [r for r in src if r[0] is None]
+    assert sorted(got.collect(), key=str) == sorted([tuple(w) for w in want], key=str)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert ("SortMergeJoin" not in plan) == broadcast
+
+
+def test_merge_table_measures_source_for_broadcast(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "big")
+    sk.merge_table(spark, path, spark.range(1000).selectExpr("id AS k", "'v' AS v"), ["k"])
+    rows, most, size = sk.source_key_stats(spark.range(10).selectExpr("id AS k", "'abc' AS v"), ["k"])
+    assert (rows, most) == (10, 1) and size == 10 * (8 + 8 + 3 + 8)
+    sk.merge_table(spark, path, spark.range(990, 1010).selectExpr("id AS k", "'w' AS v"), ["k"], broadcast_bytes=0)
+    sk.merge_table(spark, path, spark.range(1005, 1020).selectExpr("id AS k", "'z' AS v"), ["k"])
+    got = {r.k: r.v for r in sk.read_table(spark, path).collect()}
+    assert len(got) == 1020 and got[5] == "v" and got[995] == "w" and got[1007] == "z"
