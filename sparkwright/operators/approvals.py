@@ -108,7 +108,7 @@ def land_applications(applications: DataFrame, path: str) -> dict:
     Row count and income range come from an Observation on the write itself (one
     pass over the input); an empty load is an error, as in the source step.
     """
-    obs = Observation("applications_load")
+    obs = Observation()
     (applications.observe(obs, F.count(F.lit(1)).alias("applications"),
                           F.min("annual_income").alias("min_income"),
                           F.max("annual_income").alias("max_income"))

@@ -35,7 +35,7 @@ def append_table(df: DataFrame, path: str, partition_by: list[str] | None = None
 
     The count comes from an Observation on the write itself, not from a second scan.
     """
-    obs = Observation("append_rows")
+    obs = Observation()
     out = df.select(*columns) if columns else df
     writer = out.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode(mode)
     if partition_by:
