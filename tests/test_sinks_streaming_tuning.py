@@ -147,7 +147,7 @@ def test_rank_ascending_with_null_keys_and_orders(spark):
     from sparkwright.operators.ranking import rank_within
     rows = [(None, None), (None, 3), (None, 3), (1, None), (1, 2), (1, 2), (1, 5), (2, 7)]
     df = spark.createDataFrame(rows, "k long, o long")
-    got = rank_within(df, "k", "o", out="r", descending=False)
+    got = rank_within(df, "k", "o", out="r", descending=False, max_group_rows=0)
     want = df.withColumn("r", F.rank().over(Window.partitionBy("k").orderBy(F.col("o").asc_nulls_first()))
                          .cast("bigint"))
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
