@@ -14,6 +14,7 @@ second copy.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -61,8 +62,18 @@ def drop_name(by: str = "directory") -> Column:
     return F.regexp_replace(name, "\\" + ENCRYPTED_SUFFIX + "$", "")
 
 
-def drop_payload(df: DataFrame, schema_version: str, by: str = "directory") -> DataFrame:
-    """Per drop in ``df``: file, record_count, schema_version, cold_path."""
+def schema_fingerprint(df: DataFrame) -> str:
+    """A short version tag derived from the data columns' names and types (metadata only)."""
+    cols = [f"{f.name}:{f.dataType.simpleString()}" for f in df.schema.fields if f.name != "_metadata"]
+    return "s" + hashlib.sha1(",".join(cols).encode()).hexdigest()[:8]
+
+
+def drop_payload(df: DataFrame, schema_version: str | None = None, by: str = "directory") -> DataFrame:
+    """Per drop in ``df``: file, record_count, schema_version, cold_path.
+
+    ``schema_version`` defaults to the fingerprint of the declared columns.
+    """
+    schema_version = schema_version or schema_fingerprint(df)
     return (df.groupBy(drop_name(by).alias("file"))
             .agg(F.count(F.lit(1)).alias("record_count"))
             .select("file", "record_count", F.lit(schema_version).alias("schema_version"),

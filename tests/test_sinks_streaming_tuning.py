@@ -215,3 +215,10 @@ def test_merge_table_measures_source_for_broadcast(spark, tmp_dir):
     sk.merge_table(spark, path, spark.range(1005, 1020).selectExpr("id AS k", "'z' AS v"), ["k"])
     got = {r.k: r.v for r in sk.read_table(spark, path).collect()}
     assert len(got) == 1020 and got[5] == "v" and got[995] == "w" and got[1007] == "z"
+
+
+def test_schema_fingerprint_tracks_columns(spark):
+    a = spark.createDataFrame([(1, "x")], "id bigint, v string")
+    b = spark.createDataFrame([(1, "x")], "id bigint, v string")
+    c = spark.createDataFrame([(1, 2)], "id bigint, v int")
+    assert st.schema_fingerprint(a) == st.schema_fingerprint(b) != st.schema_fingerprint(c)
