@@ -12,6 +12,9 @@ next one: a path is never overwritten while it is being read.
 
 ``append_table`` writes a plain parquet directory in append mode (the landing and
 audit tables are append-only).
+
+One writer per versioned table at a time is assumed (as for a scheduled job); two
+concurrent merges would both claim the next version number.
 """
 
 from __future__ import annotations
