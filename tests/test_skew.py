@@ -16,5 +16,6 @@ def test_hot_customer_is_spread_over_tasks():
     res = json.loads(out.stdout.strip().splitlines()[-1])["results"]
     assert res["customer_metrics"]["max_task_share"] < 0.15
     assert res["rank_hot_key_plan"]["max_task_share"] < 0.2
+    assert res["merge_null_heavy_keys"]["max_task_share"] < 0.15
     # the probe does see skew: a plain per-customer window puts the hot customer in one task
     assert res["plain_window_contrast"]["max_task_share"] > 0.3

@@ -71,12 +71,21 @@ def main() -> None:
     from sparkwright.operators import clickstream as cs
     from sparkwright.operators.ranking import rank_within
     from sparkwright.session import BASE_CONF
+    from sparkwright.sinks.tables import merge_frames
+
+    def null_heavy_merge(df):
+        # a third of target and source rows carry a NULL key (they can never match)
+        keyed = df.select(F.when(F.col("customer_id") == 7, F.lit(None)).otherwise(F.col("order_id"))
+                          .cast("bigint").alias("k"), "subtotal", "click_id")
+        source = keyed.withColumn("subtotal", F.col("subtotal") + 1)
+        return merge_frames(keyed, source, ["k"], broadcast_source=False)
 
     results = {}
     cases = {
         "customer_metrics": lambda df: cs.customer_metrics(cs.stage(df)),
         "rank_hot_key_plan": lambda df: rank_within(cs.stage(df), "customer_id", "order_date",
                                                     out="order_rank", max_group_rows=rows // 10),
+        "merge_null_heavy_keys": null_heavy_merge,
         "plain_window_contrast": lambda df: cs.stage(df).withColumn(
             "r", F.rank().over(Window.partitionBy("customer_id").orderBy(F.col("order_date").desc()))),
     }
