@@ -106,3 +106,9 @@ def test_most_common_with_labels_equals_mode(spark):
     b = df.groupBy("g").agg(most_common("v").alias("m"))
     assert sorted(a.collect()) == sorted(b.collect())
     assert {r.g: r.m for r in a.collect()} == {1: "a", 2: "a", 3: "c", 4: None}
+
+
+def test_customer_zero_and_null_customer_stay_apart(spark):
+    df = raw(spark, [row(1, 0, CHROME), row(2, 0, CHROME), row(3, None, FIREFOX)])
+    got = {r.customer_id: (r.total_orders, r.most_common_browser) for r in cs.customer_metrics(cs.stage(df)).collect()}
+    assert got == {0: (2, "Chrome"), None: (1, None)}
