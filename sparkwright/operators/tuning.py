@@ -12,6 +12,7 @@
 
 from __future__ import annotations
 
+import math
 import os
 
 from pyspark.ml import Pipeline
@@ -30,6 +31,7 @@ LEARNING_RATES = (0.01, 0.05, 0.1)
 MODEL_NAME = "churn_classifier"
 
 FEATURES = ("n_chars", "n_words", "n_digits")
+TRAIN_PARTITION_BYTES = 64 * 1024 ** 2
 WORD = r"[^ \t\n\r\f\x0B]+"  # a maximal run of non-whitespace characters
 DIGIT = r"[0-9]"
 
@@ -60,6 +62,11 @@ def feature_profile(features: DataFrame) -> DataFrame:
     return features.agg(F.count(F.lit(1)).alias("rows"), F.lit(len(FEATURES)).alias("feature_count"))
 
 
+def _row_width(df: DataFrame) -> int:
+    """Bytes per row of an all-numeric frame: 8 per column plus row overhead."""
+    return 8 * len(df.columns) + 16
+
+
 def _estimator(seed: int = 7):
     assembler = VectorAssembler(inputCols=list(FEATURES), outputCol="features")
     gbt = GBTClassifier(labelCol="label_d", featuresCol="features", maxIter=10, maxDepth=3, seed=seed)
@@ -73,7 +80,14 @@ def tune_learning_rate(features: DataFrame, rates=LEARNING_RATES, parallelism: i
     """
     # The split, every fit and every evaluation read the labelled features; persist them
     # once so the text features are not recomputed per pass (lost blocks recompute).
-    data = features.select("label", *FEATURES).withColumn("label_d", F.col("label").cast("double")).persist()
+    base = features.select("label", *FEATURES).withColumn("label_d", F.col("label").cast("double")).persist()
+    # Each boosting round is a few small jobs over the training set, so its partition
+    # count follows its measured volume (about TRAIN_PARTITION_BYTES each) instead of
+    # the upstream shuffle width: a few thousand rows are one partition, a large set
+    # keeps many.
+    rows = base.count()
+    wanted = max(1, math.ceil(rows * _row_width(base) / TRAIN_PARTITION_BYTES))
+    data = base.coalesce(wanted) if wanted < base.rdd.getNumPartitions() else base
     pipeline, gbt = _estimator(seed)
     grid = ParamGridBuilder().addGrid(gbt.stepSize, list(rates)).build()
     evaluator = MulticlassClassificationEvaluator(labelCol="label_d", metricName="accuracy")
@@ -82,7 +96,7 @@ def tune_learning_rate(features: DataFrame, rates=LEARNING_RATES, parallelism: i
     try:
         fitted = tvs.fit(data)
     finally:
-        data.unpersist()
+        base.unpersist()
     spark = features.sparkSession
     scores = spark.createDataFrame(
         [(float(r), float(m), i) for i, (r, m) in enumerate(zip(rates, fitted.validationMetrics))],
