@@ -85,10 +85,13 @@ def ingest_feed_file(spark: SparkSession, feed_csv: str, source_key: str, landin
 
 
 def process_vendor_drops(spark: SparkSession, drop_glob: str, schema: str, payload_path: str, checkpoint: str,
-                         archive_dir: str | None = None, schema_version: str | None = None) -> DataFrame:
+                         archive_dir: str | None = None, schema_version: str | None = None,
+                         max_files_per_batch: int | None = 1000) -> DataFrame:
     """Count the records of every newly arrived drop (once), archive processed drops;
-    returns the per-drop totals so far."""
-    stream = st.arrival_stream(spark, drop_glob, schema, archive_dir=archive_dir)
+    returns the per-drop totals so far. A backlog is processed in bounded micro-batches;
+    a drop split over batches is summed by ``drop_totals``."""
+    stream = st.arrival_stream(spark, drop_glob, schema, archive_dir=archive_dir,
+                               max_files_per_trigger=max_files_per_batch)
     st.run_available(stream, lambda df, bid: st.write_batch(st.drop_payload(df, schema_version), payload_path, bid),
                      checkpoint)
     return st.drop_totals(spark.read.parquet(payload_path))

@@ -42,7 +42,13 @@ def feed_batch_writer(landing_path: str, audit_path: str, as_of=None, cols=DATE_
 
 
 def ingest_feed(spark: SparkSession, drop_glob: str, schema: str, landing_path: str, audit_path: str,
-                checkpoint: str, as_of=None, archive_dir: str | None = None) -> None:
-    """Process every feed file that has arrived since the last run."""
-    stream = arrival_stream(spark, drop_glob, schema, archive_dir=archive_dir)
+                checkpoint: str, as_of=None, archive_dir: str | None = None,
+                max_files_per_batch: int | None = 1000) -> None:
+    """Process every feed file that has arrived since the last run.
+
+    A backlog is cut into micro-batches of at most ``max_files_per_batch`` files, so
+    the persisted batch stays bounded however many files have piled up.
+    """
+    stream = arrival_stream(spark, drop_glob, schema, archive_dir=archive_dir,
+                            max_files_per_trigger=max_files_per_batch)
     run_available(stream, feed_batch_writer(landing_path, audit_path, as_of), checkpoint)

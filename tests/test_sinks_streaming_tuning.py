@@ -222,3 +222,16 @@ def test_schema_fingerprint_tracks_columns(spark):
     b = spark.createDataFrame([(1, "x")], "id bigint, v string")
     c = spark.createDataFrame([(1, 2)], "id bigint, v int")
     assert st.schema_fingerprint(a) == st.schema_fingerprint(b) != st.schema_fingerprint(c)
+
+
+def test_backlog_in_bounded_batches_counts_each_drop_once(spark, tmp_dir):
+    from sparkwright import jobs
+    for name, n in (("a.csv", 4), ("b.csv", 6)):
+        (spark.range(n).repartition(3).selectExpr("id AS event_id", "'t' AS ts", "id AS user_id", "'x' AS event_type",
+                                                  "1.0 AS value").write.option("header", True).csv(f"{tmp_dir}/in/{name}"))
+    totals = jobs.process_vendor_drops(
+        spark, f"{tmp_dir}/in/*", "event_id bigint, ts string, user_id bigint, event_type string, value double",
+        f"{tmp_dir}/payload", f"{tmp_dir}/ckpt", schema_version="v3", max_files_per_batch=1)
+    assert sorted((r.file, r.record_count) for r in totals.collect()) == [("a.csv", 4), ("b.csv", 6)]
+    batches = spark.read.parquet(f"{tmp_dir}/payload").select("batch_id").distinct().count()
+    assert batches > 2   # one file per micro-batch
