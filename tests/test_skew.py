@@ -17,5 +17,7 @@ def test_hot_customer_is_spread_over_tasks():
     assert res["customer_metrics"]["max_task_share"] < 0.15
     assert res["rank_hot_key_plan"]["max_task_share"] < 0.2
     assert res["merge_null_heavy_keys"]["max_task_share"] < 0.15
+    # partial aggregation: the hot product crosses the exchange as one row per map task
+    assert res["top_products_hot_product"]["shuffled_per_input_row"] < 0.1
     # the probe does see skew: a plain per-customer window puts the hot customer in one task
     assert res["plain_window_contrast"]["max_task_share"] > 0.3

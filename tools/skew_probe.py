@@ -39,6 +39,21 @@ def skewed_clickstream(spark, rows: int):
     )
 
 
+def shuffle_records(log_dir: str) -> int:
+    """All shuffle records read by all tasks of the run."""
+    total = 0
+    for path in glob.glob(os.path.join(log_dir, "**", "*"), recursive=True):
+        if os.path.isdir(path) or os.path.basename(path).startswith("appstatus"):
+            continue
+        with open(path) as f:
+            for line in f:
+                ev = json.loads(line)
+                if ev.get("Event") == "SparkListenerTaskEnd":
+                    m = ev.get("Task Metrics") or {}
+                    total += (m.get("Shuffle Read Metrics") or {}).get("Total Records Read", 0)
+    return total
+
+
 def stage_shares(log_dir: str, min_records: int = 0) -> list[dict]:
     """Per stage reading at least ``min_records`` shuffle records: tasks, records and
     the largest share of them read by a single task."""
@@ -71,8 +86,18 @@ def main() -> None:
     from sparkwright.operators import clickstream as cs
     from sparkwright.operators.ranking import rank_within
     from sparkwright.session import BASE_CONF
+    from sparkwright.operators import sales as sl
     from sparkwright.sinks.tables import merge_frames
 
+    def hot_product_report(df):
+        # sales rows where one product holds a third of the rows
+        sales = df.select(F.col("customer_id").alias("customerID"),
+                          F.when(F.col("customer_id") == 7, F.lit("hot"))
+                           .otherwise(F.concat(F.lit("p"), (F.col("order_id") % 500).cast("string"))).alias("product"),
+                          F.col("order_date").alias("dateTime"), (F.col("session_duration_secs") % 9 + 1).alias("quantity"),
+                          F.col("subtotal").cast("decimal(10,2)").alias("unitPrice"))
+        return sl.top_products_by_units(sales)
+
     def null_heavy_merge(df):
         # a third of target and source rows carry a NULL key (they can never match)
         keyed = df.select(F.when(F.col("customer_id") == 7, F.lit(None)).otherwise(F.col("order_id"))
@@ -86,6 +111,7 @@ def main() -> None:
         "rank_hot_key_plan": lambda df: rank_within(cs.stage(df), "customer_id", "order_date",
                                                     out="order_rank", max_group_rows=rows // 10),
         "merge_null_heavy_keys": null_heavy_merge,
+        "top_products_hot_product": hot_product_report,
         "plain_window_contrast": lambda df: cs.stage(df).withColumn(
             "r", F.rank().over(Window.partitionBy("customer_id").orderBy(F.col("order_date").desc()))),
     }
@@ -104,6 +130,7 @@ def main() -> None:
         spark.stop()
         shares = stage_shares(log_dir, min_records=rows // 100)  # skip tiny final stages
         results[name] = {"max_task_share": max((s["max_task_share"] for s in shares), default=0.0),
+                         "shuffled_per_input_row": round(shuffle_records(log_dir) / rows, 4),
                          "stages": shares}
     print(json.dumps({"rows": rows, "hot_key_share": 0.333, "results": results}))
 
