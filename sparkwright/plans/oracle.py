@@ -366,11 +366,12 @@ SELECT 'vendor_data_' || CAST(event_id % 3 AS VARCHAR) || '.csv' AS file, COUNT(
        's3://vendor-archive/2026/vendor_data_' || CAST(event_id % 3 AS VARCHAR) || '.csv' AS cold_path
 FROM events GROUP BY event_id % 3"""
 
+# The drop that landed last (vendor_data_2) stays in place until the next arrival.
 ARCHIVE_PROCESSED = """
 SELECT file, record_count, 's3://vendor-archive/2026/' || file AS cold_path
 FROM (SELECT 'vendor_data_' || CAST(event_id % 3 AS VARCHAR) || '.csv' AS file, COUNT(*) AS record_count
       FROM events GROUP BY event_id % 3)
-WHERE file <> 'vendor_data_2.csv'  -- the drop that landed last stays until the next arrival"""
+WHERE file <> 'vendor_data_2.csv'"""
 
 PREPARE_FEATURES = r"""
 SELECT d.doc_id, l.quality AS label, CAST(d.n_chars AS DOUBLE) AS n_chars,
