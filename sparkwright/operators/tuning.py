@@ -41,14 +41,16 @@ def prepare_features(docs: DataFrame, labels: DataFrame, label_col: str = "quali
     missing = {"doc_id", "text", "n_chars"} - set(docs.columns)
     if missing or {"doc_id", label_col} - set(labels.columns):
         raise ValueError(f"training input is missing columns: {sorted(missing) or [label_col]}")
-    joined = docs.select("doc_id", "text", "n_chars").join(
-        labels.select("doc_id", F.col(label_col).alias("label")), "doc_id")
-    return joined.select(
-        "doc_id", "label",
+    # Features are computed next to the scan, before the join: only four numbers per
+    # document cross the join's exchange, never the (possibly very long) text.
+    per_doc = docs.select(
+        "doc_id",
         F.col("n_chars").cast("double").alias("n_chars"),
         F.regexp_count(F.col("text"), F.lit(WORD)).cast("double").alias("n_words"),
         F.regexp_count(F.col("text"), F.lit(DIGIT)).cast("double").alias("n_digits"),
     )
+    joined = per_doc.join(labels.select("doc_id", F.col(label_col).alias("label")), "doc_id")
+    return joined.select("doc_id", "label", *FEATURES)
 
 
 def feature_checks(features: DataFrame) -> DataFrame:
