@@ -235,3 +235,20 @@ def test_backlog_in_bounded_batches_counts_each_drop_once(spark, tmp_dir):
     assert sorted((r.file, r.record_count) for r in totals.collect()) == [("a.csv", 4), ("b.csv", 6)]
     batches = spark.read.parquet(f"{tmp_dir}/payload").select("batch_id").distinct().count()
     assert batches > 2   # one file per micro-batch
+
+
+def test_text_never_crosses_the_feature_join_exchange(spark):
+    import contextlib
+    import io
+    from sparkwright.sources import fixtures as fx
+    from tests.conftest import SF_SMALL
+    docs, labels = fx.training_events(spark, SF_SMALL)
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        tn.prepare_features(docs, labels).explain("formatted")
+    sections = buf.getvalue().split("\n\n")
+    exchange_inputs = [line for sec in sections if ") Exchange" in sec
+                       for line in sec.splitlines() if line.startswith("Input")]
+    assert exchange_inputs, buf.getvalue()[:500]
+    # the text column is read by the scan and consumed before any exchange
+    assert all("text#" not in line for line in exchange_inputs), exchange_inputs
