@@ -120,8 +120,11 @@ def main() -> None:
         builder = SparkSession.builder.master("local[8]").appName(f"skew-{name}")
         for k, v in BASE_CONF.items():
             builder = builder.config(k, v)
+        # Joins are measured as they run at scale, where these sides are far above the
+        # broadcast threshold (a runtime broadcast build reads map outputs whole).
         spark = (builder.config("spark.sql.shuffle.partitions", "16")
                  .config("spark.sql.adaptive.coalescePartitions.enabled", "false")
+                 .config("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
                  .config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", log_dir)
                  .config("spark.eventLog.compress", "false").config("spark.eventLog.rolling.enabled", "false")
                  .getOrCreate())
