@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as E
+from sparkwright.plans import catalog, oracle
 from tests.conftest import SF_SMALL
 from tools.oracle_check import compare
 
@@ -11,17 +12,17 @@ SLOW = {"candidate_scores", "best_candidate", "tune_learning_rate"}
 
 @pytest.fixture(scope="module")
 def results(spark):
-    keys = [k for k in E.queries() if k not in SLOW]
+    keys = [k for k in catalog.queries() if k not in SLOW]
     return compare(spark, SF_SMALL, keys, verbose=False)
 
 
 def test_every_query_has_an_oracle_or_is_declared_rows_only():
-    rows_only = set(E.queries()) - set(E.oracle_sql())
+    rows_only = set(catalog.queries()) - set(oracle.oracle_sql())
     assert rows_only == {"candidate_scores", "best_candidate", "tune_learning_rate"}
     assert set(E.oracle_sql()) <= set(E.queries())
 
 
-@pytest.mark.parametrize("key", [k for k in E.queries() if k not in SLOW])
+@pytest.mark.parametrize("key", [k for k in catalog.queries() if k not in SLOW])
 def test_query_matches_oracle(results, key):
     assert results[key][0] in ("OK", "ROWS-ONLY"), results[key]
 
