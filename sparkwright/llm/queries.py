@@ -12,9 +12,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import contamination as op9
+from . import exact_dedup as op1
+from . import simhash as op5
 from .common import table
 
 
+def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op1.exact_groups(table(spark, sf_dir, "documents"))
+
+
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op5.simhash_groups(table(spark, sf_dir, "documents"))
+
+
 def op9_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = op9.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", "n_items",
@@ -22,10 +32,18 @@ def op9_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_exact_dedup": op1_exact_dedup,
+    "op5_simhash": op5_simhash,
     "op9_contamination": op9_contamination,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op1_exact_dedup": """
+WITH normal AS (
+  SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS body FROM documents)
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+       doc_id = max(doc_id) OVER same AS kept, sha256(body) AS text_sha256
+FROM normal WINDOW same AS (PARTITION BY body)""",
     "op9_contamination": """
 WITH RECURSIVE lowered AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
