@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 from . import contamination as op9
 from . import exact_dedup as op1
+from . import langid as op4
+from . import lines as op10
 from . import simhash as op5
 from .common import table
 
@@ -21,6 +23,11 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op1.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op4.language_id(table(spark, sf_dir, "documents")).select(
+        "doc_id", "held_out", "lang_pred", "score", F.array_join("languages", ",").alias("languages"))
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op5.simhash_groups(table(spark, sf_dir, "documents"))
 
@@ -31,10 +38,16 @@ def op9_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
 
 
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op10.dedup_lines(table(spark, sf_dir, "documents")).select("doc_id", "text", "n_lines", "n_removed")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op4_language_id": op4_language_id,
     "op5_simhash": op5_simhash,
     "op9_contamination": op9_contamination,
+    "op10_line_dedup": op10_line_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {
