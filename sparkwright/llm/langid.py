@@ -14,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import word_spans
 
@@ -151,34 +152,37 @@ def infer(texts: list[str | None], model: np.ndarray, penalty: float = PENALTY)
     return out
 
 
-def identify(docs: DataFrame, languages: list[str], model: np.ndarray, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of ``docs``: id, lang_pred, score (its share), languages (those selected, by share).
+def identify(docs: DataFrame, languages: list[str], model: np.ndarray, text_col: str = "text") -> DataFrame:
+    """``docs`` with the columns lang_pred, score (its share) and languages (those selected, by share) added (or
+    replaced).
 
-    Null texts and texts without a letter get ``und`` and 0; equal shares go to the first language by name;
-    without any trained language every text is ``und``. Null and repeated ids are passed through.
+    Null texts and texts without a letter get ``und``, 0 and no languages; equal shares go to the first language
+    by name; without any trained language every text is ``und``. All other columns are passed through.
     """
     known = docs.sparkSession.sparkContext.broadcast((languages, model))
+    docs = docs.drop("lang_pred", "score", "languages")
+    added = T.StructType().add("lang_pred", "string").add("score", "double").add("languages", T.ArrayType(T.StringType()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, table = known.value
         for batch in batches:
-            ids, texts = batch.column(0), batch.column(1).to_pylist()
+            texts = batch.column(batch.schema.names.index(text_col)).to_pylist()
             for i, j in parts_of(texts):
                 shares = infer(texts[i:j], table)
                 top = shares.argmax(axis=1) if len(names) else np.zeros(j - i, int)
                 score = shares.max(axis=1) if len(names) else np.zeros(j - i)
                 chosen = [[names[k] for k in np.argsort(-row, kind="stable") if row[k] > 0] for row in shares]
                 yield pa.RecordBatch.from_arrays([
-                    ids.slice(i, j - i), pa.array([names[t] if s > 0 else UNKNOWN for t, s in zip(top, score, strict=True)], pa.string()),
-                    pa.array(np.clip(score, 0, 1)), pa.array(chosen, pa.list_(pa.string()))], ["id", "lang_pred", "score", "languages"])
+                    *(c.slice(i, j - i) for c in batch.columns),
+                    pa.array([names[t] if s > 0 else UNKNOWN for t, s in zip(top, score, strict=True)], pa.string()),
+                    pa.array(np.clip(score, 0, 1)), pa.array(chosen, pa.list_(pa.string()))],
+                    [*batch.schema.names, "lang_pred", "score", "languages"])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(run, "id long, lang_pred string, score double, languages array<string>").withColumnRenamed("id", id_col)
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, *added.fields]))
 
 
 def language_id(docs: DataFrame) -> DataFrame:
-    """``identify`` for every document, learnt from those whose crc32(doc_id) mod 4 is not 2, with the column held_out."""
+    """``identify`` for every document, learnt from those whose crc32(doc_id) mod 4 is not 2; with held_out."""
     out = held_out(F.col("doc_id"), 4, 2)
     languages, model = train(docs.where(~out))
-    found = identify(docs, languages, model)
-    return found.withColumn("held_out", out)
+    return identify(docs, languages, model).withColumn("held_out", out)

@@ -15,6 +15,7 @@ from . import contamination as op9
 from . import exact_dedup as op1
 from . import langid as op4
 from . import lines as op10
+from . import pieces as op2
 from . import simhash as op5
 from .common import table
 
@@ -23,8 +24,14 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op1.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = op2.encode(table(spark, sf_dir, "documents"))
+    return op2.decode(encoded).select("doc_id", F.size("pieces").cast("long").alias("n_pieces"), "pieces", "decoded")
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return op4.language_id(table(spark, sf_dir, "documents")).select(
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return op4.language_id(docs).select(
         "doc_id", "held_out", "lang_pred", "score", F.array_join("languages", ",").alias("languages"))
 
 
@@ -44,6 +51,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_sentencepiece": op2_sentencepiece,
     "op4_language_id": op4_language_id,
     "op5_simhash": op5_simhash,
     "op9_contamination": op9_contamination,

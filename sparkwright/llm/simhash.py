@@ -35,14 +35,14 @@ ALONE = 64  # shards above this are searched point by point
 
 
 def fingerprint_rows(shingle: int):
-    """Task function: (id, text) -> (id, print): the bitwise majority of the shingles' XXH64."""
+    """Task function: (id, mark, text) -> (id, mark, print): the bitwise majority of the shingles' XXH64."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from xxhash import xxh64_intdigest
 
         for batch in batches:
-            ids = batch.column(0)
-            for i, j, data, off in slices(batch.column(1), 1_000_000):
+            ids, marks = batch.column(0), batch.column(1)
+            for i, j, data, off in slices(batch.column(2), 1_000_000):
                 data = lowered(data)
                 starts, ends, first = word_spans(space_words(data), off)
                 # Words joined by single spaces, row by row: where each word starts and ends there.
@@ -63,11 +63,11 @@ def fingerprint_rows(shingle: int):
                 head = np.searchsorted(owner, np.arange(j - i))
                 n = np.diff(np.append(head, len(owner)))
                 prints = np.zeros((j - i, 8), np.uint8)
-                if full := (n > 0).any():
+                if (n > 0).any():
                     ones = np.add.reduceat(bits, head[n > 0], axis=0, dtype=np.int64)
                     prints[n > 0] = np.packbits(2 * ones > n[n > 0][:, None], axis=1)
                 yield pa.RecordBatch.from_arrays(
-                    [ids.slice(i, j - i), pa.array(prints.reshape(-1).view(">i8").astype(np.int64))], ["id", "print"])
+                    [ids.slice(i, j - i), marks.slice(i, j - i), pa.array(prints.reshape(-1).view(">i8").astype(np.int64))], ["id", "mark", "print"])
 
     return run
 
@@ -81,9 +81,10 @@ def _within(place: np.ndarray, size: np.ndarray) -> np.ndarray:
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, print) for every row; words are ``[^\\x20\\x09-\\x0D]+`` after lower-casing A-Z; no words: print 0."""
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(fingerprint_rows(shingle), "id long, print long")
+    """(id, mark, print) for every row; words are ``[^\\x20\\x09-\\x0D]+`` after lower-casing A-Z; no words: print 0.
+    mark is a hash of the text."""
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("mark"), F.col(text_col).cast("string").alias("text"))
+    return rows.mapInArrow(fingerprint_rows(shingle), "id long, mark long, print long")
 
 
 def view_masks(blocks: int, distance: int) -> list[int]:
@@ -210,14 +211,30 @@ def simhash_groups(docs: DataFrame, shingle: int = SHINGLE_WORDS, distance: int
     component. Other columns are ignored; an empty table gives an empty result.
     """
     keys = written(fingerprints(docs, shingle, id_col, text_col), "prints")
+    return labelled(keys, distance, blocks).select(
+        F.col("id").alias(id_col), F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"),
+        F.col("component").alias("component_id"))
+
+
+def labelled(keys: DataFrame, distance: int, blocks: int) -> DataFrame:
+    """``keys`` (id, print, ...) with the column component, the smallest id of the print's connected group."""
     distinct = written(keys.groupBy("print").agg(F.min("id").alias("least")), "distinct_prints")
     rooted = distinct.join(near_groups(distinct, distance, blocks), "print", "left").withColumn(
         "root", F.coalesce("root", "print"))
     least = rooted.groupBy("root").agg(F.min("least").alias("component"))
     labels = written(rooted.join(least, "root").select("print", "component"), "print_components")
-    return keys.join(labels, "print").select(
-        F.col("id").alias(id_col), F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"),
-        F.col("component").alias("component_id"))
+    return keys.join(labels, "print")
+
+
+def first_of_groups(docs: DataFrame, shingle: int = SHINGLE_WORDS, distance: int = DISTANCE, blocks: int = BLOCKS,
+                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` (all columns) whose id is their component's; see ``simhash_groups``. Rows that share
+    that id and the component are one document stored more than once, and stay together."""
+    keys = written(fingerprints(docs, shingle, id_col, text_col), "prints")
+    kept = labelled(keys, distance, blocks).where(F.col("id").eqNullSafe(F.col("component")))
+    kept = written(kept.select(F.col("id").alias("__id"), F.col("mark").alias("__mark")).distinct(), "kept_documents")
+    same = F.col(id_col).cast("long").eqNullSafe(F.col("__id")) & (F.xxhash64(text_col) == F.col("__mark"))
+    return docs.join(kept, same, "left_semi")
 
 
 def brute_force(docs: list[tuple], shingle: int = SHINGLE_WORDS, distance: int = DISTANCE) -> list[tuple]:
