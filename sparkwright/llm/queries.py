@@ -16,7 +16,9 @@ from . import exact_dedup as op1
 from . import langid as op4
 from . import lines as op10
 from . import pieces as op2
+from . import quality as op6
 from . import simhash as op5
+from . import toxicity as op8
 from .common import table
 
 
@@ -39,6 +41,14 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op5.simhash_groups(table(spark, sf_dir, "documents"))
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op6.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("attention")
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op8.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = op9.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", "n_items",
@@ -54,6 +64,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_sentencepiece": op2_sentencepiece,
     "op4_language_id": op4_language_id,
     "op5_simhash": op5_simhash,
+    "op6_quality": op6_quality,
+    "op8_toxicity": op8_toxicity,
     "op9_contamination": op9_contamination,
     "op10_line_dedup": op10_line_dedup,
 }
