@@ -33,11 +33,13 @@ EDGE = " .,;:?!\"'()[]{}<>#%&*~`^=/\\-_…«»“”‘’¿¡|+"  # stripped fr
 TRI, BI = 1 << 18, 1 << 16  # buckets of the character model
 BEST = 8  # restorations of a disguised token
 LONGEST = 40  # characters of a token that is decoded; longer ones are cut
-MODEL_WORDS = 2000  # words of the logistic model: those with the greatest evidence (G2)
+MODEL_WORDS = 2000  # signs of the logistic model: those with the greatest evidence (G2)
 EVIDENCE = 15.0
 SPACED = re.compile(r"(?<!\S)[^\W_](?:[ .\-_*]{1,2}[^\W_]){2,}(?![^\s.,;:!?])|(?<!\S)[@$!|](?:[ .\-_*]{1,2}[^\W_])+(?!\S)")
 TRIPLE = re.compile(r"(.)\1\1")
 LETTERS = re.compile(r"[^\W\d_]+")
+STEM = (5, 8)  # letters of a stem, from and to
+SHARES = (0.004, 0.008, 0.012, 0.02)  # levels of a stem's share of a text's words (twice at least)
 
 
 def char_model(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -138,22 +140,41 @@ class Decoder:
             self.seen[token] = found
         return found
 
-    def text_words(self, text: str | None) -> set[str]:
-        """The distinct words of a text, disguised ones restored."""
+    def text_words(self, text: str | None) -> Counter[str]:
+        """The words of a text with their counts, disguised ones restored."""
         low = (text or "").lower()
-        out: set[str] = set()
-        for token in set(low.split()):
-            out.update(self.words(token))
+        out: Counter[str] = Counter()
+        for token, n in Counter(low.split()).items():
+            for word in self.words(token):
+                out[word] += n
         for run in SPACED.finditer(low):
             joined = re.sub(r"[ .\-_*]", "", run.group())
+            found: set[str] = set()
             for part in {joined, joined[1:], joined[:-1]}:  # a word of one letter may stand beside
-                out.update(self.words(part))
+                found.update(self.words(part))
                 for k in range(0, len(part), LONGEST // 2):
                     for word in self.decode(part[k:k + LONGEST]) if disguised(part) else [part[k:k + LONGEST]]:
-                        out.update(word[a:b] for a in range(len(word)) for b in range(a + 3, min(len(word), a + 16) + 1))
+                        found.update(word[a:b] for a in range(len(word)) for b in range(a + 3, min(len(word), a + 16) + 1))
+            out.update(found)
         return out
 
 
+def signs(words: Counter[str], heads: set[str] | None = None) -> set[str]:
+    """What a text is judged by: its words, and stems (as ``stem*level``) that make up at least a level's share
+    of its words. ``heads``: only stems that begin with one of these."""
+    total = sum(words.values())
+    stems: Counter[str] = Counter()
+    for word, n in words.items():
+        if len(word) >= STEM[0] and (heads is None or word[:STEM[0]] in heads):
+            for k in range(STEM[0], min(len(word), STEM[1]) + 1):
+                stems[word[:k]] += n
+    out = set(words)
+    for stem, n in stems.items():
+        if n > 1:
+            out.update(f"{stem}*{k}" for k, share in enumerate(SHARES) if n >= share * total)
+    return out
+
+
 def disguised(core: str) -> bool:
     """A letter and a character used for one, letters apart by marks, or a letter three times in a row."""
     if core.isalpha():
@@ -163,7 +184,7 @@ def disguised(core: str) -> bool:
 
 
 def word_counts(rows: DataFrame, tri: np.ndarray, bi: np.ndarray) -> DataFrame:
-    """(word, toxic, clean): documents of ``rows`` (id, text, y) that have the restored word, by label."""
+    """(word, toxic, clean): documents of ``rows`` (id, text, y) that have the sign, by label."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decoder, counts = Decoder(*model.value), (Counter(), Counter())
@@ -175,7 +196,7 @@ def word_counts(rows: DataFrame, tri: np.ndarray, bi: np.ndarray) -> DataFrame:
 
         for batch in batches:
             for text, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                counts[y].update(decoder.text_words(text))
+                counts[y].update(signs(decoder.text_words(text)))
                 if len(counts[0]) + len(counts[1]) > 400_000:
                     yield rows_out()
                     counts = (Counter(), Counter())
@@ -187,7 +208,7 @@ def word_counts(rows: DataFrame, tri: np.ndarray, bi: np.ndarray) -> DataFrame:
 
 
 def telling_words(counts: DataFrame, toxic: int, clean: int) -> list[str]:
-    """The MODEL_WORDS words, commoner in toxic documents, whose presence tells most (G2 of at least EVIDENCE)."""
+    """The MODEL_WORDS signs, commoner in toxic documents, whose presence tells most (G2 of at least EVIDENCE)."""
     def part(n, whole, of):
         expected = (F.col("toxic") + F.col("clean")) * F.lit(of / whole)
         return F.when(n > 0, n * F.log(n / expected)).otherwise(0.0)
@@ -208,7 +229,7 @@ def telling_words(counts: DataFrame, toxic: int, clean: int) -> list[str]:
     return [r["word"] for r in best.select("word").collect()]
 
 
-def fit_logistic(hits: list[list[int]], y: np.ndarray, n: int, ridge: float = 1.0, rounds: int = 400) -> tuple[float, np.ndarray]:
+def fit_logistic(hits: list[list[int]], y: np.ndarray, n: int, ridge: float = 0.05, rounds: int = 600) -> tuple[float, np.ndarray]:
     """(intercept, weights) of an L2-penalised logistic model over the presence of n features."""
     row = np.repeat(np.arange(len(hits)), [len(h) for h in hits])
     col = np.array([k for h in hits for k in h], np.int64)
@@ -236,25 +257,26 @@ def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, fit_row
     size = {r["y"]: r["n"] for r in rows.groupBy("y").agg(F.count("*").alias("n")).collect()}
     words = telling_words(word_counts(rows, *model), size.get(1, 0), size.get(0, 0))
     place = {w: k for k, w in enumerate(words)}
-    shared = spark.sparkContext.broadcast((model, place))
+    heads = {w[:STEM[0]] for w in words if "*" in w}
+    shared = spark.sparkContext.broadcast((model, place, heads))
 
     def hits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        (tri, bi), own = shared.value
+        (tri, bi), own, heads = shared.value
         decoder = Decoder(tri, bi)
         for batch in batches:
-            found = [sorted(own[w] for w in decoder.text_words(t) if w in own) for t in batch.column(0).to_pylist()]
+            found = [sorted(own[w] for w in signs(decoder.text_words(t), heads) if w in own) for t in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(found, pa.list_(pa.int32()))], ["y", "hits"])
 
     sample = rows.orderBy(F.xxhash64("id"), "id", F.xxhash64("text")).limit(fit_rows)
     fitted = sample.select("text", "y").mapInArrow(hits, "y int, hits array<int>").toPandas()
     weights = fit_logistic([list(h) for h in fitted["hits"]], fitted["y"].to_numpy(np.float64), len(words))
-    scorer = spark.sparkContext.broadcast((model, place, weights))
+    scorer = spark.sparkContext.broadcast((model, place, heads, weights))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        (tri, bi), own, (bias, w) = scorer.value
+        (tri, bi), own, heads, (bias, w) = scorer.value
         decoder = Decoder(tri, bi)
         for batch in batches:
-            z = [bias + float(sum(w[own[x]] for x in decoder.text_words(t) if x in own)) for t in batch.column(1).to_pylist()]
+            z = [bias + float(sum(w[own[x]] for x in sorted(signs(decoder.text_words(t), heads)) if x in own)) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(1 / (1 + np.exp(-np.clip(np.array(z, np.float64), -30, 30))))], ["doc_id", "score"])
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
