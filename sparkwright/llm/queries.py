@@ -16,6 +16,7 @@ from . import exact_dedup as op1
 from . import langid as op4
 from . import lines as op10
 from . import pieces as op2
+from . import pii as op3
 from . import quality as op6
 from . import simhash as op5
 from . import toxicity as op8
@@ -31,6 +32,13 @@ def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op2.decode(encoded).select("doc_id", F.size("pieces").cast("long").alias("n_pieces"), "pieces", "decoded")
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = op3.sanitise(table(spark, sf_dir, "documents"))
+    count = lambda kind: F.size(F.filter("base", lambda b: b["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return found.select("doc_id", *[count(kind) for kind in op3.PATTERNS], F.sha2(op3.spelled("base"), 256).alias("base_sha256"),
+                        op3.spelled("spans").alias("spans"), "sanitised")
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     return op4.language_id(docs).select(
@@ -62,6 +70,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_sentencepiece": op2_sentencepiece,
+    "op3_pii": op3_pii,
     "op4_language_id": op4_language_id,
     "op5_simhash": op5_simhash,
     "op6_quality": op6_quality,
