@@ -15,6 +15,7 @@ from . import contamination as op9
 from . import exact_dedup as op1
 from . import langid as op4
 from . import lines as op10
+from . import passages as op7
 from . import pieces as op2
 from . import pii as op3
 from . import quality as op6
@@ -53,6 +54,12 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op6.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("attention")
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = op7.repeated_passages(table(spark, sf_dir, "documents"))
+    spans = F.array_join(F.transform("passages", lambda s: F.concat_ws(":", s["start"], s["end"])), ",")
+    return found.select("doc_id", "class_id", "n_links", "n_repeated", spans.alias("passages"))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op8.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -74,6 +81,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_language_id": op4_language_id,
     "op5_simhash": op5_simhash,
     "op6_quality": op6_quality,
+    "op7_substring_dedup": op7_substring_dedup,
     "op8_toxicity": op8_toxicity,
     "op9_contamination": op9_contamination,
     "op10_line_dedup": op10_line_dedup,
