@@ -94,8 +94,10 @@ def partition_filters(cut_bits: int):
             new = batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
             prints, at = np.unique(np.concatenate([prints, new]), return_inverse=True)
             counts = np.bincount(at, np.append(counts, np.ones(len(new), np.int64)), len(prints)).astype(np.int64)
+        if not len(prints):
+            return
         cut = (prints >> np.uint64(REMAINDER_BITS + QUOTIENT_BITS - cut_bits)).astype(np.int64)
-        heads = np.flatnonzero(np.append(True, cut[1:] != cut[:-1])) if len(cut) else np.zeros(0, np.int64)
+        heads = np.flatnonzero(np.append(True, cut[1:] != cut[:-1]))
         blobs = [QuotientFilter.of(prints[a:b], counts[a:b], int(cut[a]) * quotients, quotients).to_bytes()
                  for a, b in zip(heads, np.append(heads[1:], len(cut)), strict=True)]
         yield pa.RecordBatch.from_arrays([pa.array(cut[heads], pa.int64()), pa.array(blobs, pa.binary())], ["cut", "filter"])
