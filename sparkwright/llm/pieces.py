@@ -22,10 +22,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import small
+
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 WORD = 31  # characters of a word after its space; longer ones are cut
-CHUNK_BYTES = 12 << 20
+CHUNK_BYTES = 8 << 20
 WORDS = f" ?[^ ]{{1,{WORD}}}| "
 # A packed edge, from the high bits: end (6), start (6), cost (31), id (20).
 ID_BITS, COST_BITS, AT_BITS = 20, 31, 6
@@ -79,12 +81,15 @@ def best_paths(words: DataFrame, keys: list[str], table: list[tuple[str, int, in
              .select("n", *keys, "word", F.explode(spans).alias("span"))
              .withColumn("piece", F.col("word").substr(start + 1, end - start)).join(F.broadcast(pieces), "piece", "left"))
     # A single character is an edge in any case, so every word has a path.
+    # Its first character's row carries the word, the others stay small: a chunk's rows are sorted in memory.
     found = found.where(F.col("id").isNotNull() | (end - start == 1))
+    word = F.when(F.col("span") == 64, F.col("word"))
     edge = (F.shiftleft(end.cast("long"), AT_BITS + COST_BITS + ID_BITS)
             + F.shiftleft(start.cast("long"), COST_BITS + ID_BITS)
             + F.shiftleft(F.coalesce("cost", F.lit(unknown)).cast("long"), ID_BITS)
             + F.coalesce("id", F.lit(NO_PIECE)).cast("long"))
-    grouped = found.groupBy("n", *keys, "word").agg(F.sort_array(F.collect_list(edge)).alias("edges"))
+    rows = found.select("n", *keys, word.alias("word"), edge.alias("edge"))
+    grouped = rows.groupBy("n", *keys).agg(F.max("word").alias("word"), F.sort_array(F.collect_list("edge")).alias("edges"))
     return grouped.select(*keys, "word", spelled(F.col("word"), viterbi(F.col("edges"), size), byte_ids).alias("ids"))
 
 
@@ -175,7 +180,7 @@ def decode(encoded: DataFrame, model: str = MODEL, pieces_col: str = "pieces") -
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = known.value
-        for batch in batches:
+        for batch in small(batches):
             texts = []
             for ids in batch.column(batch.schema.names.index(pieces_col)):
                 ids = ids.values.to_numpy() if ids.is_valid else None
