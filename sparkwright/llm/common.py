@@ -54,6 +54,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
 SLICE_BYTES = 4_000_000
 
 
+def small(batches: Iterator[pa.RecordBatch], most: int = 2_000_000) -> Iterator[pa.RecordBatch]:
+    """The batches in pieces of about ``most`` bytes, so that what a task makes of one stays small."""
+    for batch in batches:
+        step = max(1, batch.num_rows * most // max(1, batch.nbytes))
+        for i in range(0, batch.num_rows, step):
+            yield batch.slice(i, step)
+
+
 def slices(texts: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, end row, UTF-8 bytes, row offsets) of consecutive rows with about ``most`` bytes.
 

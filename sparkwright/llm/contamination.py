@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import gram_hashes, letter_words, lowered, slices, span_hashes, word_spans, written
+from .common import gram_hashes, letter_words, lowered, slices, small, span_hashes, word_spans, written
 
 SPAN = 13
 K = 7
@@ -126,7 +126,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, span: int = SPAN, k: in
                    "near_items")
 
     def extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             out = []
             for id_, text, own in zip(*(batch.column(c).to_pylist() for c in range(3)), strict=True):
                 words, grouped = words_of(text), {}

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import word_spans
+from .common import small, word_spans
 
 BUCKETS = 1 << 15
 SMOOTHING = 0.5
@@ -69,7 +69,7 @@ def parts_of(texts: list[str | None], most: int = 400_000) -> Iterator[tuple[int
 def count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(lang, text) -> (lang, bucket, n) of the partition."""
     counts: dict[str, np.ndarray] = {}
-    for batch in batches:
+    for batch in small(batches):
         langs, texts = (batch.column(c).to_pylist() for c in range(2))
         for i, j in parts_of(texts):
             grams, _, ends, first = letter_grams(texts[i:j])
@@ -165,7 +165,7 @@ def identify(docs: DataFrame, languages: list[str], model: np.ndarray, text_col:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, table = known.value
-        for batch in batches:
+        for batch in small(batches):
             texts = batch.column(batch.schema.names.index(text_col)).to_pylist()
             for i, j in parts_of(texts):
                 shares = infer(texts[i:j], table)

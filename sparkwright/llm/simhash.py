@@ -42,7 +42,7 @@ def fingerprint_rows(shingle: int):
 
         for batch in batches:
             ids, marks = batch.column(0), batch.column(1)
-            for i, j, data, off in slices(batch.column(2), 1_000_000):
+            for i, j, data, off in slices(batch.column(2), 300_000):
                 data = lowered(data)
                 starts, ends, first = word_spans(space_words(data), off)
                 # Words joined by single spaces, row by row: where each word starts and ends there.

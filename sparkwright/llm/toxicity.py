@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import small, written
 from .labelled import FIT_ROWS, for_learning
 from .langid import held_out, parts_of
 
@@ -47,7 +47,7 @@ def char_model(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tri, bi = np.zeros(TRI, np.int64), np.zeros(BI, np.int64)
-        for batch in batches:
+        for batch in small(batches):
             texts = batch.column(0).to_pylist()
             for i, j in parts_of(texts):
                 a, b, c = trigrams("\n".join((t or "").lower() for t in texts[i:j]))
@@ -194,7 +194,7 @@ def word_counts(rows: DataFrame, tri: np.ndarray, bi: np.ndarray) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(words, pa.string()), *(pa.array([counts[y][w] for w in words], pa.int64()) for y in (1, 0))],
                                               ["word", "toxic", "clean"])
 
-        for batch in batches:
+        for batch in small(batches):
             for text, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 counts[y].update(signs(decoder.text_words(text)))
                 if len(counts[0]) + len(counts[1]) > 400_000:
@@ -263,7 +263,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, fit_row
     def hits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         (tri, bi), own, heads = shared.value
         decoder = Decoder(tri, bi)
-        for batch in batches:
+        for batch in small(batches):
             found = [sorted(own[w] for w in signs(decoder.text_words(t), heads) if w in own) for t in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(found, pa.list_(pa.int32()))], ["y", "hits"])
 
@@ -275,7 +275,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, fit_row
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         (tri, bi), own, heads, (bias, w) = scorer.value
         decoder = Decoder(tri, bi)
-        for batch in batches:
+        for batch in small(batches):
             z = [bias + float(sum(w[own[x]] for x in sorted(signs(decoder.text_words(t), heads)) if x in own)) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(1 / (1 + np.exp(-np.clip(np.array(z, np.float64), -30, 30))))], ["doc_id", "score"])
 
