@@ -13,6 +13,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 MONEY = "decimal(18,2)"
+TOTAL = "decimal(38,2)"  # of sums
 
 
 def col_of(c: Column | str) -> Column:
@@ -24,8 +25,8 @@ def money(c: Column | str) -> Column:
 
 
 def money_sum(c: Column | str) -> Column:
-    """Exact sum of a decimal (or integer) column as decimal(18,2)."""
-    return F.sum(col_of(c).cast("decimal(38,2)")).cast(MONEY)
+    """Exact sum of a decimal (or integer) column as decimal(38,2)."""
+    return F.sum(col_of(c).cast(TOTAL)).cast(TOTAL)
 
 
 def rounded_mean(sql_expr: str, source_scale: int = 0, target_scale: int = 2) -> Column:

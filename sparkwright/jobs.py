@@ -19,6 +19,7 @@ from sparkwright.operators import quality as dq
 from sparkwright.operators import sales as sl
 from sparkwright.operators import tuning as tn
 from sparkwright.params import ApprovalParams
+from sparkwright.session import scratch_path
 from sparkwright.sinks import tables as sk
 from sparkwright.sources import readers as rd
 from sparkwright.streaming import arrival as st
@@ -32,8 +33,10 @@ def _first_row(df: DataFrame) -> dict:
 def approve_credit_cards(spark: SparkSession, applications_csv: str, accounts_path: str,
                          params: ApprovalParams = ApprovalParams(), as_of=None) -> dict:
     """Applications CSV -> tiered approval -> summary -> partial-update merge into accounts."""
-    applications = rd.read_applications(spark, applications_csv)
-    stats = _first_row(ap.ingest_stats(applications))            # fails on an empty file
+    # The CSV is parsed once; everything else reads what was landed.
+    landed = scratch_path(spark, "applications")
+    stats = ap.land_applications(rd.read_applications(spark, applications_csv), landed)   # fails on an empty file
+    applications = spark.read.parquet(landed)
     portfolio = ap.approve(applications, params)
     summary = _first_row(ap.approval_summary(portfolio))
     tiers = {r["income_tier"]: r["applications"] for r in ap.branches(applications, params).collect()}
@@ -84,26 +87,35 @@ def ingest_feed_file(spark: SparkSession, feed_csv: str, source_key: str, landin
     return {"rows_loaded": rows, "date_fixes_applied": fixes}
 
 
-def process_vendor_drops(spark: SparkSession, drop_glob: str, schema: str, payload_path: str, checkpoint: str,
-                         archive_dir: str | None = None, schema_version: str | None = None,
+def process_vendor_drops(spark: SparkSession, landing: str, types: dict[str, str], work_path: str,
+                         archive_dir: str | None = None, schema_version: str | None = None, by: str = "file",
                          max_files_per_batch: int | None = 1000) -> DataFrame:
-    """Count the records of every newly arrived drop (once), archive processed drops;
-    returns the per-drop totals so far. A backlog is processed in bounded micro-batches;
-    a drop split over batches is summed by ``drop_totals``."""
-    stream = st.arrival_stream(spark, drop_glob, schema, archive_dir=archive_dir,
-                               max_files_per_trigger=max_files_per_batch)
-    st.run_available(stream, lambda df, bid: st.write_batch(st.drop_payload(df, schema_version), payload_path, bid),
-                     checkpoint)
-    return st.drop_totals(spark.read.parquet(payload_path))
+    """Count the records of every file that newly arrived below ``landing`` (once), then archive all processed
+    files; returns the per-drop totals so far. A backlog is processed in bounded micro-batches; a drop of
+    several files (``by="directory"``) is summed by ``drop_totals``. Payloads, the names of processed files
+    and the stream's checkpoint are kept below ``work_path``."""
+    payloads, processed = f"{work_path}/payloads", f"{work_path}/processed"
+
+    def on_batch(batch, batch_id):
+        if batch.isEmpty():
+            return
+        st.write_batch(st.drop_payload(st.batch_rows(batch, types), schema_version, by), payloads, batch_id)
+        st.write_batch(batch, processed, batch_id)
+
+    pattern = landing if by == "file" else f"{landing}/*"
+    st.run_available(st.arrival_stream(spark, pattern, max_files_per_batch), on_batch, f"{work_path}/checkpoint")
+    if archive_dir is not None:
+        st.archive_processed(spark, spark.read.parquet(processed), landing, archive_dir)
+    return st.drop_totals(spark.read.parquet(payloads))
 
 
 def train_and_register(spark: SparkSession, documents: DataFrame, labels: DataFrame, registry_path: str,
                        rates=tn.LEARNING_RATES, as_of=None) -> dict:
-    """Features (checked) -> one model per learning rate in parallel -> best -> registry row."""
-    features = tn.prepare_features(documents, labels)
+    """Features (checked, written once) -> one model per learning rate -> best -> registry row."""
+    features = tn.write_features(tn.prepare_features(documents, labels), registry_path)
     dq.assert_clean(tn.feature_checks(features))
     profile = _first_row(tn.feature_profile(features))
-    model, scores = tn.tune_learning_rate(features, rates)
+    weights, scores = tn.tune_learning_rate(features, rates)
     best = tn.best_candidate(scores)
-    tn.register(model, best, registry_path, as_of=as_of)
+    tn.register(weights, best, registry_path, as_of=as_of)
     return {"features": profile, "scores": [r.asDict() for r in scores.collect()], "best": _first_row(best)}

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from sparkwright.functions.decimals import money_sum, rounded_mean
+from sparkwright.functions.decimals import TOTAL, money_sum, rounded_mean
 from sparkwright.params import PREMIUM, STANDARD, ApprovalParams
 
 PORTFOLIO_COLUMNS = ("application_id", "customer_name", "annual_income", "card_product",
@@ -46,7 +46,8 @@ def approve(df: DataFrame, params: ApprovalParams = ApprovalParams()) -> DataFra
     premium limit  = round(income * premium_rate, 2)
     standard limit = round(max(income * standard_rate, floor), 2); ``floor_applied``
     when income * standard_rate is strictly below the floor.
-    Limits are computed on exact decimals and returned as double.
+    Limits are computed on exact decimals, halves rounded away from zero, and returned as double. At the
+    default rates limits have no third decimal; at rates where they have, binary rounding may give another cent.
     """
     income = F.col("annual_income").cast("decimal(20,0)")
     premium_raw = income * F.lit(params.rate(PREMIUM))
@@ -79,7 +80,7 @@ def approval_summary(portfolio: DataFrame) -> DataFrame:
     limit = F.col("credit_limit").cast("decimal(18,2)")
     return portfolio.agg(
         F.count(F.lit(1)).alias("total_accounts"),
-        F.coalesce(money_sum(limit), F.lit(0).cast("decimal(18,2)")).alias("total_credit_volume"),
+        F.coalesce(money_sum(limit), F.lit(0).cast(TOTAL)).alias("total_credit_volume"),
         rounded_mean("CAST(credit_limit AS DECIMAL(18,2))", 2, 2).alias("avg_credit_limit"),
     )
 

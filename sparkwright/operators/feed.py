@@ -57,19 +57,29 @@ def repair_landing(spark: SparkSession, landing_path: str, source_file: str, sta
     The landing table is partitioned by ``_source_file``, so only that partition is
     read (partition pruning) and rewritten. The repaired rows are first written to
     ``staging_path`` (a path cannot be overwritten while it is being read), then
-    replace the file's partition by dynamic partition overwrite. Returns the number
-    of rows that needed repair. A failed run can simply be repeated (the staged
-    rows are rewritten). ``column`` mode is idempotent; ``row`` mode, like the source
+    replace the file's partition by dynamic partition overwrite, and are deleted. Returns the number
+    of rows that needed repair. A failed run can simply be repeated: staged rows that are complete (``_SUCCESS``)
+    are published first, so a partition that was removed but not replaced comes
+    back. ``column`` mode is idempotent; ``row`` mode, like the source
     UPDATE, treats a NULL date as bad on every run, so another run also clears an
     ISO companion of a NULL.
     """
+    path_of = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = path_of(staging_path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+    def publish() -> None:
+        (spark.read.parquet(staging_path).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("_source_file").parquet(landing_path))
+        fs.delete(path_of(staging_path), True)
+
+    if fs.exists(path_of(staging_path, "_SUCCESS")):
+        publish()
     rows = spark.read.parquet(landing_path).filter(F.col("_source_file") == F.lit(source_file))
     bad = rows.agg(F.count(F.when(needs_repair(cols), F.lit(1))).alias("n")).first()["n"]
     if bad == 0:
         return 0
     normalize_dates(rows, cols, mode=mode).write.mode("overwrite").parquet(staging_path)
-    (spark.read.parquet(staging_path).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy("_source_file").parquet(landing_path))
+    publish()
     return int(bad)
 
 

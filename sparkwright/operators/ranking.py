@@ -1,9 +1,6 @@
 """RANK() within a key, without putting a whole key group into one task.
 
-A window partitioned by the key sorts each key group inside one task. That is the
-cheapest plan (one shuffle) as long as every group is bounded, so ``rank_within``
-first measures the largest key group with one partial aggregate; when it is within
-``max_group_rows`` the plain window is used. Otherwise (a hot key):
+A window partitioned by the key sorts each key group inside one task, which a hot key makes as large as its group.
 
 ``RANK() OVER (PARTITION BY key ORDER BY o DESC)`` only depends on how many rows of
 the same key sort strictly before a row, so it is computed from counts per
@@ -33,28 +30,11 @@ from pyspark.sql import functions as F
 from sparkwright.session import ensure_checkpoint_dir
 
 
-# Largest key group (rows) that one task may sort for a plain window.
-MAX_GROUP_ROWS = 5_000_000
-
-
-def largest_group(df: DataFrame, key: str) -> int:
-    """Rows of the largest key group (NULL key included), from one partial aggregate."""
-    return int(df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0] or 0)
-
-
 def rank_within(df: DataFrame, key: str, order_col: str, out: str = "rank",
-                descending: bool = True, max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+                descending: bool = True) -> DataFrame:
     """``df`` plus ``out`` = RANK() OVER (PARTITION BY key ORDER BY order_col [DESC] NULLS FIRST)."""
     o = F.col(order_col)
     o_sort = o.desc_nulls_first() if descending else o.asc_nulls_first()
-    if largest_group(df, key) <= max_group_rows:
-        w = Window.partitionBy(key).orderBy(o_sort)
-        return df.withColumn(out, F.rank().over(w).cast("bigint"))
-    return _rank_spread(df, key, order_col, out, o_sort)
-
-
-def _rank_spread(df: DataFrame, key: str, order_col: str, out: str, o_sort) -> DataFrame:
-    """The hot-key plan (steps 1-5 of the module doc)."""
     ensure_checkpoint_dir(df.sparkSession)
 
     counts = df.groupBy(key, order_col).agg(F.count(F.lit(1)).alias("_n"))

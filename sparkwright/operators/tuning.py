@@ -1,13 +1,15 @@
-"""Feature preparation, learning-rate tuning and model registration with Spark ML.
+"""Feature preparation, learning-rate tuning and model registration.
 
 * ``prepare_features``: documents joined to their labels, checked (required columns,
-  no NULL features) and turned into numeric features with built-in functions.
-* ``tune_learning_rate``: one gradient-boosted-tree fit per learning rate, the fits
-  run in parallel (``TrainValidationSplit(parallelism=...)``), each scored by
-  accuracy on the same held-out split.
+  no NULL features) and turned into numeric features with built-in functions;
+  ``write_features`` stores the set once for all that reads it.
+* ``tune_learning_rate``: one logistic model per learning rate by full-batch gradient descent. Each round is one
+  aggregate over the training rows that serves all rates; only its twelve sums reach the driver. Features
+  and predictions are rounded to integers and summed exactly, and weights are rounded after each step, so the
+  result doesn't depend on how the rows are laid out. Rows are split by their id; the models are scored by exact
+  accuracy on the held-out rows.
 * ``best_candidate``: the highest accuracy; the first rate in grid order wins ties.
-* ``register``: saves the winning model under a new version and appends one
-  registry row.
+* ``register``: saves the winning model's weights under a new version and appends one registry row.
 """
 
 from __future__ import annotations
@@ -15,26 +17,26 @@ from __future__ import annotations
 import math
 import os
 
-from pyspark.ml import Pipeline
-from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkwright.operators.quality import Check, dq_report
 from sparkwright.sinks.tables import path_exists
 
-# The learning-rate grid of the tuning step and the registered model name.
+# Fixed value: the learning-rate grid of the tuning step.
 LEARNING_RATES = (0.01, 0.05, 0.1)
-MODEL_NAME = "churn_classifier"
+MODEL_NAME = "document_quality"
 
 FEATURES = ("n_chars", "n_words", "n_digits")
-TRAIN_PARTITION_BYTES = 64 * 1024 ** 2
 WORD = r"[^ \t\n\r\f\x0B]+"  # a maximal run of non-whitespace characters
 DIGIT = r"[0-9]"
 
+ROUNDS = 8
+STEP = 50.0  # the learning rates' scale
+UNIT = 100_000  # a feature is round(ln(1 + value) / 10 * UNIT)
+CHANCE = 1_000_000  # a prediction is round(probability * CHANCE)
+FOLDS = 4  # rows whose id modulo FOLDS is FOLDS - 1 are held out
+
 
 def prepare_features(docs: DataFrame, labels: DataFrame, label_col: str = "quality") -> DataFrame:
     """doc_id, label and numeric text features for every labelled document."""
@@ -53,6 +55,13 @@ def prepare_features(docs: DataFrame, labels: DataFrame, label_col: str = "quali
     return joined.select("doc_id", "label", *FEATURES)
 
 
+def write_features(features: DataFrame, root: str) -> DataFrame:
+    """Stores the feature set at ``root``/features and returns a read of it."""
+    path = os.path.join(root, "features")
+    features.write.mode("overwrite").parquet(path)
+    return features.sparkSession.read.schema(features.schema).parquet(path)
+
+
 def feature_checks(features: DataFrame) -> DataFrame:
     """Validation report of the feature set (NULL features / labels, duplicate ids)."""
     checks = [Check(c, "not_null") for c in ("doc_id", "label", *FEATURES)] + [Check("doc_id", "unique")]
@@ -60,55 +69,56 @@ def feature_checks(features: DataFrame) -> DataFrame:
 
 
 def feature_profile(features: DataFrame) -> DataFrame:
-    """rows and feature_count of the prepared set (one row)."""
-    return features.agg(F.count(F.lit(1)).alias("rows"), F.lit(len(FEATURES)).alias("feature_count"))
+    """rows, feature_count and path (below the registry) of the prepared set (one row)."""
+    return features.agg(F.count(F.lit(1)).alias("rows"), F.lit(len(FEATURES)).alias("feature_count"),
+                        F.lit("features").alias("path"))
 
 
-def _row_width(df: DataFrame) -> int:
-    """Bytes per row of an all-numeric frame: 8 per column plus row overhead."""
-    return 8 * len(df.columns) + 16
+def _whole(c):
+    """Halves up to the next integer, as bigint."""
+    return F.floor(c + 0.5).cast("bigint")
 
 
-def _estimator(seed: int = 7):
-    assembler = VectorAssembler(inputCols=list(FEATURES), outputCol="features")
-    gbt = GBTClassifier(labelCol="label_d", featuresCol="features", maxIter=10, maxDepth=3, seed=seed)
-    return Pipeline(stages=[assembler, gbt]), gbt
+def _score(weights: tuple[float, ...]):
+    z = F.lit(weights[0])
+    for w, name in zip(weights[1:], FEATURES):
+        z = z + F.lit(w) * (F.col(f"x_{name}") / F.lit(float(UNIT)))
+    return z
 
 
-def tune_learning_rate(features: DataFrame, rates=LEARNING_RATES, parallelism: int = 3, seed: int = 7):
-    """Fit one model per rate; returns (best pipeline model, scores DataFrame).
+def tune_learning_rate(features: DataFrame, rates=LEARNING_RATES, rounds: int = ROUNDS) -> tuple[dict[float, tuple[float, ...]], DataFrame]:
+    """Fit one model per rate; returns ({rate: weights, intercept first}, scores DataFrame).
 
-    scores: learning_rate, accuracy (rounded to 4 places), grid_order.
+    scores: learning_rate, accuracy (rounded to 4 places; NULL without held-out rows), grid_order. Rows with a NULL
+    label, id or feature are left out. ``features`` is read once a round: give a stored set.
     """
-    # The split, every fit and every evaluation read the labelled features; persist them
-    # once so the text features are not recomputed per pass (lost blocks recompute).
-    base = features.select("label", *FEATURES).withColumn("label_d", F.col("label").cast("double")).persist()
-    # Each boosting round is a few small jobs over the training set, so its partition
-    # count follows its measured volume (about TRAIN_PARTITION_BYTES each) instead of
-    # the upstream shuffle width: a few thousand rows are one partition, a large set
-    # keeps many.
-    rows = base.count()
-    wanted = max(1, math.ceil(rows * _row_width(base) / TRAIN_PARTITION_BYTES))
-    data = base.coalesce(wanted) if wanted < base.rdd.getNumPartitions() else base
-    pipeline, gbt = _estimator(seed)
-    grid = ParamGridBuilder().addGrid(gbt.stepSize, list(rates)).build()
-    evaluator = MulticlassClassificationEvaluator(labelCol="label_d", metricName="accuracy")
-    tvs = TrainValidationSplit(estimator=pipeline, estimatorParamMaps=grid, evaluator=evaluator,
-                               trainRatio=0.75, parallelism=parallelism, seed=seed)
-    try:
-        fitted = tvs.fit(data)
-    finally:
-        base.unpersist()
-    spark = features.sparkSession
-    scores = spark.createDataFrame(
-        [(float(r), float(m), i) for i, (r, m) in enumerate(zip(rates, fitted.validationMetrics))],
-        "learning_rate double, accuracy double, grid_order int",
-    ).withColumn("accuracy", F.round("accuracy", 4))
-    return fitted.bestModel, scores
-
-
-def candidate_scores(features: DataFrame, rates=LEARNING_RATES, parallelism: int = 3) -> DataFrame:
-    return tune_learning_rate(features, rates, parallelism)[1]
+    rows = features.dropna(subset=["doc_id", "label", *FEATURES]).select(
+        F.pmod("doc_id", F.lit(FOLDS)).alias("fold"), F.col("label").cast("bigint").alias("y"),
+        *[_whole(F.log(F.col(c) + 1.0) / 10.0 * float(UNIT)).alias(f"x_{c}") for c in FEATURES])
+    train, held_out = rows.where(F.col("fold") < FOLDS - 1), rows.where(F.col("fold") == FOLDS - 1)
+    weights = {r: (0.0,) * (len(FEATURES) + 1) for r in rates}
+    exact = "decimal(38,0)"
+    for _ in range(rounds):
+        sums = [F.count(F.lit(1)).alias("n")]
+        for k, r in enumerate(rates):
+            error = _whole(F.lit(float(CHANCE)) / (F.lit(1.0) + F.exp(-_score(weights[r])))) - F.col("y") * CHANCE
+            sums.append(F.sum(error.cast(exact)).alias(f"g{k}_0"))
+            sums += [F.sum((error * F.col(f"x_{c}")).cast(exact)).alias(f"g{k}_{j}") for j, c in enumerate(FEATURES, 1)]
+        got = train.agg(*sums).first()
+        if not got["n"]:
+            break
+        for k, r in enumerate(rates):
+            new = []
+            for j, w in enumerate(weights[r]):
+                unit = float(CHANCE) * (float(UNIT) if j else 1.0)
+                moved = w - r * STEP * (float(got[f"g{k}_{j}"]) / unit / float(got["n"]))
+                new.append(math.floor(moved * 1e6 + 0.5) / 1e6)
+            weights[r] = tuple(new)
+    n = F.count(F.lit(1))
+    right = [F.sum(((_score(weights[r]) >= 0).cast("bigint") == F.col("y")).cast("bigint")).alias(f"r{k}") for k, r in enumerate(rates)]
+    got = held_out.agg(n.alias("n"), *right).first()
+    scores = [(float(r), math.floor(got[f"r{k}"] * 10000.0 / got["n"] + 0.5) / 10000.0 if got["n"] else None, k) for k, r in enumerate(rates)]
+    return weights, features.sparkSession.createDataFrame(scores, "learning_rate double, accuracy double, grid_order int")
 
 
 def best_candidate(scores: DataFrame) -> DataFrame:
@@ -123,17 +133,21 @@ def mock_candidate_scores(grid: DataFrame) -> DataFrame:
     return grid.withColumn("accuracy", F.round(F.lit(0.91) - F.abs(F.col("learning_rate") - F.lit(0.05)) * 2, 4))
 
 
-def register(model, best: DataFrame, registry_path: str, name: str = MODEL_NAME, as_of=None) -> DataFrame:
-    """Save ``model`` as the next version and append its registry row; returns the registry."""
+def register(weights: dict[float, tuple[float, ...]], best: DataFrame, registry_path: str, name: str = MODEL_NAME, as_of=None) -> DataFrame:
+    """Save the model of ``best``'s rate as the next version and append its registry row (model_path is relative to
+    the registry); returns the registry."""
     spark = best.sparkSession
     rows_path = os.path.join(registry_path, "registry")
     version = 1
     if path_exists(spark, rows_path):
         version = (spark.read.parquet(rows_path).agg(F.max("version")).first()[0] or 0) + 1
-    model_path = os.path.join(registry_path, "models", name, f"v{version:04d}")
-    model.write().overwrite().save(model_path)
+    winner = best.first()
+    model_path = f"models/{name}/v{version:04d}"
+    spark.createDataFrame(list(zip(("intercept", *FEATURES), weights[winner["learning_rate"]])), "term string, weight double") \
+        .write.mode("overwrite").parquet(os.path.join(registry_path, model_path))
     stamp = F.lit(as_of).cast("timestamp_ntz") if as_of is not None else F.localtimestamp()
-    (best.select(F.lit(name).alias("model_name"), F.lit(version).alias("version"),
-                 F.lit(model_path).alias("model_path"), "learning_rate", "accuracy", stamp.alias("registered_at"))
+    (spark.createDataFrame([winner], "learning_rate double, accuracy double")
+     .select(F.lit(name).alias("model_name"), F.lit(version).alias("version"),
+             F.lit(model_path).alias("model_path"), "learning_rate", "accuracy", stamp.alias("registered_at"))
      .write.mode("append").parquet(rows_path))
     return spark.read.parquet(rows_path)

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from sparkwright.functions.paths import cold_path, decrypted_name
 from sparkwright.functions.useragent import BROWSER_VALUES
+from sparkwright.jobs import process_vendor_drops
 from sparkwright.operators import approvals as ap
 from sparkwright.operators import clickstream as cs
 from sparkwright.operators import feed as fd
@@ -27,7 +28,7 @@ from sparkwright.sinks import tables as sk
 from sparkwright.sources import fixtures as fx
 from sparkwright.sources import readers as rd
 from sparkwright.streaming import arrival as st
-from sparkwright.streaming.feed import feed_batch_writer
+from sparkwright.streaming.feed import ingest_feed
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -110,6 +111,21 @@ def q_route_standard(spark, sf_dir):
     return ap.route_standard(fx.applications(spark, sf_dir))
 
 
+# A configuration as the runs get it: JSON that replaces every default.
+CONFIG_JSON = """{"premium_income_threshold": 60000, "premium_rate": 0.1, "standard_rate": 0.05,
+                  "standard_floor": 1000, "card_products": {"premium": "Gold", "standard": "Basic"}}"""
+
+
+def q_approve_with_config(spark, sf_dir):
+    return ap.approve(fx.applications(spark, sf_dir), ApprovalParams.from_json(CONFIG_JSON))
+
+
+def q_combine_portfolios(spark, sf_dir):
+    """The branches approved apart and put together again (a bag union)."""
+    apps = fx.applications(spark, sf_dir)
+    return ap.combine_portfolios(ap.approve(ap.route_premium(apps)), None, ap.approve(ap.route_standard(apps)))
+
+
 def q_upsert_accounts(spark, sf_dir):
     """Earlier run (other parameters, all segments but one) merged, then today's run."""
     path = scratch_path(spark, "credit_accounts")
@@ -148,8 +164,31 @@ def q_insert_metrics_twice(spark, sf_dir):
     return spark.read.parquet(path)
 
 
+def q_append_raw_clickstream(spark, sf_dir):
+    """A raw drop with other column order and one column more, read by name and appended to the raw table."""
+    drop, path = scratch_path(spark, "raw_drop"), scratch_path(spark, "raw_clickstream")
+    click = fx.clickstream(spark, sf_dir)
+    click.select(F.lit("web").alias("channel"), *reversed(click.columns)).write.parquet(drop)
+    sk.append_table(rd.read_clickstream(spark, drop), path)
+    return spark.read.parquet(path)
+
+
 # --------------------------------------------------------------------------- sales
 
+def q_report_fan_out(spark, sf_dir):
+    """The three reports over one stored sales table, as (dimension, label, n, amount)."""
+    path = scratch_path(spark, "sales")
+    fx.sales(spark, sf_dir).write.parquet(path)  # the joins run once, not once a report
+    reports = sl.report_fan_out(spark.read.parquet(path), ["by_store", "by_product", "by_day_of_week"])
+    out = None
+    for dimension, df in reports.items():
+        label, n, amount = df.columns
+        part = df.select(F.lit(dimension).alias("dimension"), F.col(label).cast("string").alias("label"),
+                         F.col(n).alias("n"), F.col(amount).cast("decimal(38,2)").alias("amount"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def q_top_customers_by_revenue(spark, sf_dir):
     return sl.top_customers_by_revenue(fx.sales(spark, sf_dir))
 
@@ -185,6 +224,19 @@ def q_landing_with_lineage(spark, sf_dir):
     return spark.read.schema(landed.schema).parquet(path)
 
 
+FEED_FILES = 3  # the landing table holds the feed as so many files
+
+
+def q_repair_landing(spark, sf_dir):
+    """One file of several in the landing table is repaired; the others stay as they are."""
+    path = scratch_path(spark, "landing_zone")
+    rows = fx.landing(spark, sf_dir).withColumn("_source_file", F.concat(
+        F.lit("orders_"), (F.col("o_orderkey") % FEED_FILES).cast("string"), F.lit(".csv")))
+    sk.write_reconciled(rows, path, partition_by=["_source_file"])
+    fd.repair_landing(spark, path, "orders_1.csv", scratch_path(spark, "landing_repair"))
+    return spark.read.parquet(path)
+
+
 def q_bad_date_count(spark, sf_dir):
     landed = _landed(spark, sf_dir)
     return fd.bad_date_count(landed, source_file=decrypted_name(FEED_KEY))
@@ -221,75 +273,107 @@ def q_dq_unique(spark, sf_dir):
     return dq.unique(q_customer_metrics(spark, sf_dir), "customer_id", MART)
 
 
+def q_dq_unique_repeats(spark, sf_dir):
+    return dq.unique(q_staged_clickstream(spark, sf_dir), "order_id", STG)
+
+
 def q_dq_accepted_values(spark, sf_dir):
     return dq.accepted_values(q_staged_clickstream(spark, sf_dir), "browser", BROWSER_VALUES, STG)
 
 
+def q_dq_accepted_values_violated(spark, sf_dir):
+    return dq.accepted_values(q_staged_clickstream(spark, sf_dir), "browser", ("Chrome", "Safari"), STG)
+
+
 def q_dq_report(spark, sf_dir):
     staged = q_staged_clickstream(spark, sf_dir)
-    mart = cs.customer_metrics(staged)
+    path = scratch_path(spark, "checked_mart")
+    cs.customer_metrics(staged).write.parquet(path)  # the checks read the mart that was written
+    mart = spark.read.parquet(path)
     return dq.dq_report(staged, STG, dq.STAGING_CHECKS).unionByName(dq.dq_report(mart, MART, dq.MART_CHECKS))
 
 
 # --------------------------------------------------------------------------- streaming
 
-VENDOR_SCHEMA = "event_id bigint, ts string, user_id bigint, event_type string, value double"
-FEED_SCHEMA = "o_orderkey bigint, order_date string, ship_date string"
+VENDOR_TYPES = {"event_id": "bigint", "ts": "string", "user_id": "bigint", "event_type": "string", "value": "double"}
+FEED_TYPES = {"o_orderkey": "bigint", "order_date": "string", "ship_date": "string"}
 # Fixed value: the schema version reported for vendor drops.
 SCHEMA_VERSION = "v3"
-DROPS = 3  # the vendor table arrives as three drops; the last one after the first run
+DROPS = 3  # the vendor table arrives as three files; the last one after the first run
 
 
-def _land_vendor_drop(spark, sf_dir, landing: str, k: int) -> None:
-    events = fx.table(spark, sf_dir, "events").drop("props")
-    (events.filter(F.col("event_id") % DROPS == k)
-     .write.option("header", True).csv(f"{landing}/vendor_data_{k}.csv"))
+def _land_plain(df: DataFrame, path: str) -> None:
+    """``df`` as one plain CSV file with a header at ``path``, which appears there whole."""
+    parts = f"{path}-parts".replace("/landing/", "/outside/")
+    df.coalesce(1).write.option("header", True).option("escape", '"').csv(parts)
+    spark = df.sparkSession
+    path_of = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = path_of(parts).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    part = next(s.getPath() for s in fs.listStatus(path_of(parts)) if s.getPath().getName().startswith("part-"))
+    fs.mkdirs(path_of(path).getParent())
+    fs.rename(part, path_of(path))
 
 
-def _vendor_runs(spark, sf_dir, archive: bool):
-    base = scratch_path(spark, "vendor_drop")
-    landing, sink = f"{base}/landing", f"{base}/payloads"
-    archive_dir = f"{base}/archive" if archive else None
+def _land_vendor_drop(spark, sf_dir, landing: str, k: int) -> None:
+    """Drop 1 has its columns in another order, drop 2 line breaks within a quoted field."""
+    events = fx.table(spark, sf_dir, "events").filter(F.col("event_id") % DROPS == k)
+    columns = list(VENDOR_TYPES)
+    if k == 1:
+        columns = [*reversed(columns), "props"]
+    if k == 2:
+        events = events.withColumn("event_type", F.concat("event_type", F.lit("\nsecond line")))
+    _land_plain(events.select(*columns), f"{landing}/vendor_data_{k}.csv")
 
-    def on_batch(batch, batch_id):
-        st.write_batch(st.drop_payload(batch, SCHEMA_VERSION), sink, batch_id)
 
+def _vendor_runs(spark, sf_dir):
+    base = scratch_path(spark, "vendor_drop")
+    totals = None
     for arrivals in ((0, 1), (2,)):
         for k in arrivals:
-            _land_vendor_drop(spark, sf_dir, landing, k)
-        stream = st.arrival_stream(spark, f"{landing}/*", VENDOR_SCHEMA, archive_dir=archive_dir)
-        st.run_available(stream, on_batch, f"{base}/checkpoint")
-    return base, sink, archive_dir
+            _land_vendor_drop(spark, sf_dir, f"{base}/landing", k)
+        totals = process_vendor_drops(spark, f"{base}/landing", VENDOR_TYPES, f"{base}/work", f"{base}/archive",
+                                      SCHEMA_VERSION, max_files_per_batch=1)
+    return base, totals
 
 
 def q_vendor_drop_counts(spark, sf_dir):
-    """Drops arrive in two waves; each file is counted once across both runs."""
-    _, sink, _ = _vendor_runs(spark, sf_dir, archive=False)
-    return st.drop_totals(spark.read.parquet(sink))
+    """Drops arrive in two waves, a file a batch; each file is counted once across both runs."""
+    return _vendor_runs(spark, sf_dir)[1]
 
 
 def q_archive_processed(spark, sf_dir):
-    """Drops moved to the archive, with their record counts and cold-storage path.
-
-    A processed file is archived when the next micro-batch starts, so after the
-    second wave the drops of the first wave are archived and the last drop is not.
-    """
-    _, _, archive_dir = _vendor_runs(spark, sf_dir, archive=True)
-    archived = (spark.read.schema(VENDOR_SCHEMA).option("header", True)
-                .option("recursiveFileLookup", True).csv(archive_dir).select("*", "_metadata"))
+    """Drops moved to the archive, with their record counts and cold-storage path."""
+    base, _ = _vendor_runs(spark, sf_dir)
+    archived = rd.read_csv_text(spark, f"{base}/archive").select("_metadata")
     return (archived.groupBy(st.drop_name().alias("file")).agg(F.count(F.lit(1)).alias("record_count"))
             .select("file", "record_count", cold_path("file").alias("cold_path")))
 
 
-def q_streaming_feed_ingest(spark, sf_dir):
-    """The feed lands as a file; the stream lands, repairs and audits it."""
+def _stream_feed(spark, sf_dir):
+    """The feed as three plain files: the second in another column order, the third with a line break in its junk
+    dates; a file a batch."""
     base = scratch_path(spark, "feed_stream")
-    drop_dir = f"{base}/drops/{decrypted_name(FEED_KEY)}"
-    fx.landing(spark, sf_dir).write.option("header", True).csv(drop_dir)
-    landing_path, audit_path = f"{base}/landing", f"{base}/audit"
-    stream = st.arrival_stream(spark, f"{base}/drops/*", FEED_SCHEMA)
-    st.run_available(stream, feed_batch_writer(landing_path, audit_path, AS_OF), f"{base}/checkpoint")
-    return spark.read.parquet(landing_path).select("o_orderkey", "order_date", "ship_date")
+    feed = fx.landing(spark, sf_dir)
+    for k in range(FEED_FILES):
+        own = feed.filter(F.col("o_orderkey") % FEED_FILES == k)
+        if k == 1:
+            own = own.select("ship_date", "o_orderkey", "order_date")
+        if k == 2:
+            own = own.withColumn("order_date", F.regexp_replace("order_date", "not-a-date", "not a\ndate"))
+        _land_plain(own, f"{base}/landing/orders_{k}.csv")
+    audits = ingest_feed(spark, f"{base}/landing", FEED_TYPES, f"{base}/rows", f"{base}/audit", f"{base}/checkpoint",
+                         AS_OF, max_files_per_batch=1)
+    return spark.read.parquet(f"{base}/rows"), audits
+
+
+def q_streaming_feed_ingest(spark, sf_dir):
+    """The stream lands and repairs the files that arrived."""
+    return _stream_feed(spark, sf_dir)[0].select("o_orderkey", "order_date", "ship_date")
+
+
+def q_streaming_feed_audit(spark, sf_dir):
+    """One audit row a file."""
+    return _stream_feed(spark, sf_dir)[1]
 
 
 # --------------------------------------------------------------------------- ML
@@ -299,22 +383,33 @@ def _features(spark, sf_dir):
     return tn.prepare_features(docs, labels)
 
 
+def _stored_features(spark, sf_dir):
+    root = scratch_path(spark, "model_registry")
+    return root, tn.write_features(_features(spark, sf_dir), root)
+
+
 def q_prepare_features(spark, sf_dir):
     return _features(spark, sf_dir)
 
 
+def q_feature_set(spark, sf_dir):
+    """The stored feature set's rows, feature count and place."""
+    return tn.feature_profile(_stored_features(spark, sf_dir)[1])
+
+
 def q_candidate_scores(spark, sf_dir):
-    return tn.candidate_scores(_features(spark, sf_dir)).drop("grid_order")
+    return tn.tune_learning_rate(_stored_features(spark, sf_dir)[1])[1].drop("grid_order")
 
 
 def q_best_candidate(spark, sf_dir):
-    return tn.best_candidate(tn.candidate_scores(_features(spark, sf_dir)))
+    return tn.best_candidate(tn.tune_learning_rate(_stored_features(spark, sf_dir)[1])[1])
 
 
 def q_tune_learning_rate(spark, sf_dir):
     """Tune, pick the winner, save it and append the registry row."""
-    model, scores = tn.tune_learning_rate(_features(spark, sf_dir))
-    return tn.register(model, tn.best_candidate(scores), scratch_path(spark, "model_registry"), as_of=AS_OF)
+    root, features = _stored_features(spark, sf_dir)
+    weights, scores = tn.tune_learning_rate(features)
+    return tn.register(weights, tn.best_candidate(scores), root, as_of=AS_OF)
 
 
 QUERIES: dict[str, Query] = {
@@ -324,6 +419,8 @@ QUERIES: dict[str, Query] = {
     "ingest_stats": q_ingest_stats,
     "route_premium": q_route_premium,
     "route_standard": q_route_standard,
+    "approve_with_config": q_approve_with_config,
+    "combine_portfolios": q_combine_portfolios,
     "upsert_accounts": q_upsert_accounts,
     "staged_clickstream": q_staged_clickstream,
     "staged_clickstream_b": q_staged_clickstream_b,
@@ -333,23 +430,30 @@ QUERIES: dict[str, Query] = {
     "order_recency_rank": q_order_recency_rank,
     "merge_customer_metrics": q_merge_customer_metrics,
     "insert_metrics_twice": q_insert_metrics_twice,
+    "append_raw_clickstream": q_append_raw_clickstream,
     "top_customers_by_revenue": q_top_customers_by_revenue,
     "top_products_by_units": q_top_products_by_units,
     "sales_by_day_of_week": q_sales_by_day_of_week,
     "table_row_count": q_table_row_count,
+    "report_fan_out": q_report_fan_out,
     "landing_with_lineage": q_landing_with_lineage,
+    "repair_landing": q_repair_landing,
     "bad_date_count": q_bad_date_count,
     "normalize_dates": q_normalize_dates,
     "normalize_dates_by_column": q_normalize_dates_by_column,
     "ingest_audit": q_ingest_audit,
     "dq_not_null": q_dq_not_null,
     "dq_unique": q_dq_unique,
+    "dq_unique_repeats": q_dq_unique_repeats,
     "dq_accepted_values": q_dq_accepted_values,
+    "dq_accepted_values_violated": q_dq_accepted_values_violated,
     "dq_report": q_dq_report,
     "vendor_drop_counts": q_vendor_drop_counts,
     "streaming_feed_ingest": q_streaming_feed_ingest,
+    "streaming_feed_audit": q_streaming_feed_audit,
     "archive_processed": q_archive_processed,
     "prepare_features": q_prepare_features,
+    "feature_set": q_feature_set,
     "candidate_scores": q_candidate_scores,
     "best_candidate": q_best_candidate,
     "tune_learning_rate": q_tune_learning_rate,

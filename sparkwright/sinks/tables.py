@@ -20,10 +20,13 @@ concurrent merges would both claim the next version number.
 from __future__ import annotations
 
 import os
+import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from sparkwright.functions.sizes import BROADCAST_BYTES, row_bytes
+
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether ``path`` exists, asked of the Hadoop file system that serves it."""
@@ -47,23 +50,40 @@ def append_table(df: DataFrame, path: str, partition_by: list[str] | None = None
     return int(obs.get["rows"])
 
 
-def write_reconciled(df: DataFrame, path: str, partition_by: list[str] | None = None,
-                     mode: str = "append") -> int:
-    """Write ``df`` to a fresh (or append-only) parquet path and check the write landed.
+def write_reconciled(df: DataFrame, path: str, partition_by: list[str] | None = None) -> int:
+    """Append ``df`` to the parquet files at ``path``, having checked the write.
 
-    Rows observed while writing must equal the rows readable from the files this
-    write added (counted from parquet metadata, without scanning the data).
+    The rows are first written to a staging folder of this write (readers of ``path`` skip it); rows observed while
+    writing must equal the rows readable from it (counted from parquet metadata). Only then its files move
+    to ``path``. Neither the table's history nor another writer's files are counted.
     """
     spark = df.sparkSession
-    before = spark.read.parquet(path).count() if path_exists(spark, path) else 0
-    written = append_table(df, path, partition_by=partition_by, mode=mode)
-    after = spark.read.parquet(path).count()
-    landed = after - (before if mode == "append" else 0)
+    staging = os.path.join(path, f"_staging-{uuid.uuid4().hex}")
+    written = append_table(df, staging, partition_by=partition_by)
+    landed = spark.read.schema(df.schema).parquet(staging).count()
     if landed != written:
         raise IOError(f"write to {path} reported {written} rows but {landed} are readable")
+    _move_files(spark, staging, path)
     return written
 
 
+def _move_files(spark: SparkSession, source: str, target: str) -> None:
+    """Moves the data files below ``source`` to the same places below ``target`` and deletes ``source``."""
+    path_of = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    root = path_of(source)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    base = fs.makeQualified(root).toUri().getPath()
+    files = fs.listFiles(root, True)
+    while files.hasNext():
+        file = files.next().getPath()
+        if not file.getName().startswith(("_", ".")):
+            place = path_of(target, file.toUri().getPath().removeprefix(base).lstrip("/"))
+            fs.mkdirs(place.getParent())
+            if not fs.rename(file, place):
+                raise IOError(f"{file.toString()} could not be moved to {place.toString()}")
+    fs.delete(root, True)
+
+
 # --------------------------------------------------------------------------- versions
 
 def _log_path(path: str) -> str:
@@ -107,33 +127,10 @@ def write_version(df: DataFrame, path: str, operation: str = "write", version: i
     return target
 
 
-# Source sides up to this many bytes (measured, see ``source_key_stats``) are broadcast
-# into a merge, so the target is never shuffled for a small batch.
-MERGE_BROADCAST_BYTES = 32 * 1024 ** 2
-
-# In-memory bytes per value of fixed-width types; strings and binaries add their length.
-_FIXED_WIDTH = {"boolean": 1, "tinyint": 1, "smallint": 2, "int": 4, "date": 4, "float": 4,
-                "bigint": 8, "double": 8, "timestamp": 8, "timestamp_ntz": 8}
-
-
-def _row_bytes(df: DataFrame):
-    """Per-row size: 8 bytes of row overhead, fixed widths, string / binary lengths."""
-    total = F.lit(8)
-    for name, dtype in df.dtypes:
-        c = F.col(f"`{name}`")
-        if dtype in ("string", "binary"):
-            total = total + F.coalesce(F.length(c) if dtype == "string" else F.octet_length(c), F.lit(0)) + 8
-        elif dtype.startswith("decimal"):
-            total = total + 16
-        else:
-            total = total + _FIXED_WIDTH.get(dtype, 16)
-    return total
-
-
 def source_key_stats(source: DataFrame, keys: list[str]) -> tuple[int, int, int]:
     """(rows, largest number of rows sharing one non-NULL key, bytes) in one aggregate job."""
     per_key = source.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"),
-                                        F.sum(_row_bytes(source)).alias("_b"))
+                                        F.sum(row_bytes(source)).alias("_b"))
     row = per_key.agg(F.sum("_n").alias("rows"),
                       F.max(F.when(_all_keys_known(keys), F.col("_n"))).alias("most"),
                       F.sum("_b").alias("bytes")).first()
@@ -142,7 +139,7 @@ def source_key_stats(source: DataFrame, keys: list[str]) -> tuple[int, int, int]
 
 def merge_table(spark: SparkSession, path: str, source: DataFrame, keys: list[str],
                 update_columns: list[str] | str = "*", set_on_match: dict | None = None,
-                insert_values: dict | None = None, broadcast_bytes: int = MERGE_BROADCAST_BYTES) -> str:
+                insert_values: dict | None = None, broadcast_bytes: int = BROADCAST_BYTES) -> str:
     """MERGE ``source`` into the table at ``path`` on ``keys`` and commit a new version.
 
     * matched rows: ``update_columns`` take the source value ("*" = every non-key
@@ -248,7 +245,8 @@ def merge_frames(target: DataFrame, source: DataFrame, keys: list[str],
     if broadcast_source:
         keyed = t.join(F.broadcast(s), cond, "left").select(*merged_row(False))
         source_keys = source.filter(known).select(*keys)
-        matched_keys = target.filter(known).select(*keys).join(F.broadcast(source_keys), keys, "left_semi")
+        # Distinct: no more rows than the measured source has, whatever repeats in the target.
+        matched_keys = target.filter(known).select(*keys).join(F.broadcast(source_keys), keys, "left_semi").distinct()
         new_rows = as_inserts(source.filter(known).join(F.broadcast(matched_keys), keys, "left_anti"))
         keyed = keyed.unionByName(new_rows)
     else:

@@ -12,6 +12,8 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sparkwright.functions.sizes import broadcast_if_small
+
 # The user-agent strings of the clickstream fixture, selected by
 # (o_orderkey * 7 + o_custkey) % 12; slot 11 is a missing agent.
 FIXTURE_USER_AGENTS = (
@@ -30,7 +32,7 @@ FIXTURE_USER_AGENTS = (
 )
 
 # Incomes pinned for the boundary cases of the approval rules.
-PINNED_INCOMES = {1: 100_000, 2: 100_001, 3: 25_000, 4: 20_000}
+PINNED_INCOMES = {1: 100_000, 2: 100_001, 3: 25_000, 4: 20_000, 5: 3_000_000_000}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -62,7 +64,8 @@ def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     p = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_retailprice")
-    joined = li.join(o, li.l_orderkey == o.o_orderkey).join(p, li.l_partkey == p.p_partkey)
+    # A part table that measures small doesn't cost lineitem a shuffle.
+    joined = li.join(broadcast_if_small(p), li.l_partkey == p.p_partkey).join(o, li.l_orderkey == o.o_orderkey)
     return joined.select(
         F.col("o_custkey").alias("customerID"),
         F.col("p_name").alias("product"),
@@ -81,8 +84,8 @@ def applications(spark: SparkSession, sf_dir: str, customers: DataFrame | None =
         income = F.when(key == k, F.lit(v)).otherwise(income)
     return c.select(
         F.concat(F.lit("APP-"), F.lpad(key.cast("string"), 6, "0")).alias("application_id"),
-        F.col("c_name").alias("customer_name"),
-        income.cast("int").alias("annual_income"),
+        F.when(key % 50 == 7, F.lit("")).otherwise(F.col("c_name")).alias("customer_name"),
+        income.cast("bigint").alias("annual_income"),
     )
 
 

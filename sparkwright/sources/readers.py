@@ -27,25 +27,20 @@ def strip_ws(c: Column | str) -> Column:
     return F.regexp_replace(c, _STRIP, "")
 
 
-def _required(c: Column, name: str) -> Column:
-    return F.when(c.isNull(), F.raise_error(F.lit(f"missing value in column {name}"))).otherwise(c)
-
-
 def _int_or_fail(text: Column, name: str) -> Column:
-    """Signed ASCII digits -> int; anything else (or out of range) fails the job.
+    """Signed ASCII digits -> bigint; anything else (or out of its range) fails the job.
 
     The check does not depend on the session's ANSI setting (a non-ANSI cast would
     return NULL instead of failing).
     """
-    value = text.cast("long")
-    in_range = value.between(-(2 ** 31), 2 ** 31 - 1)
+    value = text.try_cast("bigint")
     return (F.when(text.isNull(), F.raise_error(F.lit(f"missing value in column {name}")))
-            .when(~text.rlike(r"^[+-]?[0-9]+$") | ~F.coalesce(in_range, F.lit(False)),
+            .when(~text.rlike(r"^[+-]?[0-9]+$") | value.isNull(),
                   F.raise_error(F.concat(F.lit(f"malformed integer in column {name}: "), text)))
-            .otherwise(value.cast("int")))
+            .otherwise(value))
 
 
-def read_csv_text(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+def read_csv_text(spark: SparkSession, path: str | list[str], multi_line: bool = True) -> DataFrame:
     """Header CSV, every column as text.
 
     ``multi_line=True`` accepts quoted fields that contain line breaks (legal CSV, and
@@ -58,14 +53,14 @@ def read_csv_text(spark: SparkSession, path: str, multi_line: bool = True) -> Da
 
 
 def read_applications(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
-    """application_id, customer_name (stripped text) and annual_income (int).
+    """application_id, customer_name (stripped text, blank accepted) and annual_income (bigint).
 
-    Columns are taken by header name; any missing or malformed value fails the job.
+    Columns are taken by header name; a missing or malformed income fails the job.
     """
     raw = read_csv_text(spark, path, multi_line)
     return raw.select(
-        _required(strip_ws("application_id"), "application_id").alias("application_id"),
-        _required(strip_ws("customer_name"), "customer_name").alias("customer_name"),
+        F.coalesce(strip_ws("application_id"), F.lit("")).alias("application_id"),
+        F.coalesce(strip_ws("customer_name"), F.lit("")).alias("customer_name"),
         _int_or_fail(strip_ws("annual_income"), "annual_income").alias("annual_income"),
     )
 
@@ -96,10 +91,34 @@ def read_feed(spark: SparkSession, path: str, types: dict[str, str] | None = Non
     return raw.select(*[na_to_null(c, na_values, (types or {}).get(c)) for c in raw.columns])
 
 
+def read_drops(spark: SparkSession, paths: list[str], types: dict[str, str],
+               na_values: tuple[str, ...] = PANDAS_NA_VALUES) -> DataFrame:
+    """The columns of ``types`` of several CSV files, by each file's own header, with ``_metadata``.
+
+    The dialect is that of ``read_feed``. Files are grouped by header (only their first record is read for that),
+    so column order may differ from file to file; a missing column or a malformed value fails.
+    """
+    by_header: dict[tuple[str, ...], list[str]] = {}
+    for path in paths:
+        by_header.setdefault(tuple(read_csv_text(spark, path).columns), []).append(path)
+    out = None
+    for header, own in sorted(by_header.items()):
+        if missing := [c for c in types if c not in header]:
+            raise ValueError(f"{own[0]} lacks the columns {missing}")
+        part = read_csv_text(spark, own).select(*[na_to_null(c, na_values, t if t != "string" else None) for c, t in types.items()], "_metadata")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def na_to_null(name: str, na_values: tuple[str, ...], cast: str | None = None) -> Column:
     c = F.col(name)
     out = F.when(c.isin(*na_values), F.lit(None).cast("string")).otherwise(c)
-    return (out.cast(cast) if cast else out).alias(name)
+    if cast:
+        # Fails whatever the session's ANSI setting is.
+        value = out.try_cast(cast)
+        out = F.when(out.isNotNull() & value.isNull(), F.raise_error(
+            F.concat(F.lit(f"malformed {cast} in column {name}: "), out))).otherwise(value)
+    return out.alias(name)
 
 
 def with_lineage(df: DataFrame, source_key: str, as_of) -> DataFrame:

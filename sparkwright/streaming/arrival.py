@@ -1,15 +1,14 @@
 """File-arrival ingestion with Structured Streaming.
 
-A file stream with ``trigger(availableNow=True)`` and a checkpoint processes every
-file that has landed since the previous run exactly once and then stops, which is
-what a "wait for the file, then process exactly that file" step needs without a
-polling loop. ``cleanSource=archive`` moves processed files below an archive
-folder (keeping their full source path); a file is moved once a *later* batch
-commits, so the newest files stay in place until the next arrival.
-
-Batch outputs are written to a ``batch_id`` partition with dynamic partition
-overwrite, so a retried micro-batch replaces its own output instead of appending a
-second copy.
+A file stream with ``trigger(availableNow=True)`` and a checkpoint hands over every file that has landed since the
+previous run exactly once and then stops, which is what a "wait for the file, then process exactly that file"
+step needs without a polling loop. The stream carries the files' names only; each micro-batch reads its files
+with the batch reader (``sources.readers.read_drops``), so batch and stream share one CSV dialect: columns bind
+by header name, quoted line breaks are legal, and a malformed value fails the run.
+
+Batch outputs are written to a ``batch_id`` partition with dynamic partition overwrite, so a retried micro-batch
+replaces its own output instead of appending a second copy. ``archive_processed`` moves the files that the
+outputs name, after the run.
 """
 
 from __future__ import annotations
@@ -21,19 +20,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkwright.functions.paths import ENCRYPTED_SUFFIX, cold_path
+from sparkwright.sources.readers import read_drops
 
 
-def arrival_stream(spark: SparkSession, path: str, schema: str, fmt: str = "csv", header: bool = True,
-                   archive_dir: str | None = None, max_files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming DataFrame over files landing at ``path`` (globs allowed), with ``_metadata``."""
-    reader = spark.readStream.schema(schema).format(fmt)
-    if fmt == "csv":
-        reader = reader.option("header", header)
-    if archive_dir:
-        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
+def arrival_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """Streaming (path) of the files landing at ``path`` (globs allowed); their content isn't read."""
+    reader = spark.readStream.format("binaryFile").schema(
+        "path string, modificationTime timestamp, length bigint, content binary")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.load(path).select("*", "_metadata")
+    return reader.load(path).select("path")
 
 
 def run_available(stream: DataFrame, batch_fn: Callable[[DataFrame, int], None], checkpoint: str) -> None:
@@ -45,6 +41,12 @@ def run_available(stream: DataFrame, batch_fn: Callable[[DataFrame, int], None],
         raise RuntimeError(f"stream failed: {query.exception()}")
 
 
+def batch_rows(batch: DataFrame, types: dict[str, str]) -> DataFrame:
+    """The typed rows of a micro-batch's files, with ``_metadata``. Only the file names pass the driver, at most
+    the stream's ``max_files_per_trigger`` of them."""
+    return read_drops(batch.sparkSession, sorted(r["path"] for r in batch.collect()), types)
+
+
 def write_batch(df: DataFrame, path: str, batch_id: int) -> None:
     """Idempotent per-batch append: (re)writes only this batch's partition."""
     (df.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
@@ -52,13 +54,15 @@ def write_batch(df: DataFrame, path: str, batch_id: int) -> None:
      .partitionBy("batch_id").parquet(path))
 
 
-def drop_name(by: str = "directory") -> Column:
+def drop_name(by: str = "file") -> Column:
     """Name of the drop a row came from: its file, or the directory of a multi-part drop."""
     if by == "file":
         name = F.col("_metadata.file_name")
-    else:
+    elif by == "directory":
         # Parent directory of the file (split, not a backtracking regex, per row).
         name = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2)
+    else:
+        raise ValueError(f"drops are named by file or by directory, not by {by!r}")
     return F.regexp_replace(name, "\\" + ENCRYPTED_SUFFIX + "$", "")
 
 
@@ -68,7 +72,7 @@ def schema_fingerprint(df: DataFrame) -> str:
     return "s" + hashlib.sha1(",".join(cols).encode()).hexdigest()[:8]
 
 
-def drop_payload(df: DataFrame, schema_version: str | None = None, by: str = "directory") -> DataFrame:
+def drop_payload(df: DataFrame, schema_version: str | None = None, by: str = "file") -> DataFrame:
     """Per drop in ``df``: file, record_count, schema_version, cold_path.
 
     ``schema_version`` defaults to the fingerprint of the declared columns.
@@ -81,7 +85,24 @@ def drop_payload(df: DataFrame, schema_version: str | None = None, by: str = "di
 
 
 def drop_totals(payloads: DataFrame) -> DataFrame:
-    """Sum per-batch payload rows per drop (a drop may span micro-batches)."""
+    """Sum per-batch payload rows per drop (a drop of several files may span micro-batches)."""
     return (payloads.groupBy("file", "schema_version", "cold_path")
             .agg(F.sum("record_count").cast("bigint").alias("record_count"))
             .select("file", "record_count", "schema_version", "cold_path"))
+
+
+def archive_processed(spark: SparkSession, processed: DataFrame, landing: str, archive_dir: str) -> None:
+    """Moves every file of ``processed`` (column path) from below ``landing`` to the same place below
+    ``archive_dir``. Files that are gone already were moved by an earlier run."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    path_of = jvm.org.apache.hadoop.fs.Path
+    root = path_of(landing)
+    fs = root.getFileSystem(conf)
+    base = fs.makeQualified(root).toUri().getPath()
+    for row in processed.select("path").distinct().toLocalIterator():
+        source = path_of(row["path"])
+        if fs.exists(source):
+            target = path_of(archive_dir, source.toUri().getPath().removeprefix(base).lstrip("/"))
+            fs.mkdirs(target.getParent())
+            if not fs.rename(source, target):
+                raise IOError(f"{row['path']} could not be moved to {target.toString()}")

@@ -13,16 +13,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkwright.operators.feed import DATE_COLUMNS, SUCCESS, needs_repair, normalize_dates
-from sparkwright.streaming.arrival import arrival_stream, drop_name, run_available, write_batch
+from sparkwright.streaming.arrival import arrival_stream, batch_rows, drop_name, run_available, write_batch
 
 
-def feed_batch_writer(landing_path: str, audit_path: str, as_of=None, cols=DATE_COLUMNS,
-                      mode: str = "row", drop_by: str = "directory"):
-    """A ``foreachBatch`` function that lands and audits one micro-batch."""
+def feed_batch_writer(landing_path: str, audit_path: str, types: dict[str, str], as_of=None, cols=DATE_COLUMNS,
+                      mode: str = "row", drop_by: str = "file"):
+    """A ``foreachBatch`` function that lands and audits the files of one micro-batch."""
     stamp = F.lit(as_of).cast("timestamp_ntz") if as_of is not None else F.localtimestamp()
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        rows = (batch.withColumns({"_source_file": drop_name(drop_by), "_ingested_at": stamp})
+        if batch.isEmpty():
+            return
+        rows = (batch_rows(batch, types).withColumns({"_source_file": drop_name(drop_by), "_ingested_at": stamp})
                 .drop("_metadata")
                 .withColumn("_needs_repair", needs_repair(cols))
                 .persist())
@@ -41,14 +43,22 @@ def feed_batch_writer(landing_path: str, audit_path: str, as_of=None, cols=DATE_
     return handle
 
 
-def ingest_feed(spark: SparkSession, drop_glob: str, schema: str, landing_path: str, audit_path: str,
-                checkpoint: str, as_of=None, archive_dir: str | None = None,
-                max_files_per_batch: int | None = 1000) -> None:
-    """Process every feed file that has arrived since the last run.
+def audit_totals(audits: DataFrame) -> DataFrame:
+    """One audit row per source file, whatever batches its parts came in."""
+    return audits.groupBy("source_file", "status").agg(
+        F.sum("rows_loaded").cast("bigint").alias("rows_loaded"),
+        F.sum("date_fixes_applied").cast("bigint").alias("date_fixes_applied"),
+        F.max("logged_at").alias("logged_at"),
+    ).select("source_file", "rows_loaded", "date_fixes_applied", "status", "logged_at")
+
+
+def ingest_feed(spark: SparkSession, drop_glob: str, types: dict[str, str], landing_path: str, audit_path: str,
+                checkpoint: str, as_of=None, drop_by: str = "file", max_files_per_batch: int | None = 1000) -> DataFrame:
+    """Process every feed file that has arrived since the last run; returns the audit totals so far.
 
     A backlog is cut into micro-batches of at most ``max_files_per_batch`` files, so
     the persisted batch stays bounded however many files have piled up.
     """
-    stream = arrival_stream(spark, drop_glob, schema, archive_dir=archive_dir,
-                            max_files_per_trigger=max_files_per_batch)
-    run_available(stream, feed_batch_writer(landing_path, audit_path, as_of), checkpoint)
+    stream = arrival_stream(spark, drop_glob, max_files_per_batch)
+    run_available(stream, feed_batch_writer(landing_path, audit_path, types, as_of, drop_by=drop_by), checkpoint)
+    return audit_totals(spark.read.parquet(audit_path))

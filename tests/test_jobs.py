@@ -56,8 +56,8 @@ def test_vendor_drops_and_training(spark, tmp_dir):
     events = fx.table(spark, SF_SMALL, "events").drop("props")
     events.write.option("header", True).csv(f"{tmp_dir}/in/vendor_data.csv")
     totals = jobs.process_vendor_drops(
-        spark, f"{tmp_dir}/in/*", "event_id bigint, ts string, user_id bigint, event_type string, value double",
-        f"{tmp_dir}/payload", f"{tmp_dir}/ckpt", schema_version="v3").collect()
+        spark, f"{tmp_dir}/in", {"event_id": "bigint", "ts": "string", "user_id": "bigint", "event_type": "string", "value": "double"},
+        f"{tmp_dir}/work", schema_version="v3", by="directory").collect()
     assert [(r.file, r.record_count) for r in totals] == [("vendor_data.csv", events.count())]
     docs, labels = fx.training_events(spark, SF_SMALL)
     out = jobs.train_and_register(spark, docs, labels, f"{tmp_dir}/registry", as_of="2026-01-01 05:00:00")

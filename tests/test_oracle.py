@@ -7,24 +7,20 @@ from sparkwright.plans import catalog, oracle
 from tests.conftest import SF_SMALL
 from tools.oracle_check import compare
 
-SLOW = {"candidate_scores", "best_candidate", "tune_learning_rate"}
-
 
 @pytest.fixture(scope="module")
 def results(spark):
-    keys = [k for k in catalog.queries() if k not in SLOW]
-    return compare(spark, SF_SMALL, keys, verbose=False)
+    return compare(spark, SF_SMALL, list(catalog.queries()), verbose=False)
 
 
-def test_every_query_has_an_oracle_or_is_declared_rows_only():
-    rows_only = set(catalog.queries()) - set(oracle.oracle_sql())
-    assert rows_only == {"candidate_scores", "best_candidate", "tune_learning_rate"}
+def test_every_query_has_an_oracle():
+    assert set(catalog.queries()) == set(oracle.oracle_sql())
     assert set(E.oracle_sql()) <= set(E.queries())
 
 
-@pytest.mark.parametrize("key", [k for k in catalog.queries() if k not in SLOW])
+@pytest.mark.parametrize("key", list(catalog.queries()))
 def test_query_matches_oracle(results, key):
-    assert results[key][0] in ("OK", "ROWS-ONLY"), results[key]
+    assert results[key][0] in ("OK",), results[key]
 
 
 def test_entry_runs(spark):

@@ -8,11 +8,12 @@ from hypothesis import given, settings
 from hypothesis import strategies as st_
 from pyspark.sql import functions as F
 
+from sparkwright import jobs
 from sparkwright.functions.decimals import rounded_mean
 from sparkwright.operators import tuning as tn
 from sparkwright.sinks import tables as sk
 from sparkwright.streaming import arrival as st
-from sparkwright.streaming.feed import feed_batch_writer
+from sparkwright.streaming.feed import ingest_feed
 
 SCHEMA = "k bigint, v string"
 
@@ -36,47 +37,123 @@ def test_append_counts_rows_and_reruns_append(spark, tmp_dir):
     assert spark.read.parquet(path).count() == 20
 
 
-def _land(spark, base, name, rows):
-    (spark.createDataFrame(rows, "o_orderkey bigint, order_date string, ship_date string")
-     .write.option("header", True).csv(f"{base}/drops/{name}"))
+FEED = {"o_orderkey": "bigint", "order_date": "string", "ship_date": "string"}
+EVENTS = {"event_id": "bigint", "ts": "string", "user_id": "bigint", "event_type": "string", "value": "double"}
+
+
+def _land(base, name, text):
+    os.makedirs(f"{base}/drops", exist_ok=True)
+    with open(f"{base}/{name}", "w") as out:
+        out.write(text)
+    os.rename(f"{base}/{name}", f"{base}/drops/{name}")
 
 
 def test_feed_stream_processes_each_file_once(spark, tmp_dir):
-    base = tmp_dir
-    landing, audit, ckpt = f"{base}/landing", f"{base}/audit", f"{base}/ckpt"
-    schema = "o_orderkey bigint, order_date string, ship_date string"
+    landing, audit = f"{tmp_dir}/landing", f"{tmp_dir}/audit"
 
     def run():
-        stream = st.arrival_stream(spark, f"{base}/drops/*", schema)
-        st.run_available(stream, feed_batch_writer(landing, audit, "2026-01-01 00:00:00"), ckpt)
+        return ingest_feed(spark, f"{tmp_dir}/drops", FEED, landing, audit, f"{tmp_dir}/ckpt", "2026-01-01 00:00:00", max_files_per_batch=1)
 
-    _land(spark, base, "a.csv.pgp", [(1, "03/15/2024", "2024-03-18"), (2, "2024-03-15", "2024-03-18")])
+    _land(tmp_dir, "a.csv.pgp", "o_orderkey,order_date,ship_date\n1,03/15/2024,2024-03-18\n2,2024-03-15,2024-03-18\n")
     run()
     run()  # nothing new: no reprocessing
     assert spark.read.parquet(landing).count() == 2
-    _land(spark, base, "b.csv", [(3, "2024-01-01", "2024-01-04")])
-    run()
+    # Another column order and a column more; a quoted line break; NA tokens.
+    _land(tmp_dir, "b.csv", 'ship_date,extra,o_orderkey,order_date\n2024-01-04,"x\ny",3,2024-01-01\nNA,,4,2024-01-01\n')
+    _land(tmp_dir, "c.csv", 'o_orderkey,order_date,ship_date\n5,"2024\n-01",2024-01-04\n')
+    totals = run()
     rows = {r.o_orderkey: (r.order_date, r.ship_date, r._source_file) for r in spark.read.parquet(landing).collect()}
     assert rows == {1: ("2024-03-15", None, "a.csv"), 2: ("2024-03-15", "2024-03-18", "a.csv"),
-                    3: ("2024-01-01", "2024-01-04", "b.csv")}
-    aud = sorted((r.source_file, r.rows_loaded, r.date_fixes_applied) for r in spark.read.parquet(audit).collect())
-    assert aud == [("a.csv", 2, 1), ("b.csv", 1, 0)]
+                    3: ("2024-01-01", "2024-01-04", "b.csv"), 4: (None, None, "b.csv"), 5: (None, None, "c.csv")}
+    aud = sorted((r.source_file, r.rows_loaded, r.date_fixes_applied) for r in totals.collect())
+    assert aud == [("a.csv", 2, 1), ("b.csv", 2, 1), ("c.csv", 1, 1)]
+
+
+@pytest.mark.parametrize("text", ["o_orderkey,order_date,ship_date\nx1,2024-01-01,2024-01-01\n", "o_orderkey,order_date\n1,2024-01-01\n"])
+def test_feed_stream_fails_on_malformed_files(spark, tmp_dir, text):
+    _land(tmp_dir, "bad.csv", text)
+    with pytest.raises(Exception, match="malformed|lacks"):
+        ingest_feed(spark, f"{tmp_dir}/drops", FEED, f"{tmp_dir}/landing", f"{tmp_dir}/audit", f"{tmp_dir}/ckpt")
+
+
+def _events(n, first=0):
+    return "event_id,ts,user_id,event_type,value\n" + "".join(f"{k},t,{k},x,1.0\n" for k in range(first, first + n))
+
+
+def test_vendor_drops_are_named_by_file_and_archived(spark, tmp_dir):
+    def run():
+        return sorted(tuple(r) for r in jobs.process_vendor_drops(
+            spark, f"{tmp_dir}/drops", EVENTS, f"{tmp_dir}/work", f"{tmp_dir}/archive", "v3").collect())
+
+    _land(tmp_dir, "vendor_a.csv", _events(2))
+    _land(tmp_dir, "vendor_b.csv", _events(1))
+    cold = "s3://vendor-archive/2026/"
+    first = [("vendor_a.csv", 2, "v3", cold + "vendor_a.csv"), ("vendor_b.csv", 1, "v3", cold + "vendor_b.csv")]
+    assert run() == first
+    assert sorted(os.listdir(f"{tmp_dir}/archive")) == ["vendor_a.csv", "vendor_b.csv"] and not [x for x in os.listdir(f"{tmp_dir}/drops") if x[0] != "."]
+    _land(tmp_dir, "vendor_c.csv", _events(4))
+    assert run() == [*first, ("vendor_c.csv", 4, "v3", cold + "vendor_c.csv")]
+    assert len([x for x in os.listdir(f"{tmp_dir}/archive") if x[0] != "."]) == 3
+
+
+def test_drops_of_several_files_are_summed_over_batches(spark, tmp_dir):
+    for name, parts in (("a.csv", 3), ("b.csv", 2)):
+        os.makedirs(f"{tmp_dir}/in/{name}")
+        for k in range(parts):
+            with open(f"{tmp_dir}/in/{name}/part-{k}.csv", "w") as out:
+                out.write(_events(2 + k, 10 * k))
+    totals = jobs.process_vendor_drops(spark, f"{tmp_dir}/in", EVENTS, f"{tmp_dir}/work", schema_version="v3", by="directory", max_files_per_batch=1)
+    assert sorted((r.file, r.record_count) for r in totals.collect()) == [("a.csv", 9), ("b.csv", 5)]
+    assert spark.read.parquet(f"{tmp_dir}/work/payloads").select("batch_id").distinct().count() == 5
+
+
+@pytest.mark.parametrize("partitions", [1, 4, 16])
+def test_tuning_does_not_depend_on_the_layout(spark, partitions):
+    from sparkwright.sources import fixtures as fx
+    from tests.conftest import SF_SMALL
+    features = tn.prepare_features(*fx.training_events(spark, SF_SMALL)).repartition(partitions)
+    weights, scores = tn.tune_learning_rate(features, rounds=3)
+    got = (weights, [tuple(r) for r in scores.collect()])
+    test_tuning_does_not_depend_on_the_layout.__dict__.setdefault("seen", got)
+    assert got == test_tuning_does_not_depend_on_the_layout.seen
+
+
+def test_repair_resumes_after_a_crash_between_removal_and_replacement(spark, tmp_dir):
+    import shutil
+    from sparkwright.operators import feed as fd
+    landing, staging = f"{tmp_dir}/landing", f"{tmp_dir}/staging"
+    rows = spark.createDataFrame([(1, "03/15/2024", "03/18/2024", "a.csv"), (2, "03/15/2024", "03/18/2024", "b.csv")],
+                                 "o_orderkey long, order_date string, ship_date string, _source_file string")
+    rows.write.partitionBy("_source_file").parquet(landing)
+    fd.normalize_dates(rows.where("_source_file = 'a.csv'")).write.parquet(staging)
+    shutil.rmtree(f"{landing}/_source_file=a.csv")  # where the overwrite died
+    assert fd.repair_landing(spark, landing, "a.csv", staging) == 0
+    got = {r.o_orderkey: r.order_date for r in spark.read.parquet(landing).collect()}
+    assert got == {1: "2024-03-15", 2: "03/15/2024"} and not os.path.exists(staging)
+
 
+def test_totals_are_wide(spark):
+    from sparkwright.operators import approvals as ap
+    big = spark.createDataFrame([("PREMIUM", "P", 9e15), ("PREMIUM", "P", 9e15)], "income_tier string, card_product string, credit_limit double")
+    assert int(ap.approval_summary(big).first().total_credit_volume) == 18 * 10 ** 15
+    assert int(ap.tier_volumes(big).first().credit_volume) == 18 * 10 ** 15
 
-def test_vendor_payload_and_cold_path(spark, tmp_dir):
-    (spark.range(7).selectExpr("id AS event_id", "'t' AS ts", "id AS user_id", "'x' AS event_type", "1.0 AS value")
-     .write.option("header", True).csv(f"{tmp_dir}/in/vendor_data.csv"))
-    sink = f"{tmp_dir}/out"
 
-    def fb(df, bid):
-        st.write_batch(st.drop_payload(df, "v3"), sink, bid)
+def test_a_cluster_needs_a_shared_folder(spark, monkeypatch):
+    from sparkwright import session
 
-    stream = st.arrival_stream(spark, f"{tmp_dir}/in/*", "event_id bigint, ts string, user_id bigint, "
-                                                         "event_type string, value double")
-    st.run_available(stream, fb, f"{tmp_dir}/ckpt")
-    r = st.drop_totals(spark.read.parquet(sink)).first()
-    assert (r.file, r.record_count, r.schema_version, r.cold_path) == \
-        ("vendor_data.csv", 7, "v3", "s3://vendor-archive/2026/vendor_data.csv")
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+        conf = {}
+
+    with pytest.raises(ValueError, match="share"):
+        session.ensure_checkpoint_dir(Session())
 
 
 def test_mock_scores_and_best_candidate(spark):
@@ -110,11 +187,21 @@ def test_rounded_mean_is_exact_half_up(spark, values):
     assert Fraction(got) == want
 
 
-def test_write_reconciled_counts_only_this_write(spark, tmp_dir):
+def test_write_reconciled_counts_only_this_write(spark, tmp_dir, monkeypatch):
     path = os.path.join(tmp_dir, "audit")
     assert sk.write_reconciled(spark.range(3), path) == 3
     assert sk.write_reconciled(spark.range(4), path) == 4
     assert spark.read.parquet(path).count() == 7
+    append = sk.append_table
+
+    def other_writer_too(df, target, **kw):  # a second writer appends in between
+        rows = append(df, target, **kw)
+        spark.range(10).write.mode("append").parquet(path)
+        return rows
+
+    monkeypatch.setattr(sk, "append_table", other_writer_too)
+    assert sk.write_reconciled(spark.range(5), path) == 5
+    assert spark.read.parquet(path).count() == 22
 
 
 def test_combine_portfolios_and_declared_clickstream_schema(spark, tmp_dir):
@@ -147,7 +234,7 @@ def test_rank_ascending_with_null_keys_and_orders(spark):
     from sparkwright.operators.ranking import rank_within
     rows = [(None, None), (None, 3), (None, 3), (1, None), (1, 2), (1, 2), (1, 5), (2, 7)]
     df = spark.createDataFrame(rows, "k long, o long")
-    got = rank_within(df, "k", "o", out="r", descending=False, max_group_rows=0)
+    got = rank_within(df, "k", "o", out="r", descending=False)
     want = df.withColumn("r", F.rank().over(Window.partitionBy("k").orderBy(F.col("o").asc_nulls_first()))
                          .cast("bigint"))
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
@@ -162,27 +249,6 @@ def test_read_feed_na_tokens_and_types(spark, tmp_dir):
     assert rows == {1: (None, "2024-01-01"), 2: (None, None), 3: (None, "03/04/2024")}
 
 
-def test_archive_moves_processed_drops(spark, tmp_dir):
-    schema = "event_id bigint, ts string, user_id bigint, event_type string, value double"
-    landing, archive = f"{tmp_dir}/landing", f"{tmp_dir}/archive"
-
-    def land(name, n):
-        (spark.range(n).selectExpr("id AS event_id", "'t' AS ts", "id AS user_id", "'x' AS event_type",
-                                   "1.0 AS value").write.option("header", True).csv(f"{landing}/{name}"))
-
-    def run():
-        stream = st.arrival_stream(spark, f"{landing}/*", schema, archive_dir=archive)
-        st.run_available(stream, lambda df, bid: None, f"{tmp_dir}/ckpt")
-
-    land("a.csv", 5)
-    run()
-    land("b.csv", 3)
-    run()
-    archived = spark.read.schema(schema).option("header", True).option("recursiveFileLookup", True).csv(archive)
-    # the first drop is archived once a later batch commits; the newest stays until the next arrival
-    assert archived.count() == 5
-
-
 @pytest.mark.parametrize("broadcast", [False, True])
 def test_merge_paths_agree(spark, broadcast):
     import random
@@ -224,19 +290,6 @@ def test_schema_fingerprint_tracks_columns(spark):
     assert st.schema_fingerprint(a) == st.schema_fingerprint(b) != st.schema_fingerprint(c)
 
 
-def test_backlog_in_bounded_batches_counts_each_drop_once(spark, tmp_dir):
-    from sparkwright import jobs
-    for name, n in (("a.csv", 4), ("b.csv", 6)):
-        (spark.range(n).repartition(3).selectExpr("id AS event_id", "'t' AS ts", "id AS user_id", "'x' AS event_type",
-                                                  "1.0 AS value").write.option("header", True).csv(f"{tmp_dir}/in/{name}"))
-    totals = jobs.process_vendor_drops(
-        spark, f"{tmp_dir}/in/*", "event_id bigint, ts string, user_id bigint, event_type string, value double",
-        f"{tmp_dir}/payload", f"{tmp_dir}/ckpt", schema_version="v3", max_files_per_batch=1)
-    assert sorted((r.file, r.record_count) for r in totals.collect()) == [("a.csv", 4), ("b.csv", 6)]
-    batches = spark.read.parquet(f"{tmp_dir}/payload").select("batch_id").distinct().count()
-    assert batches > 2   # one file per micro-batch
-
-
 def test_text_never_crosses_the_feature_join_exchange(spark):
     import contextlib
     import io

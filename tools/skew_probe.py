@@ -109,7 +109,7 @@ def main() -> None:
     cases = {
         "customer_metrics": lambda df: cs.customer_metrics(cs.stage(df)),
         "rank_hot_key_plan": lambda df: rank_within(cs.stage(df), "customer_id", "order_date",
-                                                    out="order_rank", max_group_rows=rows // 10),
+                                                    out="order_rank"),
         "merge_null_heavy_keys": null_heavy_merge,
         "top_products_hot_product": hot_product_report,
         "plain_window_contrast": lambda df: cs.stage(df).withColumn(
