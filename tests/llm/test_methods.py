@@ -155,7 +155,7 @@ def test_disguised_words_are_restored():
 
 
 def test_terms_that_reveal_an_entity(spark):
-    rows = [(k, f"Agent Zorblax wrote from spy@corp.example.org about matter number{k} of the day") for k in range(4)]
+    rows = [(k, f"Agent Zorblax wrote from spy@corp.example.org about {topic} of the day") for k, topic in enumerate(("alpha", "beta", "gamma", "delta"))]
     rows += [(100 + k, f"the day of the agent and what he wrote about {k}") for k in range(400)]
     found = {r["doc_id"]: r for r in pii.sanitise(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     terms = {s["value"] for s in found[0]["spans"] if s["kind"] == "term"}
