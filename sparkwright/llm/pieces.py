@@ -29,8 +29,10 @@ SPACE = "▁"
 WORD = 31  # characters of a word after its space; longer ones are cut
 CHUNK_BYTES = 8 << 20
 WORDS = f" ?[^ ]{{1,{WORD}}}| "
-# A packed edge, from the high bits: end (6), start (6), cost (31), id (20).
+# A packed edge, from the high bits: end (6), cost (31), start (6), id (20). A way to a place is the same without the
+# end, with the cost of the whole way.
 ID_BITS, COST_BITS, AT_BITS = 20, 31, 6
+LOW = AT_BITS + ID_BITS
 NO_PIECE = (1 << ID_BITS) - 1
 
 
@@ -50,7 +52,7 @@ def load_pieces(model: str = MODEL) -> tuple[list[tuple[str, int, int]], list[in
     scale = 1 if all(s == int(s) for s in scores.values()) else 1000
     best = max(scores.values())
     table = [(sp.id_to_piece(k).replace(SPACE, " "), k, round((best - scores[k]) * scale) + scale) for k in normal]
-    if (dearest := max(c for _, _, c in table) + 1) >= 1 << COST_BITS or dearest * (WORD + 1) >= 1 << 63 - AT_BITS - ID_BITS:
+    if (dearest := max(c for _, _, c in table) + 1) >= 1 << COST_BITS or dearest * (WORD + 1) >= 1 << 63 - LOW:
         raise ValueError("the scores lie too far apart")
     byte_ids, raw = [-1] * 256, [b""] * n
     for k in range(n):
@@ -67,47 +69,43 @@ def load_pieces(model: str = MODEL) -> tuple[list[tuple[str, int, int]], list[in
 def best_paths(words: DataFrame, keys: list[str], table: list[tuple[str, int, int]], byte_ids: list[int]) -> DataFrame:
     """``words`` (keys and word, distinct, not empty) as keys, word and ids (array<int>): the cheapest path.
 
-    Of equal costs the path with the shortest last piece wins. A word's rows stay in the partition of its keys:
+    Of equal costs the path with the longest last piece wins. A word's rows stay in the partition of its keys:
     the explode, the broadcast join and the grouping add no shuffle.
     """
     pieces = words.sparkSession.createDataFrame(table, "piece string, id int, cost int")
     longest = max(len(p) for p, _, _ in table)
     unknown = max(c for _, _, c in table) + 1
-    size = F.length("word")
-    spans = F.flatten(F.transform(F.sequence(F.lit(0), size - 1), lambda i: F.transform(
-        F.sequence(i + 1, F.least(i + longest, size)), lambda j: j * 64 + i)))
-    end, start = F.shiftright("span", 6), F.col("span").bitwiseAND(63)
     found = (words.withColumn("n", F.monotonically_increasing_id())
-             .select("n", *keys, "word", F.explode(spans).alias("span"))
-             .withColumn("piece", F.col("word").substr(start + 1, end - start)).join(F.broadcast(pieces), "piece", "left"))
-    # A single character is an edge in any case, so every word has a path.
-    # Its first character's row carries the word, the others stay small: a chunk's rows are sorted in memory.
-    found = found.where(F.col("id").isNotNull() | (end - start == 1))
-    word = F.when(F.col("span") == 64, F.col("word"))
-    edge = (F.shiftleft(end.cast("long"), AT_BITS + COST_BITS + ID_BITS)
-            + F.shiftleft(start.cast("long"), COST_BITS + ID_BITS)
-            + F.shiftleft(F.coalesce("cost", F.lit(unknown)).cast("long"), ID_BITS)
-            + F.coalesce("id", F.lit(NO_PIECE)).cast("long"))
+             .select("n", *keys, "word", F.explode(F.sequence(F.lit(0), F.length("word") - 1)).alias("start"))
+             .select("n", *keys, "word", "start", F.explode(F.sequence(
+                 F.col("start") + 1, F.least(F.col("start") + longest, F.length("word")))).alias("end"))
+             .withColumn("piece", F.col("word").substr(F.col("start") + 1, F.col("end") - F.col("start")))
+             .join(F.broadcast(pieces), "piece", "left"))
+    # A single character is an edge in any case, so every word has a path. The first one's row carries the word, the
+    # others stay small: a chunk's rows are sorted in memory.
+    found = found.where(F.col("id").isNotNull() | (F.col("end") - F.col("start") == 1))
+    word = F.when((F.col("start") == 0) & (F.col("end") == 1), F.col("word"))
+    edge = (F.shiftleft(F.col("end").cast("long"), COST_BITS + LOW)
+            + F.shiftleft(F.coalesce("cost", F.lit(unknown)).cast("long"), LOW)
+            + F.shiftleft(F.col("start").cast("long"), ID_BITS) + F.coalesce("id", F.lit(NO_PIECE)).cast("long"))
     rows = found.select("n", *keys, word.alias("word"), edge.alias("edge"))
     grouped = rows.groupBy("n", *keys).agg(F.max("word").alias("word"), F.sort_array(F.collect_list("edge")).alias("edges"))
-    return grouped.select(*keys, "word", spelled(F.col("word"), viterbi(F.col("edges"), size), byte_ids).alias("ids"))
+    paths = grouped.select(*keys, "word", viterbi(F.col("edges"), F.length("word")).alias("path"))
+    return paths.select(*keys, "word", spelled(F.col("word"), F.col("path"), byte_ids).alias("ids"))
 
 
 def viterbi(edges: Column, size: Column) -> Column:
-    """The edges of the cheapest path, in order, of packed edges sorted by end.
+    """The ways of the cheapest path, in order, of packed edges sorted by end.
 
-    The fold keeps, for each place, the packed (cost so far, edge's start, edge's id) of the cheapest way to it.
+    The fold keeps, for each place, the least way to it: the cheapest, and of these the one whose last edge starts first.
     """
-    low = AT_BITS + ID_BITS
 
     def step(at: Column, e: Column) -> Column:
-        end = F.shiftright(e, AT_BITS + COST_BITS + ID_BITS).cast("int")
-        start = F.shiftright(e, COST_BITS + ID_BITS).bitwiseAND(63).cast("int")
-        cost = F.shiftright(F.get(at, start), low) + F.shiftright(e, ID_BITS).bitwiseAND((1 << COST_BITS) - 1)
-        way = F.shiftleft(cost, low) + F.shiftleft(start.cast("long"), ID_BITS) + e.bitwiseAND(NO_PIECE)
+        end = F.shiftright(e, COST_BITS + LOW).cast("int")
+        start = F.shiftright(e, ID_BITS).bitwiseAND(63).cast("int")
+        way = F.get(at, start).bitwiseAND(-(1 << LOW)) + e.bitwiseAND((1 << COST_BITS + LOW) - 1)
         return (F.when(F.size(at) == end, F.concat(at, F.array(way)))
-                .when(F.shiftright(F.get(at, end), low) > cost, F.concat(F.slice(at, 1, end), F.array(way)))
-                .otherwise(at))
+                .otherwise(F.concat(F.slice(at, 1, end), F.array(F.least(F.get(at, end), way)))))
 
     ways = F.aggregate(edges, F.array(F.lit(0).cast("long")), step)
     back = F.aggregate(
