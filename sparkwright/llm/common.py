@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import os
+import time
 import uuid
 from collections.abc import Iterator
 
@@ -53,8 +54,10 @@ def written(df: DataFrame, name: str) -> DataFrame:
 def release(spark: SparkSession) -> None:
     """Lets Spark delete the shuffle files of plans that nothing refers to any more, rather than when the driver
     happens to collect its garbage."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(2):  # the gateway drops its references a little after Python does
+        gc.collect()
+        time.sleep(0.5)
+        spark.sparkContext._jvm.System.gc()
 
 
 # -- inside tasks ---------------------------------------------------------------------------------
