@@ -1,9 +1,10 @@
 """SentencePiece encoding and decoding as a relational lattice.
 
-Texts are cut into words (a leading space and up to ``WORD`` other characters). For the distinct words of each
-chunk of documents, substrings of bounded length are exploded and equi-joined to the piece table; the matching
-edges are grouped by word, and a higher-order ``aggregate`` folds them into the best path (Viterbi). A
-cogroup by chunk then puts the words' pieces together, document by document.
+Texts are cut into words: up to ``WORD`` letters and digits (and all beyond ASCII), or as many other characters, with
+the space before them. For the distinct words of each chunk of documents, substrings of bounded length are exploded
+and equi-joined to the piece table; the matching edges are grouped by word, and a higher-order ``aggregate`` folds them
+into the best path (Viterbi). A cogroup by chunk then puts the words' pieces together, document by document. Words that
+are frequent (at most ``FREQUENT``) are encoded once for all chunks, by the same steps.
 
 A path's cost is the sum of its pieces' costs (distances of their scores from the best score). Characters that no piece
 covers cost more than any piece and become byte pieces, so decoding gives back every text exactly. Literal
@@ -22,13 +23,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import small
+from .common import small, written
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 WORD = 31  # characters of a word after its space; longer ones are cut
 CHUNK_BYTES = 8 << 20
-WORDS = f" ?[^ ]{{1,{WORD}}}| "
+# The same in Java's and Python's expressions: ASCII ranges only.
+WORDS = rf" ?[^\x00-/:-@\[-`{{-\x7f]{{1,{WORD}}}| ?[\x00-\x1f!-/:-@\[-`{{-\x7f]{{1,{WORD}}}| "
+FREQUENT = 1 << 18
+# Frequent words are looked for in one document of so many, by a hash of its text; the choice has no bearing on results.
+SAMPLED = 16
 # A packed edge, from the high bits: end (6), cost (31), start (6), id (20). A way to a place is the same without the
 # end, with the cost of the whole way.
 ID_BITS, COST_BITS, AT_BITS = 20, 31, 6
@@ -69,29 +74,48 @@ def load_pieces(model: str = MODEL) -> tuple[list[tuple[str, int, int]], list[in
 def best_paths(words: DataFrame, keys: list[str], table: list[tuple[str, int, int]], byte_ids: list[int]) -> DataFrame:
     """``words`` (keys and word, distinct, not empty) as keys, word and ids (array<int>): the cheapest path.
 
+    Words that come with ids in a column ``ready`` keep these.
+
     Of equal costs the path with the longest last piece wins. A word's rows stay in the partition of its keys:
     the explode, the broadcast join and the grouping add no shuffle.
     """
     pieces = words.sparkSession.createDataFrame(table, "piece string, id int, cost int")
     longest = max(len(p) for p, _, _ in table)
     unknown = max(c for _, _, c in table) + 1
+    if "ready" not in words.columns:
+        words = words.withColumn("ready", F.lit(None).cast("array<int>"))
+    once = lambda n: F.when(F.col("ready").isNull(), n).otherwise(1)  # noqa: E731  a ready word is one row
     found = (words.withColumn("n", F.monotonically_increasing_id())
-             .select("n", *keys, "word", F.explode(F.sequence(F.lit(0), F.length("word") - 1)).alias("start"))
-             .select("n", *keys, "word", "start", F.explode(F.sequence(
-                 F.col("start") + 1, F.least(F.col("start") + longest, F.length("word")))).alias("end"))
+             .select("n", *keys, "word", "ready", F.explode(F.sequence(F.lit(0), once(F.length("word")) - 1)).alias("start"))
+             .select("n", *keys, "word", "ready", "start", F.explode(F.sequence(
+                 F.col("start") + 1, once(F.least(F.col("start") + longest, F.length("word"))))).alias("end"))
              .withColumn("piece", F.col("word").substr(F.col("start") + 1, F.col("end") - F.col("start")))
              .join(F.broadcast(pieces), "piece", "left"))
     # A single character is an edge in any case, so every word has a path. The first one's row carries the word, the
     # others stay small: a chunk's rows are sorted in memory.
     found = found.where(F.col("id").isNotNull() | (F.col("end") - F.col("start") == 1))
-    word = F.when((F.col("start") == 0) & (F.col("end") == 1), F.col("word"))
+    head = (F.col("start") == 0) & (F.col("end") == 1)
     edge = (F.shiftleft(F.col("end").cast("long"), COST_BITS + LOW)
             + F.shiftleft(F.coalesce("cost", F.lit(unknown)).cast("long"), LOW)
             + F.shiftleft(F.col("start").cast("long"), ID_BITS) + F.coalesce("id", F.lit(NO_PIECE)).cast("long"))
-    rows = found.select("n", *keys, word.alias("word"), edge.alias("edge"))
-    grouped = rows.groupBy("n", *keys).agg(F.max("word").alias("word"), F.sort_array(F.collect_list("edge")).alias("edges"))
-    paths = grouped.select(*keys, "word", viterbi(F.col("edges"), F.length("word")).alias("path"))
-    return paths.select(*keys, "word", spelled(F.col("word"), F.col("path"), byte_ids).alias("ids"))
+    rows = found.select("n", *keys, F.when(head, F.col("word")).alias("word"), F.when(head, F.col("ready")).alias("ready"), edge.alias("edge"))
+    grouped = rows.groupBy("n", *keys).agg(F.max("word").alias("word"), F.max("ready").alias("ready"),
+                                           F.sort_array(F.collect_list("edge")).alias("edges"))
+    paths = grouped.select(*keys, "word", "ready", F.when(F.col("ready").isNull(), viterbi(F.col("edges"), F.length("word"))).alias("path"))
+    return paths.select(*keys, "word", F.coalesce("ready", spelled(F.col("word"), F.col("path"), byte_ids)).alias("ids"))
+
+
+def words_of(text: Column) -> Column:
+    return F.regexp_extract_all(text, F.lit(f"({WORDS})"), F.lit(1))
+
+
+def frequent_words(rows: DataFrame, table: list[tuple[str, int, int]], byte_ids: list[int]) -> DataFrame:
+    """(word, ready) of the FREQUENT commonest words of one document in SAMPLED, stored: at most 2^18 rows."""
+    some = rows.where(F.pmod(F.xxhash64("text"), F.lit(SAMPLED)) == 0)
+    counts = some.select(F.explode(words_of(F.concat(F.lit(" "), "text"))).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
+    common = counts.where("n > 1").orderBy(F.desc("n"), "word").limit(FREQUENT).select("word")
+    spread = written(common, "frequent_words").repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), "word")
+    return written(best_paths(spread, [], table, byte_ids).withColumnRenamed("ids", "ready"), "frequent_paths")
 
 
 def viterbi(edges: Column, size: Column) -> Column:
@@ -146,7 +170,8 @@ def encode(docs: DataFrame, model: str = MODEL, id_col: str = "doc_id", text_col
     # The id is named in the text that is cut (a part of it of no length), so that this branch needs the same
     # columns of ``dealt`` as the other and one shuffle serves both.
     named = F.concat(F.lit(" "), "text", F.coalesce(F.substring(F.col("id").cast("string"), 1, 0), F.lit("")))
-    words = dealt.select("chunk", F.explode(F.regexp_extract_all(named, F.lit(f"({WORDS})"), F.lit(1))).alias("word")).distinct()
+    words = dealt.select("chunk", F.explode(words_of(named)).alias("word")).distinct()
+    words = words.join(F.broadcast(frequent_words(rows, table, byte_ids)), "word", "left")
     known = best_paths(words, ["chunk"], table, byte_ids)
 
     def put_together(left: pa.Table, right: pa.Table) -> pa.Table:
