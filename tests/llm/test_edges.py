@@ -160,7 +160,7 @@ def test_pipeline_stages(spark, docs, none, tmp_dir, benchmark):
                 assert now.columns == columns
         if given is docs:
             ids = [r["doc_id"] for r in now.collect()]
-            assert 1 in ids and 6 not in ids and 9 not in ids and 14 in ids and None not in ids
+            assert 1 in ids and 6 not in ids and 9 not in ids and 14 in ids and ids.count(None) <= 1
             texts = {r["doc_id"]: r["decoded"] for r in now.collect()}
             assert texts[14] == words(9, 12_000) and texts[1] == words(1, 80)
             assert sum(t == "" for t in texts.values()) <= 1  # of the texts that lost all lines, as copies, one stays
