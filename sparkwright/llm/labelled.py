@@ -17,10 +17,17 @@ def with_label(docs: DataFrame, labels: DataFrame, label: str) -> DataFrame:
     own = (labels.where(F.col(label).isin(0, 1)).groupBy("doc_id").agg(F.max(label).cast("int").alias("y"))
            .withColumnRenamed("doc_id", "label_id"))
     rows = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"))
-    return rows.join(own, F.col("id") == F.col("label_id")).select("id", "text", "y")
+    # Texts and labels are dealt by id at every size: labels have no bound that would allow a broadcast.
+    return rows.join(own.hint("merge"), F.col("id") == F.col("label_id")).select("id", "text", "y")
 
 
 def for_learning(docs: DataFrame, labels: DataFrame, label: str, parts: int, part: int) -> DataFrame:
     """``with_label`` of the documents whose crc32(doc_id) modulo ``parts`` isn't ``part``."""
     return with_label(docs.where(~held_out(F.col("doc_id"), parts, part)),
                       labels.where(~held_out(F.col("doc_id"), parts, part)), label)
+
+
+def first_rows(rows: DataFrame, n: int) -> DataFrame:
+    """The ``n`` rows of (id, text, y) whose hashed id comes first, dealt out again: the sort leaves them in one task."""
+    some = rows.orderBy(F.xxhash64("id"), "id", F.xxhash64("text")).limit(n)
+    return some.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))

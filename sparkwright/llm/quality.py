@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import letter_words, lowered, slices, span_hashes, word_spans
-from .labelled import FIT_ROWS, for_learning
+from .labelled import FIT_ROWS, first_rows, for_learning
 from .langid import held_out
 
 PASSAGE = 512
@@ -118,7 +118,7 @@ def passages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def train(rows: DataFrame, fit_rows: int = FIT_ROWS) -> dict[str, np.ndarray] | None:
     """The model of the labelled ``rows`` (id, text, y), from the ``fit_rows`` whose hashed id comes first; None
     without rows."""
-    sample = rows.orderBy(F.xxhash64("id"), "id", F.xxhash64("text")).limit(fit_rows).select("id", "y", "text")
+    sample = first_rows(rows, fit_rows).select("id", "y", "text")
     got = sample.mapInArrow(passages, "id long, y int, bag binary").toPandas().sort_values(["id", "bag"], kind="stable")
     if not len(got):
         return None

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import small, written
-from .labelled import FIT_ROWS, for_learning
+from .labelled import FIT_ROWS, first_rows, for_learning
 from .langid import held_out, parts_of
 
 # Characters and the letters that they are used for.
@@ -140,13 +140,13 @@ class Decoder:
             self.seen[token] = found
         return found
 
-    def text_words(self, text: str | None) -> Counter[str]:
+    def text_words(self, text: str | None) -> dict[str, int]:
         """The words of a text with their counts, disguised ones restored."""
         low = (text or "").lower()
-        out: Counter[str] = Counter()
+        out: dict[str, int] = {}
         for token, n in Counter(low.split()).items():
-            for word in self.words(token):
-                out[word] += n
+            for word in self.seen.get(token) or self.words(token):
+                out[word] = out.get(word, 0) + n
         for run in SPACED.finditer(low):
             joined = re.sub(r"[ .\-_*]", "", run.group())
             found: set[str] = set()
@@ -155,11 +155,12 @@ class Decoder:
                 for k in range(0, len(part), LONGEST // 2):
                     for word in self.decode(part[k:k + LONGEST]) if disguised(part) else [part[k:k + LONGEST]]:
                         found.update(word[a:b] for a in range(len(word)) for b in range(a + 3, min(len(word), a + 16) + 1))
-            out.update(found)
+            for word in found:
+                out[word] = out.get(word, 0) + 1
         return out
 
 
-def signs(words: Counter[str], heads: set[str] | None = None) -> set[str]:
+def signs(words: dict[str, int], heads: set[str] | None = None) -> set[str]:
     """What a text is judged by: its words, and stems (as ``stem*level``) that make up at least a level's share
     of its words. ``heads``: only stems that begin with one of these."""
     total = sum(words.values())
@@ -267,8 +268,9 @@ def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, fit_row
             found = [sorted(own[w] for w in signs(decoder.text_words(t), heads) if w in own) for t in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(found, pa.list_(pa.int32()))], ["y", "hits"])
 
-    sample = rows.orderBy(F.xxhash64("id"), "id", F.xxhash64("text")).limit(fit_rows)
+    sample = first_rows(rows, fit_rows)
     fitted = sample.select("text", "y").mapInArrow(hits, "y int, hits array<int>").toPandas()
+    fitted = fitted.assign(hits=[tuple(h) for h in fitted["hits"]]).sort_values(["y", "hits"], kind="stable")
     weights = fit_logistic([list(h) for h in fitted["hits"]], fitted["y"].to_numpy(np.float64), len(words))
     scorer = spark.sparkContext.broadcast((model, place, heads, weights))
 
