@@ -26,22 +26,6 @@ class Rule:
 # ---------------------------------------------------------------------------
 # These labels, tokens and their order must equal the
 # classification of the source pipelines exactly.
-#
-# Variant A (SQL model):
-#   browser: Edge      <- "Edg/"
-#            Chrome    <- "Chrome/" and not "Chromium"
-#            Firefox   <- "Firefox/"
-#            Safari    <- "Safari/" and not "Chrome"
-#            Opera     <- "Opera" or "OPR/"
-#            Other
-#   os:      Windows   <- "Windows NT"
-#            macOS     <- "Macintosh" or "Mac OS X"
-#            Android   <- "Android"
-#            iOS       <- "iPhone" or "iPad"
-#            Linux     <- "Linux"
-#            Other
-# Variant B (warehouse INSERT ... SELECT): the same without the "Chromium" and
-# "Chrome" exclusions and without "Mac OS X".
 # ---------------------------------------------------------------------------
 OTHER = "Other"
 
@@ -79,7 +63,9 @@ OS_RULES = {
     ),
 }
 
+# Fixed values.
 BROWSER_VALUES = ("Chrome", "Safari", "Firefox", "Edge", "Opera", "Other")
+# Fixed values.
 OS_VALUES = ("Windows", "macOS", "Android", "iOS", "Linux", "Other")
 
 
