@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .langid import held_out
 
 #: Rows that a classifier is fitted on: those whose hashed id comes first. All other counts cover all rows.
 FIT_ROWS = 20_000
+TOP = (1 << 62) - 1
 
 
 def with_label(docs: DataFrame, labels: DataFrame, label: str) -> DataFrame:
@@ -27,7 +28,18 @@ def for_learning(docs: DataFrame, labels: DataFrame, label: str, parts: int, par
                       labels.where(~held_out(F.col("doc_id"), parts, part)), label)
 
 
+def in_front(id_: Column, n: int, total: int) -> Column:
+    """Whether a row's hashed id lies in twice the share that ``n`` rows are of ``total``: what a sort of the first ``n`` then
+    gathers follows ``n``, not the rows."""
+    return hashed(id_) < int(TOP * min(1.0, 2 * n / max(1, total)))
+
+
+def hashed(id_: Column) -> Column:
+    return F.xxhash64(id_).bitwiseAND(TOP)
+
+
 def first_rows(rows: DataFrame, n: int) -> DataFrame:
-    """The ``n`` rows of (id, text, y) whose hashed id comes first, dealt out again: the sort leaves them in one task."""
-    some = rows.orderBy(F.xxhash64("id"), "id", F.xxhash64("text")).limit(n)
-    return some.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    """At most ``n`` rows of (id, text, y), those whose hashed id comes first, dealt out again: the sort leaves them in
+    one task."""
+    return rows.orderBy(hashed(F.col("id")), "id", F.xxhash64("text")).limit(n).repartition(
+        int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import letter_words, lowered, slices, span_hashes, word_spans
-from .labelled import FIT_ROWS, first_rows, for_learning
+from .labelled import FIT_ROWS, first_rows, for_learning, in_front
 from .langid import held_out
 
 PASSAGE = 512
@@ -135,7 +135,9 @@ def quality(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, fit_rows
     Labels are learnt from ids whose crc32 modulo 5 isn't 0. Null and empty texts are one empty passage; without
     labels every score is 0.5. Null and repeated ids are passed through, other columns ignored.
     """
-    model = train(for_learning(docs, labels, "quality", 5, 0), fit_rows)
+    total = labels.where(F.col("quality").isin(0, 1) & ~held_out(F.col("doc_id"), 5, 0)).count()
+    some = docs.where(in_front(F.col("doc_id").cast("long"), fit_rows, total))  # before their texts are dealt to the labels
+    model = train(for_learning(some, labels, "quality", 5, 0), fit_rows)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

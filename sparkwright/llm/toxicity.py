@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import small, written
-from .labelled import FIT_ROWS, first_rows, for_learning
+from .labelled import FIT_ROWS, first_rows, for_learning, in_front
 from .langid import held_out, parts_of
 
 # Characters and the letters that they are used for.
@@ -268,7 +268,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, fit_row
             found = [sorted(own[w] for w in signs(decoder.text_words(t), heads) if w in own) for t in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(found, pa.list_(pa.int32()))], ["y", "hits"])
 
-    sample = first_rows(rows, fit_rows)
+    sample = first_rows(rows.where(in_front(F.col("id"), fit_rows, sum(size.values()))), fit_rows)
     fitted = sample.select("text", "y").mapInArrow(hits, "y int, hits array<int>").toPandas()
     fitted = fitted.assign(hits=[tuple(h) for h in fitted["hits"]]).sort_values(["y", "hits"], kind="stable")
     weights = fit_logistic([list(h) for h in fitted["hits"]], fitted["y"].to_numpy(np.float64), len(words))
