@@ -94,6 +94,44 @@ def test_large_candidate_groups_are_dealt_by_block(spark, monkeypatch):
     assert sum(r[3] for r in whole) > 0
 
 
+def edited(draw, line, n):
+    own = list(line)
+    for _ in range(n):
+        at, c = draw.randrange(len(own)), draw.choice("abcdefghijklmnopqrstuvwxyz")
+        own[at:at + draw.randrange(2)] = [c] if draw.randrange(3) else []
+    return "".join(own)
+
+
+def test_like_lines_are_found_by_edit_similarity_alone(spark):
+    draw = random.Random(6)
+    word = lambda: "".join(draw.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(draw.randrange(2, 9)))
+    texts = []
+    for n in (2, 3, 5, 10, 15, 20, 40, 60):  # words of a line; a word in ten changed, one typo, and typos up to the limit
+        for _ in range(4):
+            own = [word() for _ in range(n)]
+            changed = list(own)
+            for k in draw.sample(range(n), n // 10):
+                changed[k] = word()
+            line = " ".join(own)
+            texts += [line, " ".join(changed), edited(draw, line, 1), edited(draw, line, len(line) // 12)]
+    rows = list(enumerate(texts))
+    got = sorted(tuple(r) for r in lines.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect())
+    assert got == sorted(lines.brute_force(rows))
+    assert sum(r[3] for r in got) > 70
+
+
+def test_candidates_of_like_lines():
+    draw = random.Random(8)
+    base = ["".join(draw.choice("abcdefgh  ") for _ in range(n)) for n in range(12, 212)]
+    pairs = [(a, b) for a in base for b in (edited(draw, a, 1), edited(draw, a, len(a) // 10)) if a != b and lines.similar(a, b, 0.9)]
+    row, hashes, marks = lines.gram_rows([x for p in pairs for x in p], range(lines.GRAMS), 0.9)
+    found = set()
+    for h in np.unique(hashes):
+        own = np.flatnonzero(hashes == h)
+        found |= {row[i] // 2 for i in own for j in own if row[i] + 1 == row[j] and row[i] % 2 == 0 and lines.alike(marks[[i]], marks[[j]], 0.9)[0]}
+    assert len(found) >= 0.98 * len(pairs) > 300
+
+
 def test_compact_windows_hold_each_subsequence_once():
     draw = np.random.default_rng(1)
     values = np.concatenate([draw.integers(0, 1 << 62, 300), np.full(200, 7 << 40), draw.integers(0, 5, 150) << 40]).astype(np.uint64)
