@@ -159,6 +159,24 @@ def test_planted_passages(spark):
     assert found[4]["passages"][0]["start"] == 0 and found[4]["n_repeated"] == 52
 
 
+def test_a_change_at_any_place_of_a_short_passage():
+    draw = np.random.default_rng(5)
+    for n in range(50, 61):  # words; a changed word changes up to five shingles
+        for place in range(n):
+            for around in (0, 9):
+                a = draw.integers(0, 1 << 62, n - 4 + 2 * around).astype(np.uint64)
+                b = a.copy()
+                gone = np.arange(max(0, place - 4), min(n - 4, place + 1)) + around
+                b[gone] = draw.integers(0, 1 << 62, len(gone))
+                b[:around], b[len(b) - around:] = draw.integers(0, 1 << 62, around), draw.integers(0, 1 << 62, around)
+                found = passages.stretch(a, b, 0, 0, 46, 0.8)
+                share = (n - 4 - len(gone)) / (n - 4 + len(gone))
+                assert found or share < 0.8, (n, place, around)
+                if found:
+                    x, y = set(a[found[0]:found[1]].tolist()), set(b[found[2]:found[3]].tolist())
+                    assert min(len(x), len(y)) >= 46 and len(x & y) / len(x | y) == found[4] >= 0.8
+
+
 def test_lattice_is_the_best_path(spark):
     model, byte_ids, _ = pieces.load_pieces()
     cost = {p: (c, k) for p, k, c in model}
