@@ -55,7 +55,8 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = op7.repeated_passages(table(spark, sf_dir, "documents"))
+    docs = table(spark, sf_dir, "documents")
+    found = op7.with_all(docs, op7.repeated_passages(docs))
     spans = F.array_join(F.transform("passages", lambda s: F.concat_ws(":", s["start"], s["end"])), ",")
     return found.select("doc_id", "class_id", "n_links", "n_repeated", spans.alias("passages"))
 

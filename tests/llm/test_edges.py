@@ -126,6 +126,16 @@ def test_passages(docs, none):
     assert passages.repeated_passages(none).count() == 0
 
 
+def test_every_document_has_a_row(docs, none):
+    own = passages.repeated_passages(docs, words=30)
+    every = passages.with_all(docs, own)
+    assert every.columns == own.columns and every.count() == docs.count()
+    rest = every.join(own.select("doc_id"), "doc_id", "left_anti").collect()
+    assert None in {r["doc_id"] for r in rest} and {8, 9, 10, 12, 13} <= {r["doc_id"] for r in rest}
+    assert all(r["class_id"] == r["doc_id"] and r["n_links"] == r["n_repeated"] == 0 and r["passages"] == [] for r in rest)
+    assert passages.with_all(none, passages.repeated_passages(none)).count() == 0
+
+
 def test_contamination(docs, none, benchmark):
     found = contamination.contamination(docs, benchmark)
     got = found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ","), 256).alias("s"), "contaminated")
