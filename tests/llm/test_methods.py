@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -177,6 +178,26 @@ def test_a_change_at_any_place_of_a_short_passage():
                     assert min(len(x), len(y)) >= 46 and len(x & y) / len(x | y) == found[4] >= 0.8
 
 
+def test_passages_that_earlier_documents_quote_in_part():
+    """Two documents share 60 words of which 20 earlier ones quote 40 (too few for a passage): joined in 92, 95, 97 and
+    99 of 100 runs by 4, 5, 6 and 8 hash functions."""
+    draw, rows = random.Random(11), []
+    text = lambda n: [f"w{draw.randrange(10 ** 6)}" for _ in range(n)]
+    for run in range(100):
+        whole = text(60)
+        starts = [(at := draw.randrange(21), " ".join(text(20) + whole[at:at + 40] + text(20))) for _ in range(20)]
+        rows += [x for _, x in starts] + [" ".join(text(20) + whole + text(20)) for _ in range(2)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(rows))), pa.array(rows)], ["id", "text"])
+    windows = pa.Table.from_batches(list(passages.window_rows(passages.HASHES, 46)(iter([batch]))))
+    dealt = windows.sort_by([("key", "ascending"), ("doc", "ascending")]).combine_chunks().to_batches()
+    places = {}
+    for x in pa.Table.from_batches(list(passages.join_windows(iter(dealt)))).to_pylist():
+        places.setdefault((x["doc"], x["a_doc"]), []).append((x["place"], x["a_place"]))
+    tokens = [next(passages.shingles(data, off)[0] for _, _, data, off in passages.slices(pa.array([x]))) for x in rows]
+    joined = [k for k in range(100) if passages.verified(tokens[22 * k + 20], tokens[22 * k + 21], places.get((22 * k + 21, 22 * k + 20), []), 46, 0.8)]
+    assert len(joined) >= 94
+
+
 def test_lattice_is_the_best_path(spark):
     model, byte_ids, _ = pieces.load_pieces()
     cost = {p: (c, k) for p, k, c in model}
