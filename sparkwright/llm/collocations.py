@@ -35,7 +35,9 @@ SCALE = 1_000_000
 WITHIN = 50  # percent of a candidate's occurrences inside a longer one that drop it
 BEST = 2000  # phrases of a language
 UNKNOWN = "und"
-SLICE_BYTES = 16_000_000
+SLICE_BYTES = 12_000_000
+BLOCK_BYTES = 1_000_000  # of a slice that are worked on at once
+MARK_BITS = 25
 PARTITION_BYTES = 32_000_000  # of text for each hash partition
 STOPS = np.isin(np.arange(256), np.frombuffer(b".,;:!?\n\x0b\x0c\r", np.uint8))
 
@@ -112,44 +114,56 @@ def unpacked(body: bytes) -> Iterator[tuple[str, pa.Array]]:
 class Grams:
     """The n-grams of texts of one language: where they start, and their keys (partition << 32 | rest of the hash)."""
 
-    def __init__(self, lang: str, texts: pa.Array, words: int, partitions: int):
-        (_, _, data, off), = slices(texts, 1 << 62)
+    def __init__(self, lang: str, data: np.ndarray, off: np.ndarray, words: int, partitions: int):
         data = lowered(data)
         stop = STOPS[data]
         starts, ends, _ = word_spans(~(stop | (data == 32) | (data == 9)), off)
         hashes = span_hashes(data, starts, ends)
         piece = np.cumsum(stop)[starts] + np.searchsorted(off, starts, "right") if len(starts) else starts
         salt = int.from_bytes(hashlib.blake2b(lang.encode(), digest_size=8).digest(), "little")
-        self.n_words, self.sizes, self.at, keys = len(starts), [], [], []
+        self.lang, self.n_words, self.at, self.keys = lang, len(starts), [], []
         for k in range(1, words + 1):
             n = max(0, len(starts) - k + 1)
             at = np.flatnonzero(piece[:n] == piece[k - 1:k - 1 + n])
             h = mixed((gram_hashes(hashes, k)[at] if n else hashes[:0]) ^ np.uint64((salt + k) % (1 << 64)))
             part = (h >> np.uint64(32)) * np.uint64(partitions) >> np.uint64(32)
-            keys.append(part << np.uint64(32) | h & np.uint64(0xFFFFFFFF))
-            self.sizes.append(k)
-            self.at.append(at)
-        self.keys = keys
-        # Words with one space between them: a phrase is a span again.
-        size = ends - starts + 1
-        self.to = np.concatenate([[0], np.cumsum(size)])
-        source = np.repeat(starts - self.to[:-1], size) + np.arange(self.to[-1])
-        self.spaced = np.append(data, np.uint8(32))[source]
-        self.spaced[self.to[1:] - 1] = 32
-
-    def phrases(self, k: int, chosen: np.ndarray) -> Iterator[pa.Array]:
-        """The k-word phrases at the chosen places, in pieces of bounded size."""
-        at = self.at[k - 1][chosen]
-        start, size = self.to[at], self.to[at + k] - 1 - self.to[at]
-        end = np.cumsum(size)
-        i = 0
-        while i < len(at):
-            done = end[i - 1] if i else 0
-            j = max(i + 1, int(np.searchsorted(end, done + 64_000_000, "right")))
-            off = np.concatenate([[0], end[i:j] - done])
-            source = np.repeat(start[i:j] - off[:-1], size[i:j]) + np.arange(off[-1])
-            yield pa.LargeStringArray.from_buffers(j - i, pa.py_buffer(off.astype(np.int64)), pa.py_buffer(self.spaced[source]))
-            i = j
+            self.keys.append(part << np.uint64(32) | h & np.uint64(0xFFFFFFFF))
+            self.at.append(at.astype(np.int32))
+        self.data, self.starts, self.ends, self.spaced = data, starts, ends, None
+
+    @staticmethod
+    def of(body: pa.Buffer, words: int, partitions: int) -> list[Grams]:
+        """The n-grams of a slice, in blocks that keep what is made on the way small."""
+        return [Grams(lang, data, off, words, partitions) for lang, texts in unpacked(body) for _, _, data, off in slices(texts, BLOCK_BYTES)]
+
+    def phrases(self, k: int, chosen: np.ndarray) -> pa.Array:
+        """The k-word phrases at the chosen places."""
+        if not len(chosen):
+            return pa.array([], pa.large_string())
+        if self.spaced is None:  # words with one space between them: a phrase is a span again
+            size = self.ends - self.starts + 1
+            self.to = np.concatenate([[0], np.cumsum(size)])
+            self.spaced = np.append(self.data, np.uint8(32))[gathered(self.starts, size)]
+            self.spaced[self.to[1:] - 1] = 32
+            self.data = self.starts = self.ends = None
+        spaced, to, at = self.spaced, self.to, self.at[k - 1][chosen]
+        start, size = to[at], to[at + k] - 1 - to[at]
+        off = np.concatenate([[0], np.cumsum(size)])
+        return pa.LargeStringArray.from_buffers(len(at), pa.py_buffer(off.astype(np.int64)), pa.py_buffer(spaced[gathered(start, size)]))
+
+
+def gathered(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The places of spans, one after another."""
+    to = np.cumsum(size)
+    return np.repeat(start - (to - size), size) + np.arange(to[-1] if len(to) else 0)
+
+
+def distinct(grams: list[Grams]) -> tuple[np.ndarray, np.ndarray]:
+    """The sorted keys of a slice's n-grams, and how often each occurs."""
+    keys = np.concatenate([np.zeros(0, np.uint64), *[k for g in grams for k in g.keys]])
+    keys.sort()
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
+    return keys[first], np.diff(np.append(first, len(keys)))
 
 
 def summing(words: int, partitions: int):
@@ -157,9 +171,7 @@ def summing(words: int, partitions: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for number, body in zip(batch.column(0).to_pylist(), batch.column(1)):
-                keys = [k for lang, texts in unpacked(body.as_buffer()) for k in Grams(lang, texts, words, partitions).keys]
-                keys, counts = np.unique(np.concatenate(keys or [np.zeros(0, np.uint64)]), return_counts=True)
-                yield from sent(number, keys, counts)
+                yield from sent(number, *distinct(Grams.of(body.as_buffer(), words, partitions)))
     return run
 
 
@@ -213,30 +225,51 @@ def surviving(least: int):
     return run
 
 
+class Marks:
+    """A set of keys that may hold some more: one in thirty of the others at worst, for a slice's n-grams."""
+
+    def __init__(self, keys: np.ndarray):
+        self.marked = np.zeros(1 << MARK_BITS, bool)
+        self.marked[self.place(keys)] = True
+
+    @staticmethod
+    def place(keys: np.ndarray) -> np.ndarray:
+        return (keys * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - MARK_BITS)
+
+    def of(self, keys: np.ndarray) -> np.ndarray:
+        return np.flatnonzero(self.marked[self.place(keys)])
+
+
 def spelling(words: int, partitions: int):
-    """A slice and its bits to (language, phrase, words, occurrences), and the language's number of words (phrase null)."""
+    """A slice and its bits to (language, phrase, words, occurrences), and the language's number of words (phrase null).
+
+    A phrase that isn't frequent may be among them, by its mark or hash; its occurrences, all or some, stay below the threshold.
+    """
     def run(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
-        empty = pa.table({"lang": pa.array([], pa.string()), "phrase": pa.array([], pa.string()), "size": pa.array([], pa.int32()), "f": pa.array([], pa.int64())})
+        out = [pa.table({"lang": pa.array([], pa.string()), "phrase": pa.array([], pa.string()), "size": pa.array([], pa.int32()), "f": pa.array([], pa.int64())})]
+
+        def add(lang: str, phrase: pa.Array, k: int, f: pa.Array) -> None:
+            n = len(f)
+            out.append(pa.table({"lang": pa.repeat(pa.scalar(lang, pa.string()), n), "phrase": phrase, "size": pa.repeat(pa.scalar(k, pa.int32()), n), "f": f}))
+
         if not left.num_rows:
-            return empty
-        grams = [(lang, Grams(lang, texts, words, partitions)) for lang, texts in unpacked(left["body"][0].as_buffer())]
-        keys = np.unique(np.concatenate([k for _, g in grams for k in g.keys] or [np.zeros(0, np.uint64)]))
+            return out[0]
+        grams = Grams.of(left["body"][0].as_buffer(), words, partitions)
+        keys, _ = distinct(grams)
         part = (keys >> np.uint64(32)).astype(np.int64)
         frequent = np.zeros(len(keys), bool)
         for p, bits in zip(right["part"].to_pylist(), right["bits"]):
             i, j = np.searchsorted(part, [p, p + 1])
             frequent[i:j] = np.unpackbits(np.frombuffer(bits.as_buffer(), np.uint8), count=j - i)
-        out = [empty]
-        for lang, g in grams:
-            found = [(None, 0, pa.array([g.n_words], pa.int64()))] if g.n_words else []
-            for k, own in zip(g.sizes, g.keys):
-                for texts in g.phrases(k, np.flatnonzero(frequent[np.searchsorted(keys, own)])):
-                    counts = pc.value_counts(texts)
-                    found.append((counts.field(0).cast(pa.string()), k, counts.field(1)))
-            for phrase, k, f in found:
-                n = len(f)
-                out.append(pa.table({"lang": pa.repeat(pa.scalar(lang, pa.string()), n), "phrase": pa.nulls(n, pa.string()) if phrase is None else phrase,
-                                     "size": pa.repeat(pa.scalar(k, pa.int32()), n), "f": f.cast(pa.int64())}))
+        marks = Marks(keys[frequent])
+        del keys, part, frequent
+        for lang in dict.fromkeys(g.lang for g in grams):
+            own = [g for g in grams if g.lang == lang]
+            if n := sum(g.n_words for g in own):
+                add(lang, pa.nulls(1, pa.string()), 0, pa.array([n], pa.int64()))
+            for k in range(1, words + 1):
+                counts = pc.value_counts(pa.chunked_array([g.phrases(k, marks.of(g.keys[k - 1])) for g in own], pa.large_string()))
+                add(lang, counts.field(0).cast(pa.string()), k, counts.field(1).cast(pa.int64()))
         return pa.concat_tables(out)
     return run
 

@@ -5,7 +5,7 @@ one array a dimension. A query takes the dimensions in blocks, those in which it
 each block a candidate's score can grow by no more than |rest of query| * |rest of candidate| (Cauchy-Schwarz), the
 remaining mass; candidates that cannot reach the query's k-th best score any more are left out, and the survivors are compacted
 before the next block. Thresholds start at the k-th best score among a few queries (queries are candidates as
-well) and rise from block of rows to block of rows. What a bound leaves out is below the k-th best, so the result is exact.
+well), and rise with the k-th best that the candidates at hand are sure to reach, and from block of rows to block of rows. What a bound leaves out is below the k-th best, so the result is exact.
 
 Queries are a stated set. They are dealt to chunks of at most ``CHUNK_BYTES``, and each chunk is broadcast and run against all
 rows: the driver and a worker hold one chunk, whatever the size of the table. A task returns at most k rows a query,
@@ -108,7 +108,7 @@ class Queries:
         left = np.flatnonzero(~own) if own.any() else None  # None: all
         score = np.zeros(columns.shape[1] if left is None else len(left), kind)
         rest = mass if left is None else mass[left]
-        order, vector, least = self.order[q], self.vectors[q], self.least[q]
+        order, vector, least = self.order[q], self.vectors[q], float(self.least[q])
         for at in range(0, len(order), DIMENSIONS):
             block = order[at:at + DIMENSIONS]
             part, part_squares = (columns[block], squares[block]) if left is None else (columns[np.ix_(block, left)], squares[np.ix_(block, left)])
@@ -116,9 +116,11 @@ class Queries:
             rest = np.maximum(rest - part_squares.sum(axis=0), 0)
             if at + DIMENSIONS < len(order):
                 so_far, whole = score.astype(np.float64), mass if left is None else mass[left]
-                bound = so_far + self.rest[q, at + DIMENSIONS] * np.sqrt(rest + 1e-9 * whole)
-                off = 1 + 1e-9 * np.abs(bound) + 1e-9 * np.abs(so_far)  # more than doubles can be off
-                stay = bound + off >= float(least) - 1e-12 * abs(float(least))
+                more = self.rest[q, at + DIMENSIONS] * np.sqrt(rest + 1e-9 * whole)
+                more = more + 1 + 1e-9 * (more + np.abs(so_far))  # no less than doubles can be off
+                if len(so_far) >= self.k:  # k candidates will reach at least so much
+                    least = max(least, float(np.partition(so_far - more, -self.k)[-self.k]))
+                stay = so_far + more >= least - 1e-12 * abs(least)
                 if not stay.all():
                     keep = np.flatnonzero(stay)
                     left = keep if left is None else left[keep]
@@ -126,7 +128,7 @@ class Queries:
                     if not len(left):
                         return
         score = long_scores(score)
-        stay = np.flatnonzero(score >= least)
+        stay = np.flatnonzero(score >= self.least[q])
         if len(stay):
             at = stay if left is None else left[stay]
             self.keep(q, score[stay], ids[at], known[at])
