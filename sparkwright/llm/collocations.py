@@ -35,7 +35,7 @@ SCALE = 1_000_000
 WITHIN = 50  # percent of a candidate's occurrences inside a longer one that drop it
 BEST = 2000  # phrases of a language
 UNKNOWN = "und"
-SLICE_BYTES = 12_000_000
+SLICE_BYTES = 8_000_000
 BLOCK_BYTES = 1_000_000  # of a slice that are worked on at once
 MARK_BITS = 25
 PARTITION_BYTES = 32_000_000  # of text for each hash partition
@@ -270,6 +270,7 @@ def spelling(words: int, partitions: int):
             for k in range(1, words + 1):
                 counts = pc.value_counts(pa.chunked_array([g.phrases(k, marks.of(g.keys[k - 1])) for g in own], pa.large_string()))
                 add(lang, counts.field(0).cast(pa.string()), k, counts.field(1).cast(pa.int64()))
+        pa.default_memory_pool().release_unused()
         return pa.concat_tables(out)
     return run
 
