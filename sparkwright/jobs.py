@@ -90,22 +90,19 @@ def ingest_feed_file(spark: SparkSession, feed_csv: str, source_key: str, landin
 def process_vendor_drops(spark: SparkSession, landing: str, types: dict[str, str], work_path: str,
                          archive_dir: str | None = None, schema_version: str | None = None, by: str = "file",
                          max_files_per_batch: int | None = 1000) -> DataFrame:
-    """Count the records of every file that newly arrived below ``landing`` (once), then archive all processed
-    files; returns the per-drop totals so far. A backlog is processed in bounded micro-batches; a drop of
-    several files (``by="directory"``) is summed by ``drop_totals``. Payloads, the names of processed files
-    and the stream's checkpoint are kept below ``work_path``."""
-    payloads, processed = f"{work_path}/payloads", f"{work_path}/processed"
+    """Count the records of every drop that newly arrived below ``landing`` (once), archive all processed
+    files, and return the per-drop totals so far.
+
+    A drop is a plain file, or (``by="directory"``) a directory of part files that is complete when renamed to
+    ``<name>.complete``. A backlog is processed in bounded micro-batches; a drop whose parts fall into several is summed by
+    ``drop_totals``. Payloads and the stream's checkpoint are kept below ``work_path``.
+    """
+    payloads = f"{work_path}/payloads"
 
     def on_batch(batch, batch_id):
-        if batch.isEmpty():
-            return
-        st.write_batch(st.drop_payload(st.batch_rows(batch, types), schema_version, by), payloads, batch_id)
-        st.write_batch(batch, processed, batch_id)
-
-    pattern = landing if by == "file" else f"{landing}/*"
-    st.run_available(st.arrival_stream(spark, pattern, max_files_per_batch), on_batch, f"{work_path}/checkpoint")
-    if archive_dir is not None:
-        st.archive_processed(spark, spark.read.parquet(processed), landing, archive_dir)
+        st.write_batch(st.drop_payload(st.batch_rows(batch, types, by), schema_version, by), payloads, batch_id)
+
+    st.archived_run(spark, landing, on_batch, f"{work_path}/checkpoint", by, max_files_per_batch, archive_dir)
     return st.drop_totals(spark.read.parquet(payloads))
 
 

@@ -62,8 +62,8 @@ def _customer_key() -> tuple[Column, Column]:
             F.col("customer_id").isNull().alias("_cn"))
 
 
-def customer_metrics(staged: DataFrame, variant: str = "A") -> DataFrame:
-    """One row per customer.
+def customer_metrics(staged: DataFrame, variant: str = "A", observed: DataFrame | None = None) -> DataFrame:
+    """One row per customer. ``observed``: the same rows with metrics attached, for the one branch that reads all of them.
 
     Variant A: distinct order count, subtotal / tax / spend sums, mean session,
     most common browser and os (ties -> alphabetically first); the NULL customer is
@@ -78,7 +78,7 @@ def customer_metrics(staged: DataFrame, variant: str = "A") -> DataFrame:
         orders = (staged.select(ck, cn, "order_id").distinct()
                   .groupBy("_ck", "_cn").agg(F.count("order_id").alias("total_orders")))
         known = ~F.col("_cn")
-        rest = staged.groupBy(ck, cn).agg(
+        rest = (staged if observed is None else observed).groupBy(ck, cn).agg(
             money_sum("subtotal").alias("total_subtotal"),
             money_sum("tax").alias("total_tax"),
             money_sum(F.col("subtotal") + F.col("tax")).alias("total_spend"),
@@ -90,7 +90,7 @@ def customer_metrics(staged: DataFrame, variant: str = "A") -> DataFrame:
             F.when(~F.col("_cn"), F.col("_ck")).alias("customer_id"),
             "total_orders", "total_subtotal", "total_tax", "total_spend",
             "avg_session_duration_secs", "most_common_browser", "most_common_os")
-    return (staged.filter(F.col("customer_id").isNotNull())
+    return ((staged if observed is None else observed).filter(F.col("customer_id").isNotNull())
             .groupBy("customer_id").agg(
                 F.count("order_id").alias("total_orders"),
                 money_sum("spend").alias("total_spend"),

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from sparkwright.functions.useragent import BROWSER_VALUES, OS_VALUES
@@ -77,6 +77,40 @@ def dq_report(df: DataFrame, table: str, checks: list[Check]) -> DataFrame:
     return out
 
 
+class ObservedChecks:
+    """The row checks of one table, measured by whatever job reads ``rows``: no pass of their own.
+
+    ``rows`` is the table with the metrics attached; it must be read in full, by one branch of one job. Counts of a task that ran
+    again after its output was lost would be added twice, so the number of rows is measured as well: where it isn't
+    that of the table, the checks are made by ``dq_report``. That also gives the number of distinct values that break
+    an ``accepted_values`` check, which a metric can't (it says whether there are any).
+    """
+
+    def __init__(self, df: DataFrame, table: str, checks: list[Check]):
+        self.df, self.table, self.checks = df, table, checks
+        self.row_checks = [c for c in checks if c.test != "unique"]
+        self.observation = Observation()
+        self.rows = df.observe(self.observation, F.count(F.lit(1)).alias("rows"), *[self._rows_breaking(c).alias(f"v{i}") for i, c in enumerate(self.row_checks)])
+
+    @staticmethod
+    def _rows_breaking(check: Check) -> Column:
+        c = F.col(check.column)
+        return F.count(F.when(c.isNull() if check.test == "not_null" else ~c.isin(*check.values), F.lit(1)))
+
+    def report(self, stored: DataFrame | None = None, rows: int | None = None) -> DataFrame:
+        """The report, once the job has run. ``stored``: the table as it was written, for ``unique`` and for whatever must be
+        checked again (default: the table's plan). ``rows``: its number of rows, if known."""
+        df = self.df if stored is None else stored
+        got = self.observation.get
+        again = [c for i, c in enumerate(self.row_checks) if c.test == "accepted_values" and got[f"v{i}"]]
+        if got["rows"] != (df.count() if rows is None else rows):
+            again = self.row_checks
+        measured = [(self.table, c.column, c.test, int(got[f"v{i}"])) for i, c in enumerate(self.row_checks) if c not in again]
+        out = df.sparkSession.createDataFrame(measured, "table_name string, column_name string, test_name string, violations bigint")
+        again = again + [c for c in self.checks if c.test == "unique"]
+        return out.unionByName(dq_report(df, self.table, again)) if again else out
+
+
 # The checks declared for the staged clickstream and the customer-metrics mart.
 STAGING_CHECKS = [
     *(Check(c, "not_null") for c in ("order_id", "customer_id", "order_date", "subtotal", "tax",

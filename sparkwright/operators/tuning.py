@@ -17,7 +17,7 @@ from __future__ import annotations
 import math
 import os
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkwright.operators.quality import Check, dq_report
@@ -133,14 +133,25 @@ def mock_candidate_scores(grid: DataFrame) -> DataFrame:
     return grid.withColumn("accuracy", F.round(F.lit(0.91) - F.abs(F.col("learning_rate") - F.lit(0.05)) * 2, 4))
 
 
+def claim_version(spark: SparkSession, registry_path: str, name: str = MODEL_NAME, after: int = 0) -> int:
+    """The next free version of a model: a file of the version's name, which only one run can create."""
+    path_of = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    folder = path_of(os.path.join(registry_path, "claims", name))
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(folder)
+    version = max([after, *(int(s.getPath().getName()[1:]) for s in fs.listStatus(folder))]) + 1
+    while not fs.createNewFile(path_of(folder, f"v{version:04d}")):
+        version += 1
+    return version
+
+
 def register(weights: dict[float, tuple[float, ...]], best: DataFrame, registry_path: str, name: str = MODEL_NAME, as_of=None) -> DataFrame:
-    """Save the model of ``best``'s rate as the next version and append its registry row (model_path is relative to
+    """Save the model of ``best``'s rate as the next free version (two runs never share one) and append its registry row (model_path is relative to
     the registry); returns the registry."""
     spark = best.sparkSession
     rows_path = os.path.join(registry_path, "registry")
-    version = 1
-    if path_exists(spark, rows_path):
-        version = (spark.read.parquet(rows_path).agg(F.max("version")).first()[0] or 0) + 1
+    last = spark.read.parquet(rows_path).agg(F.max("version")).first()[0] if path_exists(spark, rows_path) else None
+    version = claim_version(spark, registry_path, name, last or 0)
     winner = best.first()
     model_path = f"models/{name}/v{version:04d}"
     spark.createDataFrame(list(zip(("intercept", *FEATURES), weights[winner["learning_rate"]])), "term string, weight double") \

@@ -7,6 +7,7 @@ below the shared checkpoint folder and return a read of what was written.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,8 +17,10 @@ from sparkwright.functions.paths import cold_path, decrypted_name
 from sparkwright.functions.useragent import BROWSER_VALUES
 from sparkwright.jobs import process_vendor_drops
 from sparkwright.operators import approvals as ap
+from sparkwright.operators import boosting as bt
 from sparkwright.operators import clickstream as cs
 from sparkwright.operators import feed as fd
+from sparkwright.operators import metrics_state as ms
 from sparkwright.operators import quality as dq
 from sparkwright.operators import sales as sl
 from sparkwright.operators import tuning as tn
@@ -25,6 +28,7 @@ from sparkwright.operators.ranking import order_recency_rank
 from sparkwright.params import ApprovalParams
 from sparkwright.session import scratch_path
 from sparkwright.sinks import tables as sk
+from sparkwright.sources import catalog_tables as ct
 from sparkwright.sources import fixtures as fx
 from sparkwright.sources import readers as rd
 from sparkwright.streaming import arrival as st
@@ -55,6 +59,26 @@ def q_customer_metrics_windowed(spark, sf_dir):
     return cs.customer_metrics_windowed(cs.stage(fx.clickstream(spark, sf_dir), "A"))
 
 
+BUCKETS = 8  # of the clickstream's catalog table
+
+
+def q_customer_metrics_bucketed(spark, sf_dir):
+    """The windowed form over a table bucketed by customer: its aggregates, windows and joins need no exchange."""
+    name = f"clickstream_{uuid.uuid4().hex[:12]}"
+    ct.save_bucketed(fx.clickstream(spark, sf_dir), name, "customer_id", BUCKETS)
+    return cs.customer_metrics_windowed(cs.stage(ct.read_clickstream_table(spark, name), "A"))
+
+
+def q_customer_metrics_merged(spark, sf_dir):
+    """Two loads' states merged into the metrics of both; an order id that comes in both counts once."""
+    path = scratch_path(spark, "metrics_state")
+    click = cs.stage(fx.clickstream(spark, sf_dir), "A")
+    early = F.col("order_date") < F.lit(EARLIER_LOAD_BEFORE).cast("timestamp_ntz")
+    first = ms.load_state(click.filter(early)).write(f"{path}/1")
+    second = ms.load_state(click.filter(~early | F.col("order_date").isNull()))
+    return ms.metrics(ms.merge_states(first, second).write(f"{path}/2"))
+
+
 def q_order_recency_rank(spark, sf_dir):
     return order_recency_rank(cs.stage(fx.clickstream(spark, sf_dir), "A"))
 
@@ -176,17 +200,8 @@ def q_append_raw_clickstream(spark, sf_dir):
 # --------------------------------------------------------------------------- sales
 
 def q_report_fan_out(spark, sf_dir):
-    """The three reports over one stored sales table, as (dimension, label, n, amount)."""
-    path = scratch_path(spark, "sales")
-    fx.sales(spark, sf_dir).write.parquet(path)  # the joins run once, not once a report
-    reports = sl.report_fan_out(spark.read.parquet(path), ["by_store", "by_product", "by_day_of_week"])
-    out = None
-    for dimension, df in reports.items():
-        label, n, amount = df.columns
-        part = df.select(F.lit(dimension).alias("dimension"), F.col(label).cast("string").alias("label"),
-                         F.col(n).alias("n"), F.col(amount).cast("decimal(38,2)").alias("amount"))
-        out = part if out is None else out.unionByName(part)
-    return out
+    """The three reports as (dimension, label, n, amount), in one pass over the sales."""
+    return sl.reports_in_one_pass(fx.sales(spark, sf_dir), ["by_store", "by_product", "by_day_of_week"])
 
 
 def q_top_customers_by_revenue(spark, sf_dir):
@@ -224,6 +239,27 @@ def q_landing_with_lineage(spark, sf_dir):
     return spark.read.schema(landed.schema).parquet(path)
 
 
+def _feed_of_other_types(spark, sf_dir) -> list[str]:
+    """A feed in three parts; the third widens ``total`` (whole numbers before) and ``code`` (digits before)."""
+    base = scratch_path(spark, "typed_feed")
+    orders = fx.table(spark, sf_dir, "orders")
+    key = F.col("o_orderkey")
+    for k in range(FEED_FILES):
+        total = F.col("o_totalprice").cast("string") if k == 2 else F.floor("o_totalprice").cast("string")
+        code = F.concat(F.lit("C"), key) if k == 2 else key.cast("string")
+        (orders.filter(key % FEED_FILES == k).select(
+            "o_orderkey", F.when(key % 7 == 0, F.lit("NA")).otherwise(total).alias("total"), code.alias("code"),
+            F.when(key % 2 == 0, F.lit("True")).otherwise(F.lit("false")).alias("urgent"),
+            F.lit("").alias("note"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("order_date"))
+         .write.option("header", True).option("maxRecordsPerFile", PART_ROWS).csv(f"{base}/part{k}"))
+    return [f"{base}/part{k}" for k in range(FEED_FILES)]
+
+
+def q_feed_inferred(spark, sf_dir):
+    """A feed read without declared types: each column's type comes from all values of all files; dates stay text."""
+    return rd.read_feed(spark, _feed_of_other_types(spark, sf_dir))
+
+
 FEED_FILES = 3  # the landing table holds the feed as so many files
 
 
@@ -286,11 +322,13 @@ def q_dq_accepted_values_violated(spark, sf_dir):
 
 
 def q_dq_report(spark, sf_dir):
+    """The 22 checks of staging and mart, the row checks measured while the mart is written."""
     staged = q_staged_clickstream(spark, sf_dir)
     path = scratch_path(spark, "checked_mart")
-    cs.customer_metrics(staged).write.parquet(path)  # the checks read the mart that was written
-    mart = spark.read.parquet(path)
-    return dq.dq_report(staged, STG, dq.STAGING_CHECKS).unionByName(dq.dq_report(mart, MART, dq.MART_CHECKS))
+    of_staged = dq.ObservedChecks(staged, STG, dq.STAGING_CHECKS)
+    of_mart = dq.ObservedChecks(cs.customer_metrics(staged, observed=of_staged.rows), MART, dq.MART_CHECKS)
+    of_mart.rows.write.parquet(path)
+    return of_staged.report().unionByName(of_mart.report(spark.read.parquet(path)))
 
 
 # --------------------------------------------------------------------------- streaming
@@ -299,19 +337,19 @@ VENDOR_TYPES = {"event_id": "bigint", "ts": "string", "user_id": "bigint", "even
 FEED_TYPES = {"o_orderkey": "bigint", "order_date": "string", "ship_date": "string"}
 # Fixed value: the schema version reported for vendor drops.
 SCHEMA_VERSION = "v3"
-DROPS = 3  # the vendor table arrives as three files; the last one after the first run
+DROPS = 3  # the vendor table arrives as three drops; the last one after the first run
+PART_ROWS = 2_000  # rows of a drop's part file, few enough for the test tables to come in many parts
+BATCH_FILES = 64  # part files of a micro-batch
 
 
-def _land_plain(df: DataFrame, path: str) -> None:
-    """``df`` as one plain CSV file with a header at ``path``, which appears there whole."""
-    parts = f"{path}-parts".replace("/landing/", "/outside/")
-    df.coalesce(1).write.option("header", True).option("escape", '"').csv(parts)
-    spark = df.sparkSession
-    path_of = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    fs = path_of(parts).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    part = next(s.getPath() for s in fs.listStatus(path_of(parts)) if s.getPath().getName().startswith("part-"))
+def _land_drop(df: DataFrame, path: str) -> None:
+    """``df`` as a directory of CSV part files, which appears at ``path`` + the mark of complete drops when all are there."""
+    parts = path.replace("/landing/", "/outside/")
+    df.write.option("header", True).option("escape", '"').option("maxRecordsPerFile", PART_ROWS).csv(parts)
+    path_of = df.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = path_of(parts).getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration())
     fs.mkdirs(path_of(path).getParent())
-    fs.rename(part, path_of(path))
+    fs.rename(path_of(parts), path_of(path + st.COMPLETE))
 
 
 def _land_vendor_drop(spark, sf_dir, landing: str, k: int) -> None:
@@ -322,7 +360,7 @@ def _land_vendor_drop(spark, sf_dir, landing: str, k: int) -> None:
         columns = [*reversed(columns), "props"]
     if k == 2:
         events = events.withColumn("event_type", F.concat("event_type", F.lit("\nsecond line")))
-    _land_plain(events.select(*columns), f"{landing}/vendor_data_{k}.csv")
+    _land_drop(events.select(*columns), f"{landing}/vendor_data_{k}.csv")
 
 
 def _vendor_runs(spark, sf_dir):
@@ -332,26 +370,29 @@ def _vendor_runs(spark, sf_dir):
         for k in arrivals:
             _land_vendor_drop(spark, sf_dir, f"{base}/landing", k)
         totals = process_vendor_drops(spark, f"{base}/landing", VENDOR_TYPES, f"{base}/work", f"{base}/archive",
-                                      SCHEMA_VERSION, max_files_per_batch=1)
+                                      SCHEMA_VERSION, by="directory", max_files_per_batch=BATCH_FILES)
     return base, totals
 
 
 def q_vendor_drop_counts(spark, sf_dir):
-    """Drops arrive in two waves, a file a batch; each file is counted once across both runs."""
+    """Drops of many part files arrive in two waves; each file is counted once across both runs."""
     return _vendor_runs(spark, sf_dir)[1]
 
 
 def q_archive_processed(spark, sf_dir):
-    """Drops moved to the archive, with their record counts and cold-storage path."""
+    """Drops that the stream moved to the archive, with their record counts and cold-storage path."""
     base, _ = _vendor_runs(spark, sf_dir)
-    archived = rd.read_csv_text(spark, f"{base}/archive").select("_metadata")
-    return (archived.groupBy(st.drop_name().alias("file")).agg(F.count(F.lit(1)).alias("record_count"))
+    # The archive keeps the files' full paths; each drop has a header of its own, and only rows are counted.
+    archived = (spark.read.option("header", True).option("multiLine", True).option("escape", '"').option("recursiveFileLookup", True)
+                .option("pathGlobFilter", "part-*").schema(", ".join(f"c{i} string" for i in range(len(VENDOR_TYPES))))
+                .csv(f"{base}/archive").select("c0", "_metadata"))
+    return (archived.groupBy(st.drop_name("directory").alias("file")).agg(F.count(F.lit(1)).alias("record_count"))
             .select("file", "record_count", cold_path("file").alias("cold_path")))
 
 
 def _stream_feed(spark, sf_dir):
-    """The feed as three plain files: the second in another column order, the third with a line break in its junk
-    dates; a file a batch."""
+    """The feed as three drops of many part files: the second in another column order, the third with a line break in its junk
+    dates."""
     base = scratch_path(spark, "feed_stream")
     feed = fx.landing(spark, sf_dir)
     for k in range(FEED_FILES):
@@ -360,19 +401,19 @@ def _stream_feed(spark, sf_dir):
             own = own.select("ship_date", "o_orderkey", "order_date")
         if k == 2:
             own = own.withColumn("order_date", F.regexp_replace("order_date", "not-a-date", "not a\ndate"))
-        _land_plain(own, f"{base}/landing/orders_{k}.csv")
+        _land_drop(own, f"{base}/landing/orders_{k}.csv")
     audits = ingest_feed(spark, f"{base}/landing", FEED_TYPES, f"{base}/rows", f"{base}/audit", f"{base}/checkpoint",
-                         AS_OF, max_files_per_batch=1)
+                         AS_OF, drop_by="directory", max_files_per_batch=BATCH_FILES)
     return spark.read.parquet(f"{base}/rows"), audits
 
 
 def q_streaming_feed_ingest(spark, sf_dir):
-    """The stream lands and repairs the files that arrived."""
+    """The stream lands and repairs the drops that arrived."""
     return _stream_feed(spark, sf_dir)[0].select("o_orderkey", "order_date", "ship_date")
 
 
 def q_streaming_feed_audit(spark, sf_dir):
-    """One audit row a file."""
+    """One audit row a drop."""
     return _stream_feed(spark, sf_dir)[1]
 
 
@@ -412,6 +453,42 @@ def q_tune_learning_rate(spark, sf_dir):
     return tn.register(weights, tn.best_candidate(scores), root, as_of=AS_OF)
 
 
+def _fitted_features(spark, sf_dir):
+    pipeline, rows = bt.fit_features(*fx.training_events(spark, sf_dir))
+    path = scratch_path(spark, "fitted_features")
+    rows.write.parquet(path)
+    return pipeline, spark.read.schema(rows.schema).parquet(path)
+
+
+def q_fitted_features(spark, sf_dir):
+    """The three counts after imputation and scaling fitted on the training folds, and how many features there are."""
+    rows = _fitted_features(spark, sf_dir)[1]
+    return rows.select("doc_id", "label", *[F.col("x")[i].alias(c) for i, c in enumerate(bt.COUNTS)], F.size("x").alias("feature_count"))
+
+
+def _boosted(spark, sf_dir):
+    pipeline, rows = _fitted_features(spark, sf_dir)
+    cuts = bt.quantile_cuts(rows.where(F.col("fold") < tn.FOLDS - 1))
+    path = scratch_path(spark, "binned_features")
+    bt.binned(rows, cuts).select("label", "fold", "b").write.parquet(path)
+    return pipeline, cuts, *bt.boost(spark.read.parquet(path))
+
+
+def q_boosted_candidate_scores(spark, sf_dir):
+    """Held-out accuracy of boosted trees for each learning rate."""
+    return _boosted(spark, sf_dir)[4].drop("grid_order")
+
+
+def q_boosted_registry(spark, sf_dir):
+    """The best rate's trees and fitted features saved and registered; the registry row, and every document's score by what was
+    saved."""
+    pipeline, cuts, start, models, scores = _boosted(spark, sf_dir)
+    root = scratch_path(spark, "boosted_models")
+    entry = bt.register_boosted(pipeline, cuts, start, models, tn.best_candidate(scores), root, as_of=AS_OF).first()
+    scored = bt.score_documents(spark, root, entry, fx.table(spark, sf_dir, "documents"))
+    return scored.select("doc_id", "margin", "predicted", *[F.lit(entry[c]).alias(c) for c in ("version", "model_path", "features_path", "learning_rate", "accuracy")])
+
+
 QUERIES: dict[str, Query] = {
     "approve_applications": q_approve_applications,
     "approval_summary": q_approval_summary,
@@ -427,6 +504,8 @@ QUERIES: dict[str, Query] = {
     "customer_metrics": q_customer_metrics,
     "customer_metrics_b": q_customer_metrics_b,
     "customer_metrics_windowed": q_customer_metrics_windowed,
+    "customer_metrics_bucketed": q_customer_metrics_bucketed,
+    "customer_metrics_merged": q_customer_metrics_merged,
     "order_recency_rank": q_order_recency_rank,
     "merge_customer_metrics": q_merge_customer_metrics,
     "insert_metrics_twice": q_insert_metrics_twice,
@@ -437,6 +516,7 @@ QUERIES: dict[str, Query] = {
     "table_row_count": q_table_row_count,
     "report_fan_out": q_report_fan_out,
     "landing_with_lineage": q_landing_with_lineage,
+    "feed_inferred": q_feed_inferred,
     "repair_landing": q_repair_landing,
     "bad_date_count": q_bad_date_count,
     "normalize_dates": q_normalize_dates,
@@ -457,6 +537,9 @@ QUERIES: dict[str, Query] = {
     "candidate_scores": q_candidate_scores,
     "best_candidate": q_best_candidate,
     "tune_learning_rate": q_tune_learning_rate,
+    "fitted_features": q_fitted_features,
+    "boosted_candidate_scores": q_boosted_candidate_scores,
+    "boosted_registry": q_boosted_registry,
 }
 
 

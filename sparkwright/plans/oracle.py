@@ -273,6 +273,12 @@ LANDING_WITH_LINEAGE = with_(LANDING) + f"""
 SELECT o_orderkey, order_date, ship_date, 'daily_orders.csv' AS _source_file, {AS_OF_SQL} AS _ingested_at
 FROM landing"""
 
+FEED_INFERRED = """
+SELECT o_orderkey, CASE WHEN o_orderkey % 7 = 0 THEN NULL WHEN o_orderkey % 3 = 2 THEN o_totalprice ELSE floor(o_totalprice) END AS total,
+       CASE WHEN o_orderkey % 3 = 2 THEN 'C' ELSE '' END || CAST(o_orderkey AS VARCHAR) AS code, o_orderkey % 2 = 0 AS urgent,
+       CAST(NULL AS DOUBLE) AS note, strftime(o_orderdate, '%Y-%m-%d') AS order_date
+FROM orders"""
+
 BAD_DATE_COUNT = with_(LANDING) + f"SELECT COUNT(*) FILTER (WHERE {BAD_ROW}) AS bad_dates FROM landing"
 
 NORMALIZE_DATES = with_(LANDING) + f"""
@@ -365,6 +371,17 @@ SELECT d.doc_id, l.quality AS label, CAST(d.n_chars AS DOUBLE) AS n_chars,
 FROM documents d JOIN labels l ON d.doc_id = l.doc_id"""
 
 
+FITTED_FEATURES = f"""
+WITH known AS (
+  SELECT doc_id, CAST(label AS BIGINT) AS label, ((doc_id % 4) + 4) % 4 < 3 AS training, n_chars, n_words, n_digits
+  FROM ({PREPARE_FEATURES}) WHERE label IS NOT NULL AND doc_id IS NOT NULL),
+means AS (SELECT avg(n_chars) AS c, avg(n_words) AS w, avg(n_digits) AS d FROM known WHERE training),
+imputed AS (
+  SELECT doc_id, label, training, coalesce(n_chars, c) AS chars, coalesce(n_words, w) AS words, coalesce(n_digits, d) AS digits FROM known, means),
+scales AS (SELECT 1 / coalesce(nullif(max(chars), 0), 1) AS c, 1 / coalesce(nullif(max(words), 0), 1) AS w, 1 / coalesce(nullif(max(digits), 0), 1) AS d
+           FROM imputed WHERE training)
+SELECT doc_id, label, chars * c AS chars, words * w AS words, digits * d AS digits, 87 AS feature_count FROM imputed, scales"""
+
 FEATURE_SET = f"SELECT COUNT(*) AS rows, 3 AS feature_count, 'features' AS path FROM ({PREPARE_FEATURES})"
 
 
@@ -417,6 +434,8 @@ def oracle_sql() -> dict[str, str]:
         "customer_metrics": CUSTOMER_METRICS,
         "customer_metrics_b": CUSTOMER_METRICS_B,
         "customer_metrics_windowed": CUSTOMER_METRICS,
+        "customer_metrics_bucketed": CUSTOMER_METRICS,
+        "customer_metrics_merged": CUSTOMER_METRICS,
         "order_recency_rank": ORDER_RECENCY_RANK,
         "merge_customer_metrics": MERGE_CUSTOMER_METRICS,
         "insert_metrics_twice": INSERT_METRICS_TWICE,
@@ -427,6 +446,7 @@ def oracle_sql() -> dict[str, str]:
         "table_row_count": TABLE_ROW_COUNT,
         "report_fan_out": REPORT_FAN_OUT,
         "landing_with_lineage": LANDING_WITH_LINEAGE,
+        "feed_inferred": FEED_INFERRED,
         "repair_landing": REPAIR_LANDING,
         "bad_date_count": BAD_DATE_COUNT,
         "normalize_dates": NORMALIZE_DATES,
@@ -447,4 +467,5 @@ def oracle_sql() -> dict[str, str]:
         "candidate_scores": CANDIDATE_SCORES,
         "best_candidate": BEST_CANDIDATE,
         "tune_learning_rate": TUNE_LEARNING_RATE,
+        "fitted_features": FITTED_FEATURES,
     }

@@ -1,19 +1,21 @@
-"""Append and keyed-merge writers over versioned parquet tables.
+"""Append writers, and keyed merges into tables of hash buckets.
 
-Layout of a table at ``path``::
+Layout of a merged table at ``path``::
 
-    path/v=000001/part-*.parquet     one directory per committed version
-    path/_log/part-*.parquet         one row per commit: (version, operation, rows)
+    path/v=000001/key_bucket=7/part-*.parquet   the rows of one bucket of keys, as one commit wrote them
+    path/v=000001/key_bucket=-1/part-*.parquet  rows with a NULL key that this commit added
+    path/_log/part-*.parquet                    one row per commit: (version, operation, rows, buckets, touched)
 
-A version is visible once its log row exists; the log row is written after the data
-job finished, so a failed job leaves at most an unreferenced directory behind, and
-readers never see half a version. A merge reads the current version and writes the
-next one: a path is never overwritten while it is being read.
+A row's bucket is the hash of its keys, as Spark's own shuffle hashes them. A merge reads the buckets that hold
+a key of its source, and rewrites only these; the others stay where an earlier commit wrote them. Rows with a NULL
+key never match, so they are only ever added. A version is visible once its log row exists; the log row is written
+after the data, so a failed job leaves at most an unreferenced directory behind, and readers never see half a version: a
+bucket is read from the latest committed version that rewrote it.
 
 ``append_table`` writes a plain parquet directory in append mode (the landing and
 audit tables are append-only).
 
-One writer per versioned table at a time is assumed (as for a scheduled job); two
+One writer per merged table at a time is assumed (as for a scheduled job); two
 concurrent merges would both claim the next version number.
 """
 
@@ -22,7 +24,7 @@ from __future__ import annotations
 import os
 import uuid
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from sparkwright.functions.sizes import BROADCAST_BYTES, row_bytes
@@ -84,7 +86,15 @@ def _move_files(spark: SparkSession, source: str, target: str) -> None:
     fs.delete(root, True)
 
 
-# --------------------------------------------------------------------------- versions
+# --------------------------------------------------------------------------- merged tables
+
+BUCKET = "key_bucket"
+BUCKET_BYTES = 128 * 1024 ** 2  # of source rows, for the number of buckets of a new table
+LEAST_BUCKETS = 8
+UNKEYED = -1  # the bucket of rows with a NULL key
+_BITS = 32_768  # positions of one bitmap of bitmap_construct_agg
+MOST_BITMAPS = 32  # so many bitmaps are observed at most; a source of more rows is joined by a shuffle
+
 
 def _log_path(path: str) -> str:
     return os.path.join(path, "_log")
@@ -94,37 +104,62 @@ def _version_path(path: str, version: int) -> str:
     return os.path.join(path, f"v={version:06d}")
 
 
+def _log(spark: SparkSession, path: str) -> DataFrame | None:
+    return spark.read.parquet(_log_path(path)) if path_exists(spark, _log_path(path)) else None
+
+
 def current_version(spark: SparkSession, path: str) -> int:
     """Highest committed version, 0 when the table does not exist yet."""
-    if not path_exists(spark, _log_path(path)):
-        return 0
-    row = spark.read.parquet(_log_path(path)).agg(F.max("version").alias("v")).first()
-    return int(row["v"] or 0)
+    log = _log(spark, path)
+    return 0 if log is None else int(log.agg(F.max("version")).first()[0] or 0)
+
+
+def bucket_places(spark: SparkSession, path: str, version: int | None = None) -> dict[int, list[str]]:
+    """Where each bucket's current rows (or those at ``version``) lie. The driver sees bucket numbers only."""
+    log = _log(spark, path)
+    if log is None:
+        return {}
+    commits = log if version is None else log.filter(F.col("version") <= version)
+    at = commits.select("version", F.explode("touched").alias("bucket"))
+    # A bucket is read where it was last rewritten, rows without a key wherever they were added.
+    places = at.groupBy("bucket").agg(F.sort_array(F.collect_set("version")).alias("versions")).collect()
+    return {r["bucket"]: [os.path.join(_version_path(path, v), f"{BUCKET}={r['bucket']}")
+                          for v in (r["versions"] if r["bucket"] == UNKEYED else r["versions"][-1:])] for r in places}
+
 
+def bucket_count(spark: SparkSession, path: str) -> int:
+    """The number of buckets the table was made with."""
+    return int(_log(spark, path).agg(F.max("buckets")).first()[0])
 
-def read_table(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
-    v = current_version(spark, path) if version is None else version
-    if v == 0:
+
+def read_table(spark: SparkSession, path: str, version: int | None = None, buckets: list[int] | None = None) -> DataFrame:
+    """The table's rows, or those of some ``buckets`` (without rows: None raises, a list gives an empty table)."""
+    places = bucket_places(spark, path, version)
+    if not places:
         raise FileNotFoundError(f"no committed version at {path}")
-    return spark.read.parquet(_version_path(path, v))
+    own = [p for b, found in sorted(places.items()) if buckets is None or b in buckets for p in found]
+    if own:
+        return spark.read.parquet(*own)
+    return spark.read.parquet(next(iter(places.values()))[0]).limit(0)
 
 
-def _commit(spark: SparkSession, path: str, version: int, operation: str, rows: int) -> None:
-    spark.range(1).select(F.lit(version).alias("version"), F.lit(operation).alias("operation"),
-                          F.lit(rows).cast("bigint").alias("rows"),
-                          F.current_timestamp().alias("committed_at")) \
-        .write.mode("append").parquet(_log_path(path))
+def _commit(spark: SparkSession, path: str, version: int, operation: str, rows: int, buckets: int, touched: list[int]) -> None:
+    spark.range(1).coalesce(1).select(
+        F.lit(version).alias("version"), F.lit(operation).alias("operation"), F.lit(rows).cast("bigint").alias("rows"),
+        F.lit(buckets).alias("buckets"), F.array(*map(F.lit, touched)).cast("array<int>").alias("touched"),
+        F.current_timestamp().alias("committed_at")).write.mode("append").parquet(_log_path(path))
 
 
-def write_version(df: DataFrame, path: str, operation: str = "write", version: int | None = None) -> str:
-    """Write ``df`` as the next version of the table at ``path``; returns the version dir."""
-    spark = df.sparkSession
-    v = (current_version(spark, path) + 1) if version is None else version
-    target = _version_path(path, v)
-    # A directory without a log row is the leftover of a failed job: overwrite it.
-    rows = append_table(df, target, mode="overwrite")
-    _commit(spark, path, v, operation, rows)
-    return target
+def bucket_of(keys: list[str], buckets: int, prefix: str = "") -> Column:
+    """The bucket of a row: that of Spark's hash partitioning by the keys, so that after a ``repartition(buckets, *keys)`` a
+    task holds one bucket. Rows with a NULL key are in ``UNKEYED``."""
+    own = [F.col(prefix + k) for k in keys]
+    return F.when(_all_keys_known(keys, prefix), F.pmod(F.hash(*own), F.lit(buckets))).otherwise(F.lit(UNKEYED))
+
+
+def _write_buckets(df: DataFrame, target: str, mode: str) -> int:
+    """Writes ``df`` (with its column of buckets) below ``target``; returns the rows written."""
+    return append_table(df, target, partition_by=[BUCKET], mode=mode)
 
 
 def source_key_stats(source: DataFrame, keys: list[str]) -> tuple[int, int, int]:
@@ -139,7 +174,7 @@ def source_key_stats(source: DataFrame, keys: list[str]) -> tuple[int, int, int]
 
 def merge_table(spark: SparkSession, path: str, source: DataFrame, keys: list[str],
                 update_columns: list[str] | str = "*", set_on_match: dict | None = None,
-                insert_values: dict | None = None, broadcast_bytes: int = BROADCAST_BYTES) -> str:
+                insert_values: dict | None = None, broadcast_bytes: int = BROADCAST_BYTES, buckets: int | None = None) -> str:
     """MERGE ``source`` into the table at ``path`` on ``keys`` and commit a new version.
 
     * matched rows: ``update_columns`` take the source value ("*" = every non-key
@@ -150,13 +185,14 @@ def merge_table(spark: SparkSession, path: str, source: DataFrame, keys: list[st
     * NULL keys never match, so NULL-key source rows are inserted again.
 
     An empty source is a no-op. Duplicate keys in the source are an error (a MERGE
-    would update one target row twice). Returns the directory of the current version.
-
-    The source is persisted for the duration of the merge: it feeds the key check
-    and the write, and is computed once (lost blocks are recomputed from lineage).
-    The same check measures the source's size; up to ``broadcast_bytes`` the source
-    is broadcast and the target is only scanned, otherwise both sides are shuffled
-    for a sort-merge join.
+    would update one target row twice). Returns the directory of the new version.
+
+    ``buckets`` is the number of buckets of a new table (default: one for each 128 MB of its first rows, at least
+    8). Of an existing table only the buckets of the source's keys are read, once, and written. The source is persisted
+    for the duration of the merge (lost blocks are recomputed from lineage); one aggregate over it checks its keys
+    and measures its size. Up to ``broadcast_bytes`` it is broadcast and the target is only scanned: which source
+    rows met a target row is observed on the write itself, as bitmaps of their numbers, and the rest are added. A larger
+    source and the touched buckets are shuffled once, by the hash that makes the buckets.
     """
     source = source.persist()
     try:
@@ -166,18 +202,50 @@ def merge_table(spark: SparkSession, path: str, source: DataFrame, keys: list[st
             return _version_path(path, current) if current else ""
         if most > 1:
             raise ValueError(f"merge source has duplicate keys on {keys}")
+        target_path = _version_path(path, current + 1)
         if current == 0:
+            buckets = buckets or max(LEAST_BUCKETS, -(-size // BUCKET_BYTES))
             extra = {c: v for c, v in (insert_values or {}).items() if c not in source.columns}
-            return write_version(source.withColumns(extra) if extra else source, path, "merge", 1)
-        target = spark.read.parquet(_version_path(path, current))
-        merged = merge_frames(target, source, keys, update_columns, set_on_match, insert_values,
-                              broadcast_source=size <= broadcast_bytes)
-        return write_version(merged, path, "merge", current + 1)
+            first = source.withColumns(extra) if extra else source
+            touched = _touched(first, keys, buckets)
+            keyed = first.filter(_all_keys_known(keys)).repartition(buckets, *keys)
+            # A directory without a log row is the leftover of a failed job: overwrite it.
+            written = _write_buckets(keyed.withColumn(BUCKET, bucket_of(keys, buckets)), target_path, "overwrite")
+            written += _add_unkeyed(first, keys, touched, target_path)
+            _commit(spark, path, 1, "merge", written, buckets, touched)
+            return target_path
+        buckets = bucket_count(spark, path)
+        touched = _touched(source, keys, buckets)
+        target = read_table(spark, path, buckets=[b for b in touched if b != UNKEYED])
+        keyed_rows = source.filter(_all_keys_known(keys))
+        as_target = _as_inserts(source, target, insert_values)
+        if not (set(touched) - {UNKEYED}) & set(bucket_places(spark, path)):
+            rows_in = as_target.filter(_all_keys_known(keys)).repartition(buckets, *keys)
+            written = _write_buckets(rows_in.withColumn(BUCKET, bucket_of(keys, buckets)), target_path, "overwrite")
+        elif size <= broadcast_bytes and rows <= MOST_BITMAPS * _BITS:
+            written = _merge_broadcast(spark, target, keyed_rows, rows, keys, update_columns, set_on_match, insert_values, buckets, target_path)
+        else:
+            merged = merge_frames(target, keyed_rows, keys, update_columns, set_on_match, insert_values, buckets=buckets)
+            written = _write_buckets(merged.withColumn(BUCKET, bucket_of(keys, buckets)), target_path, "overwrite")
+        written += _add_unkeyed(as_target, keys, touched, target_path)
+        _commit(spark, path, current + 1, "merge", written, buckets, touched)
+        return target_path
     finally:
         source.unpersist()
 
 
-def _all_keys_known(keys: list[str], prefix: str = ""):
+def _touched(source: DataFrame, keys: list[str], buckets: int) -> list[int]:
+    """The buckets of the source's rows: at most ``buckets`` + 1 numbers."""
+    return sorted(r["bucket"] for r in source.select(bucket_of(keys, buckets).alias("bucket")).distinct().collect())
+
+
+def _add_unkeyed(source: DataFrame, keys: list[str], touched: list[int], target_path: str) -> int:
+    if UNKEYED not in touched:
+        return 0
+    return _write_buckets(source.filter(~_all_keys_known(keys)).withColumn(BUCKET, F.lit(UNKEYED)), target_path, "append")
+
+
+def _all_keys_known(keys: list[str], prefix: str = "") -> Column:
     known = None
     for k in keys:
         term = F.col(prefix + k).isNotNull()
@@ -185,73 +253,77 @@ def _all_keys_known(keys: list[str], prefix: str = ""):
     return known
 
 
+def _as_inserts(source: DataFrame, target: DataFrame, insert_values: dict | None) -> DataFrame:
+    """Source rows in the target's columns and types."""
+    values = insert_values or {}
+    return source.select(*[(F.col(c) if c in source.columns else values.get(c, F.lit(None))).cast(t).alias(c) for c, t in target.dtypes])
+
+
+def _merge_broadcast(spark: SparkSession, target: DataFrame, source: DataFrame, rows: int, keys: list[str], update_columns, set_on_match: dict | None,
+                     insert_values: dict | None, buckets: int, target_path: str) -> int:
+    """Writes the touched buckets in one pass over them, then adds the source rows that met no target row."""
+    # Numbered by their (distinct) keys, so that a lost block gets the same numbers again.
+    marked = source.coalesce(1).sortWithinPartitions(*keys).withColumn("_s_number", F.monotonically_increasing_id()).persist()
+    try:
+        merged = merge_frames(target, marked, keys, update_columns, set_on_match, insert_values, broadcast_source=True)
+        on_write, number = Observation(), F.col("_s_number")
+        maps = [F.bitmap_construct_agg(F.when(F.floor(number / _BITS) == i, F.pmod(number, F.lit(_BITS)))).alias(f"met_{i}")
+                for i in range(-(-rows // _BITS))]
+        out = merged.observe(on_write, F.count(F.lit(1)).alias("rows"), *maps).drop("_s_number")
+        out.withColumn(BUCKET, bucket_of(keys, buckets)).write.mode("overwrite").partitionBy(BUCKET).parquet(target_path)
+        met = F.lit(False)
+        for i in range(len(maps)):
+            at = number - i * _BITS
+            byte = F.substring(F.lit(bytes(on_write.get[f"met_{i}"])), F.floor(at / 8).cast("int") + 1, F.lit(1))
+            met = met | (at.between(0, _BITS - 1) & (F.getbit(F.conv(F.hex(byte), 16, 10).cast("int"), F.pmod(at, F.lit(8)).cast("int")) == 1))
+        new = _as_inserts(marked.filter(~met), target, insert_values)
+        return int(on_write.get["rows"]) + _write_buckets(new.withColumn(BUCKET, bucket_of(keys, buckets)), target_path, "append")
+    finally:
+        marked.unpersist()
+
+
 def merge_frames(target: DataFrame, source: DataFrame, keys: list[str],
                  update_columns: list[str] | str = "*", set_on_match: dict | None = None,
-                 insert_values: dict | None = None, broadcast_source: bool = False) -> DataFrame:
+                 insert_values: dict | None = None, broadcast_source: bool = False, buckets: int | None = None) -> DataFrame:
     """The merged rows, as a lazy DataFrame.
 
     Rows with a NULL in any key can never match, so they bypass the join (target
-    rows are kept, source rows inserted); only keyed rows take part in the join.
-    A NULL key therefore never becomes one hot join partition.
-
-    ``broadcast_source=False``: one full outer sort-merge join of target and source.
-    ``broadcast_source=True`` (the caller has measured the source as small): the
-    target is left-joined to the broadcast source, the matched keys are found by a
-    key-only semi-join of the target against the broadcast source keys, and the
-    unmatched source rows are inserted; the target is scanned, never shuffled.
+    rows are kept, source rows inserted). A NULL key therefore never becomes one hot join partition.
+
+    ``broadcast_source=False``: one full outer sort-merge join of target and source, after a shuffle of both by the hash of
+    the keys (to ``buckets`` partitions, if given: then each task holds one bucket).
+    ``broadcast_source=True`` (the caller has measured the source as small): the target is left-joined to the broadcast
+    source, scanned once and never shuffled; source rows without a match are left to the caller, and the source's column
+    ``_s_number`` says which source row a target row met (NULL: none).
     """
     set_on_match = set_on_match or {}
-    insert_values = insert_values or {}
-    tdtypes = dict(target.dtypes)
     known = _all_keys_known(keys)
-
-    t = target.filter(known).select(*[F.col(c).alias(f"_t_{c}") for c in target.columns],
-                                    F.lit(True).alias("_t_hit"))
-    s = source.filter(known).select(*[F.col(c).alias(f"_s_{c}") for c in source.columns],
-                                    F.lit(True).alias("_s_hit"))
+    tdtypes = dict(target.dtypes)
+    t = target.filter(known) if not broadcast_source else target
+    s = source.filter(known)
+    if buckets and not broadcast_source:
+        t, s = t.repartition(buckets, *keys), s.repartition(buckets, *keys)
+    t = t.select(*[F.col(c).alias(f"_t_{c}") for c in target.columns], F.lit(True).alias("_t_hit"))
+    s = s.select(*[F.col(c).alias(c if c == "_s_number" else f"_s_{c}") for c in source.columns], F.lit(True).alias("_s_hit"))
     cond = None
     for k in keys:
         term = F.col(f"_t_{k}") == F.col(f"_s_{k}")
         cond = term if cond is None else cond & term
-    updates = set(c for c in source.columns if c not in keys) if update_columns == "*" else set(update_columns)
-
-    def insert_value(c: str, prefix: str):
-        if c in source.columns:
-            return F.col(prefix + c)
-        if c in insert_values:
-            return insert_values[c]
-        return F.lit(None)
-
-    def merged_row(with_inserts: bool):
-        matched = F.col("_t_hit").isNotNull() & F.col("_s_hit").isNotNull()
-        out = []
-        for c in target.columns:
-            tcol = F.col(f"_t_{c}")
-            if c in set_on_match:
-                on_match = set_on_match[c]
-            elif c in updates and c in source.columns:
-                on_match = F.col(f"_s_{c}")
-            else:
-                on_match = tcol
-            expr = F.when(matched, on_match).otherwise(tcol)
-            if with_inserts:
-                expr = F.when(F.col("_t_hit").isNull(), insert_value(c, "_s_")).otherwise(expr)
-            out.append(expr.cast(tdtypes[c]).alias(c))
-        return out
-
-    def as_inserts(df: DataFrame) -> DataFrame:
-        return df.select(*[insert_value(c, "").cast(tdtypes[c]).alias(c) for c in target.columns])
-
+    updates = {c for c in source.columns if c not in keys} if update_columns == "*" else set(update_columns)
+    values = insert_values or {}
+    matched = F.col("_t_hit").isNotNull() & F.col("_s_hit").isNotNull()
+    out = []
+    for c in target.columns:
+        tcol = F.col(f"_t_{c}")
+        on_match = set_on_match.get(c, F.col(f"_s_{c}") if c in updates and c in source.columns else tcol)
+        expr = F.when(matched, on_match).otherwise(tcol)
+        if not broadcast_source:
+            inserted = F.col(f"_s_{c}") if c in source.columns else values.get(c, F.lit(None))
+            expr = F.when(F.col("_t_hit").isNull(), inserted).otherwise(expr)
+        out.append(expr.cast(tdtypes[c]).alias(c))
     if broadcast_source:
-        keyed = t.join(F.broadcast(s), cond, "left").select(*merged_row(False))
-        source_keys = source.filter(known).select(*keys)
-        # Distinct: no more rows than the measured source has, whatever repeats in the target.
-        matched_keys = target.filter(known).select(*keys).join(F.broadcast(source_keys), keys, "left_semi").distinct()
-        new_rows = as_inserts(source.filter(known).join(F.broadcast(matched_keys), keys, "left_anti"))
-        keyed = keyed.unionByName(new_rows)
-    else:
-        keyed = t.join(s, cond, "full_outer").select(*merged_row(True))
-
-    kept = target.filter(~known)
-    inserted = as_inserts(source.filter(~known))
-    return keyed.unionByName(kept).unionByName(inserted)
+        return t.join(F.broadcast(s), cond, "left").select(*out, "_s_number")
+    keyed = t.join(s, cond, "full_outer").select(*out)
+    if buckets:  # the caller keeps rows without a key apart
+        return keyed
+    return keyed.unionByName(target.filter(~known)).unionByName(_as_inserts(source.filter(~known), target, insert_values))

@@ -41,7 +41,7 @@ def _int_or_fail(text: Column, name: str) -> Column:
 
 
 def read_csv_text(spark: SparkSession, path: str | list[str], multi_line: bool = True) -> DataFrame:
-    """Header CSV, every column as text.
+    """Header CSV, every column as text. A file whose header isn't that of the first fails.
 
     ``multi_line=True`` accepts quoted fields that contain line breaks (legal CSV, and
     what the source pipelines' readers accept); such files cannot be split, so each
@@ -49,7 +49,7 @@ def read_csv_text(spark: SparkSession, path: str | list[str], multi_line: bool =
     ``multi_line=False`` files are split into blocks across tasks.
     """
     return (spark.read.option("header", True).option("multiLine", multi_line).option("escape", '"')
-            .option("inferSchema", False).csv(path))
+            .option("inferSchema", False).option("enforceSchema", False).csv(path))
 
 
 def read_applications(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
@@ -84,23 +84,63 @@ def read_clickstream(spark: SparkSession, path: str, schema: dict[str, str] | No
     return df.select(*[F.col(c).cast(t).alias(c) for c, t in schema.items()])
 
 
-def read_feed(spark: SparkSession, path: str, types: dict[str, str] | None = None,
+def read_feed(spark: SparkSession, path: str | list[str], types: dict[str, str] | None = None,
               na_values: tuple[str, ...] = PANDAS_NA_VALUES, multi_line: bool = True) -> DataFrame:
-    """Feed CSV: NA tokens -> NULL on every column, then ``types`` casts; others stay text."""
+    """Feed CSV: NA tokens -> NULL on every column, then ``types`` casts; others stay text.
+
+    Without ``types`` they are inferred from all values of all files (``inferred_types``); ``types={}`` keeps all text.
+    """
     raw = read_csv_text(spark, path, multi_line)
-    return raw.select(*[na_to_null(c, na_values, (types or {}).get(c)) for c in raw.columns])
+    if types is None:
+        types = {c: t for c, t in inferred_types(raw, na_values).items() if t != "string"}
+    return raw.select(*[na_to_null(c, na_values, types.get(c)) for c in raw.columns])
+
+
+# Number forms of the feed's dialect. Words for true and false as the source's reader knows them (fixed values).
+_INT = r"^[ ]*[+-]?[0-9]+[ ]*$"
+_DOUBLE = r"^[ ]*[+-]?(([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?|[iI][nN][fF]([iI][nN][iI][tT][yY])?)[ ]*$"
+_BOOLEAN = ("True", "TRUE", "true", "False", "FALSE", "false")
+
+
+def inferred_types(raw: DataFrame, na_values: tuple[str, ...] = PANDAS_NA_VALUES) -> dict[str, str]:
+    """The narrowest type of each text column, by one aggregate over all rows.
+
+    Every value votes for the least type that holds it: bigint, double or text; the widest vote wins. A whole number beyond
+    64 bits is text. A column of truth words only, none missing, is boolean; one without any value is double. Dates are text.
+    The driver gets three counts a column.
+    """
+    counts = []
+    for i, name in enumerate(raw.columns):
+        c = F.col(f"`{name}`")
+        known = c.isNotNull() & ~c.isin(*na_values)
+        whole = known & c.rlike(_INT)
+        fits = whole & F.trim(c).try_cast("bigint").isNotNull()
+        counts += [F.count(F.when(known, 1)).alias(f"n{i}"), F.count(F.when(fits, 1)).alias(f"int{i}"),
+                   F.count(F.when(fits | (known & ~whole & c.rlike(_DOUBLE)), 1)).alias(f"double{i}"),
+                   F.count(F.when(c.isin(*_BOOLEAN), 1)).alias(f"bool{i}")]
+    got = raw.agg(F.count(F.lit(1)).alias("rows"), *counts).first()
+    types = {}
+    for i, name in enumerate(raw.columns):
+        n = got[f"n{i}"]
+        types[name] = ("double" if not n else "bigint" if got[f"int{i}"] == n else "double" if got[f"double{i}"] == n
+                       else "boolean" if got[f"bool{i}"] == got["rows"] else "string")
+    return types
 
 
 def read_drops(spark: SparkSession, paths: list[str], types: dict[str, str],
-               na_values: tuple[str, ...] = PANDAS_NA_VALUES) -> DataFrame:
-    """The columns of ``types`` of several CSV files, by each file's own header, with ``_metadata``.
+               na_values: tuple[str, ...] = PANDAS_NA_VALUES, by: str = "file") -> DataFrame:
+    """The columns of ``types`` of several CSV files, by their own headers, with ``_metadata``.
 
-    The dialect is that of ``read_feed``. Files are grouped by header (only their first record is read for that),
-    so column order may differ from file to file; a missing column or a malformed value fails.
+    The dialect is that of ``read_feed``. A drop is a file, or (``by="directory"``) the files of one directory, which must share
+    a header. Drops are grouped by header (only the first record of one of their files is read for that) and read together, so
+    column order may differ from drop to drop; a missing column, a part with another header or a malformed value fails.
     """
-    by_header: dict[tuple[str, ...], list[str]] = {}
+    drops: dict[str, list[str]] = {}
     for path in paths:
-        by_header.setdefault(tuple(read_csv_text(spark, path).columns), []).append(path)
+        drops.setdefault(path if by == "file" else path.rpartition("/")[0], []).append(path)
+    by_header: dict[tuple[str, ...], list[str]] = {}
+    for own in drops.values():
+        by_header.setdefault(tuple(read_csv_text(spark, own[0]).columns), []).extend(own)
     out = None
     for header, own in sorted(by_header.items()):
         if missing := [c for c in types if c not in header]:
@@ -115,7 +155,7 @@ def na_to_null(name: str, na_values: tuple[str, ...], cast: str | None = None) -
     out = F.when(c.isin(*na_values), F.lit(None).cast("string")).otherwise(c)
     if cast:
         # Fails whatever the session's ANSI setting is.
-        value = out.try_cast(cast)
+        value = (F.trim(out) if cast != "string" else out).try_cast(cast)
         out = F.when(out.isNotNull() & value.isNull(), F.raise_error(
             F.concat(F.lit(f"malformed {cast} in column {name}: "), out))).otherwise(value)
     return out.alias(name)

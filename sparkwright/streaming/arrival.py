@@ -2,18 +2,25 @@
 
 A file stream with ``trigger(availableNow=True)`` and a checkpoint hands over every file that has landed since the
 previous run exactly once and then stops, which is what a "wait for the file, then process exactly that file"
-step needs without a polling loop. The stream carries the files' names only; each micro-batch reads its files
-with the batch reader (``sources.readers.read_drops``), so batch and stream share one CSV dialect: columns bind
+step needs without a polling loop. A drop is a plain file, or a directory of part files that its writer renames to
+``<name>.complete`` when all parts are there: the stream's path asks for that mark, so no part of an unfinished drop is ever seen.
+
+The stream carries the files' names only; each micro-batch reads its files, all parts of all its drops in one
+read, with the batch reader (``sources.readers.read_drops``), so batch and stream share one CSV dialect: columns bind
 by header name, quoted line breaks are legal, and a malformed value fails the run.
 
 Batch outputs are written to a ``batch_id`` partition with dynamic partition overwrite, so a retried micro-batch
-replaces its own output instead of appending a second copy. ``archive_processed`` moves the files that the
-outputs name, after the run.
+replaces its own output instead of appending a second copy.
+
+Processed files are moved by the stream's own ``cleanSource=archive``. Spark moves a batch's files when the next batch
+begins, so ``archived_run`` ends with a closing batch: a file of its own that the batch function never sees.
 """
 
 from __future__ import annotations
 
 import hashlib
+import os
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,13 +29,26 @@ from pyspark.sql import functions as F
 from sparkwright.functions.paths import ENCRYPTED_SUFFIX, cold_path
 from sparkwright.sources.readers import read_drops
 
+COMPLETE = ".complete"  # ends the name of a drop's directory when all its parts are there
+CLOSING = "closing-"  # begins the name of a closing batch's file
+
+
+def drops_at(landing: str, by: str = "file") -> str:
+    """The path that a stream of ``landing``'s drops loads."""
+    return landing if by == "file" else f"{landing}/*{COMPLETE}"
 
-def arrival_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming (path) of the files landing at ``path`` (globs allowed); their content isn't read."""
+
+def arrival_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None, archive_dir: str | None = None) -> DataFrame:
+    """Streaming (path) of the files landing at ``path`` (globs allowed); their content isn't read.
+
+    With ``archive_dir`` a file is moved there, below its full path, once the batch after its own begins.
+    """
     reader = spark.readStream.format("binaryFile").schema(
         "path string, modificationTime timestamp, length bigint, content binary")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    if archive_dir:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
     return reader.load(path).select("path")
 
 
@@ -41,10 +61,40 @@ def run_available(stream: DataFrame, batch_fn: Callable[[DataFrame, int], None],
         raise RuntimeError(f"stream failed: {query.exception()}")
 
 
-def batch_rows(batch: DataFrame, types: dict[str, str]) -> DataFrame:
+def archived_run(spark: SparkSession, landing: str, batch_fn: Callable[[DataFrame, int], None], checkpoint: str, by: str = "file",
+                 max_files_per_trigger: int | None = None, archive_dir: str | None = None) -> None:
+    """``run_available`` over the drops at ``landing``; with ``archive_dir``, all that was processed has been moved when it returns."""
+    def run() -> None:
+        run_available(arrival_stream(spark, drops_at(landing, by), max_files_per_trigger, archive_dir), files_only, checkpoint)
+
+    def files_only(batch: DataFrame, batch_id: int) -> None:
+        own = batch.filter(~F.element_at(F.split("path", "/"), -1).startswith(CLOSING))
+        if not own.isEmpty():
+            batch_fn(own, batch_id)
+
+    if archive_dir is None:
+        return run()
+    setting = "spark.sql.streaming.fileSource.cleaner.numThreads"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "0")  # moved before the batch goes on, not by threads that the stream's end cuts off
+    try:
+        run()
+        name = f"{CLOSING}{uuid.uuid4().hex[:12]}"
+        _touch(spark, os.path.join(landing, name if by == "file" else f"{name}{COMPLETE}/{name}"))
+        run()
+    finally:
+        spark.conf.set(setting, before)
+
+
+def _touch(spark: SparkSession, path: str) -> None:
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(place).close()
+
+
+def batch_rows(batch: DataFrame, types: dict[str, str], by: str = "file") -> DataFrame:
     """The typed rows of a micro-batch's files, with ``_metadata``. Only the file names pass the driver, at most
     the stream's ``max_files_per_trigger`` of them."""
-    return read_drops(batch.sparkSession, sorted(r["path"] for r in batch.collect()), types)
+    return read_drops(batch.sparkSession, sorted(r["path"] for r in batch.collect()), types, by=by)
 
 
 def write_batch(df: DataFrame, path: str, batch_id: int) -> None:
@@ -55,12 +105,12 @@ def write_batch(df: DataFrame, path: str, batch_id: int) -> None:
 
 
 def drop_name(by: str = "file") -> Column:
-    """Name of the drop a row came from: its file, or the directory of a multi-part drop."""
+    """Name of the drop a row came from: its file, or the directory of a multi-part drop (without its mark)."""
     if by == "file":
         name = F.col("_metadata.file_name")
     elif by == "directory":
         # Parent directory of the file (split, not a backtracking regex, per row).
-        name = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2)
+        name = F.regexp_replace(F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2), "\\" + COMPLETE + "$", "")
     else:
         raise ValueError(f"drops are named by file or by directory, not by {by!r}")
     return F.regexp_replace(name, "\\" + ENCRYPTED_SUFFIX + "$", "")
@@ -89,20 +139,3 @@ def drop_totals(payloads: DataFrame) -> DataFrame:
     return (payloads.groupBy("file", "schema_version", "cold_path")
             .agg(F.sum("record_count").cast("bigint").alias("record_count"))
             .select("file", "record_count", "schema_version", "cold_path"))
-
-
-def archive_processed(spark: SparkSession, processed: DataFrame, landing: str, archive_dir: str) -> None:
-    """Moves every file of ``processed`` (column path) from below ``landing`` to the same place below
-    ``archive_dir``. Files that are gone already were moved by an earlier run."""
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    path_of = jvm.org.apache.hadoop.fs.Path
-    root = path_of(landing)
-    fs = root.getFileSystem(conf)
-    base = fs.makeQualified(root).toUri().getPath()
-    for row in processed.select("path").distinct().toLocalIterator():
-        source = path_of(row["path"])
-        if fs.exists(source):
-            target = path_of(archive_dir, source.toUri().getPath().removeprefix(base).lstrip("/"))
-            fs.mkdirs(target.getParent())
-            if not fs.rename(source, target):
-                raise IOError(f"{row['path']} could not be moved to {target.toString()}")

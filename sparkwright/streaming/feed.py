@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkwright.operators.feed import DATE_COLUMNS, SUCCESS, needs_repair, normalize_dates
-from sparkwright.streaming.arrival import arrival_stream, batch_rows, drop_name, run_available, write_batch
+from sparkwright.streaming.arrival import archived_run, batch_rows, drop_name, write_batch
 
 
 def feed_batch_writer(landing_path: str, audit_path: str, types: dict[str, str], as_of=None, cols=DATE_COLUMNS,
@@ -22,9 +22,7 @@ def feed_batch_writer(landing_path: str, audit_path: str, types: dict[str, str],
     stamp = F.lit(as_of).cast("timestamp_ntz") if as_of is not None else F.localtimestamp()
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
-        rows = (batch_rows(batch, types).withColumns({"_source_file": drop_name(drop_by), "_ingested_at": stamp})
+        rows = (batch_rows(batch, types, drop_by).withColumns({"_source_file": drop_name(drop_by), "_ingested_at": stamp})
                 .drop("_metadata")
                 .withColumn("_needs_repair", needs_repair(cols))
                 .persist())
@@ -52,13 +50,15 @@ def audit_totals(audits: DataFrame) -> DataFrame:
     ).select("source_file", "rows_loaded", "date_fixes_applied", "status", "logged_at")
 
 
-def ingest_feed(spark: SparkSession, drop_glob: str, types: dict[str, str], landing_path: str, audit_path: str,
-                checkpoint: str, as_of=None, drop_by: str = "file", max_files_per_batch: int | None = 1000) -> DataFrame:
-    """Process every feed file that has arrived since the last run; returns the audit totals so far.
+def ingest_feed(spark: SparkSession, landing: str, types: dict[str, str], landing_path: str, audit_path: str,
+                checkpoint: str, as_of=None, drop_by: str = "file", max_files_per_batch: int | None = 1000,
+                archive_dir: str | None = None) -> DataFrame:
+    """Process every feed drop that has arrived at ``landing`` since the last run; returns the audit totals so far.
 
-    A backlog is cut into micro-batches of at most ``max_files_per_batch`` files, so
-    the persisted batch stays bounded however many files have piled up.
+    ``drop_by="directory"``: drops are directories of part files, complete when renamed to ``<name>.complete``. A backlog
+    is cut into micro-batches of at most ``max_files_per_batch`` files, so the persisted batch stays bounded however many
+    files have piled up. With ``archive_dir`` the processed files are moved there.
     """
-    stream = arrival_stream(spark, drop_glob, max_files_per_batch)
-    run_available(stream, feed_batch_writer(landing_path, audit_path, types, as_of, drop_by=drop_by), checkpoint)
+    archived_run(spark, landing, feed_batch_writer(landing_path, audit_path, types, as_of, drop_by=drop_by), checkpoint,
+                 drop_by, max_files_per_batch, archive_dir)
     return audit_totals(spark.read.parquet(audit_path))

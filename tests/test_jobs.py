@@ -54,7 +54,7 @@ def test_sales_reports_and_feed_ingest(spark, tmp_dir):
 
 def test_vendor_drops_and_training(spark, tmp_dir):
     events = fx.table(spark, SF_SMALL, "events").drop("props")
-    events.write.option("header", True).csv(f"{tmp_dir}/in/vendor_data.csv")
+    events.write.option("header", True).csv(f"{tmp_dir}/in/vendor_data.csv.complete")
     totals = jobs.process_vendor_drops(
         spark, f"{tmp_dir}/in", {"event_id": "bigint", "ts": "string", "user_id": "bigint", "event_type": "string", "value": "double"},
         f"{tmp_dir}/work", schema_version="v3", by="directory").collect()

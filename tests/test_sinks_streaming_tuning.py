@@ -2,6 +2,7 @@
 
 import os
 from fractions import Fraction
+from pathlib import Path
 
 import pytest
 from hypothesis import given, settings
@@ -85,26 +86,60 @@ def test_vendor_drops_are_named_by_file_and_archived(spark, tmp_dir):
         return sorted(tuple(r) for r in jobs.process_vendor_drops(
             spark, f"{tmp_dir}/drops", EVENTS, f"{tmp_dir}/work", f"{tmp_dir}/archive", "v3").collect())
 
+    def archived():  # by the stream itself
+        return sorted(p.name for p in Path(f"{tmp_dir}/archive").rglob("vendor*"))
+
     _land(tmp_dir, "vendor_a.csv", _events(2))
     _land(tmp_dir, "vendor_b.csv", _events(1))
     cold = "s3://vendor-archive/2026/"
     first = [("vendor_a.csv", 2, "v3", cold + "vendor_a.csv"), ("vendor_b.csv", 1, "v3", cold + "vendor_b.csv")]
     assert run() == first
-    assert sorted(os.listdir(f"{tmp_dir}/archive")) == ["vendor_a.csv", "vendor_b.csv"] and not [x for x in os.listdir(f"{tmp_dir}/drops") if x[0] != "."]
+    assert archived() == ["vendor_a.csv", "vendor_b.csv"] and [x for x in os.listdir(f"{tmp_dir}/drops") if x.startswith("vendor")] == []
     _land(tmp_dir, "vendor_c.csv", _events(4))
     assert run() == [*first, ("vendor_c.csv", 4, "v3", cold + "vendor_c.csv")]
-    assert len([x for x in os.listdir(f"{tmp_dir}/archive") if x[0] != "."]) == 3
+    assert archived() == ["vendor_a.csv", "vendor_b.csv", "vendor_c.csv"]
 
 
-def test_drops_of_several_files_are_summed_over_batches(spark, tmp_dir):
-    for name, parts in (("a.csv", 3), ("b.csv", 2)):
+def test_drops_of_several_files(spark, tmp_dir):
+    """Parts of a drop are one read of several tasks; a drop without its mark waits; a backlog's drops are summed over batches."""
+    def land(name, parts, done=True):
         os.makedirs(f"{tmp_dir}/in/{name}")
         for k in range(parts):
             with open(f"{tmp_dir}/in/{name}/part-{k}.csv", "w") as out:
                 out.write(_events(2 + k, 10 * k))
-    totals = jobs.process_vendor_drops(spark, f"{tmp_dir}/in", EVENTS, f"{tmp_dir}/work", schema_version="v3", by="directory", max_files_per_batch=1)
-    assert sorted((r.file, r.record_count) for r in totals.collect()) == [("a.csv", 9), ("b.csv", 5)]
-    assert spark.read.parquet(f"{tmp_dir}/work/payloads").select("batch_id").distinct().count() == 5
+        if done:
+            os.rename(f"{tmp_dir}/in/{name}", f"{tmp_dir}/in/{name}.complete")
+
+    def run(work, **kw):
+        totals = jobs.process_vendor_drops(spark, f"{tmp_dir}/in", EVENTS, f"{tmp_dir}/{work}", schema_version="v3", by="directory", **kw)
+        return sorted((r.file, r.record_count) for r in totals.collect())
+
+    land("a.csv", 3)
+    land("b.csv", 2)
+    land("c.csv", 2, done=False)
+    assert run("one") == [("a.csv", 9), ("b.csv", 5)]
+    assert spark.read.parquet(f"{tmp_dir}/one/payloads").select("batch_id").distinct().count() == 1
+    assert run("five", max_files_per_batch=1) == [("a.csv", 9), ("b.csv", 5)]
+    assert spark.read.parquet(f"{tmp_dir}/five/payloads").select("batch_id").distinct().count() == 5
+    os.rename(f"{tmp_dir}/in/c.csv", f"{tmp_dir}/in/c.csv.complete")
+    assert run("one", archive_dir=f"{tmp_dir}/archive") == [("a.csv", 9), ("b.csv", 5), ("c.csv", 5)]
+    paths = sorted(str(p) for p in Path(f"{tmp_dir}/in").rglob("*") if "c.csv.complete" in str(p) and p.is_file() and p.name[0] != ".")
+    assert paths == [] and len(list(Path(f"{tmp_dir}/archive").rglob("c.csv.complete/part-*.csv"))) == 2
+
+
+def test_parts_of_a_drop_are_read_by_several_tasks(spark, tmp_dir):
+    from sparkwright.sources.readers import read_drops
+    os.makedirs(f"{tmp_dir}/d")
+    for k in range(40):
+        with open(f"{tmp_dir}/d/part-{k:02d}.csv", "w") as out:
+            out.write(_events(2000, 10 * k))
+    paths = [f"{tmp_dir}/d/part-{k:02d}.csv" for k in range(40)]
+    rows = read_drops(spark, paths, EVENTS, by="directory")
+    assert rows.count() == 80_000 and rows.rdd.getNumPartitions() >= 4
+    with open(f"{tmp_dir}/d/part-99.csv", "w") as out:
+        out.write("event_type,ts,user_id,event_id,value\nx,t,1,1,1.0\n")
+    with pytest.raises(Exception, match="header"):
+        read_drops(spark, [*paths, f"{tmp_dir}/d/part-99.csv"], EVENTS, by="directory").collect()
 
 
 @pytest.mark.parametrize("partitions", [1, 4, 16])
@@ -249,29 +284,6 @@ def test_read_feed_na_tokens_and_types(spark, tmp_dir):
     assert rows == {1: (None, "2024-01-01"), 2: (None, None), 3: (None, "03/04/2024")}
 
 
-@pytest.mark.parametrize("broadcast", [False, True])
-def test_merge_paths_agree(spark, broadcast):
-    import random
-    rnd = random.Random(5)
-    tgt = [(k if k % 11 else None, f"t{k}", k * 1.5) for k in range(0, 400, 2)]
-    src = [(k if k % 13 else None, f"s{k}", -float(k)) for k in range(0, 600, 3)]
-    rnd.shuffle(src)
-    target = spark.createDataFrame(tgt, "k long, a string, x double")
-    source = spark.createDataFrame(src, "k long, a string, x double")
-    kw = dict(update_columns=["x"], set_on_match={"a": F.concat(F.col("_t_a"), F.lit("+"))})
-    got = sk.merge_frames(target, source, ["k"], broadcast_source=broadcast, **kw)
-    t = {r[0]: r for r in tgt if r[0] is not None}
-    s = {r[0]: r for r in src if r[0] is not None}
-    want = []
-    for k, r in t.items():
-        want.append((k, r[1] + "+", s[k][2]) if k in s else r)
-    want += [r for k, r in s.items() if k not in t]
-    want += [r for r in tgt if r[0] is None] + [r for r in src if r[0] is None]
-    assert sorted(got.collect(), key=str) == sorted([tuple(w) for w in want], key=str)
-    plan = got._jdf.queryExecution().executedPlan().toString()
-    assert ("SortMergeJoin" not in plan) == broadcast
-
-
 def test_merge_table_measures_source_for_broadcast(spark, tmp_dir):
     path = os.path.join(tmp_dir, "big")
     sk.merge_table(spark, path, spark.range(1000).selectExpr("id AS k", "'v' AS v"), ["k"])
@@ -283,6 +295,26 @@ def test_merge_table_measures_source_for_broadcast(spark, tmp_dir):
     assert len(got) == 1020 and got[5] == "v" and got[995] == "w" and got[1007] == "z"
 
 
+def test_types_are_inferred_from_all_files(spark, tmp_dir):
+    from sparkwright.sources.readers import read_feed
+    os.makedirs(f"{tmp_dir}/feed")
+    parts = ["1,1,7,True,2024-01-01,NA,1,+5", "2,2,8,FALSE,2024-01-02,,9223372036854775807, 6 ", "3,2.5,x9,true,NA,null,9223372036854775808,1e3"]
+    for k, row in enumerate(parts):
+        with open(f"{tmp_dir}/feed/{k}.csv", "w") as f:
+            f.write("i,d,t,b,day,none,big,e\n" + row + "\n")
+    feed = read_feed(spark, f"{tmp_dir}/feed")
+    assert dict(feed.dtypes) == {"i": "bigint", "d": "double", "t": "string", "b": "boolean", "day": "string", "none": "double", "big": "string", "e": "double"}
+    assert sorted(map(tuple, feed.collect())) == [
+        (1, 1.0, "7", True, "2024-01-01", None, "1", 5.0), (2, 2.0, "8", False, "2024-01-02", None, "9223372036854775807", 6.0),
+        (3, 2.5, "x9", True, None, None, "9223372036854775808", 1000.0)]
+    assert set(dict(read_feed(spark, f"{tmp_dir}/feed", types={}).dtypes.copy()).values()) == {"string"}
+    with open(f"{tmp_dir}/feed/3.csv", "w") as f:  # a missing truth word: text, as the source's reader has it
+        f.write("i,d,t,b,day,none,big,e\n,.5,,NA,,,,-inf\n")
+    feed = read_feed(spark, f"{tmp_dir}/feed")
+    assert dict(feed.dtypes)["b"] == "string" and dict(feed.dtypes)["i"] == "bigint" and dict(feed.dtypes)["e"] == "double"
+    assert feed.where("i is null").first().e == float("-inf")
+
+
 def test_schema_fingerprint_tracks_columns(spark):
     a = spark.createDataFrame([(1, "x")], "id bigint, v string")
     b = spark.createDataFrame([(1, "x")], "id bigint, v string")
