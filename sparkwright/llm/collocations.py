@@ -35,9 +35,9 @@ SCALE = 1_000_000
 WITHIN = 50  # percent of a candidate's occurrences inside a longer one that drop it
 BEST = 2000  # phrases of a language
 UNKNOWN = "und"
-SLICE_BYTES = 8_000_000
+SLICE_BYTES = 6_000_000
 BLOCK_BYTES = 1_000_000  # of a slice that are worked on at once
-MARK_BITS = 25
+MARK_BITS = 24
 PARTITION_BYTES = 32_000_000  # of text for each hash partition
 STOPS = np.isin(np.arange(256), np.frombuffer(b".,;:!?\n\x0b\x0c\r", np.uint8))
 
@@ -132,9 +132,11 @@ class Grams:
         self.data, self.starts, self.ends, self.spaced = data, starts, ends, None
 
     @staticmethod
-    def of(body: pa.Buffer, words: int, partitions: int) -> list[Grams]:
+    def of(body: pa.Buffer, words: int, partitions: int) -> Iterator[Grams]:
         """The n-grams of a slice, in blocks that keep what is made on the way small."""
-        return [Grams(lang, data, off, words, partitions) for lang, texts in unpacked(body) for _, _, data, off in slices(texts, BLOCK_BYTES)]
+        for lang, texts in unpacked(body):
+            for _, _, data, off in slices(texts, BLOCK_BYTES):
+                yield Grams(lang, data, off, words, partitions)
 
     def phrases(self, k: int, chosen: np.ndarray) -> pa.Array:
         """The k-word phrases at the chosen places."""
@@ -158,9 +160,9 @@ def gathered(start: np.ndarray, size: np.ndarray) -> np.ndarray:
     return np.repeat(start - (to - size), size) + np.arange(to[-1] if len(to) else 0)
 
 
-def distinct(grams: list[Grams]) -> tuple[np.ndarray, np.ndarray]:
+def distinct(keys: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """The sorted keys of a slice's n-grams, and how often each occurs."""
-    keys = np.concatenate([np.zeros(0, np.uint64), *[k for g in grams for k in g.keys]])
+    keys = np.concatenate([np.zeros(0, np.uint64), *keys])
     keys.sort()
     first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
     return keys[first], np.diff(np.append(first, len(keys)))
@@ -171,7 +173,9 @@ def summing(words: int, partitions: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for number, body in zip(batch.column(0).to_pylist(), batch.column(1)):
-                yield from sent(number, *distinct(Grams.of(body.as_buffer(), words, partitions)))
+                keys = [k for g in Grams.of(body.as_buffer(), words, partitions) for k in g.keys]
+                yield from sent(number, *distinct(keys))
+                pa.default_memory_pool().release_unused()
     return run
 
 
@@ -254,8 +258,8 @@ def spelling(words: int, partitions: int):
 
         if not left.num_rows:
             return out[0]
-        grams = Grams.of(left["body"][0].as_buffer(), words, partitions)
-        keys, _ = distinct(grams)
+        grams = list(Grams.of(left["body"][0].as_buffer(), words, partitions))
+        keys, _ = distinct([k for g in grams for k in g.keys])
         part = (keys >> np.uint64(32)).astype(np.int64)
         frequent = np.zeros(len(keys), bool)
         for p, bits in zip(right["part"].to_pylist(), right["bits"]):
@@ -263,12 +267,15 @@ def spelling(words: int, partitions: int):
             frequent[i:j] = np.unpackbits(np.frombuffer(bits.as_buffer(), np.uint8), count=j - i)
         marks = Marks(keys[frequent])
         del keys, part, frequent
+        for g in grams:
+            g.keys = [marks.of(k).astype(np.int32) for k in g.keys]  # places from here on
+        del marks
         for lang in dict.fromkeys(g.lang for g in grams):
             own = [g for g in grams if g.lang == lang]
             if n := sum(g.n_words for g in own):
                 add(lang, pa.nulls(1, pa.string()), 0, pa.array([n], pa.int64()))
             for k in range(1, words + 1):
-                counts = pc.value_counts(pa.chunked_array([g.phrases(k, marks.of(g.keys[k - 1])) for g in own], pa.large_string()))
+                counts = pc.value_counts(pa.chunked_array([g.phrases(k, g.keys[k - 1]) for g in own], pa.large_string()))
                 add(lang, counts.field(0).cast(pa.string()), k, counts.field(1).cast(pa.int64()))
         pa.default_memory_pool().release_unused()
         return pa.concat_tables(out)
