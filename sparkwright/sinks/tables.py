@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import os
 import uuid
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -108,39 +109,44 @@ def _log(spark: SparkSession, path: str) -> DataFrame | None:
     return spark.read.parquet(_log_path(path)) if path_exists(spark, _log_path(path)) else None
 
 
-def current_version(spark: SparkSession, path: str) -> int:
-    """Highest committed version, 0 when the table does not exist yet."""
-    log = _log(spark, path)
-    return 0 if log is None else int(log.agg(F.max("version")).first()[0] or 0)
+@dataclass(frozen=True)
+class TableState:
+    """What the log says of a table: its version (0: none yet), number of buckets, and the versions that hold each bucket's rows."""
 
+    path: str
+    version: int = 0
+    buckets: int = 0
+    versions: dict[int, list[int]] = field(default_factory=dict)
 
-def bucket_places(spark: SparkSession, path: str, version: int | None = None) -> dict[int, list[str]]:
-    """Where each bucket's current rows (or those at ``version``) lie. The driver sees bucket numbers only."""
-    log = _log(spark, path)
-    if log is None:
-        return {}
-    commits = log if version is None else log.filter(F.col("version") <= version)
-    at = commits.select("version", F.explode("touched").alias("bucket"))
-    # A bucket is read where it was last rewritten, rows without a key wherever they were added.
-    places = at.groupBy("bucket").agg(F.sort_array(F.collect_set("version")).alias("versions")).collect()
-    return {r["bucket"]: [os.path.join(_version_path(path, v), f"{BUCKET}={r['bucket']}")
-                          for v in (r["versions"] if r["bucket"] == UNKEYED else r["versions"][-1:])] for r in places}
+    @staticmethod
+    def of(spark: SparkSession, path: str, version: int | None = None) -> TableState:
+        log = _log(spark, path)
+        if log is None:
+            return TableState(path)
+        commits = log if version is None else log.filter(F.col("version") <= version)
+        # One job; the driver sees bucket and version numbers only.
+        rows = (commits.select("version", "buckets", F.explode("touched").alias("bucket")).groupBy("bucket")
+                .agg(F.sort_array(F.collect_set("version")).alias("versions"), F.max("buckets").alias("buckets")).collect())
+        # A bucket is read where it was last rewritten, rows without a key wherever they were added.
+        versions = {r["bucket"]: r["versions"] if r["bucket"] == UNKEYED else r["versions"][-1:] for r in rows}
+        return TableState(path, max((v[-1] for v in versions.values()), default=0), max((r["buckets"] for r in rows), default=0), versions)
 
+    def places(self, buckets: list[int] | None = None) -> list[str]:
+        """Where the rows of ``buckets`` (default: all) lie."""
+        return [os.path.join(_version_path(self.path, v), f"{BUCKET}={b}") for b in sorted(self.versions)
+                if buckets is None or b in buckets for v in self.versions[b]]
 
-def bucket_count(spark: SparkSession, path: str) -> int:
-    """The number of buckets the table was made with."""
-    return int(_log(spark, path).agg(F.max("buckets")).first()[0])
 
+def current_version(spark: SparkSession, path: str) -> int:
+    """Highest committed version, 0 when the table does not exist yet."""
+    return TableState.of(spark, path).version
 
-def read_table(spark: SparkSession, path: str, version: int | None = None, buckets: list[int] | None = None) -> DataFrame:
-    """The table's rows, or those of some ``buckets`` (without rows: None raises, a list gives an empty table)."""
-    places = bucket_places(spark, path, version)
-    if not places:
+
+def read_table(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
+    state = TableState.of(spark, path, version)
+    if not state.version:
         raise FileNotFoundError(f"no committed version at {path}")
-    own = [p for b, found in sorted(places.items()) if buckets is None or b in buckets for p in found]
-    if own:
-        return spark.read.parquet(*own)
-    return spark.read.parquet(next(iter(places.values()))[0]).limit(0)
+    return spark.read.parquet(*state.places())
 
 
 def _commit(spark: SparkSession, path: str, version: int, operation: str, rows: int, buckets: int, touched: list[int]) -> None:
@@ -157,19 +163,24 @@ def bucket_of(keys: list[str], buckets: int, prefix: str = "") -> Column:
     return F.when(_all_keys_known(keys, prefix), F.pmod(F.hash(*own), F.lit(buckets))).otherwise(F.lit(UNKEYED))
 
 
-def _write_buckets(df: DataFrame, target: str, mode: str) -> int:
-    """Writes ``df`` (with its column of buckets) below ``target``; returns the rows written."""
-    return append_table(df, target, partition_by=[BUCKET], mode=mode)
+def _write_buckets(df: DataFrame, keys: list[str], buckets: int, target: str, mode: str) -> int:
+    """Writes ``df`` by bucket below ``target``; returns the rows written."""
+    return append_table(df.withColumn(BUCKET, bucket_of(keys, buckets)), target, partition_by=[BUCKET], mode=mode)
 
 
 def source_key_stats(source: DataFrame, keys: list[str]) -> tuple[int, int, int]:
     """(rows, largest number of rows sharing one non-NULL key, bytes) in one aggregate job."""
+    return _source_stats(source, keys, 1)[:3]
+
+
+def _source_stats(source: DataFrame, keys: list[str], buckets: int) -> tuple[int, int, int, list[int]]:
+    """``source_key_stats``, and the buckets of the rows: at most ``buckets`` + 1 numbers."""
     per_key = source.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"),
                                         F.sum(row_bytes(source)).alias("_b"))
     row = per_key.agg(F.sum("_n").alias("rows"),
                       F.max(F.when(_all_keys_known(keys), F.col("_n"))).alias("most"),
-                      F.sum("_b").alias("bytes")).first()
-    return int(row["rows"] or 0), int(row["most"] or 0), int(row["bytes"] or 0)
+                      F.sum("_b").alias("bytes"), F.collect_set(bucket_of(keys, buckets)).alias("touched")).first()
+    return int(row["rows"] or 0), int(row["most"] or 0), int(row["bytes"] or 0), sorted(row["touched"])
 
 
 def merge_table(spark: SparkSession, path: str, source: DataFrame, keys: list[str],
@@ -196,55 +207,47 @@ def merge_table(spark: SparkSession, path: str, source: DataFrame, keys: list[st
     """
     source = source.persist()
     try:
-        rows, most, size = source_key_stats(source, keys)
-        current = current_version(spark, path)
+        state = TableState.of(spark, path)
+        rows, most, size, touched = _source_stats(source, keys, state.buckets or buckets or LEAST_BUCKETS)
         if rows == 0:
-            return _version_path(path, current) if current else ""
+            return _version_path(path, state.version) if state.version else ""
         if most > 1:
             raise ValueError(f"merge source has duplicate keys on {keys}")
-        target_path = _version_path(path, current + 1)
-        if current == 0:
-            buckets = buckets or max(LEAST_BUCKETS, -(-size // BUCKET_BYTES))
+        target_path, known = _version_path(path, state.version + 1), _all_keys_known(keys)
+        if not state.version:
             extra = {c: v for c, v in (insert_values or {}).items() if c not in source.columns}
-            first = source.withColumns(extra) if extra else source
-            touched = _touched(first, keys, buckets)
-            keyed = first.filter(_all_keys_known(keys)).repartition(buckets, *keys)
-            # A directory without a log row is the leftover of a failed job: overwrite it.
-            written = _write_buckets(keyed.withColumn(BUCKET, bucket_of(keys, buckets)), target_path, "overwrite")
-            written += _add_unkeyed(first, keys, touched, target_path)
-            _commit(spark, path, 1, "merge", written, buckets, touched)
-            return target_path
-        buckets = bucket_count(spark, path)
-        touched = _touched(source, keys, buckets)
-        target = read_table(spark, path, buckets=[b for b in touched if b != UNKEYED])
-        keyed_rows = source.filter(_all_keys_known(keys))
-        as_target = _as_inserts(source, target, insert_values)
-        if not (set(touched) - {UNKEYED}) & set(bucket_places(spark, path)):
-            rows_in = as_target.filter(_all_keys_known(keys)).repartition(buckets, *keys)
-            written = _write_buckets(rows_in.withColumn(BUCKET, bucket_of(keys, buckets)), target_path, "overwrite")
-        elif size <= broadcast_bytes and rows <= MOST_BITMAPS * _BITS:
-            written = _merge_broadcast(spark, target, keyed_rows, rows, keys, update_columns, set_on_match, insert_values, buckets, target_path)
+            new = source.withColumns(extra) if extra else source
+            wanted = buckets or max(LEAST_BUCKETS, -(-size // BUCKET_BYTES))
+            if wanted != (buckets or LEAST_BUCKETS):
+                touched = _source_stats(source, keys, wanted)[3]
+            buckets, merged, unmet = wanted, None, new
         else:
-            merged = merge_frames(target, keyed_rows, keys, update_columns, set_on_match, insert_values, buckets=buckets)
-            written = _write_buckets(merged.withColumn(BUCKET, bucket_of(keys, buckets)), target_path, "overwrite")
-        written += _add_unkeyed(as_target, keys, touched, target_path)
-        _commit(spark, path, current + 1, "merge", written, buckets, touched)
+            buckets = state.buckets
+            schema_of = spark.read.parquet(state.places()[0])
+            new = _as_inserts(source, schema_of, insert_values)
+            places = state.places([b for b in touched if b != UNKEYED])
+            merged, unmet = None, new
+            if places:
+                target, keyed = spark.read.parquet(*places), source.filter(known)
+                if size <= broadcast_bytes and rows <= MOST_BITMAPS * _BITS:
+                    merged = _merge_broadcast(target, keyed, rows, keys, update_columns, set_on_match, insert_values, buckets, target_path)
+                    unmet = _as_inserts(merged.unmet, schema_of, insert_values).unionByName(new.filter(~known))
+                else:
+                    frames = merge_frames(target, keyed, keys, update_columns, set_on_match, insert_values, buckets=buckets)
+                    # A directory without a log row is the leftover of a failed job: overwrite it.
+                    merged = _Merged(_write_buckets(frames, keys, buckets, target_path, "overwrite"))
+                    unmet = new.filter(~known) if UNKEYED in touched else None
+        written = merged.rows if merged else 0
+        if unmet is not None:
+            if not merged:  # a task a bucket
+                unmet = unmet.filter(known).repartition(buckets, *keys).unionByName(unmet.filter(~known))
+            written += _write_buckets(unmet, keys, buckets, target_path, "append" if merged else "overwrite")
+        _commit(spark, path, state.version + 1, "merge", written, buckets, touched)
         return target_path
     finally:
         source.unpersist()
 
 
-def _touched(source: DataFrame, keys: list[str], buckets: int) -> list[int]:
-    """The buckets of the source's rows: at most ``buckets`` + 1 numbers."""
-    return sorted(r["bucket"] for r in source.select(bucket_of(keys, buckets).alias("bucket")).distinct().collect())
-
-
-def _add_unkeyed(source: DataFrame, keys: list[str], touched: list[int], target_path: str) -> int:
-    if UNKEYED not in touched:
-        return 0
-    return _write_buckets(source.filter(~_all_keys_known(keys)).withColumn(BUCKET, F.lit(UNKEYED)), target_path, "append")
-
-
 def _all_keys_known(keys: list[str], prefix: str = "") -> Column:
     known = None
     for k in keys:
@@ -259,27 +262,30 @@ def _as_inserts(source: DataFrame, target: DataFrame, insert_values: dict | None
     return source.select(*[(F.col(c) if c in source.columns else values.get(c, F.lit(None))).cast(t).alias(c) for c, t in target.dtypes])
 
 
-def _merge_broadcast(spark: SparkSession, target: DataFrame, source: DataFrame, rows: int, keys: list[str], update_columns, set_on_match: dict | None,
-                     insert_values: dict | None, buckets: int, target_path: str) -> int:
-    """Writes the touched buckets in one pass over them, then adds the source rows that met no target row."""
-    # Numbered by their (distinct) keys, so that a lost block gets the same numbers again.
-    marked = source.coalesce(1).sortWithinPartitions(*keys).withColumn("_s_number", F.monotonically_increasing_id()).persist()
-    try:
-        merged = merge_frames(target, marked, keys, update_columns, set_on_match, insert_values, broadcast_source=True)
-        on_write, number = Observation(), F.col("_s_number")
-        maps = [F.bitmap_construct_agg(F.when(F.floor(number / _BITS) == i, F.pmod(number, F.lit(_BITS)))).alias(f"met_{i}")
-                for i in range(-(-rows // _BITS))]
-        out = merged.observe(on_write, F.count(F.lit(1)).alias("rows"), *maps).drop("_s_number")
-        out.withColumn(BUCKET, bucket_of(keys, buckets)).write.mode("overwrite").partitionBy(BUCKET).parquet(target_path)
-        met = F.lit(False)
-        for i in range(len(maps)):
-            at = number - i * _BITS
-            byte = F.substring(F.lit(bytes(on_write.get[f"met_{i}"])), F.floor(at / 8).cast("int") + 1, F.lit(1))
-            met = met | (at.between(0, _BITS - 1) & (F.getbit(F.conv(F.hex(byte), 16, 10).cast("int"), F.pmod(at, F.lit(8)).cast("int")) == 1))
-        new = _as_inserts(marked.filter(~met), target, insert_values)
-        return int(on_write.get["rows"]) + _write_buckets(new.withColumn(BUCKET, bucket_of(keys, buckets)), target_path, "append")
-    finally:
-        marked.unpersist()
+@dataclass(frozen=True)
+class _Merged:
+    rows: int  # written
+    unmet: DataFrame | None = None  # source rows that met no target row
+
+
+def _merge_broadcast(target: DataFrame, source: DataFrame, rows: int, keys: list[str], update_columns, set_on_match: dict | None,
+                     insert_values: dict | None, buckets: int, target_path: str) -> _Merged:
+    """Writes the touched buckets in one pass over them, and finds the source rows that met no target row by that pass."""
+    # Numbered by their (distinct) keys, so that a row has the same number whenever it is computed.
+    marked = source.coalesce(1).sortWithinPartitions(*keys).withColumn("_s_number", F.monotonically_increasing_id())
+    merged = merge_frames(target, marked, keys, update_columns, set_on_match, insert_values, broadcast_source=True)
+    on_write, number = Observation(), F.col("_s_number")
+    maps = [F.bitmap_construct_agg(F.when(F.floor(number / _BITS) == i, F.pmod(number, F.lit(_BITS)))).alias(f"met_{i}")
+            for i in range(-(-rows // _BITS))]
+    out = merged.observe(on_write, F.count(F.lit(1)).alias("rows"), *maps).drop("_s_number")
+    # A directory without a log row is the leftover of a failed job: overwrite it.
+    out.withColumn(BUCKET, bucket_of(keys, buckets)).write.mode("overwrite").partitionBy(BUCKET).parquet(target_path)
+    met = F.lit(False)
+    for i in range(len(maps)):
+        at = number - i * _BITS
+        byte = F.substring(F.lit(bytes(on_write.get[f"met_{i}"])), F.floor(at / 8).cast("int") + 1, F.lit(1))
+        met = met | (at.between(0, _BITS - 1) & (F.getbit(F.conv(F.hex(byte), 16, 10).cast("int"), F.pmod(at, F.lit(8)).cast("int")) == 1))
+    return _Merged(int(on_write.get["rows"]), marked.filter(~met))
 
 
 def merge_frames(target: DataFrame, source: DataFrame, keys: list[str],
