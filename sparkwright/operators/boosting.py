@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sparkwright.operators.tuning import DIGIT, FOLDS, LEARNING_RATES, WORD, claim_version
+from sparkwright.session import scratch_path
 
 HASHED = 84  # buckets of hashed word counts; with the three counts, 87 features
 COUNTS = ("chars", "words", "digits")
@@ -59,7 +60,9 @@ def fit_features(docs: DataFrame, labels: DataFrame, label_col: str = "quality")
     first = PipelineModel(_text_stages())
     counted = first.transform(docs.select("doc_id", "text", "n_chars")).select("doc_id", *[f"_{c}" for c in COUNTS], "_hashed")
     known = labels.select("doc_id", F.col(label_col).cast("bigint").alias("label")).where(F.col("label").isNotNull())
-    rows = counted.join(known, "doc_id").withColumn("fold", F.pmod("doc_id", F.lit(FOLDS)))
+    path = scratch_path(docs.sparkSession, "counted_features")  # the texts are counted once, not once for each stage that learns
+    counted.join(known, "doc_id").withColumn("fold", F.pmod("doc_id", F.lit(FOLDS))).write.parquet(path)
+    rows = docs.sparkSession.read.parquet(path)
     learned = Pipeline(stages=[
         Imputer(inputCols=[f"_{c}" for c in COUNTS], outputCols=[f"_{c}_known" for c in COUNTS], strategy="mean"),
         VectorAssembler(inputCols=[*[f"_{c}_known" for c in COUNTS], "_hashed"], outputCol="_raw"),
@@ -130,10 +133,10 @@ def boost(rows: DataFrame, rates=LEARNING_RATES, trees: int = TREES, depth: int
     for k in range(trees if n else 0):
         grown = {r: Tree() for r in rates}
         frontier = {r: [0] for r in rates}
-        for level in range(depth + 1):
+        for level in range(depth):
             sums = _node_sums(train, start, models, grown, frontier)
             for r in rates:
-                frontier[r] = _grow(grown[r], frontier[r], sums[r], level < depth, 1.0 if k == 0 else r)
+                frontier[r] = _grow(grown[r], frontier[r], sums[r], level + 1 == depth, 1.0 if k == 0 else r)
             if not any(frontier.values()):
                 break
         for r in rates:
@@ -152,8 +155,9 @@ def _node_sums(train: DataFrame, start: float, models: dict, grown: dict, fronti
         columns += [chance.alias(f"p{i}"), grown[r].walk(_in_bins, lambda node: F.lit(node)).alias(f"node{i}")]
         for node in frontier[r]:
             own, p = F.col(f"node{i}") == node, F.col(f"p{i}")
-            sums += [F.sum(F.when(own, (p - F.col("label") * UNIT).cast("decimal(38,0)"))).alias(f"g{i}_{node}"),
-                     F.sum(F.when(own, F.greatest(F.expr(f"p{i} * ({UNIT} - p{i}) div {UNIT}"), F.lit(1)).cast("decimal(38,0)"))).alias(f"h{i}_{node}"),
+            # Whole numbers of at most UNIT a row: 64 bits hold the sums of 10^12 rows, and an overflow fails.
+            sums += [F.sum(F.when(own, p - F.col("label") * UNIT)).alias(f"g{i}_{node}"),
+                     F.sum(F.when(own, F.greatest(F.expr(f"p{i} * ({UNIT} - p{i}) div {UNIT}"), F.lit(1)))).alias(f"h{i}_{node}"),
                      F.count(F.when(own, 1)).alias(f"n{i}_{node}")]
     cells = train.select("label", "b", *columns).select("label", *[c for i in range(len(models)) for c in (f"p{i}", f"node{i}")], F.posexplode("b").alias("f", "bin"))
     out: dict = {r: {} for r in models}
@@ -165,9 +169,11 @@ def _node_sums(train: DataFrame, start: float, models: dict, grown: dict, fronti
     return out
 
 
-def _grow(tree: Tree, frontier: list[int], sums: dict, may_split: bool, weight: float) -> list[int]:
-    """Splits the frontier's nodes, or gives them their values; returns the new frontier."""
+def _grow(tree: Tree, frontier: list[int], sums: dict, last: bool, weight: float) -> list[int]:
+    """Splits the frontier's nodes, or gives them their values; returns the new frontier. On the ``last`` level the
+    children get their values from the split's own sums."""
     calm, new = CALM * UNIT, []
+    value = lambda g, h: math.floor(-weight * g / (h + calm) * 1e6 + 0.5) / 1e6
     for node in frontier:
         by_feature: dict[int, dict[int, tuple]] = {}
         for (at, f, b), s in sums.items():
@@ -178,17 +184,20 @@ def _grow(tree: Tree, frontier: list[int], sums: dict, may_split: bool, weight:
             continue
         g, h, _ = (sum(x) for x in zip(*by_feature[min(by_feature)].values()))
         best = (0.0, None)
-        for f in sorted(by_feature) if may_split else ():
+        for f in sorted(by_feature):
             left_g = left_h = 0
             for b in sorted(by_feature[f])[:-1]:
                 left_g, left_h = left_g + by_feature[f][b][0], left_h + by_feature[f][b][1]
                 gain = left_g ** 2 / (left_h + calm) + (g - left_g) ** 2 / (h - left_h + calm) - g ** 2 / (h + calm)
                 if gain > best[0]:
-                    best = (gain, (f, b))
+                    best = (gain, (f, b), left_g, left_h)
         if best[1] is None:
-            tree.values[node] = math.floor(-weight * g / (h + calm) * 1e6 + 0.5) / 1e6
+            tree.values[node] = value(g, h)
+            continue
+        tree.splits[node] = best[1]
+        if last:
+            tree.values[2 * node + 1], tree.values[2 * node + 2] = value(best[2], best[3]), value(g - best[2], h - best[3])
         else:
-            tree.splits[node] = best[1]
             new += [2 * node + 1, 2 * node + 2]
     return new
 
