@@ -1,10 +1,13 @@
 """SentencePiece encoding and decoding as a relational lattice.
 
-Texts are cut into words: up to ``WORD`` letters and digits (and all beyond ASCII), or as many other characters, with
-the space before them. For the distinct words of each chunk of documents, substrings of bounded length are exploded
+Texts are cut into words only where no piece of the table can cross: characters that stand side by side in some piece form
+classes, and a word is a run of one class with the spaces before it (no piece has a space after another character; a table
+that has makes whole texts of one class). The best path of a text is then that of its words. For the distinct words
+of each chunk of documents, substrings of bounded length are exploded
 and equi-joined to the piece table; the matching edges are grouped by word, and a higher-order ``aggregate`` folds them
 into the best path (Viterbi). A cogroup by chunk then puts the words' pieces together, document by document. Words that
-are frequent (at most ``FREQUENT``) are encoded once for all chunks, by the same steps.
+are frequent (at most ``FREQUENT``) are encoded once for all chunks, by the same steps, and words of over ``WORD`` characters, which
+are few, by the same lattice in a loop where the texts are put together: a fold over arrays would copy them for every edge.
 
 A path's cost is the sum of its pieces' costs (distances of their scores from the best score). Characters that no piece
 covers cost more than any piece and become byte pieces, so decoding gives back every text exactly. Literal
@@ -27,10 +30,8 @@ from .common import small, written
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
-WORD = 31  # characters of a word after its space; longer ones are cut
+WORD = 32  # characters of a word with its spaces that goes through the joined lattice
 CHUNK_BYTES = 8 << 20
-# The same in Java's and Python's expressions: ASCII ranges only.
-WORDS = rf" ?[^\x00-/:-@\[-`{{-\x7f]{{1,{WORD}}}| ?[\x00-\x1f!-/:-@\[-`{{-\x7f]{{1,{WORD}}}| "
 FREQUENT = 1 << 18
 # Frequent words are looked for in one document of so many, by a hash of its text; the choice has no bearing on results.
 SAMPLED = 16
@@ -57,7 +58,7 @@ def load_pieces(model: str = MODEL) -> tuple[list[tuple[str, int, int]], list[in
     scale = 1 if all(s == int(s) for s in scores.values()) else 1000
     best = max(scores.values())
     table = [(sp.id_to_piece(k).replace(SPACE, " "), k, round((best - scores[k]) * scale) + scale) for k in normal]
-    if (dearest := max(c for _, _, c in table) + 1) >= 1 << COST_BITS or dearest * (WORD + 1) >= 1 << 63 - LOW:
+    if (dearest := max(c for _, _, c in table) + 1) >= 1 << COST_BITS or dearest * (WORD + 2) >= 1 << 63 - LOW:
         raise ValueError("the scores lie too far apart")
     byte_ids, raw = [-1] * 256, [b""] * n
     for k in range(n):
@@ -71,10 +72,56 @@ def load_pieces(model: str = MODEL) -> tuple[list[tuple[str, int, int]], list[in
     return table, byte_ids, raw
 
 
-def best_paths(words: DataFrame, keys: list[str], table: list[tuple[str, int, int]], byte_ids: list[int]) -> DataFrame:
-    """``words`` (keys and word, distinct, not empty) as keys, word and ids (array<int>): the cheapest path.
+def cuts(table: list[tuple[str, int, int]]) -> str:
+    """The expression of a text's words: between two of them no piece of the table can lie."""
+    parent: dict[str, str] = {}
+
+    def top(c: str) -> str:
+        while (up := parent.setdefault(c, c)) != c:
+            parent[c] = c = parent[up]
+        return c
+
+    for surface, _, _ in table:
+        own = surface.lstrip(" ")
+        if " " in own:
+            return r"[\s\S]+"
+        for x, y in zip(own, own[1:]):
+            parent[top(x)] = top(y)
+    classes: dict[str, list[str]] = {}
+    for c in parent:
+        classes.setdefault(top(c), []).append(c)
+    runs = [" *[" + "".join(map(re.escape, sorted(own))) + "]+" for own in sorted(classes.values(), key=lambda own: (-len(own), own)) if len(own) > 1]
+    # A character that meets itself only ("..", if no class has it) is a class of its own.
+    runs += [f" *{re.escape(c)}+" for c in sorted({x for surface, _, _ in table for x, y in zip(surface, surface[1:]) if x == y != " "}) if len(classes[top(c)]) == 1]
+    return "|".join([*runs, r" *[^ ]", " +"])
+
+
+def best_path(word: str, table: dict[str, tuple[int, int]], longest: int, unknown: int, byte_ids: list[int]) -> list[int]:
+    """The ids of a word's cheapest path, in a loop; of equal costs that with the longest last piece."""
+    cost, way = [0], [(0, 0)]
+    for end in range(1, len(word) + 1):
+        best = None
+        for start in range(max(0, end - longest), end):
+            if found := table.get(word[start:end]):
+                new = (cost[start] + found[1], start, found[0])
+            elif start == end - 1:
+                new = (cost[start] + unknown, start, -1)
+            else:
+                continue
+            if best is None or new[:2] < best[:2]:
+                best = new
+        cost.append(best[0])
+        way.append(best[1:])
+    path, at = [], len(word)
+    while at:
+        start, id_ = way[at]
+        path.append([byte_ids[b] for b in word[start:at].encode("utf-8", "surrogatepass")] if id_ < 0 else [id_])
+        at = start
+    return [k for part in reversed(path) for k in part]
+
 
-    Words that come with ids in a column ``ready`` keep these.
+def best_paths(words: DataFrame, keys: list[str], table: list[tuple[str, int, int]], byte_ids: list[int]) -> DataFrame:
+    """``words`` (keys and word, distinct, of 1 to ``WORD`` characters) as keys, word and ids (array<int>): the cheapest path.
 
     Of equal costs the path with the longest last piece wins. A word's rows stay in the partition of its keys:
     the explode, the broadcast join and the grouping add no shuffle.
@@ -82,13 +129,10 @@ def best_paths(words: DataFrame, keys: list[str], table: list[tuple[str, int, in
     pieces = words.sparkSession.createDataFrame(table, "piece string, id int, cost int")
     longest = max(len(p) for p, _, _ in table)
     unknown = max(c for _, _, c in table) + 1
-    if "ready" not in words.columns:
-        words = words.withColumn("ready", F.lit(None).cast("array<int>"))
-    once = lambda n: F.when(F.col("ready").isNull(), n).otherwise(1)  # noqa: E731  a ready word is one row
     found = (words.withColumn("n", F.monotonically_increasing_id())
-             .select("n", *keys, "word", "ready", F.explode(F.sequence(F.lit(0), once(F.length("word")) - 1)).alias("start"))
-             .select("n", *keys, "word", "ready", "start", F.explode(F.sequence(
-                 F.col("start") + 1, once(F.least(F.col("start") + longest, F.length("word"))))).alias("end"))
+             .select("n", *keys, "word", F.explode(F.sequence(F.lit(0), F.length("word") - 1)).alias("start"))
+             .select("n", *keys, "word", "start", F.explode(F.sequence(
+                 F.col("start") + 1, F.least(F.col("start") + longest, F.length("word")))).alias("end"))
              .withColumn("piece", F.col("word").substr(F.col("start") + 1, F.col("end") - F.col("start")))
              .join(F.broadcast(pieces), "piece", "left"))
     # A single character is an edge in any case, so every word has a path. The first one's row carries the word, the
@@ -98,24 +142,41 @@ def best_paths(words: DataFrame, keys: list[str], table: list[tuple[str, int, in
     edge = (F.shiftleft(F.col("end").cast("long"), COST_BITS + LOW)
             + F.shiftleft(F.coalesce("cost", F.lit(unknown)).cast("long"), LOW)
             + F.shiftleft(F.col("start").cast("long"), ID_BITS) + F.coalesce("id", F.lit(NO_PIECE)).cast("long"))
-    rows = found.select("n", *keys, F.when(head, F.col("word")).alias("word"), F.when(head, F.col("ready")).alias("ready"), edge.alias("edge"))
-    grouped = rows.groupBy("n", *keys).agg(F.max("word").alias("word"), F.max("ready").alias("ready"),
-                                           F.sort_array(F.collect_list("edge")).alias("edges"))
-    paths = grouped.select(*keys, "word", "ready", F.when(F.col("ready").isNull(), viterbi(F.col("edges"), F.length("word"))).alias("path"))
-    return paths.select(*keys, "word", F.coalesce("ready", spelled(F.col("word"), F.col("path"), byte_ids)).alias("ids"))
-
-
-def words_of(text: Column) -> Column:
-    return F.regexp_extract_all(text, F.lit(f"({WORDS})"), F.lit(1))
+    rows = found.select("n", *keys, F.when(head, F.col("word")).alias("word"), edge.alias("edge"))
+    grouped = rows.groupBy("n", *keys).agg(F.max("word").alias("word"), F.sort_array(F.collect_list("edge")).alias("edges"))
+    paths = grouped.select(*keys, "word", viterbi(F.col("edges"), F.length("word")).alias("path"))
+    return paths.select(*keys, "word", spelled(F.col("word"), F.col("path"), byte_ids).alias("ids"))
 
 
-def frequent_words(rows: DataFrame, table: list[tuple[str, int, int]], byte_ids: list[int]) -> DataFrame:
-    """(word, ready) of the FREQUENT commonest words of one document in SAMPLED, stored: at most 2^18 rows."""
-    some = rows.where(F.pmod(F.xxhash64("text"), F.lit(SAMPLED)) == 0)
-    counts = some.select(F.explode(words_of(F.concat(F.lit(" "), "text"))).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
+def word_rows(pattern: str, ready=None):
+    """Task function: (chunk, text) -> (chunk, word): the distinct words of the texts at hand, but the ready and the long ones."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cut, known = re.compile(pattern).findall, ready.value[0].keys() if ready else ()
+        for batch in small(batches, CHUNK_BYTES // 2):
+            words: dict[int, set[str]] = {}
+            for chunk, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                if text.is_valid:
+                    words.setdefault(chunk, set()).update(cut(" " + text.as_py()))
+            chunks, found = [], []
+            for chunk, own in words.items():
+                new = [w for w in (own - known if known else own) if len(w) <= WORD]
+                chunks += [chunk] * len(new)
+                found += new
+            yield pa.RecordBatch.from_arrays([pa.array(chunks, pa.int32()), pa.array(found, pa.string())], ["chunk", "word"])
+    return run
+
+
+def frequent_words(rows: DataFrame, pattern: str, table: list[tuple[str, int, int]], byte_ids: list[int]) -> tuple[dict[str, int], np.ndarray, np.ndarray]:
+    """({word: place}, ids of all places, where each place's begin) of the FREQUENT commonest words of one document in SAMPLED: at
+    most 2^18 words of at most ``WORD`` characters."""
+    some = rows.where(F.pmod(F.xxhash64("text"), F.lit(SAMPLED)) == 0).select(F.pmod(F.xxhash64("text"), F.lit(1 << 30)).cast("int").alias("chunk"), "text")
+    # A word counts once a text, so texts that repeat a rare word don't make it frequent.
+    counts = some.mapInArrow(word_rows(pattern), "chunk int, word string").groupBy("word").agg(F.count("*").alias("n"))
     common = counts.where("n > 1").orderBy(F.desc("n"), "word").limit(FREQUENT).select("word")
     spread = written(common, "frequent_words").repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), "word")
-    return written(best_paths(spread, [], table, byte_ids).withColumnRenamed("ids", "ready"), "frequent_paths")
+    found = written(best_paths(spread, [], table, byte_ids), "frequent_paths").toArrow().combine_chunks()
+    ids = found["ids"].combine_chunks() if found.num_rows else pa.array([], pa.list_(pa.int32()))
+    return {w: k for k, w in enumerate(found["word"].to_pylist())}, ids.values.to_numpy(), ids.offsets.to_numpy().astype(np.int64)
 
 
 def viterbi(edges: Column, size: Column) -> Column:
@@ -160,34 +221,49 @@ def encode(docs: DataFrame, model: str = MODEL, id_col: str = "doc_id", text_col
     """One row per row of ``docs``: id and pieces (array<int>), the ids of the text's pieces.
 
     A null text has null pieces, an empty one none. Null and repeated ids are passed through, other columns
-    ignored. Texts are encoded whole; a word of over ``WORD`` characters is cut into several first.
+    ignored. Texts are encoded whole, however long their words.
     """
     table, byte_ids, _ = load_pieces(model)
+    pattern, context = cuts(table), docs.sparkSession.sparkContext
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     chunks = max(1, -(-total // CHUNK_BYTES))
+    ready = context.broadcast(frequent_words(rows, pattern, table, byte_ids))
+    lattice = context.broadcast(({p: (k, c) for p, k, c in table}, max(len(p) for p, _, _ in table), max(c for _, _, c in table) + 1, byte_ids))
     dealt = rows.withColumn("chunk", F.pmod(F.xxhash64("id", "text"), F.lit(chunks)).cast("int")).repartition(chunks, "chunk")
-    # The id is named in the text that is cut (a part of it of no length), so that this branch needs the same
-    # columns of ``dealt`` as the other and one shuffle serves both.
-    named = F.concat(F.lit(" "), "text", F.coalesce(F.substring(F.col("id").cast("string"), 1, 0), F.lit("")))
-    words = dealt.select("chunk", F.explode(words_of(named)).alias("word")).distinct()
-    words = words.join(F.broadcast(frequent_words(rows, table, byte_ids)), "word", "left")
-    known = best_paths(words, ["chunk"], table, byte_ids)
+    words = dealt.select("chunk", "text", "id").mapInArrow(word_rows(pattern, ready), "chunk int, word string")
+    known = best_paths(words.repartition(chunks, "chunk").distinct(), ["chunk"], table, byte_ids)
 
     def put_together(left: pa.Table, right: pa.Table) -> pa.Table:
-        place = {w: k for k, w in enumerate(right.column("word").to_pylist())}
+        place, ready_ids, ready_off = ready.value
+        place = place | {w: k for k, w in enumerate(right.column("word").to_pylist(), len(place))}
         ids = right.column("ids").combine_chunks()
-        off, flat = ids.offsets.to_numpy().astype(np.int64), ids.values.to_numpy()
-        size = np.diff(off)
-        cut, out, ends, null = re.compile(WORDS).findall, [], [0], []
+        own_off = ids.offsets.to_numpy().astype(np.int64)
+        off = np.concatenate([ready_off[:-1], own_off[:-1] + len(ready_ids)])
+        size = np.concatenate([np.diff(ready_off), np.diff(own_off)])
+        flat = np.concatenate([ready_ids, ids.values.to_numpy()])
+        long_words: dict[str, np.ndarray] = {}
+
+        def joined(at: list[int]) -> np.ndarray:
+            at = np.array(at, np.int64)
+            n = size[at]
+            return flat[np.arange(int(n.sum())) + np.repeat(off[at] - (np.cumsum(n) - n), n)]
+
+        cut, out, ends, null, done = re.compile(pattern).findall, [], [0], [], 0
         for text in left.column("text"):
             text = text.as_py()
             null.append(text is None)
-            at = np.array([place[w] for w in cut(" " + text)] if text else [], np.int64)
-            n = size[at]
-            own = flat[np.arange(int(n.sum())) + np.repeat(off[at] - (np.cumsum(n) - n), n)]
-            out.append(own)
-            ends.append(ends[-1] + len(own))
+            words, first = cut(" " + text) if text else [], len(out)
+            at = list(map(place.get, words))
+            begin = 0
+            for k in [k for k, x in enumerate(at) if x is None] if None in at else ():
+                if words[k] not in long_words:
+                    long_words[words[k]] = np.array(best_path(words[k], *lattice.value), np.int32)
+                out += [joined(at[begin:k]), long_words[words[k]]]
+                begin = k + 1
+            out.append(joined(at[begin:]))
+            done += sum(map(len, out[first:]))
+            ends.append(done)
         pieces = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([np.zeros(0, np.int32), *out]), pa.int32()),
                                           mask=pa.array(null, pa.bool_()) if null else None)
         return pa.table({"id": left.column("id").combine_chunks() if left.num_rows else pa.array([], pa.int64()), "pieces": pieces})

@@ -220,6 +220,43 @@ def test_lattice_is_the_best_path(spark):
         assert spent + unknown * len(missing) >= best[-1] - unknown and (pending or spent == best[-1])
 
 
+def test_whole_texts_take_the_cheapest_path(spark):
+    """Against a plain Viterbi over whole texts, without any words."""
+    model, byte_ids, _ = pieces.load_pieces()
+    table = {p: (k, c) for p, k, c in model}
+    longest, unknown = max(map(len, table)), max(c for _, _, c in model) + 1
+    texts = ["He said “yes.” Then left.", "He went home (†1921).", "        if x:  # indented\n\t\treturn  y", "a_very_long_identifier_name_of_code_" * 20, "x" * 700, "...---...!!!!????", "«oui», »non«,”",
+             "1234567890 12.5%", "Привет, мир! 数据 获取 😀😀", " lead and trail  ", "https://example.org/a?b=c&d=%20e", "A▁B", "e\u0301e\u0301", "tab\tnew\r\nline", "", " "]
+    texts += [r["text"] for r in table_rows(spark, "documents", 40) if r["text"]]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = {r["doc_id"]: r["pieces"] for r in pieces.encode(docs).collect()}
+    for k, text in enumerate(texts):
+        assert got[k] == (pieces.best_path(" " + text, table, longest, unknown, byte_ids) if text else []), text[:80]
+
+
+def table_rows(spark, name, n):
+    return table(spark, SF_SMALL, name).orderBy("doc_id").limit(n).collect()
+
+
+def test_cuts_lie_where_no_piece_can(spark):
+    import re
+    model, _, _ = pieces.load_pieces()
+    pattern = re.compile(pieces.cuts(model))
+    for surface, _, _ in model:
+        assert pattern.fullmatch(surface), surface
+    assert pieces.cuts([("a b", 1, 1)]) == r"[\s\S]+"
+
+
+def test_a_loop_finds_what_the_lattice_finds(spark):
+    model, byte_ids, _ = pieces.load_pieces()
+    table_ = {p: (k, c) for p, k, c in model}
+    longest, unknown = max(map(len, table_)), max(c for _, _, c in model) + 1
+    draw = random.Random(2)
+    own = sorted({"".join(draw.choice("abcdeinorstu  ,.é数☃") for _ in range(draw.randrange(1, 33))) for _ in range(300)})
+    got = {r["word"]: r["ids"] for r in pieces.best_paths(spark.createDataFrame([(w,) for w in own], "word string"), [], model, byte_ids).collect()}
+    assert got == {w: pieces.best_path(w, table_, longest, unknown, byte_ids) for w in own}
+
+
 def test_disguised_words_are_restored():
     words = "idiot stupid loser scum moron worthless trash pathetic disgusting clown river stone market".split()
     a, b, c = toxicity.trigrams("\n".join(words * 50))
