@@ -178,6 +178,19 @@ def test_pipeline_stages(spark, docs, none, tmp_dir, benchmark):
             assert count == 0
 
 
+def test_stages_keep_clashing_columns(spark, tmp_dir, benchmark):
+    benchmark.select("item_id", "text").write.parquet(os.path.join(tmp_dir, "benchmark.parquet"))
+    names = ["score", "lang_pred", "languages", "held_out", "n_lines", "n_removed", "keep", "root", "contaminated", "fingerprint", "component_id", "n.dot"]
+    rows = [(k, words(50 + k, 40), "en", "s", 1, *[f"{n}{k}" for n in names]) for k in range(6)]
+    docs = spark.createDataFrame(rows, ", ".join(["doc_id long", "text string", "lang string", "source string", "n_chars long", *[f"`{n}` string" for n in names]]))
+    now = docs
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        now = corpus_pipeline.written(stage(spark, now, tmp_dir), name)
+        assert now.columns == docs.columns
+    got = {r["doc_id"]: r for r in now.collect()}
+    assert len(got) >= 4 and all(got[k][n] == f"{n}{k}" for k in got for n in names)
+
+
 def test_every_operator_is_registered():
     numbers = sorted(int(name[2:].split("_")[0]) for name in queries.QUERIES)
-    assert numbers == list(range(1, 11)) and set(queries.ORACLE_SQL) <= set(queries.QUERIES)
+    assert numbers == list(range(1, 14)) and set(queries.ORACLE_SQL) <= set(queries.QUERIES)
