@@ -3,9 +3,9 @@
 Texts are cut into words only where no piece of the table can cross: characters that stand side by side in some piece form
 classes, and a word is a run of one class with the spaces before it (no piece has a space after another character; a table
 that has makes whole texts of one class). The best path of a text is then that of its words. For the distinct words
-of each chunk of documents, substrings of bounded length are exploded
+of all chunks of documents, substrings of bounded length are exploded
 and equi-joined to the piece table; the matching edges are grouped by word, and a higher-order ``aggregate`` folds them
-into the best path (Viterbi). A cogroup by chunk then puts the words' pieces together, document by document. Words that
+into the best path (Viterbi), each word once for all chunks. A cogroup by chunk then puts the words' pieces together, document by document. Words that
 are frequent (at most ``FREQUENT``) are encoded once for all chunks, by the same steps, and words of over ``WORD`` characters, which
 are few, by the same lattice in a loop where the texts are put together: a fold over arrays would copy them for every edge.
 
@@ -31,7 +31,7 @@ from .common import small, written
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 WORD = 32  # characters of a word with its spaces that goes through the joined lattice
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 6 << 20
 FREQUENT = 1 << 18
 # Frequent words are looked for in one document of so many, by a hash of its text; the choice has no bearing on results.
 SAMPLED = 16
@@ -120,8 +120,9 @@ def best_path(word: str, table: dict[str, tuple[int, int]], longest: int, unknow
     return [k for part in reversed(path) for k in part]
 
 
-def best_paths(words: DataFrame, keys: list[str], table: list[tuple[str, int, int]], byte_ids: list[int]) -> DataFrame:
-    """``words`` (keys and word, distinct, of 1 to ``WORD`` characters) as keys, word and ids (array<int>): the cheapest path.
+def best_paths(words: DataFrame, keys: list[str], table: list[tuple[str, int, int]], byte_ids: list[int], carried: list[str] | None = None) -> DataFrame:
+    """``words`` (keys and word, distinct, of 1 to ``WORD`` characters) as keys, word, the ``carried`` columns and ids (array<int>): the
+    cheapest path.
 
     Of equal costs the path with the longest last piece wins. A word's rows stay in the partition of its keys:
     the explode, the broadcast join and the grouping add no shuffle.
@@ -129,9 +130,10 @@ def best_paths(words: DataFrame, keys: list[str], table: list[tuple[str, int, in
     pieces = words.sparkSession.createDataFrame(table, "piece string, id int, cost int")
     longest = max(len(p) for p, _, _ in table)
     unknown = max(c for _, _, c in table) + 1
+    carried = carried or []
     found = (words.withColumn("n", F.monotonically_increasing_id())
-             .select("n", *keys, "word", F.explode(F.sequence(F.lit(0), F.length("word") - 1)).alias("start"))
-             .select("n", *keys, "word", "start", F.explode(F.sequence(
+             .select("n", *keys, "word", *carried, F.explode(F.sequence(F.lit(0), F.length("word") - 1)).alias("start"))
+             .select("n", *keys, "word", *[F.when(F.col("start") == 0, F.col(c)).alias(c) for c in carried], "start", F.explode(F.sequence(
                  F.col("start") + 1, F.least(F.col("start") + longest, F.length("word")))).alias("end"))
              .withColumn("piece", F.col("word").substr(F.col("start") + 1, F.col("end") - F.col("start")))
              .join(F.broadcast(pieces), "piece", "left"))
@@ -142,10 +144,10 @@ def best_paths(words: DataFrame, keys: list[str], table: list[tuple[str, int, in
     edge = (F.shiftleft(F.col("end").cast("long"), COST_BITS + LOW)
             + F.shiftleft(F.coalesce("cost", F.lit(unknown)).cast("long"), LOW)
             + F.shiftleft(F.col("start").cast("long"), ID_BITS) + F.coalesce("id", F.lit(NO_PIECE)).cast("long"))
-    rows = found.select("n", *keys, F.when(head, F.col("word")).alias("word"), edge.alias("edge"))
-    grouped = rows.groupBy("n", *keys).agg(F.max("word").alias("word"), F.sort_array(F.collect_list("edge")).alias("edges"))
-    paths = grouped.select(*keys, "word", viterbi(F.col("edges"), F.length("word")).alias("path"))
-    return paths.select(*keys, "word", spelled(F.col("word"), F.col("path"), byte_ids).alias("ids"))
+    rows = found.select("n", *keys, *[F.when(head, F.col(c)).alias(c) for c in ["word", *carried]], edge.alias("edge"))
+    grouped = rows.groupBy("n", *keys).agg(*[F.max(c).alias(c) for c in ["word", *carried]], F.sort_array(F.collect_list("edge")).alias("edges"))
+    paths = grouped.select(*keys, "word", *carried, viterbi(F.col("edges"), F.length("word")).alias("path"))
+    return paths.select(*keys, "word", *carried, spelled(F.col("word"), F.col("path"), byte_ids).alias("ids"))
 
 
 def word_rows(pattern: str, ready=None):
@@ -232,7 +234,9 @@ def encode(docs: DataFrame, model: str = MODEL, id_col: str = "doc_id", text_col
     lattice = context.broadcast(({p: (k, c) for p, k, c in table}, max(len(p) for p, _, _ in table), max(c for _, _, c in table) + 1, byte_ids))
     dealt = rows.withColumn("chunk", F.pmod(F.xxhash64("id", "text"), F.lit(chunks)).cast("int")).repartition(chunks, "chunk")
     words = dealt.select("chunk", "text", "id").mapInArrow(word_rows(pattern, ready), "chunk int, word string")
-    known = best_paths(words.repartition(chunks, "chunk").distinct(), ["chunk"], table, byte_ids)
+    # A word is encoded once, whatever chunks it is in; one shuffle, by its hash, serves the grouping and the lattice.
+    words = words.withColumn("key", F.xxhash64("word")).repartition(F.col("key")).groupBy("key", "word").agg(F.collect_set("chunk").alias("chunks"))
+    known = best_paths(words, ["key"], table, byte_ids, ["chunks"]).select(F.explode("chunks").alias("chunk"), "word", "ids")
 
     def put_together(left: pa.Table, right: pa.Table) -> pa.Table:
         place, ready_ids, ready_off = ready.value
