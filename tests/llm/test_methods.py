@@ -103,6 +103,18 @@ def edited(draw, line, n):
     return "".join(own)
 
 
+def test_gram_counts_never_rule_out_like_lines():
+    draw = random.Random(9)
+    for n in list(range(1, 60)) + [300, 900]:
+        a = "".join(draw.choice("abcdefgh  é") for _ in range(n))
+        b = edited(draw, a, draw.randrange(0, n // 8 + 2))
+        e = lines.edits(a, b, 10 ** 6) if a != b else 0
+        for width, bins in ((2, 128), (3, 1024)):
+            counts = lines.gram_counts([a, b, ""], width, bins)
+            assert lines.apart(counts, np.array([1]), 0)[0] <= 2 * width * e
+            assert counts[0].sum() == max(0, n - width + 1) and not counts[2].any()
+
+
 def test_like_lines_are_found_by_edit_similarity_alone(spark):
     draw = random.Random(6)
     word = lambda: "".join(draw.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(draw.randrange(2, 9)))
