@@ -205,9 +205,11 @@ def merge_table(spark: SparkSession, path: str, source: DataFrame, keys: list[st
     rows met a target row is observed on the write itself, as bitmaps of their numbers, and the rest are added. A larger
     source and the touched buckets are shuffled once, by the hash that makes the buckets.
     """
-    source = source.persist()
+    state = TableState.of(spark, path)
+    schema_of = spark.read.parquet(state.places()[0]) if state.version else source
+    # The same key must have the same hash, so it takes the table's type first.
+    source = source.withColumns({k: F.col(k).cast(dict(schema_of.dtypes)[k]) for k in keys}).persist()
     try:
-        state = TableState.of(spark, path)
         rows, most, size, touched = _source_stats(source, keys, state.buckets or buckets or LEAST_BUCKETS)
         if rows == 0:
             return _version_path(path, state.version) if state.version else ""
@@ -223,7 +225,6 @@ def merge_table(spark: SparkSession, path: str, source: DataFrame, keys: list[st
             buckets, merged, unmet = wanted, None, new
         else:
             buckets = state.buckets
-            schema_of = spark.read.parquet(state.places()[0])
             new = _as_inserts(source, schema_of, insert_values)
             places = state.places([b for b in touched if b != UNKEYED])
             merged, unmet = None, new

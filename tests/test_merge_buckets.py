@@ -82,3 +82,12 @@ def test_only_rows_without_a_key(spark, tmp_dir):
     assert [tuple(r) for r in sk.read_table(spark, path).collect()] == [(None, "a")] * 2
     sk.merge_table(spark, path, spark.createDataFrame([(1, "b"), (None, "c")], "k long, v string"), ["k"])
     assert sorted(map(str, (tuple(r) for r in sk.read_table(spark, path).collect()))) == ["(1, 'b')", "(None, 'a')", "(None, 'a')", "(None, 'c')"]
+
+
+@pytest.mark.parametrize("broadcast_bytes", [sk.BROADCAST_BYTES, 0])
+def test_keys_of_another_type_find_their_buckets(spark, tmp_dir, broadcast_bytes):
+    path = os.path.join(tmp_dir, "t")
+    sk.merge_table(spark, path, spark.range(100).selectExpr("id AS k", "'v' AS v"), ["k"], buckets=16)
+    sk.merge_table(spark, path, spark.range(90, 110).selectExpr("CAST(id AS INT) AS k", "'w' AS v"), ["k"], broadcast_bytes=broadcast_bytes)
+    table = sk.read_table(spark, path)
+    assert dict(table.dtypes)["k"] == "bigint" and sorted(r.k for r in table.collect()) == list(range(110)) and table.where("v = 'w'").count() == 20
