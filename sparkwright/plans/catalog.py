@@ -166,6 +166,17 @@ def q_upsert_accounts(spark, sf_dir):
     return sk.read_table(spark, path)
 
 
+def q_skip_empty_load(spark, sf_dir):
+    """A run whose load has no applications leaves the accounts as they are, and no new version."""
+    path = scratch_path(spark, "credit_accounts")
+    no_stamp = {"last_updated": F.lit(None).cast("timestamp_ntz")}
+    today = _portfolio(spark, sf_dir).select(*ap.PORTFOLIO_COLUMNS)
+    sk.merge_table(spark, path, today, ["application_id"], insert_values=no_stamp)
+    sk.merge_table(spark, path, today.filter(F.col("annual_income") < 0), ["application_id"], update_columns=["credit_limit"],
+                   set_on_match={"last_updated": as_of()}, insert_values=no_stamp)
+    return sk.read_table(spark, path).withColumn("version", F.lit(sk.current_version(spark, path)))
+
+
 # --------------------------------------------------------------------------- clickstream sinks
 
 def q_merge_customer_metrics(spark, sf_dir):
@@ -499,6 +510,7 @@ QUERIES: dict[str, Query] = {
     "approve_with_config": q_approve_with_config,
     "combine_portfolios": q_combine_portfolios,
     "upsert_accounts": q_upsert_accounts,
+    "skip_empty_load": q_skip_empty_load,
     "staged_clickstream": q_staged_clickstream,
     "staged_clickstream_b": q_staged_clickstream_b,
     "customer_metrics": q_customer_metrics,
