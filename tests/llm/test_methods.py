@@ -210,6 +210,41 @@ def test_passages_that_earlier_documents_quote_in_part():
     assert len(joined) >= 94
 
 
+def test_no_copied_passage_is_lost_to_representatives_that_lack_it():
+    """Two documents share 50 or 60 words of which 30 earlier ones hold 40 or 44 (too few for a passage), some of them from
+    the document's first word on."""
+    draw = random.Random(12)
+    text = lambda n: [f"w{draw.randrange(10 ** 6)}" for _ in range(n)]
+    for size, part, around in ((50, 40, 20), (50, 44, 20), (60, 40, 0)):
+        rows = []
+        for _ in range(30):
+            whole = text(size)
+            starts = [draw.randrange(size - part + 1) for _ in range(30)]
+            rows += [" ".join(text(around) + whole[at:at + part] + text(20)) for at in starts]
+            rows += [" ".join(text(around) + whole + text(20)) for _ in range(2)]
+        batch = pa.RecordBatch.from_arrays([pa.array(range(len(rows))), pa.array(rows)], ["id", "text"])
+        windows = pa.Table.from_batches(list(passages.window_rows(passages.HASHES, 46)(iter([batch]))))
+        dealt = windows.sort_by([("key", "ascending"), ("doc", "ascending")]).combine_chunks().to_batches()
+        places = {}
+        for x in pa.Table.from_batches(list(passages.join_windows(iter(dealt)))).to_pylist():
+            places.setdefault((x["doc"], x["a_doc"]), []).append((x["place"], x["a_place"]))
+        tokens = passages.tokens(pa.array(rows))
+        for k in range(31, len(rows), 32):
+            assert passages.verified(tokens[k - 1], tokens[k], places.get((k, k - 1), []), 46, 0.8), (size, part, around, k)
+
+
+def test_an_equal_run_that_makes_a_passage_is_one_with_any_representative():
+    """A run of ``sure`` tokens about which one document goes on before and the other behind is verified."""
+    for least, similarity in ((46, 0.8), (26, 0.8), (46, 0.9)):
+        enough = passages.sure(least, similarity)
+        assert all(any(x >= l and least - 1 - x >= r for l, r in passages.run_sides(least, similarity)) for x in range(least))  # noqa: E741
+        draw = np.random.default_rng(7)
+        run, more = draw.integers(0, 1 << 62, enough).astype(np.uint64), [draw.integers(0, 1 << 62, 9).astype(np.uint64) for _ in range(2)]
+        a, b = np.concatenate([more[0], run]), np.concatenate([run, more[1]])
+        # The first's window begins before the run, the second's ends behind it.
+        assert passages.verified(a, b, [(0 << 32 | least - 1, 9 << 32 | (least - enough) << 16 | enough - 1)], least, similarity)
+
+
 def test_lattice_is_the_best_path(spark):
     model, byte_ids, _ = pieces.load_pieces()
     cost = {p: (c, k) for p, k, c in model}
