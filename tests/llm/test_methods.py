@@ -145,6 +145,36 @@ def test_candidates_of_like_lines():
     assert len(found) >= 0.98 * len(pairs) > 300
 
 
+def test_marks_tell_lines_of_one_vocabulary_apart():
+    draw = random.Random(12)
+    words = ["".join(draw.choice("the on an ti re ing sh ou er ble ha nd st in en".split()) for _ in range(draw.randrange(1, 5))) for _ in range(3000)]
+    texts = list(dict.fromkeys(" ".join(draw.choice(words) for _ in range(draw.randrange(10, 120))) for _ in range(400)))
+    row, hashes, marks = lines.gram_rows(texts, range(lines.GRAMS), 0.9)
+    sets, nodes = lines.candidate_sets(hashes, row.astype(np.int64), marks, 0.9)
+    assert len(set(nodes.tolist())) < 40  # of 400, none like another
+    changed = [edited(draw, t, len(t) // 12) for t in texts[:200]]
+    row, hashes, marks = lines.gram_rows([x for p in zip(texts, changed, strict=False) for x in p], range(lines.GRAMS), 0.9)
+    sets, nodes = lines.candidate_sets(hashes, row.astype(np.int64), marks, 0.9)
+    own = {}
+    for s, k in zip(sets.tolist(), nodes.tolist(), strict=True):
+        own.setdefault(s, set()).add(k)
+    found = {k // 2 for some in own.values() for k in some if k ^ 1 in some}
+    like = [k for k in range(200) if lines.similar(texts[k], changed[k], 0.9)]
+    assert len(like) > 150 and len(found & set(like)) >= 0.98 * len(like)
+
+
+def test_line_groups_beyond_one_comparison(spark, monkeypatch):
+    draw = random.Random(13)
+    base = " ".join(f"word{draw.randrange(10 ** 6)}" for _ in range(30))
+    texts = [edited(draw, base, draw.randrange(1, 8)) for _ in range(30)] + [base, base.upper(), "short", "shorter line"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    whole = sorted(lines.brute_force(list(enumerate(texts))))
+    for few, pairs, rows in ((256, 7, 50), (3, 30_000, 60_000)):
+        for name, value in (("FEW", few), ("PAIRS", pairs), ("ROWS", rows)):
+            monkeypatch.setattr(lines, name, value)
+        assert sorted(tuple(r) for r in lines.dedup_lines(docs).collect()) == whole
+
+
 def test_compact_windows_hold_each_subsequence_once():
     draw = np.random.default_rng(1)
     values = np.concatenate([draw.integers(0, 1 << 62, 300), np.full(200, 7 << 40), draw.integers(0, 5, 150) << 40]).astype(np.uint64)
