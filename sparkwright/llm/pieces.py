@@ -4,10 +4,10 @@ Texts are cut into words only where no piece of the table can cross: characters
 classes, and a word is a run of one class with the spaces before it (no piece has a space after another character; a table
 that has makes whole texts of one class). The best path of a text is then that of its words. For the distinct words
 of all chunks of documents, substrings of bounded length are exploded
-and equi-joined to the piece table; the matching edges are grouped by word, and a higher-order ``aggregate`` folds them
-into the best path (Viterbi), each word once for all chunks. A cogroup by chunk then puts the words' pieces together, document by document. Words that
+and equi-joined to the piece table; the matching edges of a word, which stay together, are folded
+into the best path (Viterbi), many words at once and each once for all chunks. A cogroup by chunk then puts the words' pieces together, document by document. Words that
 are frequent (at most ``FREQUENT``) are encoded once for all chunks, by the same steps, and words of over ``WORD`` characters, which
-are few, by the same lattice in a loop where the texts are put together: a fold over arrays would copy them for every edge.
+are few, by the same lattice in a loop where the texts are put together: packed edges have no room for them.
 
 A path's cost is the sum of its pieces' costs (distances of their scores from the best score). Characters that no piece
 covers cost more than any piece and become byte pieces, so decoding gives back every text exactly. Literal
@@ -22,7 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -39,6 +39,7 @@ SAMPLED = 16
 # end, with the cost of the whole way.
 ID_BITS, COST_BITS, AT_BITS = 20, 31, 6
 LOW = AT_BITS + ID_BITS
+EDGES = 60_000  # that are folded at once, and the rest of a batch
 NO_PIECE = (1 << ID_BITS) - 1
 
 
@@ -124,30 +125,100 @@ def best_paths(words: DataFrame, keys: list[str], table: list[tuple[str, int, in
     """``words`` (keys and word, distinct, of 1 to ``WORD`` characters) as keys, word, the ``carried`` columns and ids (array<int>): the
     cheapest path.
 
-    Of equal costs the path with the longest last piece wins. A word's rows stay in the partition of its keys:
-    the explode, the broadcast join and the grouping add no shuffle.
+    Of equal costs the path with the longest last piece wins. A word's rows stay together, in the partition of its keys:
+    the explode, the broadcast join and the fold add no shuffle and no sort.
     """
     pieces = words.sparkSession.createDataFrame(table, "piece string, id int, cost int")
     longest = max(len(p) for p, _, _ in table)
     unknown = max(c for _, _, c in table) + 1
-    carried = carried or []
-    found = (words.withColumn("n", F.monotonically_increasing_id())
-             .select("n", *keys, "word", *carried, F.explode(F.sequence(F.lit(0), F.length("word") - 1)).alias("start"))
-             .select("n", *keys, "word", *[F.when(F.col("start") == 0, F.col(c)).alias(c) for c in carried], "start", F.explode(F.sequence(
+    own = [*keys, "word", *(carried or [])]
+    head = (F.col("start") == 0) & (F.col("end") == 1)
+    found = (words.select(*own, F.explode(F.sequence(F.lit(0), F.length("word") - 1)).alias("start"))
+             .select(*own, "start", F.explode(F.sequence(
                  F.col("start") + 1, F.least(F.col("start") + longest, F.length("word")))).alias("end"))
-             .withColumn("piece", F.col("word").substr(F.col("start") + 1, F.col("end") - F.col("start")))
+             # The first row of a word carries its columns, the others stay small.
+             .select(F.col("word").substr(F.col("start") + 1, F.col("end") - F.col("start")).alias("piece"),
+                     *[F.when(head, F.col(c)).alias(c) for c in own], "start", "end")
              .join(F.broadcast(pieces), "piece", "left"))
-    # A single character is an edge in any case, so every word has a path. The first one's row carries the word, the
-    # others stay small: a chunk's rows are sorted in memory.
+    # A single character is an edge in any case, so every word has a path.
     found = found.where(F.col("id").isNotNull() | (F.col("end") - F.col("start") == 1))
-    head = (F.col("start") == 0) & (F.col("end") == 1)
     edge = (F.shiftleft(F.col("end").cast("long"), COST_BITS + LOW)
             + F.shiftleft(F.coalesce("cost", F.lit(unknown)).cast("long"), LOW)
             + F.shiftleft(F.col("start").cast("long"), ID_BITS) + F.coalesce("id", F.lit(NO_PIECE)).cast("long"))
-    rows = found.select("n", *keys, *[F.when(head, F.col(c)).alias(c) for c in ["word", *carried]], edge.alias("edge"))
-    grouped = rows.groupBy("n", *keys).agg(*[F.max(c).alias(c) for c in ["word", *carried]], F.sort_array(F.collect_list("edge")).alias("edges"))
-    paths = grouped.select(*keys, "word", *carried, viterbi(F.col("edges"), F.length("word")).alias("path"))
-    return paths.select(*keys, "word", *carried, spelled(F.col("word"), F.col("path"), byte_ids).alias("ids"))
+    schema = T.StructType([*[words.schema[c] for c in own], T.StructField("ids", T.ArrayType(T.IntegerType()))])
+    return found.select(*own, edge.alias("edge")).mapInArrow(folded(byte_ids), schema)
+
+
+def folded(byte_ids: list[int]):
+    """Task function: the edges of words, a word's rows one after another and the first with the word's columns -> these
+    columns and ids, many words at once."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        rows = 0
+
+        def paths() -> pa.RecordBatch:
+            whole = pa.Table.from_batches(held).combine_chunks()
+            first = whole.column("word").is_valid()
+            heads = whole.filter(first).drop_columns(["edge"]).combine_chunks()
+            words = heads.column("word").to_pylist()
+            way, of, starts = cheapest(words, whole.column("edge").to_numpy(), np.cumsum(first.to_numpy()) - 1)
+            ids = pa.ListArray.from_arrays(*[pa.array(x, pa.int32()) for x in spelled(words, way, of, starts, byte_ids)])
+            columns = [c.chunk(0) for c in heads.columns]
+            return pa.RecordBatch.from_arrays([*columns, ids], [*heads.column_names, "ids"])
+
+        for batch in batches:
+            if rows >= EDGES:  # up to the last word that begins in this batch
+                begun = np.flatnonzero(batch.column(batch.schema.names.index("word")).is_valid().to_numpy(zero_copy_only=False))
+                if len(begun):
+                    held.append(batch.slice(0, begun[-1]))
+                    yield paths()
+                    held, rows, batch = [], 0, batch.slice(begun[-1])
+            held.append(batch)
+            rows += batch.num_rows
+        if rows:
+            yield paths()
+
+    return run
+
+
+def cheapest(words: list[str], edges: np.ndarray, of: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(id, word, start) of the cheapest paths' pieces, in order, from packed edges and the words they are of.
+
+    For each place the least way to it is kept: the cheapest, and of these the one whose last edge starts first.
+    """
+    size = np.array([len(w) for w in words], np.int64)
+    ways = np.full((len(words), WORD + 1), np.iinfo(np.int64).max, np.int64)
+    ways[:, 0] = 0
+    end, start = edges >> (COST_BITS + LOW), edges >> ID_BITS & 63
+    order = np.argsort(end, kind="stable")
+    ends = np.searchsorted(end[order], np.arange(WORD + 2))
+    for k in range(1, WORD + 1):
+        at = order[ends[k]:ends[k + 1]]
+        new = (ways[of[at], start[at]] & -(1 << LOW)) + (edges[at] & ((1 << COST_BITS + LOW) - 1))
+        to = np.full(len(words), np.iinfo(np.int64).max, np.int64)
+        np.minimum.at(to, of[at], new)
+        ways[:, k] = to
+    found, left, at = [], np.arange(len(words)), size.copy()
+    while len(left):
+        way = ways[left, at]
+        at = way >> ID_BITS & 63
+        found.append((way & NO_PIECE, left, at))
+        left, at = left[at > 0], at[at > 0]
+    ids, own, starts = (np.concatenate(x) for x in zip(*found, strict=True))
+    order = np.lexsort((starts, own))
+    return ids[order], own[order], starts[order]
+
+
+def spelled(words: list[str], ids: np.ndarray, of: np.ndarray, starts: np.ndarray, byte_ids: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """(where each word's ids begin, ids): a character without a piece becomes the byte pieces of its UTF-8 form."""
+    odd = np.flatnonzero(ids == NO_PIECE)
+    in_bytes = [[byte_ids[b] for b in words[of[k]][starts[k]].encode()] for k in odd.tolist()]
+    n = np.ones(len(ids), np.int64)
+    n[odd] = list(map(len, in_bytes))
+    flat = np.repeat(ids, n)
+    flat[np.repeat(ids == NO_PIECE, n)] = [k for own in in_bytes for k in own]
+    return np.append(0, np.cumsum(np.bincount(of, n, minlength=len(words)).astype(np.int64))), flat
 
 
 def word_rows(pattern: str, ready=None):
@@ -181,44 +252,6 @@ def frequent_words(rows: DataFrame, pattern: str, table: list[tuple[str, int, in
     return {w: k for k, w in enumerate(found["word"].to_pylist())}, ids.values.to_numpy(), ids.offsets.to_numpy().astype(np.int64)
 
 
-def viterbi(edges: Column, size: Column) -> Column:
-    """The ways of the cheapest path, in order, of packed edges sorted by end.
-
-    The fold keeps, for each place, the least way to it: the cheapest, and of these the one whose last edge starts first.
-    """
-
-    def step(at: Column, e: Column) -> Column:
-        end = F.shiftright(e, COST_BITS + LOW).cast("int")
-        start = F.shiftright(e, ID_BITS).bitwiseAND(63).cast("int")
-        way = F.get(at, start).bitwiseAND(-(1 << LOW)) + e.bitwiseAND((1 << COST_BITS + LOW) - 1)
-        return (F.when(F.size(at) == end, F.concat(at, F.array(way)))
-                .otherwise(F.concat(F.slice(at, 1, end), F.array(F.least(F.get(at, end), way)))))
-
-    ways = F.aggregate(edges, F.array(F.lit(0).cast("long")), step)
-    back = F.aggregate(
-        F.sequence(size, F.lit(1), F.lit(-1)),
-        F.struct(size.alias("at"), F.array().cast("array<long>").alias("path"), ways.alias("ways")),
-        lambda s, k: F.when(s["at"] != k, s).otherwise(F.struct(
-            F.shiftright(F.get(s["ways"], k), ID_BITS).bitwiseAND(63).cast("int").alias("at"),
-            F.concat(F.array(F.get(s["ways"], k)), s["path"]).alias("path"), s["ways"].alias("ways"))))
-    return back["path"]
-
-
-def spelled(word: Column, path: Column, byte_ids: list[int]) -> Column:
-    """The ids of a path; a character without a piece becomes the byte pieces of its UTF-8 form."""
-    own = F.array(*[F.lit(k) for k in byte_ids])
-    id_ = lambda w: w.bitwiseAND(NO_PIECE).cast("int")
-
-    def in_bytes(w: Column) -> Column:
-        code = F.hex(F.encode(word.substr(F.shiftright(w, ID_BITS).bitwiseAND(63).cast("int") + 1, F.lit(1)), "UTF-8"))
-        return F.transform(F.sequence(F.lit(0), F.shiftright(F.length(code), 1) - 1),
-                           lambda b: F.get(own, F.conv(code.substr(b * 2 + 1, F.lit(2)), 16, 10).cast("int")))
-
-    plain = F.transform(path, id_)
-    return F.when(~F.array_contains(plain, NO_PIECE), plain).otherwise(
-        F.flatten(F.transform(path, lambda w: F.when(id_(w) == NO_PIECE, in_bytes(w)).otherwise(F.array(id_(w))))))
-
-
 def encode(docs: DataFrame, model: str = MODEL, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: id and pieces (array<int>), the ids of the text's pieces.
 

@@ -376,3 +376,24 @@ def test_attention_weights_sum_to_one(spark):
     found = quality.quality(table(spark, SF_SMALL, "documents"), table(spark, SF_SMALL, "labels"))
     sums = found.select(F.aggregate("attention", F.lit(0.0), lambda t, a: t + a).alias("s")).collect()
     assert all(abs(r["s"] - 1) < 1e-4 for r in sums)
+
+
+def test_edges_are_folded_across_blocks(monkeypatch):
+    model, byte_ids, _ = pieces.load_pieces()
+    table_, longest, unknown = {p: (k, c) for p, k, c in model}, max(len(p) for p, _, _ in model), max(c for _, _, c in model) + 1
+    own = [" the", "a", " international", "naïve", "数据获取", "😀😀x", " " * 9, "x" * pieces.WORD, "qzxjv"]
+    rows = []
+    for k, w in enumerate(own):
+        for start in range(len(w)):
+            for end in range(start + 1, min(len(w), start + longest) + 1):
+                id_, cost = table_.get(w[start:end], (pieces.NO_PIECE, unknown))
+                if id_ != pieces.NO_PIECE or end == start + 1:
+                    head = (start, end) == (0, 1)
+                    rows.append((k if head else None, w if head else None,
+                                 end << pieces.COST_BITS + pieces.LOW | cost << pieces.LOW | start << pieces.ID_BITS | id_))
+    batch = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int32(), pa.string(), pa.int64()), strict=True)],
+                                       ["chunk", "word", "edge"])
+    for edges, step in ((10 ** 6, len(rows)), (20, 7), (1, 1), (50, 1000)):
+        monkeypatch.setattr(pieces, "EDGES", edges)
+        got = [r for b in pieces.folded(byte_ids)(iter(batch.slice(i, step) for i in range(0, len(rows), step))) for r in b.to_pylist()]
+        assert [(r["chunk"], r["word"], r["ids"]) for r in got] == [(k, w, pieces.best_path(w, table_, longest, unknown, byte_ids)) for k, w in enumerate(own)]
