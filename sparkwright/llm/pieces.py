@@ -5,7 +5,8 @@ classes, and a word is a run of one class with the spaces before it (no piece ha
 that has makes whole texts of one class). The best path of a text is then that of its words. For the distinct words
 of all chunks of documents, substrings of bounded length are exploded
 and equi-joined to the piece table; the matching edges of a word, which stay together, are folded
-into the best path (Viterbi), many words at once and each once for all chunks. A cogroup by chunk then puts the words' pieces together, document by document. Words that
+into the best path (Viterbi), many words at once and each once for all chunks. A cogroup by chunk then puts the words' pieces together, document by document.
+Texts travel to their chunk as compressed rows of many texts, words go back to it as their pieces alone, which spell them. Words that
 are frequent (at most ``FREQUENT``) are encoded once for all chunks, by the same steps, and words of over ``WORD`` characters, which
 are few, by the same lattice in a loop where the texts are put together: packed edges have no room for them.
 
@@ -22,6 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,6 +34,7 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 WORD = 32  # characters of a word with its spaces that goes through the joined lattice
 CHUNK_BYTES = 6 << 20
+PACK_BYTES = 400_000  # of texts that travel to a chunk as one row
 FREQUENT = 1 << 18
 # Frequent words are looked for in one document of so many, by a hash of its text; the choice has no bearing on results.
 SAMPLED = 16
@@ -221,24 +224,71 @@ def spelled(words: list[str], ids: np.ndarray, of: np.ndarray, starts: np.ndarra
     return np.append(0, np.cumsum(np.bincount(of, n, minlength=len(words)).astype(np.int64))), flat
 
 
+def packed(chunks: int):
+    """Task function: (id, text) -> (chunk, rows): texts that stand side by side as one compressed row, dealt to the chunks in turn."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chunk = int(TaskContext.get().partitionId() * 0.6180339887498949 % 1 * chunks)  # tasks begin at places far apart
+        for batch in small(batches, PACK_BYTES):
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+                out.write_batch(batch)
+            yield pa.RecordBatch.from_arrays([pa.array([chunk], pa.int32()), pa.array([sink.getvalue().to_pybytes()], pa.binary())], ["chunk", "rows"])
+            chunk = (chunk + 1) % chunks
+        batch = None
+        pa.default_memory_pool().release_unused()  # workers are reused, also by others
+    return run
+
+
+def unpacked(rows: pa.BinaryScalar) -> pa.Table:
+    """The id and text of one row of ``packed``."""
+    return pa.ipc.open_stream(rows.as_buffer()).read_all()
+
+
+def packed_words(pattern: str, ready=None):
+    """Task function: (chunk, rows) -> (chunk, word), as ``word_rows``."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        texts = ((chunk, unpacked(rows).column("text").combine_chunks()) for batch in batches for chunk, rows in zip(batch.column(0).to_pylist(), batch.column(1)))
+        return word_rows(pattern, ready)(pa.RecordBatch.from_arrays([pa.array(np.full(len(own), chunk, np.int32)), own], ["chunk", "text"]) for chunk, own in texts)
+    return run
+
+
 def word_rows(pattern: str, ready=None):
     """Task function: (chunk, text) -> (chunk, word): the distinct words of the texts at hand, but the ready and the long ones."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cut, known = re.compile(pattern).findall, ready.value[0].keys() if ready else ()
-        for batch in small(batches, CHUNK_BYTES // 2):
-            words: dict[int, set[str]] = {}
-            for chunk, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                if text.is_valid:
-                    words.setdefault(chunk, set()).update(cut(" " + text.as_py()))
+        words: dict[int, set[str]] = {}
+        held = 0
+
+        def distinct() -> pa.RecordBatch:
             chunks, found = [], []
             for chunk, own in words.items():
                 new = [w for w in (own - known if known else own) if len(w) <= WORD]
                 chunks += [chunk] * len(new)
                 found += new
-            yield pa.RecordBatch.from_arrays([pa.array(chunks, pa.int32()), pa.array(found, pa.string())], ["chunk", "word"])
+            return pa.RecordBatch.from_arrays([pa.array(chunks, pa.int32()), pa.array(found, pa.string())], ["chunk", "word"])
+
+        for batch in small(batches, CHUNK_BYTES // 2):
+            if held and held + batch.nbytes > CHUNK_BYTES // 2:
+                yield distinct()
+                words, held = {}, 0
+            held += batch.nbytes
+            for chunk, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                if text.is_valid:
+                    words.setdefault(chunk, set()).update(cut(" " + text.as_py()))
+        if words:
+            yield distinct()
     return run
 
 
+def spelled_words(ids: pa.ListArray, raw: pa.BinaryArray) -> list[str]:
+    """The words that lists of pieces spell; ``raw`` has the bytes of every id."""
+    if not len(ids):
+        return []
+    parts = raw.take(ids.values)
+    ends = np.frombuffer(parts.buffers()[1], np.int32)[parts.offset:][ids.offsets.to_numpy()]
+    return pa.StringArray.from_buffers(len(ids), pa.py_buffer(ends.tobytes()), parts.buffers()[2]).to_pylist()
+
+
 def frequent_words(rows: DataFrame, pattern: str, table: list[tuple[str, int, int]], byte_ids: list[int]) -> tuple[dict[str, int], np.ndarray, np.ndarray]:
     """({word: place}, ids of all places, where each place's begin) of the FREQUENT commonest words of one document in SAMPLED: at
     most 2^18 words of at most ``WORD`` characters."""
@@ -258,23 +308,24 @@ def encode(docs: DataFrame, model: str = MODEL, id_col: str = "doc_id", text_col
     A null text has null pieces, an empty one none. Null and repeated ids are passed through, other columns
     ignored. Texts are encoded whole, however long their words.
     """
-    table, byte_ids, _ = load_pieces(model)
+    table, byte_ids, raw = load_pieces(model)
     pattern, context = cuts(table), docs.sparkSession.sparkContext
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     chunks = max(1, -(-total // CHUNK_BYTES))
     ready = context.broadcast(frequent_words(rows, pattern, table, byte_ids))
     lattice = context.broadcast(({p: (k, c) for p, k, c in table}, max(len(p) for p, _, _ in table), max(c for _, _, c in table) + 1, byte_ids))
-    dealt = rows.withColumn("chunk", F.pmod(F.xxhash64("id", "text"), F.lit(chunks)).cast("int")).repartition(chunks, "chunk")
-    words = dealt.select("chunk", "text", "id").mapInArrow(word_rows(pattern, ready), "chunk int, word string")
-    # A word is encoded once, whatever chunks it is in; one shuffle, by its hash, serves the grouping and the lattice.
-    words = words.withColumn("key", F.xxhash64("word")).repartition(F.col("key")).groupBy("key", "word").agg(F.collect_set("chunk").alias("chunks"))
-    known = best_paths(words, ["key"], table, byte_ids, ["chunks"]).select(F.explode("chunks").alias("chunk"), "word", "ids")
+    surfaces = context.broadcast(raw)
+    dealt = rows.mapInArrow(packed(chunks), "chunk int, rows binary").repartition(chunks, "chunk")
+    words = dealt.mapInArrow(packed_words(pattern, ready), "chunk int, word string")
+    # A word is encoded once, whatever chunks it is in; one shuffle serves the grouping and the lattice.
+    words = words.repartition(F.col("word")).groupBy("word").agg(F.collect_set("chunk").alias("chunks"))
+    known = best_paths(words, [], table, byte_ids, ["chunks"]).select(F.explode("chunks").alias("part"), "ids")
 
     def put_together(left: pa.Table, right: pa.Table) -> pa.Table:
         place, ready_ids, ready_off = ready.value
-        place = place | {w: k for k, w in enumerate(right.column("word").to_pylist(), len(place))}
         ids = right.column("ids").combine_chunks()
+        place = place | {w: k for k, w in enumerate(spelled_words(ids, pa.array(surfaces.value, pa.binary())), len(place))}
         own_off = ids.offsets.to_numpy().astype(np.int64)
         off = np.concatenate([ready_off[:-1], own_off[:-1] + len(ready_ids)])
         size = np.concatenate([np.diff(ready_off), np.diff(own_off)])
@@ -286,9 +337,16 @@ def encode(docs: DataFrame, model: str = MODEL, id_col: str = "doc_id", text_col
             n = size[at]
             return flat[np.arange(int(n.sum())) + np.repeat(off[at] - (np.cumsum(n) - n), n)]
 
-        cut, out, ends, null, done = re.compile(pattern).findall, [], [0], [], 0
-        for text in left.column("text"):
-            text = text.as_py()
+        cut, out, ends, null, done, owners = re.compile(pattern).findall, [], [0], [], 0, [pa.array([], pa.int64())]
+
+        def texts() -> Iterator[str | None]:
+            for rows in left.column("rows"):
+                own = unpacked(rows)
+                owners.append(own.column("id").combine_chunks())
+                for text in own.column("text"):
+                    yield text.as_py()
+
+        for text in texts():
             null.append(text is None)
             words, first = cut(" " + text) if text else [], len(out)
             at = list(map(place.get, words))
@@ -303,9 +361,10 @@ def encode(docs: DataFrame, model: str = MODEL, id_col: str = "doc_id", text_col
             ends.append(done)
         pieces = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([np.zeros(0, np.int32), *out]), pa.int32()),
                                           mask=pa.array(null, pa.bool_()) if null else None)
-        return pa.table({"id": left.column("id").combine_chunks() if left.num_rows else pa.array([], pa.int64()), "pieces": pieces})
+        pa.default_memory_pool().release_unused()
+        return pa.table({"id": pa.concat_arrays(owners), "pieces": pieces})
 
-    return (dealt.groupBy("chunk").cogroup(known.withColumnRenamed("chunk", "part").groupBy("part"))
+    return (dealt.groupBy("chunk").cogroup(known.groupBy("part"))
             .applyInArrow(put_together, "id long, pieces array<int>").withColumnRenamed("id", id_col))
 
 
@@ -322,6 +381,8 @@ def decode(encoded: DataFrame, model: str = MODEL, pieces_col: str = "pieces") -
                 ids = ids.values.to_numpy() if ids.is_valid else None
                 texts.append(None if ids is None else b"".join([own[k] for k in ids.tolist()])[1:].decode())
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], [*batch.schema.names, "decoded"])
+        batch = None
+        pa.default_memory_pool().release_unused()
 
     encoded = encoded.drop("decoded")
     return encoded.mapInArrow(run, T.StructType([*encoded.schema.fields, T.StructField("decoded", T.StringType())]))

@@ -397,3 +397,28 @@ def test_edges_are_folded_across_blocks(monkeypatch):
         monkeypatch.setattr(pieces, "EDGES", edges)
         got = [r for b in pieces.folded(byte_ids)(iter(batch.slice(i, step) for i in range(0, len(rows), step))) for r in b.to_pylist()]
         assert [(r["chunk"], r["word"], r["ids"]) for r in got] == [(k, w, pieces.best_path(w, table_, longest, unknown, byte_ids)) for k, w in enumerate(own)]
+
+
+def test_texts_and_words_travel_packed(spark):
+    """A text reaches its chunk compressed, a word as its pieces alone; both come back whole."""
+    import re
+    model, byte_ids, raw = pieces.load_pieces()
+    pattern = pieces.cuts(model)
+    draw = random.Random(4)
+    vocabulary = ["".join(draw.choice("abcdeinorstu") for _ in range(draw.randrange(2, 10))) for _ in range(2000)]
+    texts = [" ".join(draw.choices(vocabulary, k=400)) for _ in range(1000)] + [None, "", "naïve 数据 😀 ☃x", "word " * 200_000]
+    docs = spark.createDataFrame([(None if k % 50 == 0 else k // 2, t) for k, t in enumerate(texts)], "id long, text string").repartition(3)
+    sent = docs.mapInArrow(pieces.packed(5), "chunk int, rows binary").collect()
+    assert sum(len(r["rows"]) for r in sent) < 0.55 * sum(len((t or "").encode()) for t in texts)
+    assert {r["chunk"] for r in sent} == set(range(5))
+    back = [tuple(x.values()) for r in sent for x in pieces.unpacked(pa.scalar(bytes(r["rows"]), pa.binary())).to_pylist()]
+    assert sorted(back, key=repr) == sorted((tuple(r) for r in docs.collect()), key=repr)
+    batch = pa.RecordBatch.from_arrays([pa.array([r["chunk"] for r in sent], pa.int32()), pa.array([bytes(r["rows"]) for r in sent], pa.binary())], ["chunk", "rows"])
+    got = {w for b in pieces.packed_words(pattern)(iter([batch])) for w in b.column("word").to_pylist()}
+    own = sorted({w for t in texts if t is not None for w in re.findall(pattern, " " + t) if len(w) <= pieces.WORD})
+    assert got == set(own)
+    table_, longest, unknown = {p: (k, c) for p, k, c in model}, max(len(p) for p, _, _ in model), max(c for _, _, c in model) + 1
+    ids = pa.array([pieces.best_path(w, table_, longest, unknown, byte_ids) for w in own], pa.list_(pa.int32()))
+    assert pieces.spelled_words(ids, pa.array(raw, pa.binary())) == own
+    assert pieces.spelled_words(ids.slice(7, 90), pa.array(raw, pa.binary())) == own[7:97]
+    assert pieces.spelled_words(ids[:0], pa.array(raw, pa.binary())) == []
