@@ -422,3 +422,35 @@ def test_texts_and_words_travel_packed(spark):
     assert pieces.spelled_words(ids, pa.array(raw, pa.binary())) == own
     assert pieces.spelled_words(ids.slice(7, 90), pa.array(raw, pa.binary())) == own[7:97]
     assert pieces.spelled_words(ids[:0], pa.array(raw, pa.binary())) == []
+
+
+def test_rounds_leave_no_shuffle_files(tmp_dir):
+    """In a session of its own, that never deletes shuffle files for want of references."""
+    import os
+    import subprocess
+    import sys
+    code = """
+import os, sys, time
+from sparkwright.llm import common, lines
+from sparkwright.session import build_session
+top = sys.argv[1]
+spark = build_session("local[2]", 4, "clean-up", {"spark.local.dir": top + "/local", "spark.cleaner.referenceTracking": "false"})
+spark.sparkContext.setCheckpointDir(top + "/shared")
+def left(n):
+    end = time.time() + (15 if n >= 0 else 0)
+    while (now := sum(x.startswith("shuffle_") for _, _, names in os.walk(top + "/local") for x in names)) != n and time.time() < end:
+        time.sleep(0.1)
+    return now
+before = spark.conf.get(common.CLEAN_UP)
+common.written(spark.range(1000).repartition(3, "id"), "kept")
+kept = left(-1)
+held = spark.range(1000).repartition(5, "id")
+rows = len(common.written(held, "gone", clean_up=True).collect())
+after = left(kept)
+texts = spark.createDataFrame([("the quick brown fox jumps over the lazy dog %d" % (k % 7),) for k in range(60)], "text string")
+links = len(lines.like_lines(texts, 0.9).collect())
+print("LEFT", kept > 0, rows, after == kept, links, left(kept) == kept, spark.conf.get(common.CLEAN_UP) == before)
+"""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    run = subprocess.run([sys.executable, "-c", code, tmp_dir], cwd=root, env=os.environ | {"PYTHONPATH": root}, capture_output=True, text=True, timeout=300)
+    assert "LEFT True 1000 True 6 True True" in run.stdout, run.stdout + run.stderr[-2000:]
