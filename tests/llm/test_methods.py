@@ -454,3 +454,44 @@ print("LEFT", kept > 0, rows, after == kept, links, left(kept) == kept, spark.co
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     run = subprocess.run([sys.executable, "-c", code, tmp_dir], cwd=root, env=os.environ | {"PYTHONPATH": root}, capture_output=True, text=True, timeout=300)
     assert "LEFT True 1000 True 6 True True" in run.stdout, run.stdout + run.stderr[-2000:]
+
+
+def quoted(draw: random.Random, times: int) -> list[str]:
+    """Texts by 22: twenty that hold 40 words of one passage, and two that hold all 60, the last with one word changed."""
+    text = lambda n: [f"w{draw.randrange(10 ** 6)}" for _ in range(n)]
+    rows = []
+    for _ in range(times):
+        whole = text(60)
+        for _ in range(20):
+            at = draw.randrange(21)
+            rows.append(" ".join(text(20) + whole[at:at + 40] + text(20)))
+        changed = list(whole)
+        changed[draw.randrange(60)] = "changed"
+        rows += [" ".join(text(20) + x + text(20)) for x in (whole, changed)]
+    return rows
+
+
+def test_edited_passages_meet_whatever_representatives_lack(spark):
+    """Of the pairs that share an edited passage all are linked, though the first documents with their min-hashes hold but parts."""
+    rows = quoted(random.Random(21), 60)
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string").repartition(3)
+    found = {(r["a_doc"], r["doc"]) for r in passages.passage_links(docs).collect()}
+    assert all((22 * k + 20, 22 * k + 21) in found for k in range(60))
+
+
+def test_contexts_that_can_make_a_passage_are_paired():
+    """Against all pairs, in one large key; what is in passages of one group already is left out."""
+    draw = np.random.default_rng(5)
+    part = draw.integers(0, 1 << 24, 38)
+    rows = [np.concatenate([draw.integers(0, 1 << 24, 20), part, draw.integers(0, 1 << 24, 30)]) for _ in range(120)]
+    for k in range(0, 120, 3):  # a copy with five tokens changed
+        rows.append(np.where((np.arange(88) >= 60) & (np.arange(88) < 65), draw.integers(0, 1 << 24, 88), rows[k]))
+    codes = pa.array([x.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :3].tobytes() for x in rows], pa.binary())
+    n = len(rows)
+    doc, root, told = np.arange(n), np.arange(n), np.zeros(n, bool)
+    wanted = {(i, j) for i in range(n) for j in range(i + 1, n) if len(np.intersect1d(rows[i], rows[j])) >= 41}
+    pairs, twice = passages.context_pairs(np.zeros(n, np.int64), doc, root, told, codes, 46, 0.8)
+    assert set(map(tuple, pairs.tolist())) == wanted == {(3 * k, 120 + k) for k in range(40)} and not twice.any()
+    root[120:] = np.arange(0, 120, 3)
+    assert not len(passages.context_pairs(np.zeros(n, np.int64), doc, root, ~told, codes, 46, 0.8)[0])
+    assert len(passages.context_pairs(np.zeros(n, np.int64), doc, root, told, codes, 46, 0.8)[0]) == 40
