@@ -495,3 +495,14 @@ def test_contexts_that_can_make_a_passage_are_paired():
     root[120:] = np.arange(0, 120, 3)
     assert not len(passages.context_pairs(np.zeros(n, np.int64), doc, root, ~told, codes, 46, 0.8)[0])
     assert len(passages.context_pairs(np.zeros(n, np.int64), doc, root, told, codes, 46, 0.8)[0]) == 40
+
+
+def test_pieces_follow_what_the_candidate_sets_hold(spark, monkeypatch):
+    """Twenty sets of two lines of 100 characters are 4,000 characters."""
+    sets = spark.createDataFrame([(k // 2, 0, k % 2, 2) for k in range(40)], "lead long, deal long, node long, n long")
+    bodies = spark.createDataFrame([(k, "x" * 100) for k in range(2)], "node long, body string")
+    assert lines.pieces_of(sets, bodies, 8) == 2 == lines.pieces_of(sets.where("false"), bodies, 8)
+    monkeypatch.setattr(lines, "PIECE", 100)
+    assert lines.pieces_of(sets, bodies, 8) == 5
+    monkeypatch.setattr(lines, "TOGETHER", 1)
+    assert lines.pieces_of(sets, bodies, 8) == 200
